@@ -79,10 +79,10 @@ def resample_nearest(spark, d):
     return geometry.resample_nearest(V.parc(spark, d), _moves(spark, d), TARGET, DIMS, "label")
 
 
-@query("resample_linear", sql("""SELECT q.subject_id, q.i, q.j, q.k, round(sum(v * (1 - abs(x - p.i)) * (1 - abs(y - p.j)) * (1 - abs(z - p.k))), 6) AS v
+@query("resample_linear", sql("""SELECT q.subject_id, q.i, q.j, q.k, round(sum(v * (1 - abs(x - p.i)) * (1 - abs(y - p.j)) * (1 - abs(z - p.k))), 9) AS v
  FROM points q JOIN prob p ON p.subject_id = q.subject_id AND abs(x - p.i) < 1 AND abs(y - p.j) < 1 AND abs(z - p.k) < 1 GROUP BY ALL""", **POINTS))
 def resample_linear(spark, d):
-    return geometry.resample(V.prob(spark, d), _moves(spark, d), TARGET, DIMS, 1).withColumn("v", F.round("v", 6))
+    return geometry.resample(V.prob(spark, d), _moves(spark, d), TARGET, DIMS, 1).withColumn("v", F.round("v", 9))
 
 
 @query("resample_cubic")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import add
 
@@ -43,18 +44,27 @@ def inverse3(m: list[list[Column]]) -> list[list[Column]]:
     return [[cofactor(c, r) / d for c in range(3)] for r in range(3)]
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once, so composed matrices do not multiply the expression size."""
+    return F.transform(F.array(value), body)[0]
+
+
 def matmul4(a: Column, b: Column) -> Column:
-    return pack(product(cells(a, 4), cells(b, 4)))
+    return let(F.struct(a.alias("a"), b.alias("b")), lambda s: pack(product(cells(s["a"], 4), cells(s["b"], 4))))
 
 
 def inverse_affine(a: Column) -> Column:
     """Inverse of an affine whose last row is 0 0 0 1."""
-    m = cells(a, 4)
-    rot = inverse3([row[:3] for row in m[:3]])
-    shift = [row[3] for row in m[:3]]
-    moved = [-reduce(add, (rot[r][t] * shift[t] for t in range(3))) for r in range(3)]
-    zero, one = F.lit(0.0), F.lit(1.0)
-    return pack([[*rot[r], moved[r]] for r in range(3)] + [[zero, zero, zero, one]])
+    def with_rotation(s: Column) -> Column:
+        rot, shift = cells(s["r"], 3), [s["a"][4 * r + 3] for r in range(3)]
+        moved = [-reduce(add, (rot[r][t] * shift[t] for t in range(3))) for r in range(3)]
+        zero, one = F.lit(0.0), F.lit(1.0)
+        return pack([[*rot[r], moved[r]] for r in range(3)] + [[zero, zero, zero, one]])
+
+    def rotation(m: Column) -> Column:
+        return let(F.struct(pack(inverse3([row[:3] for row in cells(m, 4)[:3]])).alias("r"), m.alias("a")), with_rotation)
+
+    return let(a, rotation)
 
 
 def apply_affine(a: Column, point: list[Column]) -> list[Column]:

@@ -25,10 +25,13 @@ def _vox() -> list[Column]:
 
 def affine_deviation(affine: Column) -> Column:
     """Largest deviation of R Rt from the identity, with R the rotation part per unit voxel."""
+    def deviation(unit: Column) -> Column:
+        rot = matrix.cells(unit, 3)
+        square = matrix.product(rot, matrix.transpose(rot))
+        return F.greatest(*[F.abs(square[r][c] - (1.0 if r == c else 0.0)) for r in range(3) for c in range(3)])
+
     m = matrix.cells(affine, 4)
-    rot = [[m[r][c] / _vox()[c] for c in range(3)] for r in range(3)]
-    square = matrix.product(rot, matrix.transpose(rot))
-    return F.greatest(*[F.abs(square[r][c] - (1.0 if r == c else 0.0)) for r in range(3) for c in range(3)])
+    return matrix.let(matrix.pack([[m[r][c] / _vox()[c] for c in range(3)] for r in range(3)]), deviation)
 
 
 def nearest_rotation(rot: Column, steps: int = 8) -> Column:
@@ -37,25 +40,25 @@ def nearest_rotation(rot: Column, steps: int = 8) -> Column:
         m = matrix.cells(x, 3)
         back = matrix.transpose(matrix.inverse3(m))
         return matrix.pack([[(m[r][c] + back[r][c]) / 2 for c in range(3)] for r in range(3)])
+
     return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), rot, lambda acc, _: step(acc))
 
 
 def _axis_aligned(affine: Column) -> Column:
-    """World axis (0-based) and sign of each voxel axis: (axis0, sign0, axis1, sign1, axis2, sign2)."""
-    m = matrix.cells(affine, 4)
+    """World axis (0-based) and sign of each voxel axis: (axis0, sign0, axis1, sign1, axis2, sign2).
 
-    def strongest(col: int, taken: list[Column]) -> Column:
-        scores = [F.abs(m[r][col]) for r in range(3)]
-        for t in taken:
-            scores = [F.when(t == r, F.lit(-1.0)).otherwise(s) for r, s in enumerate(scores)]
-        best = F.greatest(*scores)
-        return F.when(scores[0] == best, 0).when(scores[1] == best, 1).otherwise(2)
+    Every voxel axis in turn takes the world axis it is strongest in among those still free.
+    """
+    def strongest(col: int, taken: Column) -> Column:
+        free = F.filter(F.sequence(F.lit(0), F.lit(2)), lambda r: ~F.array_contains(taken, r))
+        scored = F.transform(free, lambda r: F.struct(F.abs(F.get(affine, 4 * r + col)).alias("s"), (-r).alias("r")))
+        return F.array(-F.array_max(scored)["r"])
 
-    axes: list[Column] = []
+    axes = F.array().cast("array<int>")
     for c in range(3):
-        axes.append(strongest(c, axes))
-    signs = [F.when(F.get(affine, 4 * a + c) < 0, -1.0).otherwise(1.0) for c, a in enumerate(axes)]
-    return F.array(*[x for a, s in zip(axes, signs) for x in (a.cast("double"), s)])
+        axes = matrix.let(axes, lambda taken, c=c: F.concat(taken, strongest(c, taken)))
+    return F.flatten(F.transform(axes, lambda a, c: F.array(
+        a.cast("double"), F.when(F.get(affine, 4 * a + c) < 0, -1.0).otherwise(1.0))))
 
 
 def check_affine(images: DataFrame, centres: DataFrame, mild: float = MILD, severe: float = SEVERE) -> DataFrame:
@@ -198,7 +201,8 @@ def resample(voxels: DataFrame, transforms: DataFrame, target_dims: Dims, source
     for a, b, n in zip(AXES, home, source_dims):
         # mirrored taps stay within the halo of the last brick
         first, last = F.floor((F.col(a) - HALO) / BRICK), F.floor((F.col(a) + HALO) / BRICK)
-        spread = spread.withColumn(b, F.explode(F.sequence(F.greatest(first, F.lit(0)), F.least(last, F.lit((n - 1) // BRICK)))).cast("int"))
+        bricks = F.sequence(F.greatest(first, F.lit(0)).cast("int"), F.least(last, F.lit((n - 1) // BRICK)).cast("int"))
+        spread = spread.withColumn(b, F.explode(bricks))
     schema = T.StructType([*points.select(*VOXEL).schema.fields, T.StructField("v", T.DoubleType())])
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
