@@ -16,7 +16,7 @@ sys.path.insert(0, ROOT)
 
 
 def normal(value):
-    if value is None or (isinstance(value, float) and math.isnan(value)):
+    if value is None or value is pd.NA or value is pd.NaT or (isinstance(value, float) and math.isnan(value)):
         return None
     if isinstance(value, (list, tuple)) or type(value).__name__ == "ndarray":
         return tuple(normal(v) for v in value)

@@ -31,9 +31,15 @@ def hull_fill(mask: DataFrame, table: Sequence[Offset] | None = None, keys: Sequ
     equals the convex hull when every facet normal is in the table and contains it otherwise.
     """
     table = directions(2) if table is None else list(table)
-    axes_max = [F.max(a).alias(f"_{a}1") for a in AXES] + [F.min(a).alias(f"_{a}0") for a in AXES]
-    support = F.array(*[F.max(_dot(u)) for u in table])
-    shape = mask.groupBy(*keys).agg(*axes_max, support.alias("_h"))
+    # a line of voxels reaches its support at one of its ends, so only those meet the table of directions
+    ends = mask.groupBy(*keys, "i", "j").agg(F.min("k").alias("_k0"), F.max("k").alias("_k1"))
+    reach = F.transform(offset_column(table), lambda u: (
+        F.col("i") * u["di"] + F.col("j") * u["dj"] + F.greatest(F.col("_k0") * u["dk"], F.col("_k1") * u["dk"])))
+    support = (ends.select(*keys, F.posexplode(reach).alias("_u", "_h")).groupBy(*keys, "_u").agg(F.max("_h").alias("_h"))
+               .groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_u", "_h"))).getField("_h").alias("_h")))
+    limits = ends.groupBy(*keys).agg(*[f(c).alias(n) for n, f, c in (
+        ("_i0", F.min, "i"), ("_i1", F.max, "i"), ("_j0", F.min, "j"), ("_j1", F.max, "j"), ("_k0", F.min, "_k0"), ("_k1", F.max, "_k1"))])
+    shape = limits.join(support, list(keys))
     # one slab per i-coordinate: the candidates of one big subject are generated by many tasks
     slabs = (shape.withColumn("i", F.explode(F.sequence("_i0", "_i1"))).repartition(*keys, "i")
              .withColumn("j", F.explode(F.sequence("_j0", "_j1")))
@@ -41,7 +47,3 @@ def hull_fill(mask: DataFrame, table: Sequence[Offset] | None = None, keys: Sequ
     inside = F.forall(F.arrays_zip(offset_column(table).alias("u"), F.col("_h").alias("h")),
                       lambda z: F.col("i") * z["u"]["di"] + F.col("j") * z["u"]["dj"] + F.col("k") * z["u"]["dk"] <= z["h"])
     return slabs.filter(inside).select(*keys, *AXES)
-
-
-def _dot(u: Offset):
-    return F.col("i") * u[0] + F.col("j") * u[1] + F.col("k") * u[2]
