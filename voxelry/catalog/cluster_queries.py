@@ -210,8 +210,8 @@ def score_views(levels: str) -> dict[str, str]:
         tru=f"SELECT threshold, {VOX} FROM truth, lv", prd=f"SELECT threshold, {VOX} FROM prob JOIN lv ON v > threshold",
         **cc_views("tru", keys="threshold", name="tc"), **cc_views("prd", keys="threshold", name="pc"),
         ts="SELECT threshold, subject_id, cluster_id AS t_id, count(*) AS t_size FROM tc GROUP BY ALL", ps="SELECT threshold, subject_id, cluster_id AS p_id, count(*) AS p_size FROM pc GROUP BY ALL",
-        both=f"SELECT threshold, subject_id, t_id, p_id, count(*) AS n FROM (SELECT threshold, {VOX}, cluster_id AS t_id FROM tc) FULL JOIN (SELECT threshold, {VOX}, cluster_id AS p_id FROM pc) USING (threshold, {VOX}) GROUP BY ALL",
-        pairs="SELECT * FROM both LEFT JOIN ts USING (threshold, subject_id, t_id) LEFT JOIN ps USING (threshold, subject_id, p_id)",
+        shared=f"SELECT threshold, subject_id, t_id, p_id, count(*) AS n FROM (SELECT threshold, {VOX}, cluster_id AS t_id FROM tc) FULL JOIN (SELECT threshold, {VOX}, cluster_id AS p_id FROM pc) USING (threshold, {VOX}) GROUP BY ALL",
+        pairs="SELECT * FROM shared LEFT JOIN ts USING (threshold, subject_id, t_id) LEFT JOIN ps USING (threshold, subject_id, p_id)",
         flt="SELECT * FROM (VALUES (0), (2)) t(cluster_filter)",
         fp0="SELECT *, coalesce(t_size > cluster_filter, false) AS tok, coalesce(p_size > cluster_filter, false) AS pok FROM pairs, flt",
         vox="""SELECT threshold, subject_id, cluster_filter, coalesce(sum(n) FILTER (tok AND pok), 0)::BIGINT AS tp, coalesce(sum(n) FILTER (NOT tok AND pok), 0)::BIGINT AS fp,

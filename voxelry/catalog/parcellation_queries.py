@@ -76,7 +76,7 @@ HYPER = dict(
 
 @query("hyperintensity_to_wm", sql(f"SELECT {VOX}, label FROM seg", **HYPER))
 def hyperintensity_to_wm(spark, d):
-    return P.hyperintensity_to_wm(V.parc(spark, d), DIMS)
+    return P.hyperintensity_to_wm(V.parc_table(spark, d), DIMS)
 
 
 def _seeds(side: str) -> list[tuple[int, int]]:
@@ -100,7 +100,7 @@ def lobar_views(source: str) -> dict[str, str]:
 
 @query("lobar_labels", sql(f"SELECT {VOX}, label FROM lobar", **lobar_views("parc")))
 def lobar_labels(spark, d):
-    return P.lobar_labels(V.parc(spark, d), DIMS)
+    return P.lobar_labels(V.parc_table(spark, d), DIMS)
 
 
 def sided_sql(source: str, members: dict) -> str:
@@ -128,7 +128,7 @@ RULES = rule_views("parc")
 
 @query("internal_capsule", sql(f"SELECT {VOX}, side FROM capsule", **RULES))
 def internal_capsule(spark, d):
-    return P.internal_capsule(V.parc(spark, d), DIMS)
+    return P.internal_capsule(V.parc_table(spark, d), DIMS)
 
 
 @query("juxtacortical_wm", sql(f"SELECT {VOX}, side FROM juxta", **RULES))
@@ -166,7 +166,7 @@ EXTERNAL = external_views("parc", f"SELECT {VOX} FROM juxta UNION SELECT {VOX} F
 
 @query("external_capsule", sql(f"SELECT {VOX}, side FROM external", **RULES, **external_views("parc", f"SELECT {VOX} FROM peri", 6, 1)))
 def external_capsule(spark, d):
-    labels = V.parc(spark, d)
+    labels = V.parc_table(spark, d)
     return P.external_capsule(labels, DIMS, P.periventricular(labels, DIMS), reach=6, low=1)
 
 
@@ -192,7 +192,7 @@ def callosum_views(source: str, reach: int, closing: int, growth: int, opening:
 
 @query("corpus_callosum", sql(f"SELECT {VOX}, side FROM callosum", **RULES, **callosum_views("parc", 1, 2, 3, 1)))
 def corpus_callosum(spark, d):
-    return P.corpus_callosum(V.parc(spark, d), DIMS, 1, 2, 3, 1)
+    return P.corpus_callosum(V.parc_table(spark, d), DIMS, 1, 2, 3, 1)
 
 
 LOBES = labels_in(list(R.LOBE_CODES.values()) + [v + R.RIGHT_LOBE for v in R.LOBE_CODES.values()])
@@ -216,7 +216,7 @@ FULL = dict(
 
 @query("lobar_wm_parcellation", sql(f"SELECT {VOX}, arg_max(label, prio)::INT AS label FROM layers GROUP BY ALL", **FULL))
 def lobar_wm_parcellation(spark, d):
-    return P.lobar_wm_parcellation(V.parc(spark, d), DIMS)
+    return P.lobar_wm_parcellation(V.parc_table(spark, d), DIMS)
 
 
 WALL = dict(
@@ -236,4 +236,4 @@ WALL = dict(
 
 @query("basal_ganglia_box", sql(f"SELECT {VOX} FROM (SELECT g.* FROM grid g JOIN bg USING (subject_id) WHERE g.j BETWEEN j0 AND j1 AND g.k BETWEEN k0 AND k1) ANTI JOIN walled USING ({VOX})", **WALL))
 def basal_ganglia_box(spark, d):
-    return P.basal_ganglia_box(V.parc(spark, d), DIMS)
+    return P.basal_ganglia_box(V.parc_table(spark, d), DIMS)

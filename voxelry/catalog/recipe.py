@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.matrix import pack
+from ..session import cut_lineage
 
 DIMS = (12, 12, 8)
 NI, NJ, NK = DIMS
@@ -65,6 +66,11 @@ def parc(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("subject_id", "i", "j", "k", label.alias("label"))
 
 
+def parc_table(spark: SparkSession, d: str) -> DataFrame:
+    """The label blocks as a stored table, for rules that read them many times."""
+    return cut_lineage(parc(spark, d))
+
+
 def derived(spark: SparkSession, d: str) -> DataFrame:
     """All codes of the derived parcellation in blocks of 2x2x2."""
     block = F.expr("((i div 2) * 24 + (j div 2) * 4 + k div 2) * 7 + subject_id") % len(DERIVED_CODES)

@@ -34,7 +34,8 @@ def directions(max_component: int = 2) -> list[Offset]:
 
 def offset_column(offsets: Iterable[Offset]) -> Column:
     """Constant array of offset structs, to be exploded."""
-    return F.array(*[F.struct(F.lit(a).alias("di"), F.lit(b).alias("dj"), F.lit(c).alias("dk")) for a, b, c in offsets])
+    cells = ", ".join(f"({a}, {b}, {c})" for a, b, c in offsets)
+    return F.expr(f"cast(array({cells}) AS array<struct<di: int, dj: int, dk: int>>)")
 
 
 def spread(df: DataFrame, offsets: Iterable[Offset]) -> DataFrame:

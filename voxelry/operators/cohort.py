@@ -128,7 +128,7 @@ def metrics_wide(stats: DataFrame, regions: Sequence[str], drop_empty: bool = Fa
 
 def report_table(stats: DataFrame, voxel_volume: float = 1.0, max_empty: int = 7) -> DataFrame:
     """Region rows in cubic millimetres with two decimals; if more than seven regions are empty they are only listed."""
-    text = {s: F.format_string("%.2f", F.col(s).cast("double") * voxel_volume) for s in STATISTICS if s != "n_clusters"}
+    text = {s: F.format_string("%.2f", F.bround(F.col(s).cast("double") * voxel_volume, 2)) for s in STATISTICS if s != "n_clusters"}
     text = {s: F.when(F.col(s).isNotNull(), c) for s, c in text.items()}
     empty = stats.groupBy(SUBJECT).agg(
         F.count_if(F.col("n_clusters") == 0).alias("_n"),

@@ -24,26 +24,27 @@ def nearest_label_fill(labels: DataFrame, mask: DataFrame, dims: Dims, keys: Seq
     return wanted.groupBy(*voxel).agg(F.min(F.struct("d", "label")).getField("label").alias("label"))
 
 
+AXIS_DIRECTIONS: list[Offset] = [(1, 0, 0), (-1, 0, 0), (0, 1, 0), (0, -1, 0), (0, 0, 1), (0, 0, -1)]
+
+
 def hull_fill(mask: DataFrame, table: Sequence[Offset] | None = None, keys: Sequence[str] = (SUBJECT,)) -> DataFrame:
     """Grid voxels inside the hull of a mask, described by its support in a fixed table of directions.
 
     The hull is the intersection of the half-spaces of all primitive integer directions up to a maximum component; it
     equals the convex hull when every facet normal is in the table and contains it otherwise.
     """
-    table = directions(2) if table is None else list(table)
+    table = AXIS_DIRECTIONS + (directions(2) if table is None else list(table))
     # a line of voxels reaches its support at one of its ends, so only those meet the table of directions
     ends = mask.groupBy(*keys, "i", "j").agg(F.min("k").alias("_k0"), F.max("k").alias("_k1"))
     reach = F.transform(offset_column(table), lambda u: (
         F.col("i") * u["di"] + F.col("j") * u["dj"] + F.greatest(F.col("_k0") * u["dk"], F.col("_k1") * u["dk"])))
-    support = (ends.select(*keys, F.posexplode(reach).alias("_u", "_h")).groupBy(*keys, "_u").agg(F.max("_h").alias("_h"))
-               .groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_u", "_h"))).getField("_h").alias("_h")))
-    limits = ends.groupBy(*keys).agg(*[f(c).alias(n) for n, f, c in (
-        ("_i0", F.min, "i"), ("_i1", F.max, "i"), ("_j0", F.min, "j"), ("_j1", F.max, "j"), ("_k0", F.min, "_k0"), ("_k1", F.max, "_k1"))])
-    shape = limits.join(support, list(keys))
+    shape = (ends.select(*keys, F.posexplode(reach).alias("_u", "_h")).groupBy(*keys, "_u").agg(F.max("_h").alias("_h"))
+             .groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_u", "_h"))).getField("_h").alias("_h")))
+    h = [F.col("_h")[n] for n in range(6)]
     # one slab per i-coordinate: the candidates of one big subject are generated by many tasks
-    slabs = (shape.withColumn("i", F.explode(F.sequence("_i0", "_i1"))).repartition(*keys, "i")
-             .withColumn("j", F.explode(F.sequence("_j0", "_j1")))
-             .withColumn("k", F.explode(F.sequence("_k0", "_k1"))))
+    slabs = (shape.withColumn("i", F.explode(F.sequence(-h[1], h[0]))).repartition(*keys, "i")
+             .withColumn("j", F.explode(F.sequence(-h[3], h[2])))
+             .withColumn("k", F.explode(F.sequence(-h[5], h[4]))))
     inside = F.forall(F.arrays_zip(offset_column(table).alias("u"), F.col("_h").alias("h")),
                       lambda z: F.col("i") * z["u"]["di"] + F.col("j") * z["u"]["dj"] + F.col("k") * z["u"]["dk"] <= z["h"])
     return slabs.filter(inside).select(*keys, *AXES)

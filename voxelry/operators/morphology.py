@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..functions.offsets import Offset, neighbours, offset_column, spread
 from ..schema import AXES, SUBJECT, VOXEL, Dims, in_grid, other_axes
+from ..session import cut_lineage
 from .lines import squared_kernel, sweep, taxicab_kernel
 
 Radii = tuple[int, int, int]
@@ -134,6 +135,7 @@ def erode_l1(mask: DataFrame, r: int, dims: Dims, border_erodes: bool = False, k
     unless ``border_erodes``)."""
     kept = mask.select(*keys, *AXES)
     if r > 1:
+        kept = mask = cut_lineage(kept)  # read three times below
         near = dilate_l1(rim_outside(mask, dims, keys), r - 1, dims, keys)
         kept = kept.join(near, [*keys, *AXES], "left_anti")
     if border_erodes:
