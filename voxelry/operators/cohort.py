@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.joins import attach
 from ..functions.quantiles import exact_percentiles
 from ..schema import SUBJECT, Dims
 from .geometry import registration_magnitude
@@ -49,62 +50,64 @@ def qc_with_population(qc: DataFrame, population: DataFrame) -> DataFrame:
             .unionByName(population.select(*shared, F.lit(True).alias("is_population"))))
 
 
-def metric_columns(qc: DataFrame) -> list[str]:
-    return [c for c in qc.columns if c not in (SUBJECT, "is_population", "append_date")]
+def metric_columns(qc: DataFrame, by: Sequence[str] = ()) -> list[str]:
+    return [c for c in qc.columns if c not in (SUBJECT, "is_population", "append_date", *by)]
 
 
-def qc_long(qc: DataFrame) -> DataFrame:
-    metrics = metric_columns(qc)
-    ids = [c for c in (SUBJECT, "is_population") if c in qc.columns]
+def qc_long(qc: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """One row per subject and measure; missing measures are left out."""
+    metrics = metric_columns(qc, by)
+    ids = [c for c in (SUBJECT, *by, "is_population") if c in qc.columns]
     rows = qc.select(*ids, *[F.col(m).cast("double").alias(m) for m in metrics])
     return rows.unpivot(ids, metrics, "metric", "value").filter("value IS NOT NULL")
 
 
-def qc_bounds(qc: DataFrame) -> DataFrame:
-    """Fences per metric: 1.5 interquartile ranges beyond the quartiles."""
-    q = exact_percentiles(qc_long(qc), ["metric"], "value", [0.25, 0.75])
+def qc_bounds(qc: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Fences per measure, and per cohort where ``by`` names one: 1.5 interquartile ranges beyond the quartiles."""
+    q = exact_percentiles(qc_long(qc, by), [*by, "metric"], "value", [0.25, 0.75])
     q1, q3 = F.col("q")[0], F.col("q")[1]
-    return q.select("metric", (q1 - FENCE * (q3 - q1)).alias("low"), (q3 + FENCE * (q3 - q1)).alias("high"))
+    return q.select(*by, "metric", (q1 - FENCE * (q3 - q1)).alias("low"), (q3 + FENCE * (q3 - q1)).alias("high"))
 
 
-def _cohort_size(qc: DataFrame) -> DataFrame:
-    return qc.agg(F.count("*").alias("cohort_size"))
+def _with_cohort_size(rows: DataFrame, qc: DataFrame, by: Sequence[str]) -> DataFrame:
+    sizes = qc.groupBy(*by).agg(F.count("*").alias("cohort_size"))
+    if not by:
+        return rows.join(F.broadcast(sizes), how="cross")  # a single row
+    return attach(rows, sizes, by, salt_by=[SUBJECT])
 
 
-def qc_outliers(qc: DataFrame) -> DataFrame:
+def qc_outliers(qc: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Values beyond the fences, in cohorts of at least ten rows."""
-    # the bounds have one row per metric, the size is one row
-    size = F.broadcast(_cohort_size(qc))
-    rows = qc_long(qc).join(F.broadcast(qc_bounds(qc)), "metric").join(size, F.col("cohort_size") >= MIN_COHORT)
-    return rows.filter((F.col("value") < F.col("low")) | (F.col("value") > F.col("high"))).drop("cohort_size")
+    rows = attach(qc_long(qc, by), qc_bounds(qc, by), [*by, "metric"], salt_by=[SUBJECT])
+    judged = _with_cohort_size(rows, qc, by).filter(F.col("cohort_size") >= MIN_COHORT)
+    return judged.filter((F.col("value") < F.col("low")) | (F.col("value") > F.col("high"))).drop("cohort_size")
 
 
-def qc_peak_range(qc: DataFrame) -> DataFrame:
+def qc_peak_range(qc: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Peaks of normalised images outside [0, 1]."""
-    rows = qc_long(qc).filter(F.col("metric").endswith("_norm_peak"))
+    rows = qc_long(qc, by).filter(F.col("metric").endswith("_norm_peak"))
     return rows.filter((F.col("value") > 1) | (F.col("value") < 0))
 
 
-def qc_failed(qc: DataFrame) -> DataFrame:
-    """Subjects with the sorted set of the metrics they fail, current and population subjects apart."""
-    ids = [c for c in (SUBJECT, "is_population") if c in qc.columns]
-    bad = qc_outliers(qc).select(*ids, "metric").unionByName(qc_peak_range(qc).select(*ids, "metric"))
+def qc_failed(qc: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Subjects with the sorted set of the measures they fail, current and population subjects apart."""
+    ids = [c for c in (SUBJECT, *by, "is_population") if c in qc.columns]
+    bad = qc_outliers(qc, by).select(*ids, "metric").unionByName(qc_peak_range(qc, by).select(*ids, "metric"))
     return bad.groupBy(*ids).agg(F.array_sort(F.collect_set("metric")).alias("metrics"))
 
 
+def qc_small_cohort(qc: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Every value of a cohort too small to judge, none of them flagged."""
+    rows = _with_cohort_size(qc_long(qc, by), qc, by).filter(F.col("cohort_size") < MIN_COHORT)
+    return rows.select(SUBJECT, *by, "metric", "value", F.lit(False).alias("is_outlier"))
+
+
 def qc_failed_json(failed: DataFrame) -> DataFrame:
     """One ``{subject: [metrics]}`` document per subject row, ready to be written as text."""
     entry = F.create_map(F.col(SUBJECT).cast("string"), F.col("metrics"))
     return failed.select(SUBJECT, F.to_json(entry).alias("json"))
 
 
-def qc_small_cohort(qc: DataFrame) -> DataFrame:
-    """Every value of a cohort too small to judge, none of them flagged."""
-    size = F.broadcast(_cohort_size(qc))
-    return (qc_long(qc).join(size, F.col("cohort_size") < MIN_COHORT)
-            .select(SUBJECT, "metric", "value", F.lit(False).alias("is_outlier")))
-
-
 def cohort_metrics_long(stats: DataFrame, biomarker: str | None = None) -> DataFrame:
     if biomarker is not None:
         stats = stats.filter(F.col("biomarker") == biomarker)
