@@ -25,9 +25,13 @@ def appended(stored: DataFrame, rows: DataFrame, date: str | None = None) -> Dat
 
 def with_decimals(df: DataFrame, digits: int = 2) -> DataFrame:
     """Fractions as text with a fixed number of decimals, for the CSV edge only."""
-    text = {c: F.when(F.col(c).isNotNull(), F.format_string(f"%.{digits}f", F.bround(c, digits)))
-            for c, t in df.dtypes if t in ("double", "float")}
-    return df.withColumns(text) if text else df
+    def shown(name: str, kind: str) -> Column:
+        cell = F.col(f"`{name}`")
+        if kind not in ("double", "float"):
+            return cell
+        return F.when(cell.isNotNull(), F.format_string(f"%.{digits}f", F.bround(cell, digits))).alias(name)
+
+    return df.select(*[shown(c, t) for c, t in df.dtypes])
 
 
 def write_results(df: DataFrame, path: str, form: str = "parquet", partition: str | None = None, digits: int | None = None) -> None:
