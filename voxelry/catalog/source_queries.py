@@ -20,10 +20,10 @@ def select_subjects(spark, d):
     return subjects.select_subjects(available, subjects.split_subjects(listed), subjects.split_subjects(debt))
 
 
-@query("missing_preproc", sql("SELECT c_custkey AS subject_id FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)"))
+@query("missing_preproc", sql("SELECT c_custkey AS subject_id FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')"))
 def missing_preproc(spark, d):
     wanted = V.table(spark, d, "customer").select(F.col("c_custkey").alias("subject_id"))
-    stored = V.table(spark, d, "orders").select(F.col("o_custkey").alias("subject_id"))
+    stored = V.table(spark, d, "orders").filter("o_orderstatus = 'F'").select(F.col("o_custkey").alias("subject_id"))
     return subjects.missing_subjects(wanted, stored)
 
 

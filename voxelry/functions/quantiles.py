@@ -39,12 +39,12 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seq
     per_group = brackets.groupBy(*keys).agg(F.first("n").alias("n"), F.collect_list(F.struct("_t", "_p", "_a", "_b")).alias("_qs"))
     rows = attach(merged, per_group, on=keys, salt_by=["_v"])
     tagged = rows.select(*keys, "n", "_v", "_c", F.explode("_qs").alias("_q")).select(*keys, "n", "_v", "_c", "_q.*")
-    below = (tagged.filter(F.col("_v") < F.col("_a")).groupBy(*keys, "_t").agg(F.sum("_c").alias("_below")))
-    inside = tagged.filter((F.col("_v") >= F.col("_a")) & (F.col("_v") <= F.col("_b")))
-    order = W.partitionBy(*keys, "_t").orderBy("_v").rowsBetween(W.unboundedPreceding, W.currentRow)
-    ranked = inside.withColumn("_upto", F.sum("_c").over(order)).join(below, [*keys, "_t"], "left")
-    last = F.col("_upto") + F.coalesce("_below", F.lit(0))
-    first = last - F.col("_c")
+    # everything below a bracket collapses to one row (NULL, sorted first) that only carries its count
+    value_or_below = F.when(F.col("_v") >= F.col("_a"), F.col("_v"))
+    kept = (tagged.filter(F.col("_v") <= F.col("_b")).groupBy(*keys, "n", "_t", "_p", value_or_below.alias("_v")).agg(F.sum("_c").alias("_c")))
+    order = W.partitionBy(*keys, "_t").orderBy(F.col("_v").asc_nulls_first()).rowsBetween(W.unboundedPreceding, W.currentRow)
+    ranked = kept.withColumn("_upto", F.sum("_c").over(order)).filter("_v IS NOT NULL")
+    last, first = F.col("_upto"), F.col("_upto") - F.col("_c")
     pos = (F.col("n") - 1) * F.col("_p")
     hit_low = (first <= F.floor(pos)) & (F.floor(pos) < last)
     hit_high = (first <= F.ceil(pos)) & (F.ceil(pos) < last)

@@ -6,10 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.joins import salted_join
 from ..functions.quantiles import exact_percentiles
 from ..functions.regions import BIOMARKER_SCHEME, PRIORITY_REGIONS, WHOLE_BRAIN, region_dictionary
 from ..schema import SUBJECT, VOXEL, Dims
-from .components import label_clusters, label_components
+from .components import CLUSTER_SALT, label_clusters, label_components
 from .morphology import euclidean_distance
 from .parcellation import parcellate
 
@@ -146,7 +147,7 @@ def census_plot_data(census: DataFrame, voxel_volume: float = 1.0, few: int = 10
     rows = census.filter("region IS NOT NULL").select(
         SUBJECT, "cluster_id", region.alias("region"), (F.col("cluster_size") * F.lit(voxel_volume)).alias("volume_mm3"))
     limits = extreme_threshold(rows, [SUBJECT, "region"], "volume_mm3")
-    return (rows.join(limits, [SUBJECT, "region"])
+    return (salted_join(rows, limits, [SUBJECT, "region"], salt_by=["cluster_id"], buckets=CLUSTER_SALT)
             .select(SUBJECT, "cluster_id", "region", "volume_mm3", (F.col("volume_mm3") > F.col("extreme_above")).alias("is_extreme"),
                     (F.col("n_clusters") < few).alias("few_clusters")))
 

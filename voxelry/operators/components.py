@@ -7,11 +7,11 @@ contracted by alternating star steps, each a min-aggregate and a salted join.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window as W, functions as F, types as T
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..functions.joins import salted_join
 from ..functions.offsets import neighbours, offset_column
@@ -19,6 +19,8 @@ from ..schema import AXES, SUBJECT, Dims, voxel_id
 from ..session import cut_lineage
 
 BRICK = 32
+#: Tasks over which the clusters of one subject are spread when they meet a per-subject row.
+CLUSTER_SALT = 8
 
 
 def _merge(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -38,23 +40,49 @@ def _merge(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _brick_labeller(connectivity: int, brick: int, equal: str | None):
-    half = [o for o in neighbours(connectivity) if o > (0, 0, 0)]
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("part_id", ignore_index=True)
-        x, y, z = ((pdf[a].to_numpy() % brick) + 1 for a in AXES)
-        n = len(pdf)
-        index = np.full((brick + 2,) * 3, -1)
-        index[x, y, z] = np.arange(n)
-        ends = [index[x + p, y + q, z + r] for p, q, r in half]
-        a = np.concatenate([np.arange(n)] * len(half))
-        b = np.concatenate(ends)
-        met = b >= 0
+    """Labels all bricks of an Arrow batch at once; a brick is one row with the list of its voxels."""
+    side = brick + 2
+    steps = [(p * side + q) * side + r for p, q, r in neighbours(connectivity) if (p, q, r) > (0, 0, 0)]
+
+    def label(voxels: pa.StructArray, owner: np.ndarray) -> pa.StructArray:
+        x, y, z = ((voxels.field(a).to_numpy() % brick) + 1 for a in AXES)
+        # position in a padded brick, so a step over a face never meets a voxel
+        code = ((owner * side + x) * side + y) * side + z
+        order = np.argsort(code)
+        code, n = code[order], len(code)
+        starts, ends = [], []
+        for step in steps:
+            at = np.searchsorted(code, code + step)
+            met = np.flatnonzero(code[np.minimum(at, n - 1)] == code + step)
+            starts.append(met)
+            ends.append(at[met])
+        a, b = np.concatenate(starts), np.concatenate(ends)
         if equal:
-            values = pdf[equal].to_numpy()
-            met &= values[a] == values[b]
-        pdf["part_id"] = pdf["part_id"].to_numpy()[_merge(n, a[met], b[met])]
-        return pdf
+            values = voxels.field(equal).to_numpy(zero_copy_only=False)[order]
+            same = values[a] == values[b]
+            a, b = a[same], b[same]
+        part = voxels.field("part_id").to_numpy()
+        out = np.empty_like(part)
+        out[order] = part[order][_merge(n, a, b)]
+        fields = list(voxels.type)
+        children = [pa.array(out) if f.name == "part_id" else voxels.field(f.name) for f in fields]
+        return pa.StructArray.from_arrays(children, fields=fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bricks = batch.column(batch.num_columns - 1)
+            sizes = np.diff(bricks.offsets.to_numpy())
+            # bricks of about two million voxels at a time bound the working memory
+            chunk = np.cumsum(sizes) // 2_000_000
+            cuts = [0, *(np.flatnonzero(np.diff(chunk)) + 1), len(sizes)]
+            for first, last in zip(cuts, cuts[1:]):
+                if last == first:
+                    continue
+                some, counts = batch.slice(first, last - first), sizes[first:last]
+                voxels = some.column(some.num_columns - 1).flatten()
+                labelled = label(voxels, np.repeat(np.arange(len(counts), dtype=np.int64), counts))
+                ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([*some.columns[:-1], pa.ListArray.from_arrays(ends, labelled)], names=batch.schema.names)
 
     return run
 
@@ -67,10 +95,10 @@ def contract(edges: DataFrame, by: Sequence[str]) -> DataFrame:
     while True:
         both = edges.unionByName(edges.select(*by, F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy(*by, "u").agg(F.least("u", F.min("v")).alias("m"))
-        large = (salted_join(both, least, [*by, "u"], salt_by=["v"]).filter("v > u")
+        large = (salted_join(both, least, [*by, "u"], salt_by=["v"], buckets=4).filter("v > u")
                  .select(*by, F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         floor = large.groupBy(*by, "u").agg(F.min("v").alias("m"))
-        small = salted_join(large, floor, [*by, "u"], salt_by=["v"])
+        small = salted_join(large, floor, [*by, "u"], salt_by=["v"], buckets=4)
         edges = cut_lineage(small.select(*by, F.explode(F.array(
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
             F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("_e"))
@@ -90,7 +118,10 @@ def label_components(df: DataFrame, dims: Dims, connectivity: int = 26, equal: s
     by = list(by)
     home = [F.floor(F.col(a) / brick).cast("int").alias(f"_b{a}") for a in AXES]
     rows = df.withColumn("part_id", voxel_id(dims))
-    local = rows.groupBy(*by, *home).applyInPandas(_brick_labeller(connectivity, brick, equal), rows.schema)
+    inner = [c for c in rows.columns if c not in by]
+    packed = rows.groupBy(*by, *home).agg(F.collect_list(F.struct(*inner)).alias("_c"))
+    local = (packed.mapInArrow(_brick_labeller(connectivity, brick, equal), packed.schema)
+             .select(*by, F.inline("_c")).select(*rows.columns))
     if all(n <= brick for n in dims):
         return local.withColumn("cluster_id", F.col("part_id"))
     local = cut_lineage(local)
@@ -183,7 +214,8 @@ def select_cluster(mask: DataFrame, dims: Dims, keep: str = "size", min_voxels:
     labelled = cut_lineage(label_components(mask.select(SUBJECT, *AXES), dims, brick=brick))
     sizes = labelled.groupBy(SUBJECT, "cluster_id").agg(F.count("*").alias("n"), F.max("k").alias("top"))
     # order by size with one aggregate per subject instead of a sort of all clusters
-    eligible = sizes.join(sizes.groupBy(SUBJECT).agg(F.count("*").alias("n_clusters")), SUBJECT).withColumn(
+    counts = sizes.groupBy(SUBJECT).agg(F.count("*").alias("n_clusters"))
+    eligible = salted_join(sizes, counts, salt_by=["cluster_id"], buckets=CLUSTER_SALT).withColumn(
         "_ok", (F.col("n_clusters") == 1) | (F.col("n") > min_voxels))
     verdict = eligible.groupBy(SUBJECT).agg(
         F.first("n_clusters").alias("n_clusters"), F.count_if("_ok").alias("n_eligible"),
@@ -195,7 +227,8 @@ def select_cluster(mask: DataFrame, dims: Dims, keep: str = "size", min_voxels:
     verdict = verdict.withColumn("status", status)
     chosen = F.col("_ok") if keep == "keep_all" else F.col("cluster_id") == (
         F.col("topmost") if keep == "top" else F.col("biggest"))
-    kept = eligible.join(verdict.drop("n_clusters"), SUBJECT).filter(chosen & (F.col("status") == "ok"))
+    judged = salted_join(eligible, verdict.drop("n_clusters"), salt_by=["cluster_id"], buckets=CLUSTER_SALT)
+    kept = judged.filter(chosen & (F.col("status") == "ok"))
     core = attach_to_clusters(labelled, kept.select(SUBJECT, "cluster_id", "n_clusters", "status"))
     if dilate is None:
         return core.select(SUBJECT, *AXES, "status")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.offsets import Offset, directions, offset_column
 from ..schema import AXES, SUBJECT, Dims
+from ..session import scatter
 from .lines import chessboard_kernel, sweep
 
 
@@ -42,9 +43,14 @@ def hull_fill(mask: DataFrame, table: Sequence[Offset] | None = None, keys: Sequ
              .groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_u", "_h"))).getField("_h").alias("_h")))
     h = [F.col("_h")[n] for n in range(6)]
     # one slab per i-coordinate: the candidates of one big subject are generated by many tasks
-    slabs = (shape.withColumn("i", F.explode(F.sequence(-h[1], h[0]))).repartition(*keys, "i")
-             .withColumn("j", F.explode(F.sequence(-h[3], h[2])))
-             .withColumn("k", F.explode(F.sequence(-h[5], h[4]))))
-    inside = F.forall(F.arrays_zip(offset_column(table).alias("u"), F.col("_h").alias("h")),
-                      lambda z: F.col("i") * z["u"]["di"] + F.col("j") * z["u"]["dj"] + F.col("k") * z["u"]["dk"] <= z["h"])
-    return slabs.filter(inside).select(*keys, *AXES)
+    slabs = (scatter(shape.withColumn("i", F.explode(F.sequence(-h[1], h[0]))), *keys, "i")
+             .withColumn("j", F.explode(F.sequence(-h[3], h[2]))))
+    # what each direction leaves of a line: an upper end, a lower end, or all or nothing
+    left = F.zip_with(offset_column(table), "_h", lambda u, top: F.struct(
+        u["dk"].alias("c"), (top - F.col("i") * u["di"] - F.col("j") * u["dj"]).alias("r")))
+    slabs = slabs.select(*keys, "i", "j", left.alias("_l"))
+    high = F.array_min(F.transform(F.filter("_l", lambda x: x["c"] > 0), lambda x: F.floor(x["r"] / x["c"])))
+    low = F.array_max(F.transform(F.filter("_l", lambda x: x["c"] < 0), lambda x: F.ceil(x["r"] / x["c"])))
+    lines = slabs.filter(~F.exists("_l", lambda x: (x["c"] == 0) & (x["r"] < 0))).select(*keys, "i", "j", low.alias("_a"), high.alias("_b"))
+    return (lines.filter("_a <= _b").withColumn("k", F.explode(F.sequence(F.col("_a").cast("int"), F.col("_b").cast("int"))))
+            .select(*keys, *AXES))

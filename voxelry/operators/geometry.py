@@ -12,6 +12,7 @@ from ..functions import matrix
 from ..functions.joins import attach
 from ..functions.quantiles import exact_percentiles
 from ..schema import AXES, SUBJECT, VOXEL, Dims
+from ..session import scatter
 from .lines import sweep, weighted_kernel
 
 MILD, SEVERE = 5e-5, 0.005
@@ -121,14 +122,14 @@ def cluster_transform(source_affine: Column, transform: Column, target_affine: C
 def target_points(transforms: DataFrame, target_dims: Dims, source_dims: Dims) -> DataFrame:
     """Every target voxel with its source coordinate ``x y z``, as far as that lies inside the source grid."""
     ni, nj, nk = target_dims
-    slabs = transforms.select(SUBJECT, F.col("affine").alias("_a"), F.explode(F.sequence(F.lit(0), F.lit(ni - 1))).alias("i"))
-    points = (slabs.repartition(SUBJECT, "i").withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(nj - 1))))
+    slabs = transforms.select(SUBJECT, *[F.col("affine")[n].alias(f"_m{n}") for n in range(12)],
+                              F.explode(F.sequence(F.lit(0), F.lit(ni - 1))).alias("i"))
+    points = (scatter(slabs, SUBJECT, "i").withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(nj - 1))))
               .withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(nk - 1)))))
-    at = matrix.apply_affine(F.col("_a"), [F.col(a) for a in AXES])
     # exact lattice points must not fall out of the grid by rounding
-    snapped = [F.when(F.abs(c - F.rint(c)) < 1e-9, F.rint(c)).otherwise(c) for c in at]
-    inside = " AND ".join(f"{c} >= 0 AND {c} <= {n - 1}" for c, n in zip("xyz", source_dims))
-    return points.select(*VOXEL, *[c.alias(n) for n, c in zip("xyz", snapped)]).filter(inside)
+    rounded = [f"round(_m{4 * r} * i + _m{4 * r + 1} * j + _m{4 * r + 2} * k + _m{4 * r + 3}, 9)" for r in range(3)]
+    inside = " AND ".join(f"{c} BETWEEN 0 AND {n - 1}" for c, n in zip("xyz", source_dims))
+    return points.select(*VOXEL, *[F.expr(c).alias(n) for n, c in zip("xyz", rounded)]).filter(inside)
 
 
 def resample_nearest(voxels: DataFrame, transforms: DataFrame, target_dims: Dims, source_dims: Dims, value: str = "v") -> DataFrame:

@@ -12,10 +12,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions import regions as R
+from ..functions.joins import salted_join
 from ..functions.offsets import neighbours, spread
 from ..schema import AXES, SUBJECT, VOXEL, Dims, in_grid
 from ..session import cut_lineage
-from .components import attach_to_clusters, label_components
+from .components import CLUSTER_SALT, attach_to_clusters, label_components
 from .fill import hull_fill, nearest_label_fill
 from .morphology import close_l1, dilate_l1, erode_steps, open_steps
 from .voxel import apply_mask, label_in, outside_mask, union_masks
@@ -78,7 +79,8 @@ def remove_islands(labels: DataFrame, dims: Dims, max_size: int = 100, ignore: S
     marked = cut_lineage(label_components(labels.select(*VOXEL, "label"), dims, 26, equal="label"))
     sizes = marked.groupBy(SUBJECT, "cluster_id").agg(F.first("label").alias("label"), F.count("*").alias("n"))
     main = sizes.groupBy(SUBJECT, "label").agg(F.max_by("cluster_id", F.struct("n", -F.col("cluster_id"))).alias("_main"))
-    islands = sizes.join(main, [SUBJECT, "label"]).filter((F.col("cluster_id") != F.col("_main")) & (F.col("n") <= max_size))
+    ranked = salted_join(sizes, main, [SUBJECT, "label"], salt_by=["cluster_id"], buckets=CLUSTER_SALT)
+    islands = ranked.filter((F.col("cluster_id") != F.col("_main")) & (F.col("n") <= max_size))
     if ignore:
         islands = islands.filter(~F.col("label").isin(list(ignore)))
     own = attach_to_clusters(marked, islands.select(SUBJECT, "cluster_id"))
@@ -105,7 +107,8 @@ def hyperintensity_to_wm(labels: DataFrame, dims: Dims) -> DataFrame:
                .agg(F.max((F.col("wm") == left).cast("int")).alias("l"), F.max((F.col("wm") == right).cast("int")).alias("r"))
                .groupBy(SUBJECT, "cluster_id").agg(F.sum("l").alias("l"), F.sum("r").alias("r")))
     sizes = wm.groupBy(SUBJECT).agg(F.count_if(F.col("wm") == left).alias("all_l"), F.count_if(F.col("wm") == right).alias("all_r"))
-    clusters = marked.select(SUBJECT, "cluster_id").distinct().join(contact, [SUBJECT, "cluster_id"], "left").join(sizes, SUBJECT, "left")
+    touched = marked.select(SUBJECT, "cluster_id").distinct().join(contact, [SUBJECT, "cluster_id"], "left")
+    clusters = salted_join(touched, sizes, how="left", salt_by=["cluster_id"], buckets=CLUSTER_SALT)
     zero = F.lit(0)
     l, r, al, ar = (F.coalesce(c, zero) for c in ("l", "r", "all_l", "all_r"))
     new = F.when(l > r, left).when(r > l, right).when(al >= ar, left).otherwise(right)

@@ -111,8 +111,10 @@ def hd95(truth: DataFrame, predicted: DataFrame, dims: Dims, size_filter: int =
     sides = {}
     for name, mask in (("t", truth), ("p", predicted)):
         marked = cut_lineage(label_components(mask.select(SUBJECT, *AXES), dims))
-        kept = census(marked).filter(F.col("cluster_size") > size_filter)
-        sides[name] = attach_to_clusters(marked, kept)
+        if size_filter:
+            kept = census(marked).filter(F.col("cluster_size") > size_filter)
+            marked = cut_lineage(attach_to_clusters(marked, kept))
+        sides[name] = marked
     cells = [SUBJECT, *AXES]
     found = []
     for name, other in (("t", "p"), ("p", "t")):
@@ -122,5 +124,6 @@ def hd95(truth: DataFrame, predicted: DataFrame, dims: Dims, size_filter: int =
     rims = cut_lineage(surface(found[0].unionByName(found[1]), (SUBJECT, "side")))
     far = euclidean_distance(rims, dims, spacing, keys=(SUBJECT, "side"))
     opposite = far.withColumn("side", F.when(F.col("side") == "t", "p").otherwise("t"))
-    return (exact_percentiles(rims.join(opposite, [SUBJECT, "side", *AXES]), [SUBJECT], "d", [0.95])
+    gaps = cut_lineage(rims.join(opposite, [SUBJECT, "side", *AXES]).select(SUBJECT, "d"))
+    return (exact_percentiles(gaps, [SUBJECT], "d", [0.95])
             .select(SUBJECT, F.col("q")[0].alias("hd95")))

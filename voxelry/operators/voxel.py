@@ -12,6 +12,7 @@ from ..functions import matrix
 from ..functions.joins import attach
 from ..functions.quantiles import exact_percentiles
 from ..schema import AXES, SUBJECT, VOXEL, Dims, in_grid
+from ..session import scatter
 
 #: Label lists longer than this are joined instead of written into the predicate.
 MAX_LITERALS = 200
@@ -315,7 +316,7 @@ def dense_grid(subjects: DataFrame, dims: Dims) -> DataFrame:
     """Every voxel of the grid for every subject."""
     ni, nj, nk = dims
     slabs = subjects.select(SUBJECT).distinct().withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(ni - 1))))
-    return (slabs.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(nj - 1))))
+    return (scatter(slabs, SUBJECT, "i").withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(nj - 1))))
             .withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(nk - 1)))))
 
 

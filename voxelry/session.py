@@ -49,3 +49,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder, so a lost executor never replays the whole history."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scatter(df: DataFrame, *columns: str) -> DataFrame:
+    """Spread few rows that each generate many over all shuffle partitions (an unnumbered repartition of small rows
+    would be merged again by the adaptive planner)."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
