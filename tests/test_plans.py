@@ -79,6 +79,25 @@ def test_cubic_resampling_is_exact_on_the_lattice(spark):
     assert np.allclose(mid[:-1], line[:-1] + 0.5) and not mid[-1].any()
 
 
+def test_cubic_between_lattice_points(spark):
+    """Against a spline solved as a linear system along one axis."""
+    n = DIMS[0]
+    values = np.random.default_rng(1).random(n) + 1
+    system = np.diag(np.full(n, 4.0)) + np.diag(np.ones(n - 1), 1) + np.diag(np.ones(n - 1), -1)
+    system[0, 1] = system[-1, -2] = 2.0  # mirrored ends
+    c = np.linalg.solve(system / 6, values)
+    move = np.eye(4)
+    move[0, 3] = 0.3
+    moves = spark.createDataFrame([("a", move.ravel().tolist())], "subject_id string, affine array<double>")
+    image = np.broadcast_to(values[:, None, None], DIMS)
+    got = dense(geometry.resample(table(spark, image), moves, DIMS, DIMS, 3), DIMS, "v")[:, 4, 4]
+    mirror = lambda x: c[n - 1 - abs(n - 1 - abs(x))]
+    t, s = 0.3, 0.7
+    w = [s ** 3 / 6, (4 - 6 * t ** 2 + 3 * t ** 3) / 6, (4 - 6 * s ** 2 + 3 * s ** 3) / 6, t ** 3 / 6]
+    want = [sum(w[m] * mirror(x + m - 1) for m in range(4)) for x in range(n - 1)]
+    assert np.allclose(got[:-1], want, atol=1e-6) and got[-1] == 0
+
+
 def test_two_pass_mask(spark, scans):
     images, voxels, _, volume, brain = scans
     def bright(channels, fold):

@@ -50,6 +50,8 @@ def test_scan_and_read(spark, dataset):
     assert scans.count() == 4
     heads = {(r.subject_id, r.acq): r for r in volumes.read_headers(scans).collect()}
     rows = volumes.read_volumes(scans).collect()
+    carried = layout.scan_dataset(spark, str(root), {"t1": "t1", "flair": "flair"}, content=True)
+    assert sorted(map(tuple, volumes.read_volumes(carried).collect())) == sorted(map(tuple, rows))
     for key, (volume, affine) in made.items():
         assert (heads[key].ni, heads[key].nj, heads[key].nk) == volume.shape
         assert np.allclose(np.reshape(heads[key].affine, (4, 4)), affine)

@@ -270,7 +270,17 @@ def otsu_threshold(spark, d):
     return stats.otsu_threshold(V.prob(spark, d), DIMS, 2).select("subject_id", r6(F.col("thresholds")[0], "threshold"))
 
 
-@query("otsu_three_classes")
+OTSU3 = dict(
+    olim=OTSU["olim"],
+    obin3=OTSU["obin"].replace("/ 256), 255)", "/ 64), 63)").replace("(hi - lo) / 256", "(hi - lo) / 64").replace("255)::INT", "63)::INT"),
+    ocum="SELECT g.subject_id, any_value(lo) AS lo, any_value(hi) AS hi, t, sum(CASE WHEN bin <= t THEN n ELSE 0 END)::DOUBLE AS p, sum(CASE WHEN bin <= t THEN n*bin ELSE 0 END)::DOUBLE AS s FROM obin3 g, range(64) c(t) GROUP BY ALL",
+    opair="""SELECT a.subject_id, a.lo, a.hi, a.t AS t1, b.t AS t2, round(CASE WHEN a.p > 0 THEN a.s*a.s/a.p ELSE 0 END + CASE WHEN b.p > a.p THEN (b.s-a.s)*(b.s-a.s)/(b.p-a.p) ELSE 0 END
+ + CASE WHEN e.p > b.p THEN (e.s-b.s)*(e.s-b.s)/(e.p-b.p) ELSE 0 END, 6) AS score FROM ocum a JOIN ocum b ON a.subject_id = b.subject_id AND a.t < b.t
+ JOIN ocum e ON e.subject_id = a.subject_id AND e.t = 63 AND b.t < 63""")
+
+
+@query("otsu_three_classes", sql("""SELECT subject_id, round(lo + (t1 + 0.5) * (hi - lo) / 64, 6) AS threshold_1, round(lo + (t2 + 0.5) * (hi - lo) / 64, 6) AS threshold_2
+ FROM (SELECT *, row_number() OVER (PARTITION BY subject_id ORDER BY score DESC, t1, t2) AS rn FROM opair) WHERE rn = 1""", **OTSU3))
 def otsu_three_classes(spark, d):
     return stats.otsu_threshold(V.prob(spark, d), DIMS, 3, 64).select("subject_id", *[r6(F.col("thresholds")[n], f"threshold_{n + 1}") for n in (0, 1)])
 

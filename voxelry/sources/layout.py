@@ -14,24 +14,27 @@ LAYOUTS = {
 }
 
 
-def list_volumes(spark: SparkSession, root: str) -> DataFrame:
-    """Paths of all volume files; the content column is never read."""
+def list_volumes(spark: SparkSession, root: str, content: bool = False) -> DataFrame:
+    """Paths of all volume files; the bytes are only read if ``content`` asks for them."""
     return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.nii*")
-            .load(root).select("path", "length"))
+            .load(root).select("path", "length", *(["content"] if content else [])))
 
 
-def scan_dataset(spark: SparkSession, root: str, acquisitions: dict[str, str], layout: str = "standard") -> DataFrame:
-    """(subject_id, acq, path) of a directory tree. ``acquisitions`` maps the name used here to the one in the paths: a
+def scan_dataset(spark: SparkSession, root: str, acquisitions: dict[str, str], layout: str = "standard",
+                 content: bool = False) -> DataFrame:
+    """(subject_id, acq, path) of a directory tree, on request with the ``content`` of each file for decoding. ``acquisitions`` maps the name used here to the one in the paths: a
     folder (``standard``: subject/acq/file) or the start of the file name after the subject (``bids``)."""
     pattern = LAYOUTS[layout]
-    found = list_volumes(spark, root).select(
-        F.regexp_extract("path", pattern, 1).alias(SUBJECT), F.regexp_extract("path", pattern, 2).alias("_a"), "path")
+    extra = ["content"] if content else []
+    found = list_volumes(spark, root, content).select(
+        F.regexp_extract("path", pattern, 1).alias(SUBJECT), F.regexp_extract("path", pattern, 2).alias("_a"), "path", *extra)
     acq = F.lit(None).cast("string")
     for name, text in acquisitions.items():
         hit = F.col("_a") == text if layout == "standard" else F.col("_a").startswith(text)
         acq = F.when(hit, F.lit(name)).otherwise(acq)
-    out = found.filter(F.col(SUBJECT) != "").select(SUBJECT, acq.alias("acq"), "path").filter("acq IS NOT NULL")
-    return checked_scans(out)
+    out = found.filter(F.col(SUBJECT) != "").select(SUBJECT, acq.alias("acq"), "path", *extra).filter("acq IS NOT NULL")
+    checked_scans(out.drop("content"))
+    return out
 
 
 def scan_manifest(manifest: DataFrame) -> DataFrame:

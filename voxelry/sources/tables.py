@@ -46,22 +46,21 @@ def write_results(df: DataFrame, path: str, form: str = "parquet", partition: st
 def read_subject_csvs(spark: SparkSession, glob: str, pattern: str = r"/([^/]+)/[^/]+\.csv$") -> DataFrame:
     """One table from one CSV per participant, tagged with the participant from the path.
 
-    Files may have different columns. They are grouped by header first: every distinct header is one read, so the
-    number of plans is that of the layouts in use and not of the files.
+    Files may have different columns. Each small file is one row of text whose lines are parsed by the header they
+    belong to; only the distinct headers, one per layout in use, come to the driver.
     """
-    heads = (spark.read.text(glob, wholetext=True)
-             .select(F.element_at(F.split("value", r"\r?\n"), 1).alias("header"), F.col("_metadata.file_path").alias("path"))
-             .groupBy("header").agg(F.collect_list("path").alias("paths")))
+    files = spark.read.text(glob, wholetext=True).select(
+        F.regexp_extract(F.col("_metadata.file_path"), pattern, 1).alias(SUBJECT), F.split("value", r"\r?\n").alias("_l"))
+    lines = files.select(SUBJECT, F.col("_l")[0].alias("_h"), F.explode(F.slice("_l", 2, 1_000_000_000)).alias("_v")).filter("_v <> ''")
     out = None
-    for row in heads.collect():
-        columns = [c.strip() for c in row.header.split(",")]
-        schema = ", ".join(f"`{c}` string" for c in columns)
-        part = (spark.read.option("header", "true").schema(schema).csv(list(row.paths))
-                .withColumn(SUBJECT, F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)))
+    for row in files.select(F.col("_l")[0].alias("header")).distinct().orderBy("header").collect():
+        schema = ", ".join(f"`{c.strip()}` string" for c in row.header.split(","))
+        part = (lines.filter(F.col("_h") == row.header)
+                .select(SUBJECT, F.from_csv("_v", F.lit(schema)).alias("_r")).select(SUBJECT, "_r.*"))
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     if out is None:
         raise ValueError(f"no file matches {glob}")
-    return out.select(SUBJECT, *[c for c in out.columns if c != SUBJECT])
+    return out
 
 
 def read_segmentation_tables(spark: SparkSession, volumes_glob: str, qc_glob: str | None = None) -> tuple[DataFrame, DataFrame | None]:

@@ -53,10 +53,15 @@ def _bytes(content: bytes) -> bytes:
 
 
 def _contents(scans: DataFrame) -> DataFrame:
-    """Scan rows with the bytes of their files."""
+    """Scan rows with the bytes of their files.
+
+    A dataset scanned with ``content=True`` has them already and is decoded where Spark read it. The files of a manifest
+    lie anywhere, so their paths are handed to the reader: meant for lists of explicit paths, not for whole archives.
+    """
+    if "content" in scans.columns:
+        return scans
     paths = [r.path for r in scans.select("path").distinct().toLocalIterator()]
-    spark = scans.sparkSession
-    files = spark.read.format("binaryFile").load(paths).select("path", "content")
+    files = scans.sparkSession.read.format("binaryFile").load(paths).select("path", "content")
     bare = F.regexp_replace("path", "^file:/+", "/")
     return (files.withColumn("_p", bare).drop("path")
             .join(scans.withColumn("_p", bare), "_p").drop("_p"))
