@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,8 +16,12 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    "spark.checkpoint.compress": "true",
 }
 
+#: Scratch folder of a local session without a named one; removed when Python ends.
+_SCRATCH: dict[str, tempfile.TemporaryDirectory] = {}
+
 
 def build_session(app: str = "voxelry", master: str | None = None, shuffle_partitions: int | None = None,
                   **conf: str) -> SparkSession:
@@ -29,20 +35,25 @@ def build_session(app: str = "voxelry", master: str | None = None, shuffle_parti
     return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder the cluster names in ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``.
 
     A scratch folder is only made for a local master: on a cluster every executor has to reach the folder.
     """
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isDefined():
-        return
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        if not sc.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="voxelry-checkpoint-")
-    sc.setCheckpointDir(shared)
+        if not _SCRATCH:
+            _SCRATCH["local"] = tempfile.TemporaryDirectory(prefix="voxelry-checkpoint-", ignore_cleanup_errors=True)
+        shared = _SCRATCH["local"].name
+    return shared
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    sc = spark.sparkContext
+    if not sc._jsc.sc().getCheckpointDir().isDefined():
+        sc.setCheckpointDir(shared_folder(spark))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -51,6 +62,30 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stage_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder, removed with its content when the session's Python process ends."""
+    path = f"{shared_folder(spark).rstrip('/')}/stages/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    atexit.register(drop_stage, spark, path)
+    return path
+
+
+def drop_stage(spark: SparkSession, path: str) -> None:
+    """Delete a staged table; does nothing once the session has stopped."""
+    if spark.sparkContext._jsc is None:
+        return
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back: computed once, columnar, and safe from lost executors."""
+    spark = df.sparkSession
+    path = stage_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def scatter(df: DataFrame, *columns: str) -> DataFrame:
     """Spread few rows that each generate many over all shuffle partitions (an unnumbered repartition of small rows
     would be merged again by the adaptive planner)."""
