@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from voxelry.functions.joins import attach, salted_join
 from voxelry.functions.offsets import directions, ellipsoid, neighbours
 from voxelry.functions.quantiles import exact_percentiles
-from voxelry.operators import components, fill, models, morphology, parcellation, smoothing, stats, voxel
+from voxelry.operators import components, fill, models, morphology, parcellation, scoring, smoothing, stats, voxel
 
 DIMS = (9, 8, 7)
 
@@ -180,20 +180,48 @@ def test_predict_tiles_match_whole(spark, mask):
         padded = np.pad(channels[..., 0], 1)
         total = sum(padded[1 + a:padded.shape[0] - 1 + a, 1 + b:padded.shape[1] - 1 + b, 1 + c:padded.shape[2] - 1 + c]
                     for a in (-1, 0, 1) for b in (-1, 0, 1) for c in (-1, 0, 1))
-        return total / 27 * (fold + 1) / 2
+        return (total / 27 + 0.01) * (fold + 1) / 2
 
     stack = voxel.stack_channels([table(spark, mask)])
     whole = models.predict_volumes(stack, box_mean, 2, DIMS)
     tiled = models.predict_volumes(stack, box_mean, 2, DIMS, (4, 4, 4), 1)
     key = lambda df: {(r.fold, r.i, r.j, r.k): round(r.v, 5) for r in df.collect()}
-    # a tile without any voxel and halo has no rows, so it may only lack zeros
-    assert key(whole) == key(tiled)
+    assert key(whole) == key(tiled) and len(key(tiled)) == 2 * np.prod(DIMS)  # also tiles without any voxel
+    nobody = models.predict_volumes(stack, box_mean, 1, DIMS, (4, 4, 4), 1, subjects=spark.createDataFrame([("z",)], "subject_id string"))
+    assert nobody.filter("subject_id = 'z'").count() == np.prod(DIMS)
     mean = models.fold_ensemble(whole, 2)
     assert mean.count() >= whole.filter("fold = 0").count()
     hooked = models.binarise_prediction(whole, 0.1, lambda f, t: models.hilo_ensemble(f, 2, t))
     assert hooked.count() >= models.hilo_ensemble(whole, 2, 0.5).count()
 
 
+def test_scores_of_a_side_without_hits(spark):
+    """All clusters of one side are filtered away, the other side's touch them, nothing is invented: both rates are 1."""
+    small, large = np.zeros(DIMS), np.zeros(DIMS)
+    small[2, 2, 2], large[2:5, 2, 2] = 1, 1
+    for truth, predicted in ((small, large), (large, small)):
+        r = scoring.cluster_scores(table(spark, truth), table(spark, predicted), DIMS, 1).first()
+        assert (r.sensitivity, r.precision, r.f1) == (1.0, 1.0, 1.0)
+    far = np.zeros(DIMS)
+    far[6:, 6, 5] = 1
+    r = scoring.cluster_scores(table(spark, small), table(spark, far + large), DIMS, 1).first()
+    assert (r.sensitivity, r.precision, r.fp) == (0.0, 0.5, 1)
+
+
+def test_status_of_every_subject(spark):
+    """The biggest cluster is not the topmost in one, nothing is large enough in another, a third has no voxel at all."""
+    a, b = np.zeros(DIMS), np.zeros(DIMS)
+    a[1:4, 1, 1], a[1:3, 5, 6] = 1, 1
+    b[1, 1, 1], b[5, 5, 5] = 1, 1
+    rows = table(spark, a, "a").unionByName(table(spark, b, "b"))
+    everyone = spark.createDataFrame([("a",), ("b",), ("c",)], "subject_id string")
+    for keep, want in (("size", "biggest cluster is not the topmost"), ("top", "ok"), ("keep_all", "ok")):
+        found = components.check_clusters(rows, DIMS, keep, 1, subjects=everyone)
+        assert {r.subject_id: r.status for r in found.status.collect()} == {
+            "a": want, "b": "no cluster above the minimum volume", "c": "empty mask"}
+        assert {r.subject_id for r in found.voxels.collect()} == ({"a"} if want == "ok" else set())
+
+
 def test_reference_properties(spark, mask):
     """Normalised maximum below the input maximum, crop has its size, thresholding lowers the mean."""
     image = np.where(mask, 50.0 + np.arange(mask.size).reshape(DIMS), 0)

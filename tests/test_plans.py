@@ -105,7 +105,10 @@ def test_two_pass_mask(spark, scans):
 
     settings = Settings(conformed_dims=DIMS, cropped_dims=(10, 10, 10), mask_threshold=0.5)
     out = preprocess.two_pass_mask(images, voxels, bright, 1, settings, opening=1, min_volume=5.0)
-    assert (dense(out.filter("subject_id = 'a'"), DIMS) == brain).all()
+    assert (dense(out.voxels.filter("subject_id = 'a'"), DIMS) == brain).all()
+    assert {(r.subject_id, r.status) for r in out.status.collect()} == {("a", "ok"), ("b", "ok")}
+    one = preprocess.two_pass_mask(images, voxels.filter("subject_id = 'a'"), bright, 1, settings, opening=1, min_volume=5.0)
+    assert {(r.subject_id, r.status) for r in one.status.collect()} == {("a", "ok"), ("b", "empty mask")}
 
 
 def test_segmentation_modes(spark):

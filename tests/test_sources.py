@@ -44,6 +44,20 @@ def dataset(tmp_path_factory):
     return root, made
 
 
+def test_frames_are_chosen_not_lost(spark, tmp_path):
+    volume = np.arange(1, 13).reshape(2, 3, 2)
+    raw = bytearray(nifti(volume, np.eye(4)))
+    struct.pack_into("<8h", raw, 40, 4, *volume.shape, 2, 1, 1, 1)
+    path = tmp_path / "series.nii"
+    path.write_bytes(bytes(raw) + np.asarray(volume + 100, dtype="<f4").tobytes(order="F"))
+    scans = spark.createDataFrame([("a", "swi", str(path), bytearray(path.read_bytes()))],
+                                  "subject_id string, acq string, path string, content binary")
+    second = {(r.i, r.j, r.k): r.v for r in volumes.read_volumes(scans, 1).collect()}
+    assert second == {ix: float(v + 100) for ix, v in np.ndenumerate(volume)}
+    with pytest.raises(Exception, match="frames"):
+        volumes.read_volumes(scans).collect()
+
+
 def test_scan_and_read(spark, dataset):
     root, made = dataset
     scans = layout.scan_dataset(spark, str(root), {"t1": "t1", "flair": "flair"})

@@ -60,7 +60,7 @@ def label_clusters(spark, d):
     return components.label_clusters(V.prob(spark, d), 0.8, DIMS, 3, V.mask(spark, d)).drop("part_id")
 
 
-@query("select_cluster", sql(f"SELECT {VOX}, CASE WHEN nc = 1 THEN 'ok' ELSE 'ok' END AS status FROM cc JOIN (SELECT subject_id, cluster_id, count(*) OVER (PARTITION BY subject_id) AS nc,"
+@query("select_cluster", sql(f"SELECT {VOX}, 'ok' AS status FROM cc JOIN (SELECT subject_id, cluster_id,"
                              " row_number() OVER (PARTITION BY subject_id ORDER BY max(k) DESC, count(*) DESC, cluster_id) AS rn FROM cc GROUP BY 1, 2 HAVING count(*) > 2) USING (subject_id, cluster_id) WHERE rn = 1",
                              **HIGH, **cc_views("high")))
 def select_cluster(spark, d):
@@ -74,6 +74,27 @@ def select_cluster_dilated(spark, d):
     return components.select_cluster(high(spark, d), DIMS, "top", 2, (2, 1, 1))
 
 
+#: Clusters of a mask with their size and top, and what the three modes say of every participant.
+CHECKED = dict(
+    ccs="SELECT subject_id, cluster_id, count(*) AS n, max(k) AS top, count(*) OVER (PARTITION BY subject_id) AS nc FROM cc GROUP BY 1, 2",
+    fit="SELECT * FROM ccs WHERE nc = 1 OR n > 4",
+    firsts="""SELECT subject_id, count(*) AS ne, arg_max(cluster_id, n * 100000 - cluster_id) AS biggest, arg_max(cluster_id, (top * 100000 + n) * 100000 - cluster_id) AS topmost
+ FROM fit GROUP BY 1""",
+    modes="SELECT * FROM (VALUES ('size'), ('top'), ('keep_all')) t(keep)",
+    told="""SELECT keep, s.subject_id, coalesce(nc, 0) AS n_clusters, coalesce(ne, 0) AS n_eligible, CASE WHEN nc IS NULL THEN 'empty mask'
+ WHEN ne IS NULL THEN 'no cluster above the minimum volume' WHEN keep = 'size' AND biggest <> topmost THEN 'biggest cluster is not the topmost' ELSE 'ok' END AS status
+ FROM modes, subjects s LEFT JOIN (SELECT DISTINCT subject_id, nc FROM ccs) c ON c.subject_id = s.subject_id LEFT JOIN firsts f ON f.subject_id = s.subject_id""")
+
+
+@query("select_cluster_status", sql("SELECT * FROM told", **HIGH, part="SELECT * FROM high WHERE subject_id % 7 <> 3", **cc_views("part"), **CHECKED))
+def select_cluster_status(spark, d):
+    """Every participant has a row in every mode, also where the check fails or the mask is empty."""
+    thick = high(spark, d).filter("subject_id % 7 <> 3")
+    told = [components.check_clusters(thick, DIMS, keep, 4, subjects=V.subjects(spark, d)).status.withColumn("keep", F.lit(keep))
+            for keep in ("size", "top", "keep_all")]
+    return told[0].unionByName(told[1]).unionByName(told[2])
+
+
 BOX = "abs(g.i-s.i) <= 2 AND abs(g.j-s.j) <= 1 AND abs(g.k-s.k) <= 1"
 RADII = (2, 1, 1)
 HOLES = {"holes": f"SELECT {VOX} FROM grid ANTI JOIN thick t USING ({VOX})"}

@@ -8,6 +8,7 @@ contracted by alternating star steps, each a min-aggregate and a salted join.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -199,13 +200,28 @@ def label_clusters(prob: DataFrame, threshold: float, dims: Dims, min_size: int
     return attach_to_clusters(labelled, kept, by)
 
 
+class Selection(NamedTuple):
+    """``voxels`` of the kept clusters (subjects whose status is not ok have none) and one row of ``status`` per subject."""
+
+    voxels: DataFrame
+    status: DataFrame
+
+
 def select_cluster(mask: DataFrame, dims: Dims, keep: str = "size", min_voxels: float = 0.0,
                    dilate: tuple[int, int, int] | None = None, brick: int = BRICK) -> DataFrame:
-    """Voxels of the main cluster of a mask and a per-subject ``status``.
+    """Voxels of ``check_clusters``, with their ``status``."""
+    return check_clusters(mask, dims, keep, min_voxels, dilate, brick).voxels.withColumn("status", F.lit("ok"))
+
+
+def check_clusters(mask: DataFrame, dims: Dims, keep: str = "size", min_voxels: float = 0.0, dilate: tuple[int, int, int] | None = None,
+                   brick: int = BRICK, subjects: DataFrame | None = None) -> Selection:
+    """The main cluster of every mask, and for every subject whether its mask passed.
 
     ``keep`` is ``size`` (biggest, which has to be the topmost too), ``top`` (reaching highest, then biggest) or
     ``keep_all``. Clusters up to ``min_voxels`` are dropped unless the mask has one cluster only. The kept clusters are
-    dilated by the box radii ``dilate`` and cut with the mask again, so thin attached structures stay.
+    dilated by the box radii ``dilate`` and cut with the mask again, so thin attached structures stay. A subject that fails
+    loses its voxels but never its row of ``status`` (subject_id, n_clusters, n_eligible, status); those of ``subjects`` without any
+    voxel are told too.
     """
     from .morphology import dilate_box
 
@@ -227,12 +243,18 @@ def select_cluster(mask: DataFrame, dims: Dims, keep: str = "size", min_voxels:
     verdict = verdict.withColumn("status", status)
     chosen = F.col("_ok") if keep == "keep_all" else F.col("cluster_id") == (
         F.col("topmost") if keep == "top" else F.col("biggest"))
+    verdict = cut_lineage(verdict)
     judged = salted_join(eligible, verdict.drop("n_clusters"), salt_by=["cluster_id"], buckets=CLUSTER_SALT)
     kept = judged.filter(chosen & (F.col("status") == "ok"))
-    core = attach_to_clusters(labelled, kept.select(SUBJECT, "cluster_id", "n_clusters", "status"))
+    core = attach_to_clusters(labelled, kept.select(SUBJECT, "cluster_id", "n_clusters"))
+    told = verdict.select(SUBJECT, "n_clusters", "n_eligible", "status")
+    if subjects is not None:
+        none = F.lit(0).cast("long")
+        told = subjects.select(SUBJECT).join(told, SUBJECT, "left").select(
+            SUBJECT, F.coalesce("n_clusters", none).alias("n_clusters"), F.coalesce("n_eligible", none).alias("n_eligible"),
+            F.coalesce("status", F.lit("empty mask")).alias("status"))
     if dilate is None:
-        return core.select(SUBJECT, *AXES, "status")
+        return Selection(core.select(SUBJECT, *AXES), told)
     grown = dilate_box(core.filter("n_clusters > 1"), dilate, dims)
     single = core.filter("n_clusters = 1").select(SUBJECT, *AXES)
-    return (labelled.select(SUBJECT, *AXES).join(grown.unionByName(single), [SUBJECT, *AXES], "left_semi")
-            .withColumn("status", F.lit("ok")))
+    return Selection(labelled.select(SUBJECT, *AXES).join(grown.unionByName(single), [SUBJECT, *AXES], "left_semi"), told)

@@ -17,11 +17,12 @@ NEAR_ZERO = 0.001
 
 
 def predict_volumes(channels: DataFrame, model: Model, n_folds: int, dims: Dims, tile: Dims | None = None,
-                    halo: int = 0, near_zero: float = NEAR_ZERO) -> DataFrame:
+                    halo: int = 0, near_zero: float = NEAR_ZERO, subjects: DataFrame | None = None) -> DataFrame:
     """Apply a model per fold; rows (subject, fold, voxel, v), values below ``near_zero`` dropped.
 
     ``channels`` has columns c1, c2, …. Each task sees one tile of the grid plus ``halo`` voxels around it; the default
-    tile is the grid, whose size is fixed by the conformed dims and not by the data.
+    tile is the grid, whose size is fixed by the conformed dims and not by the data. Every tile of every subject (those of
+    ``subjects``, by default those with a voxel) is given to the model, also one without voxels. The voxels of a tile are shuffled once for all folds.
     """
     names = [c for c in channels.columns if c not in VOXEL]
     tile = tile or dims
@@ -29,27 +30,34 @@ def predict_volumes(channels: DataFrame, model: Model, n_folds: int, dims: Dims,
     for a, size, n in zip(AXES, tile, dims):
         first, last = F.floor((F.col(a) - halo) / size), F.floor((F.col(a) + halo) / size)
         rows = rows.withColumn(f"_t{a}", F.explode(F.sequence(F.greatest(first, F.lit(0)), F.least(last, F.lit((n - 1) // size)))))
-    rows = rows.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(n_folds - 1))))
+    everyone = (channels if subjects is None else subjects).select(SUBJECT).distinct()
+    for a, size, n in zip(AXES, tile, dims):
+        everyone = everyone.withColumn(f"_t{a}", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit((n - 1) // size).cast("bigint"))))
+    rows = rows.unionByName(everyone, allowMissingColumns=True)
     subject = channels.schema[SUBJECT]
     schema = T.StructType([subject, T.StructField("fold", T.IntegerType()),
                            *[T.StructField(a, T.IntegerType()) for a in AXES], T.StructField("v", T.DoubleType())])
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        who, fold, *place = key
+        who, *place = key
+        pdf = pdf[pdf[AXES[0]].notna()]
         start = [max(0, int(p) * s - halo) for p, s in zip(place, tile)]
         stop = [min(n, (int(p) + 1) * s + halo) for p, s, n in zip(place, tile, dims)]
         dense = np.zeros([b - a for a, b in zip(start, stop)] + [len(names)], dtype=np.float32)
-        at = tuple(pdf[a].to_numpy() - s for a, s in zip(AXES, start))
+        at = tuple(pdf[a].to_numpy(dtype=np.int64) - s for a, s in zip(AXES, start))
         for c, name in enumerate(names):
             dense[(*at, c)] = pdf[name].to_numpy()
-        out = np.asarray(model(dense, int(fold)), dtype=float)
-        spots = np.argwhere(out >= near_zero) + np.array(start)
-        own = np.all([(spots[:, x] // s == int(p)) for x, (p, s) in enumerate(zip(place, tile))], axis=0)
-        spots = spots[own]
-        values = out[tuple((spots - np.array(start)).T)]
-        return pd.DataFrame({SUBJECT: who, "fold": int(fold), **{a: spots[:, x] for x, a in enumerate(AXES)}, "v": values})
-
-    return rows.groupBy(SUBJECT, "fold", *[f"_t{a}" for a in AXES]).applyInPandas(run, schema)
+        parts = []
+        for fold in range(n_folds):
+            out = np.asarray(model(dense, fold), dtype=float)
+            spots = np.argwhere(out >= near_zero) + np.array(start)
+            own = np.all([(spots[:, x] // s == int(p)) for x, (p, s) in enumerate(zip(place, tile))], axis=0)
+            spots = spots[own]
+            values = out[tuple((spots - np.array(start)).T)]
+            parts.append(pd.DataFrame({SUBJECT: who, "fold": fold, **{a: spots[:, x] for x, a in enumerate(AXES)}, "v": values}))
+        return pd.concat(parts)
+
+    return rows.groupBy(SUBJECT, *[f"_t{a}" for a in AXES]).applyInPandas(run, schema)
 
 
 def fold_ensemble(folds: DataFrame, n_folds: int, mask: DataFrame | None = None) -> DataFrame:

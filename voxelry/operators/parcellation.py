@@ -190,7 +190,7 @@ def corpus_callosum(labels: DataFrame, dims: Dims, ventricle_reach: int = 6, cin
     split = (nearest_label_fill(halves.select(*VOXEL, "label"), grown, dims)
              .select(SUBJECT, F.when(F.col("label") == 1, "L").otherwise("R").alias("side"), *AXES))
     # other subjects
-    rest = labels.join(has_own, SUBJECT, "left_anti")
+    rest = salted_join(labels, has_own, how="left_anti")
     lateral = label_in(rest, R.LATERAL_VENTRICLES)
     third = dilate_l1(label_in(rest, R.THIRD_VENTRICLE), ventricle_reach, dims)
     fornix = close_l1(union_masks(lateral, third), ventricle_reach, dims)

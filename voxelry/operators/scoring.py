@@ -47,12 +47,19 @@ def _with_subjects(counts: DataFrame, subjects: DataFrame, keys: list[str]) -> D
 
 def overlaps(truth: DataFrame, predicted: DataFrame, dims: Dims, keys: Sequence[str] = KEYS) -> DataFrame:
     """One row per pair of overlapping true and predicted clusters (either may be missing): ids, sizes, shared voxels."""
-    keys, sides = list(keys), []
-    for name, mask in (("t", truth), ("p", predicted)):
-        marked = cut_lineage(label_components(mask.select(*keys, *AXES), dims, by=keys))
-        sized = attach_to_clusters(marked, census(marked, keys), keys)
-        sides.append(sized.select(*keys, *AXES, F.col("cluster_id").alias(f"{name}_id"), F.col("cluster_size").alias(f"{name}_size")))
-    return (sides[0].join(sides[1], [*keys, *AXES], "full_outer")
+    return pair_up(sized_clusters(truth, dims, keys, "t"), sized_clusters(predicted, dims, keys, "p"), keys)
+
+
+def sized_clusters(mask: DataFrame, dims: Dims, keys: Sequence[str], name: str) -> DataFrame:
+    """Voxels of a mask with ``<name>_id`` and ``<name>_size`` of their cluster."""
+    keys = list(keys)
+    marked = cut_lineage(label_components(mask.select(*keys, *AXES), dims, by=keys))
+    sized = attach_to_clusters(marked, census(marked, keys), keys)
+    return sized.select(*keys, *AXES, F.col("cluster_id").alias(f"{name}_id"), F.col("cluster_size").alias(f"{name}_size"))
+
+
+def pair_up(truth: DataFrame, predicted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return (truth.join(predicted, [*keys, *AXES], "full_outer")
             .groupBy(*keys, "t_id", "t_size", "p_id", "p_size").agg(F.count("*").alias("n")))
 
 
@@ -81,9 +88,11 @@ def score_overlaps(pairs: DataFrame, size_filters: Sequence[int], keys: Sequence
                .groupBy(*keys).agg(F.count_if(F.expr("ok AND NOT any_t")).alias("fp")))
     cluster = by_truth.join(by_pred, keys, "full_outer").select(*keys, *[F.coalesce(c, zero).alias(c) for c in ("_true", "tp", "tp2", "fp")])
     cluster = cluster.withColumn("fn", F.col("_true") - F.col("tp"))
-    nothing = F.expr("tp = 0 AND tp2 = 0 AND fn = 0 AND fp = 0")
-    sens, prec = _ratio(F.col("tp"), F.col("tp") + F.col("fn")), _ratio(F.col("tp2"), F.col("tp2") + F.col("fp"))
-    cluster = cluster.withColumns({"sensitivity": F.when(nothing, 1.0).otherwise(sens), "precision": F.when(nothing, 1.0).otherwise(prec)})
+    # a side without a hit is perfect if nothing was missed and nothing was invented, whatever the other side found
+    flawless = F.when(F.expr("fn = 0 AND fp = 0"), 1.0).otherwise(0.0)
+    cluster = cluster.withColumns({
+        "sensitivity": F.when(F.col("tp") > 0, F.col("tp") / (F.col("tp") + F.col("fn"))).otherwise(flawless),
+        "precision": F.when(F.col("tp2") > 0, F.col("tp2") / (F.col("tp2") + F.col("fp"))).otherwise(flawless)})
     both = F.col("sensitivity") + F.col("precision")
     cluster = cluster.withColumns({"f1": _ratio(2 * F.col("sensitivity") * F.col("precision"), both), "output_type": F.lit("Cluster")})
     out = [*keys, "output_type", "sensitivity", "precision", "f1", "tp", "fp", "fn"]
@@ -96,13 +105,13 @@ def cluster_scores(truth: DataFrame, predicted: DataFrame, dims: Dims, size_filt
 
 
 def score_sweep(truth: DataFrame, prob: DataFrame, dims: Dims, thresholds: Sequence[float], size_filters: Sequence[int]) -> DataFrame:
-    """Scores for every threshold, size filter and subject. Components are found once per threshold."""
+    """Scores for every threshold, size filter and subject. Components of the truth are found once, those of the prediction once per threshold."""
     levels = F.array(*[F.lit(float(t)) for t in thresholds])
     keys = [SUBJECT, "threshold"]
-    t = truth.select(SUBJECT, *AXES, F.explode(levels).alias("threshold"))
+    t = sized_clusters(truth, dims, KEYS, "t").withColumn("threshold", F.explode(levels))
     passed = F.filter(levels, lambda x: F.col("v") > x)
-    p = prob.select(SUBJECT, *AXES, F.explode(passed).alias("threshold"))
-    return score_overlaps(overlaps(t, p, dims, keys), size_filters, keys)
+    p = sized_clusters(prob.select(SUBJECT, *AXES, F.explode(passed).alias("threshold")), dims, keys, "p")
+    return score_overlaps(pair_up(t, p, keys), size_filters, keys)
 
 
 def hd95(truth: DataFrame, predicted: DataFrame, dims: Dims, size_filter: int = 0,

@@ -16,13 +16,14 @@ from .settings import Settings
 
 @dataclass
 class Prepared:
-    """Tables of one preprocessing stage."""
+    """Tables of one preprocessing stage; ``status`` has a row for every participant, also for one whose mask failed."""
 
     images: DataFrame
     image: DataFrame
     mask: DataFrame
     box: DataFrame
     qc: DataFrame
+    status: DataFrame | None = None
 
 
 def rescaled_affine(affine: Column, dims: list[Column], old: list[Column], new: list[Column], out_dims: Dims) -> Column:
@@ -74,8 +75,9 @@ def conform(images: DataFrame, voxels: DataFrame, settings: Settings) -> tuple[D
 
 
 def mask_on_grid(mask: DataFrame, mask_images: DataFrame, images: DataFrame, settings: Settings, dims: Dims,
-                 world: DataFrame | None = None) -> DataFrame:
-    """A mask map on the grid of other scans: nearest voxel, strictly above the threshold, small clusters dropped.
+                 world: DataFrame | None = None) -> components.Selection:
+    """A mask map on the grid of other scans: nearest voxel, strictly above the threshold, small clusters dropped, what lies
+    within ``settings.mask_growth`` of a kept one brought back.
 
     ``world`` (subject_id, transform) maps the space of the target scans to that of the mask.
     """
@@ -86,11 +88,12 @@ def mask_on_grid(mask: DataFrame, mask_images: DataFrame, images: DataFrame, set
     moves = pair.select(SUBJECT, geometry.grid_transform(F.col("_s"), F.col("_t"), through).alias("affine"))
     near = geometry.resample_nearest(mask, moves, dims, common_dims(mask_images))
     binary = voxel.threshold(near, settings.mask_threshold, "+", True).select(*VOXEL)
-    return components.select_cluster(binary, dims, "keep_all", settings.min_mask_volume / math.prod(settings.voxel_size)).select(*VOXEL)
+    return components.check_clusters(binary, dims, "keep_all", settings.min_mask_volume / math.prod(settings.voxel_size),
+                                     morphology.radii_in_voxels(settings.mask_growth, settings.voxel_size), subjects=images)
 
 
 def crop_and_normalise(images: DataFrame, image: DataFrame, mask: DataFrame, settings: Settings, name: str = "main",
-                       transforms: dict[str, DataFrame] | None = None) -> Prepared:
+                       transforms: dict[str, DataFrame] | None = None, status: DataFrame | None = None) -> Prepared:
     """Crop around the mask, normalise inside it, measure the quality."""
     dims = settings.cropped_dims
     box = cut_lineage(voxel.crop_box(images, dims, mask, margin=settings.crop_margin))
@@ -98,15 +101,15 @@ def crop_and_normalise(images: DataFrame, image: DataFrame, mask: DataFrame, set
     normal = cut_lineage(voxel.normalise(cropped, small, settings.percentile))
     header = (images.drop("affine", "ni", "nj", "nk").join(box.select(SUBJECT, "affine"), SUBJECT)
               .withColumns({c: F.lit(n) for c, n in zip(("ni", "nj", "nk"), dims)}))
-    return Prepared(header, normal, small, box, cohort.qc_row(small, {name: normal}, dims, transforms))
+    return Prepared(header, normal, small, box, cohort.qc_row(small, {name: normal}, dims, transforms), status)
 
 
 def preprocess(images: DataFrame, voxels: DataFrame, mask: DataFrame, mask_images: DataFrame, settings: Settings) -> Prepared:
     """The main scan of every participant with a given brain mask map."""
     header, conformed = conform(images, voxels, settings)
     header, conformed = cut_lineage(header), cut_lineage(conformed)
-    brain = cut_lineage(mask_on_grid(mask, mask_images, header, settings, settings.conformed_dims))
-    return crop_and_normalise(header, conformed, brain, settings)
+    brain, status = mask_on_grid(mask, mask_images, header, settings, settings.conformed_dims)
+    return crop_and_normalise(header, conformed, cut_lineage(brain), settings, status=status)
 
 
 def preprocess_secondary(images: DataFrame, voxels: DataFrame, main: Prepared, settings: Settings,
@@ -133,14 +136,15 @@ def preprocess_swi(images: DataFrame, voxels: DataFrame, mask: DataFrame, mask_i
     header, conformed = conform(images, voxels, settings)
     header, conformed = cut_lineage(header), cut_lineage(conformed)
     back = transforms.select(SUBJECT, matrix.inverse_affine(F.col("transform")).alias("transform"))
-    brain = cut_lineage(mask_on_grid(mask, mask_images, header, settings, settings.conformed_dims, back))
-    return crop_and_normalise(header, conformed, brain, settings, "swi")
+    brain, status = mask_on_grid(mask, mask_images, header, settings, settings.conformed_dims, back)
+    return crop_and_normalise(header, conformed, cut_lineage(brain), settings, "swi", status=status)
 
 
 def two_pass_mask(images: DataFrame, image: DataFrame, model: models.Model, n_folds: int, settings: Settings,
-                  opening: int = 3, min_volume: float = 600_000.0) -> DataFrame:
+                  opening: int = 3, min_volume: float = 600_000.0) -> components.Selection:
     """Brain mask by a model in two passes: a rough mask of the whole conformed image (opened, biggest cluster) gives the
-    crop and the normalisation of the second pass, whose result is put back on the conformed grid."""
+    crop and the normalisation of the second pass, whose result is put back on the conformed grid. The status tells for every participant
+    of ``images`` whether the rough mask passed; one that failed has no mask."""
     dims, crop = settings.conformed_dims, settings.cropped_dims
     volume = math.prod(settings.voxel_size)
 
@@ -150,12 +154,13 @@ def two_pass_mask(images: DataFrame, image: DataFrame, model: models.Model, n_fo
 
     radii = morphology.opening_radii(opening, settings.voxel_size, dims)
     rough = morphology.open_box(passed(image, dims), radii, dims)
-    grown = morphology.radii_in_voxels(5.0, settings.voxel_size)
-    rough = cut_lineage(components.select_cluster(rough, dims, "size", min_volume / volume, grown).select(*VOXEL))
+    grown = morphology.radii_in_voxels(settings.mask_growth, settings.voxel_size)
+    checked = components.check_clusters(rough, dims, "size", min_volume / volume, grown, subjects=images)
+    rough = cut_lineage(checked.voxels.select(*VOXEL))
     box = cut_lineage(voxel.crop_box(images, crop, rough, margin=settings.crop_margin))
     small = voxel.crop_voxels(rough, box)
     normal = voxel.normalise(voxel.crop_voxels(image.select(*VOXEL, "v"), box), small, settings.percentile)
-    return voxel.uncrop_voxels(passed(normal, crop), box, images)
+    return components.Selection(voxel.uncrop_voxels(passed(normal, crop), box, images), checked.status)
 
 
 def brain_segmentation(mode: str, dims: Dims, settings: Settings, mask: DataFrame | None = None, image: DataFrame | None = None,

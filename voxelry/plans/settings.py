@@ -20,6 +20,8 @@ class Settings:
     tolerance: float = 0.0
     outside_ratio: float = 0.25
     min_mask_volume: float = 100.0
+    #: what lies so many mm around a kept part of a mask stays with it
+    mask_growth: float = 5.0
     island_size: int = 100
     crop_margin: int = 5
 

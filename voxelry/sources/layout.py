@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.joins import salted_join
 from ..schema import SUBJECT
 
 LAYOUTS = {
@@ -69,4 +70,4 @@ def pick_file(files: DataFrame, number: int, keys: Sequence[str] = (SUBJECT, "ac
 def reuse_stage(spark: SparkSession, stage_dir: str, subjects: DataFrame | None = None) -> DataFrame:
     """Stored results of a stage, partitioned by subject, for the wanted subjects only."""
     stored = spark.read.parquet(stage_dir)
-    return stored if subjects is None else stored.join(subjects.select(SUBJECT), SUBJECT, "left_semi")
+    return stored if subjects is None else salted_join(stored, subjects.select(SUBJECT).distinct(), how="left_semi")

@@ -58,7 +58,7 @@ def _words(spark: SparkSession, path: str) -> DataFrame:
 
 def _lut(spark: SparkSession, path: str) -> DataFrame:
     """Number, three colours, and the rest of the line as the name."""
-    name = F.array_join(F.slice("_w", 5, 1_000), " ")
+    name = F.array_join(F.slice("_w", F.lit(5), F.size("_w")), " ")
     return _words(spark, path).select("pos", F.col("_w")[0].cast("int").alias("label"), name.alias("region"))
 
 

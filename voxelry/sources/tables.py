@@ -51,7 +51,7 @@ def read_subject_csvs(spark: SparkSession, glob: str, pattern: str = r"/([^/]+)/
     """
     files = spark.read.text(glob, wholetext=True).select(
         F.regexp_extract(F.col("_metadata.file_path"), pattern, 1).alias(SUBJECT), F.split("value", r"\r?\n").alias("_l"))
-    lines = files.select(SUBJECT, F.col("_l")[0].alias("_h"), F.explode(F.slice("_l", 2, 1_000_000_000)).alias("_v")).filter("_v <> ''")
+    lines = files.select(SUBJECT, F.col("_l")[0].alias("_h"), F.explode(F.slice("_l", F.lit(2), F.size("_l"))).alias("_v")).filter("_v <> ''")
     out = None
     for row in files.select(F.col("_l")[0].alias("header")).distinct().orderBy("header").collect():
         schema = ", ".join(f"`{c.strip()}` string" for c in row.header.split(","))

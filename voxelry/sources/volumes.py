@@ -31,7 +31,8 @@ def parse_header(raw: bytes) -> dict:
     else:
         affine = np.diag([*pixdim[1:4], 1.0])
     shape = tuple(max(1, n) for n in dim[1:4])
-    return {"shape": shape, "voxel": pixdim[1:4], "affine": affine, "dtype": np.dtype(order + DTYPES[datatype]),
+    frames = int(np.prod([max(1, n) for n in dim[4:1 + max(dim[0], 3)]])) if dim[0] > 3 else 1
+    return {"shape": shape, "frames": frames, "voxel": pixdim[1:4], "affine": affine, "dtype": np.dtype(order + DTYPES[datatype]),
             "offset": int(offset), "slope": slope if np.isfinite(slope) and slope != 0 else 1.0, "inter": inter if np.isfinite(inter) else 0.0}
 
 
@@ -84,8 +85,11 @@ def read_headers(scans: DataFrame) -> DataFrame:
     return _contents(scans).select(SUBJECT, "acq", "path", "content").mapInPandas(run, schema)
 
 
-def read_volumes(scans: DataFrame) -> DataFrame:
-    """Non-zero voxels of each scan (first frame of a series). One file is decoded per step and given on slab by slab."""
+def read_volumes(scans: DataFrame, frame: int | None = None) -> DataFrame:
+    """Non-zero voxels of each scan. One file is decoded per step and given on slab by slab.
+
+    A file with several frames is an error unless ``frame`` names the one to read.
+    """
     schema = T.StructType.fromDDL("subject_id string, acq string, i int, j int, k int, v double")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -94,8 +98,11 @@ def read_volumes(scans: DataFrame) -> DataFrame:
                 raw = _bytes(row.content)
                 head = parse_header(raw)
                 ni, nj, nk = head["shape"]
+                if frame is None and head["frames"] > 1 or frame is not None and frame >= head["frames"]:
+                    raise ValueError(f"{row.subject_id} {row.acq} has {head['frames']} frames, asked for {'one file of one' if frame is None else frame}")
                 # files store the first axis fastest
-                volume = np.frombuffer(raw, head["dtype"], ni * nj * nk, head["offset"]).reshape((nk, nj, ni))
+                start = head["offset"] + (frame or 0) * ni * nj * nk * head["dtype"].itemsize
+                volume = np.frombuffer(raw, head["dtype"], ni * nj * nk, start).reshape((nk, nj, ni))
                 for k in range(nk):
                     plane = volume[k].astype(float) * head["slope"] + head["inter"]
                     j, i = np.nonzero(plane)

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.cohort import metric_columns, qc_bounds
+from ..operators.cohort import MIN_COHORT, metric_columns, qc_bounds
 from ..schema import SUBJECT
 from ..session import cut_lineage
 
@@ -44,7 +44,10 @@ def qc_stream(arrivals: DataFrame, population: DataFrame, store: str, checkpoint
     """
     spark = arrivals.sparkSession
     metrics = [m for m in metric_columns(arrivals) if m not in order]
-    bounds = cut_lineage(qc_bounds(population.select(SUBJECT, *[m for m in metrics if m in population.columns])))
+    known = population.select(SUBJECT, *[m for m in metrics if m in population.columns])
+    if known.count() < MIN_COHORT:  # too few to judge by, as in a batch; peaks keep their fixed range
+        known = known.limit(0)
+    bounds = cut_lineage(qc_bounds(known))
 
     def run(batch: DataFrame, number: int) -> None:
         fresh = first_arrivals(batch, order)
