@@ -33,7 +33,7 @@ _CLOSES_P = BLOCK - {"html", "body", "summary", "caption", "tbody", "td", "th",
 #: Open elements of the same kind that a new one ends, and where the search for them stops.
 _ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
          "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']+|\"[^\"]*\"|'[^']*')*+|[^>]*)(?:>|\Z)", re.S)
 _NAMES = re.compile(r"""\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 _PARTS = re.compile(r"[A-Za-z][a-z]*|\d+")
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in RAW}
@@ -190,10 +190,10 @@ def _score(order: list[Node]) -> None:
             node.link_size = node.text_size
         if node.tag in _PARAGRAPHS and own >= 1:
             points = min(own / 25, 1) * (1 + commas + min(own / 100, 3))
-            level, up = 1, node.parent
-            while up is not None and up.tag != "#root":
-                up.points += points / level
-                level *= 2
+            up = node.parent
+            while up is not None and up.tag != "#root" and points > 1e-12:  # below that a sum does not change
+                up.points += points
+                points /= 2
                 up = up.parent
 
 
