@@ -89,7 +89,7 @@ def region_metrics(spark, d):
     return rounded(stats)
 
 
-WIDE_REGIONS = ["Whole brain", "Left Deep WM", "Right Deep WM", "Brainstem", "Left Hippoc."]
+WIDE_REGIONS = ["Whole brain", *[name for _, name, _ in R.SCHEMES["pvs"]]]
 WIDE_SQL = ", ".join(f"round(any_value(CASE WHEN region = '{r}' THEN {s} END), 6)::DOUBLE AS \"{r} - {s}\"" for r in WIDE_REGIONS for s in cohort.STATISTICS)
 
 

@@ -229,11 +229,13 @@ WALL = dict(
  LEFT JOIN cols c ON c.subject_id = e.subject_id AND c.side = e.side AND c.j = y.j JOIN range({NK}) z(k) ON z.k BETWEEN coalesce(ka, 0) AND coalesce(kb, 0)""",
     carried="""SELECT s.*, last_value(a IGNORE NULLS) OVER w AS wa, last_value(b IGNORE NULLS) OVER w AS wb FROM (SELECT c.*, l.a, l.b FROM cells c LEFT JOIN lines l
  ON l.subject_id = c.subject_id AND l.side = c.side AND l.j = c.j AND l.k = c.k) s WINDOW w AS (PARTITION BY subject_id, side ORDER BY j, k)""",
-    walled="""SELECT DISTINCT g.subject_id, g.i, g.j, g.k FROM grid g JOIN carried w ON g.subject_id = w.subject_id
- AND (g.j = w.j OR (w.j = ja AND g.j < w.j) OR (w.j = jb AND ja <> jb AND g.j > w.j)) AND (g.k = w.k OR (w.k = ka AND g.k < w.k) OR (w.k = kb AND g.k > w.k))
- AND CASE side WHEN 'L' THEN g.i < wa ELSE g.i > wb END""")
+    spread=f"""SELECT subject_id, side, wa, wb, unnest(range(CASE WHEN j = ja THEN 0 ELSE j END, CASE WHEN j = jb AND ja <> jb THEN {NJ} ELSE j + 1 END)) AS y,
+ CASE WHEN k = ka THEN 0 ELSE k END AS z0, CASE WHEN k = kb THEN {NK} ELSE k + 1 END AS z1 FROM carried""",
+    edges="""SELECT subject_id, y AS j, z AS k, max(CASE side WHEN 'L' THEN wa END) AS lo, min(CASE side WHEN 'R' THEN wb END) AS hi
+ FROM (SELECT *, unnest(range(z0, z1)) AS z FROM spread) GROUP BY ALL""")
 
 
-@query("basal_ganglia_box", sql(f"SELECT {VOX} FROM (SELECT g.* FROM grid g JOIN bg USING (subject_id) WHERE g.j BETWEEN j0 AND j1 AND g.k BETWEEN k0 AND k1) ANTI JOIN walled USING ({VOX})", **WALL))
+@query("basal_ganglia_box", sql("""SELECT g.subject_id, g.i, g.j, g.k FROM grid g JOIN bg USING (subject_id) LEFT JOIN edges e ON e.subject_id = g.subject_id AND e.j = g.j AND e.k = g.k
+ WHERE g.j BETWEEN j0 AND j1 AND g.k BETWEEN k0 AND k1 AND (lo IS NULL OR g.i >= lo) AND (hi IS NULL OR g.i <= hi)""", **WALL))
 def basal_ganglia_box(spark, d):
     return P.basal_ganglia_box(V.parc_table(spark, d), DIMS)

@@ -10,6 +10,7 @@ from ..functions.joins import salted_join
 from ..functions.quantiles import exact_percentiles
 from ..functions.regions import BIOMARKER_SCHEME, PRIORITY_REGIONS, WHOLE_BRAIN, region_dictionary
 from ..schema import SUBJECT, VOXEL, Dims
+from ..session import cut_lineage
 from .components import CLUSTER_SALT, label_clusters, label_components
 from .morphology import euclidean_distance
 from .parcellation import parcellate
@@ -94,7 +95,8 @@ def wmh_ventricle_distance(prob: DataFrame, ventricles: DataFrame, dims: Dims, t
     Voxels at the threshold belong to a cluster. With ``subjects``, one empty row stands for a subject without clusters.
     """
     marked = label_components(prob.filter(F.col("v") >= threshold).select(*VOXEL), dims)
-    far = euclidean_distance(ventricles, dims, spacing)
+    marked = cut_lineage(marked)
+    far = euclidean_distance(ventricles, dims, spacing, where=marked)
     d = F.col("d")
     found = (marked.join(far, list(VOXEL), "left").groupBy(SUBJECT, "cluster_id")
              .agg(F.count("*").alias("n_voxels"), F.max(d).alias("max_distance"), F.min(d).alias("min_distance")))

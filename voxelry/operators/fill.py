@@ -8,21 +8,21 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.offsets import Offset, directions, offset_column
 from ..schema import AXES, SUBJECT, Dims
-from ..session import scatter
+from ..session import cut_lineage, scatter
 from .lines import chessboard_kernel, sweep
 
 
 def nearest_label_fill(labels: DataFrame, mask: DataFrame, dims: Dims, keys: Sequence[str] = (SUBJECT,)) -> DataFrame:
     """Every mask voxel with the label of its nearest labelled voxel (chessboard metric, smallest label on ties).
 
-    The distance to each label is an exact separable transform; the number of labels is that of the anatomical scheme,
-    not of the data.
+    The distance to each label is an exact separable transform that only makes cells on the way to a mask voxel; the number of
+    labels is that of the anatomical scheme, not of the data.
     """
     voxel = [*keys, *AXES]
     seeds = labels.select(*voxel, "label").withColumn("d", F.lit(0.0))
-    reach = sweep(seeds, dims, [chessboard_kernel] * 3, float("inf"), "d", [*keys, "label"])
-    wanted = reach.join(mask.select(*voxel).distinct(), voxel, "left_semi")
-    return wanted.groupBy(*voxel).agg(F.min(F.struct("d", "label")).getField("label").alias("label"))
+    wanted = cut_lineage(mask.select(*voxel).distinct())
+    reach = sweep(seeds, dims, [chessboard_kernel] * 3, float("inf"), "d", [*keys, "label"], where=wanted, where_keys=keys)
+    return reach.groupBy(*voxel).agg(F.min(F.struct("d", "label")).getField("label").alias("label"))
 
 
 AXIS_DIRECTIONS: list[Offset] = [(1, 0, 0), (-1, 0, 0), (0, 1, 0), (0, -1, 0), (0, 0, 1), (0, 0, -1)]

@@ -13,23 +13,29 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.joins import attach
 from ..schema import AXES, SUBJECT, Dims, other_axes
 
 Kernel = Callable[[np.ndarray], np.ndarray]
 
 
 def along(df: DataFrame, axis: str, dims: Dims, kernel: Kernel, fill: float, value: str = "v",
-          keys: Sequence[str] = (SUBJECT,), limit: float | None = None) -> DataFrame:
+          keys: Sequence[str] = (SUBJECT,), limit: float | None = None, wanted: DataFrame | None = None) -> DataFrame:
     """Apply ``kernel`` to the dense ``(lines, length)`` matrix of each batch of lines.
 
     Absent voxels are ``fill``; result cells that are not finite, equal ``fill``, or exceed ``limit`` are dropped.
-    Lines without any row stay absent.
+    Lines without any row stay absent. ``wanted`` names the only cells to return: some columns of a line and ``_w``, the list of
+    positions along it; lines it does not name are left out.
     """
     length = dims[AXES.index(axis)]
     line = [*keys, *other_axes(axis)]
     packed = (df.groupBy(*line).agg(F.collect_list(F.struct(F.col(axis).alias("x"), F.col(value).cast("double").alias("y"))).alias("_c"))
               .select(*line, F.col("_c.x").alias("_x"), F.col("_c.y").alias("_y")))
-    width = len(line)
+    width, result, chosen = len(line), packed.schema, wanted is not None
+    if wanted is not None:
+        on = [c for c in wanted.columns if c != "_w"]
+        along_subject = set(on).isdisjoint(AXES)  # then a hot subject is spread by its lines
+        packed = (attach(packed, wanted, on, salt_by=other_axes(axis)) if along_subject else packed.join(wanted, on)).select(*line, "_x", "_y", "_w")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -42,23 +48,36 @@ def along(df: DataFrame, axis: str, dims: Dims, kernel: Kernel, fill: float, val
             keep = np.isfinite(out) & (out != fill)
             if limit is not None:
                 keep &= out <= limit
+            if chosen:
+                ask = batch.column(width + 2)
+                asked = np.zeros_like(keep)
+                asked[np.repeat(np.arange(n), np.diff(ask.offsets.to_numpy())), ask.flatten().to_numpy()] = True
+                keep &= asked
             ends = np.concatenate([[0], np.cumsum(keep.sum(axis=1))]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in range(width)]
                 + [pa.ListArray.from_arrays(ends, np.nonzero(keep)[1].astype(np.int32)),
                    pa.ListArray.from_arrays(ends, out[keep])],
-                names=batch.schema.names)
+                names=batch.schema.names[:width + 2])
 
-    done = packed.mapInArrow(run, packed.schema)
+    done = packed.mapInArrow(run, result)
     return (done.select(*line, F.inline(F.arrays_zip("_x", "_y")))
             .select(*keys, *[F.col("_x").alias(a) if a == axis else F.col(a) for a in AXES], F.col("_y").alias(value)))
 
 
 def sweep(df: DataFrame, dims: Dims, kernels: Sequence[Kernel], fill: float, value: str = "v",
-          keys: Sequence[str] = (SUBJECT,), limit: float | None = None) -> DataFrame:
-    """Passes along k, j and i; ``kernels`` are given in the order i, j, k."""
+          keys: Sequence[str] = (SUBJECT,), limit: float | None = None, where: DataFrame | None = None,
+          where_keys: Sequence[str] = (SUBJECT,)) -> DataFrame:
+    """Passes along k, j and i; ``kernels`` are given in the order i, j, k.
+
+    With ``where`` (``where_keys``, among the keys, and voxels; read three times) only its voxels are returned, and every pass
+    only makes the cells that lead to one: rows then grow with ``where`` and the seeds, not with the grid.
+    """
+    final: list[str] = []
     for axis, kernel in reversed(list(zip(AXES, kernels))):
-        df = along(df, axis, dims, kernel, fill, value, keys, limit)
+        wanted = None if where is None else where.groupBy(*where_keys, *final).agg(F.collect_set(axis).alias("_w"))
+        df = along(df, axis, dims, kernel, fill, value, keys, limit, wanted)
+        final.append(axis)
     return df
 
 

@@ -157,11 +157,11 @@ def open_steps(mask: DataFrame, steps: int, dims: Dims, keys: Sequence[str] = (S
 
 
 def euclidean_distance(mask: DataFrame, dims: Dims, spacing: tuple[float, float, float] = (1.0, 1.0, 1.0),
-                       limit: float | None = None, keys: Sequence[str] = (SUBJECT,)) -> DataFrame:
-    """Exact Euclidean distance ``d`` of grid voxels to the mask."""
+                       limit: float | None = None, keys: Sequence[str] = (SUBJECT,), where: DataFrame | None = None) -> DataFrame:
+    """Exact Euclidean distance ``d`` to the mask of all grid voxels, or of those of ``where`` (with the same keys)."""
     seeds = mask.select(*keys, *AXES).withColumn("d", F.lit(0.0))
     far = None if limit is None else limit ** 2 * (1 + 1e-9)
-    squared = sweep(seeds, dims, [squared_kernel(s) for s in spacing], math.inf, "d", keys, far)
+    squared = sweep(seeds, dims, [squared_kernel(s) for s in spacing], math.inf, "d", keys, far, where, keys)
     return squared.withColumn("d", F.sqrt("d"))
 
 

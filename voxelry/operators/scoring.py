@@ -131,8 +131,8 @@ def hd95(truth: DataFrame, predicted: DataFrame, dims: Dims, size_filter: int =
         touched = own.join(sides[other].select(*cells), cells, "left_semi").select(SUBJECT, "cluster_id").distinct()
         found.append(attach_to_clusters(own, touched).select(*cells).withColumn("side", F.lit(name)))
     rims = cut_lineage(surface(found[0].unionByName(found[1]), (SUBJECT, "side")))
-    far = euclidean_distance(rims, dims, spacing, keys=(SUBJECT, "side"))
-    opposite = far.withColumn("side", F.when(F.col("side") == "t", "p").otherwise("t"))
-    gaps = cut_lineage(rims.join(opposite, [SUBJECT, "side", *AXES]).select(SUBJECT, "d"))
+    # how far the voxels of one side's surface are from the other side's
+    asked = cut_lineage(rims.withColumn("side", F.when(F.col("side") == "t", "p").otherwise("t")))
+    gaps = cut_lineage(euclidean_distance(rims, dims, spacing, keys=(SUBJECT, "side"), where=asked).select(SUBJECT, "d"))
     return (exact_percentiles(gaps, [SUBJECT], "d", [0.95])
             .select(SUBJECT, F.col("q")[0].alias("hd95")))

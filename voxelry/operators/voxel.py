@@ -12,7 +12,7 @@ from ..functions import matrix
 from ..functions.joins import attach
 from ..functions.quantiles import exact_percentiles
 from ..schema import AXES, SUBJECT, VOXEL, Dims, in_grid
-from ..session import scatter
+from ..session import scatter, staged
 
 #: Label lists longer than this are joined instead of written into the predicate.
 MAX_LITERALS = 200
@@ -70,7 +70,11 @@ def _in_mask_values(image: DataFrame, mask: DataFrame) -> DataFrame:
 
 def normalisation_scale(image: DataFrame, mask: DataFrame, percentiles: Sequence[float] = (99.0,)) -> DataFrame:
     """In-mask percentiles per subject; a zero percentile is NULL with a status, because nothing can be divided by it."""
-    rows = _in_mask_values(image, mask).filter("in_mask")
+    return _scale(staged(_in_mask_values(image, mask), "in-mask"), percentiles)
+
+
+def _scale(values: DataFrame, percentiles: Sequence[float]) -> DataFrame:
+    rows = values.filter("in_mask")
     q = exact_percentiles(rows, [SUBJECT], "v", [p / 100.0 for p in percentiles])
     scale = F.transform("q", lambda x: F.nullif(x, F.lit(0.0)))
     return q.select(SUBJECT, scale.alias("scale"),
@@ -84,8 +88,9 @@ def scaled(v: Column, scale: Column) -> Column:
 def normalise(image: DataFrame, mask: DataFrame, percentile: float = 99.0, inverse: bool = False) -> DataFrame:
     """Intensities in [0, 1]: negative and missing values are 0, the in-mask percentile is the unit, the ceiling is
     1.3 units. With ``inverse`` in-mask values become 1 - v. Only non-zero rows are returned."""
-    per_subject = normalisation_scale(image, mask, [percentile]).select(SUBJECT, F.col("scale")[0].alias("_p"))
-    rows = attach(_in_mask_values(image, mask), per_subject)
+    values = staged(_in_mask_values(image, mask), "in-mask")  # the join of voxels is made once, for the sketch, the ranking and the result
+    per_subject = _scale(values, [percentile]).select(SUBJECT, F.col("scale")[0].alias("_p"))
+    rows = attach(values, per_subject)
     value = scaled(F.col("v"), F.col("_p"))
     if inverse:
         value = F.when(F.col("in_mask"), 1 - value).otherwise(value)

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -86,6 +88,24 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the workers this package, wherever they were started; once a Spark context."""
+    sc = spark.sparkContext
+    if getattr(sc, "_voxelry_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    held = tempfile.TemporaryDirectory(prefix="voxelry-package-", ignore_cleanup_errors=True)
+    path = os.path.join(held.name, "voxelry.zip")
+    with zipfile.ZipFile(path, "w") as packed:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    packed.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    sc._voxelry_shipped = held  # the driver serves the file as long as the context lives
+
+
 def scatter(df: DataFrame, *columns: str) -> DataFrame:
     """Spread few rows that each generate many over all shuffle partitions (an unnumbered repartition of small rows
     would be merged again by the adaptive planner)."""
