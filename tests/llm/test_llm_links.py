@@ -135,6 +135,21 @@ def test_archives_round_trip(spark):
     assert empty.count() == 0
 
 
+def test_archives_are_resolved_again(spark):
+    """Two crawls: the second has an earlier page of a payload, and a revisit of a page that no archive holds."""
+    big = "<p>payload</p>" * 20
+    first = warc.resolve_revisits(warc.digests(spark.createDataFrame([(5, "a", big), (6, "b", big), (7, "c", "x")], "page_id bigint, url string, html string")))
+    lost = warc.digests(spark.createDataFrame([(8, "d", "gone" * 50)], "page_id bigint, url string, html string")).selectExpr(
+        "page_id", "url", "CAST(NULL AS string) AS html", "payload_bytes", "payload_digest", "'revisit' AS record_type", "4L AS refers_to")
+    second = warc.resolve_revisits(warc.digests(spark.createDataFrame([(2, "e", big)], "page_id bigint, url string, html string")))
+    source, path = stage_path(spark, "warc-source"), stage_path(spark, "warc-again")
+    columns = ["page_id", "url", "html", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    warc.write_archives(first.select(*columns).unionByName(lost.select(*columns)).unionByName(second.select(*columns)), source)
+    warc.rewrite_archives(spark, source, path)
+    rows = {r.page_id: (r.record_type, r.refers_to, bytes(r.payload or b"").decode()) for r in warc.read_archives(spark, path).collect()}
+    assert rows == {2: ("response", None, big), 5: ("revisit", 2, ""), 6: ("revisit", 2, ""), 7: ("response", None, "x"), 8: ("revisit", 4, "")}
+
+
 def test_pipeline_against_brute_force(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")

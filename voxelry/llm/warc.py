@@ -166,5 +166,26 @@ def deduplicated_archives(pages: DataFrame, path: str, **options) -> DataFrame:
             .withColumn("payload_bytes", F.coalesce(F.col("payload_bytes"), F.col(f"{OWN}b"))).drop(f"{OWN}d", f"{OWN}b"))
 
 
+def rewrite_archives(spark: SparkSession, source: str, path: str, least_bytes: int = LEAST_BYTES, **options) -> None:
+    """Resolve the archives under ``source`` and write them deduplicated, with fresh headers, under ``path``.
+
+    Responses and the revisits of an earlier crawl meet by payload digest: the response with the smallest page_id stays one, every other record of that
+    payload becomes a revisit of it. A revisit whose original is in none of the archives stays as it is.
+    """
+    found = read_archives(spark, source)
+    originals = (found.filter((F.col("record_type") == "response") & (F.col("payload_bytes") >= least_bytes))
+                 .groupBy(F.col("payload_digest").alias(f"{OWN}d")).agg(F.min("page_id").alias(f"{OWN}first"), F.first("payload_bytes").alias(f"{OWN}b"))
+                 .filter(f"{OWN}first IS NOT NULL"))
+    joined = found.join(originals, F.col("payload_digest") == F.col(f"{OWN}d"), "left")
+    first, was = F.col(f"{OWN}first"), F.col("record_type") == "response"
+    original = was & (first.isNull() | F.col("page_id").eqNullSafe(first))
+    fresh = joined.select(
+        "page_id", "url", F.col("payload").cast("string").alias("html"), "payload_digest",
+        F.coalesce("payload_bytes", f"{OWN}b", F.lit(0).cast("long")).alias("payload_bytes"),
+        F.when(original, "response").otherwise("revisit").alias("record_type"),
+        F.when(~original, F.coalesce(first, F.col("refers_to"))).alias("refers_to"))
+    write_archives(fresh, path, **options)
+
+
 def archive_path(spark: SparkSession) -> str:
     return stage_path(spark, "warc")
