@@ -42,7 +42,7 @@ def eroded(source: str, r: int, extra_keys: str = "", border: bool = False) -> s
             f"AND b.i = g.i AND b.j = g.j AND b.k = g.k)){cond}")
 
 
-def components(source: str, reach: int = 3, keys: str = "", equal: str = "", name: str = "cc") -> dict[str, str]:
+def components(source: str, reach: int = 3, keys: str = "", equal: str = "", name: str = "cc", sides: tuple[int, int] = (NJ, NK)) -> dict[str, str]:
     """Views ``<name>_m``, ``_e``, ``_r`` and ``<name>``: every voxel of a mask with the smallest voxel number of its component."""
     extra = "".join(f", {k}" for k in keys.split())
     same = "".join(f" AND a.{k} = b.{k}" for k in [*keys.split(), *equal.split()])
@@ -50,7 +50,7 @@ def components(source: str, reach: int = 3, keys: str = "", equal: str = "", nam
     carried = "".join(f", {k}" for k in equal.split())
     e_extra = "".join(f", a.{k}" for k in keys.split())
     return {
-        f"{name}_m": f"SELECT subject_id{extra}{carried}, i, j, k, ((i::BIGINT*{NJ} + j)*{NK} + k) AS id FROM {source}",
+        f"{name}_m": f"SELECT subject_id{extra}{carried}, i, j, k, ((i::BIGINT*{sides[0]} + j)*{sides[1]} + k) AS id FROM {source}",
         f"{name}_e": (f"SELECT a.subject_id{e_extra}, a.id AS a, b.id AS b FROM {name}_m a JOIN {name}_m b ON a.subject_id = b.subject_id{same} "
                       f"AND abs(a.i-b.i) <= 1 AND abs(a.j-b.j) <= 1 AND abs(a.k-b.k) <= 1 AND abs(a.i-b.i) + abs(a.j-b.j) + abs(a.k-b.k) <= {reach}"),
         f"{name}_r": (f"SELECT subject_id{extra}, a, b FROM {name}_e UNION SELECT r.subject_id{''.join(f', r.{k}' for k in keys.split())}, r.a, e.b "
