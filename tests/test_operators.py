@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from voxelry.functions.joins import attach, salted_join
-from voxelry.functions.offsets import directions, ellipsoid, neighbours
+from voxelry.functions.hull import half_spaces
+from voxelry.functions.offsets import ellipsoid, neighbours
 from voxelry.functions.quantiles import exact_percentiles
 from voxelry.operators import components, fill, models, morphology, parcellation, scoring, smoothing, stats, voxel
 
@@ -132,10 +133,52 @@ def test_euclidean_limit(spark, mask):
     assert near == {x: v for x, v in all_.items() if v <= 1.5}
 
 
-def test_ellipsoid_and_directions():
+def test_ellipsoid():
     assert len(ellipsoid((1, 1, 1))) == 7 and len(ellipsoid((0.2, 1, 1))) == 7
     assert max(o[0] for o in ellipsoid((9, 1, 1), 3)) == 3
-    assert len(directions(1)) == 26 and len(directions(2)) == 98
+
+
+def test_half_spaces_against_all_triples():
+    """Random small sets, also flat ones, lines and single points, against the planes of all triples of points."""
+    rng = np.random.default_rng(5)
+    grid = np.stack(np.meshgrid(*[np.arange(7)] * 3, indexing="ij"), -1).reshape(-1, 3)
+    for n in (1, 2, 3, 4, 5, 8, 14, 30):
+        for case in range(12):
+            pts = rng.integers(0, 7, (n, 3))
+            if case % 4 == 1:
+                pts[:, case % 3] = 3
+            if case % 4 == 2:
+                pts = pts[:1] + np.outer(np.arange(n) % 3, [1, -1, 0])
+                pts = pts - pts.min(axis=0)
+            found = half_spaces(pts)
+            inside = (grid @ found[:, :3].T <= found[:, 3]).all(axis=1)
+            assert (pts @ found[:, :3].T <= found[:, 3]).all()
+            if np.linalg.matrix_rank(pts - pts[0]) < 3:
+                # in a flat set the hull is where no point of the plane or line is cut off by a line through two points
+                d = pts - pts[0]
+                rank, off = np.linalg.matrix_rank(d), grid - pts[0]
+                flat = np.array([np.linalg.matrix_rank(np.vstack([d, o])) == rank for o in off])
+                want = flat.copy()
+                if rank == 2:
+                    normal = next(c for c in (np.cross(a, b) for a in d for b in d) if c.any())
+                    for a in pts:
+                        for b in pts:
+                            side = np.cross(normal, b - a)
+                            if side.any() and ((pts - a) @ side <= 0).all():
+                                want &= (grid - a) @ side <= 0
+                elif rank == 1:
+                    u = next(x for x in d if x.any())
+                    want &= (off @ u >= (d @ u).min()) & (off @ u <= (d @ u).max())
+            else:
+                want = np.ones(len(grid), bool)
+                for a in range(n):
+                    for b in range(a):
+                        for c in range(b):
+                            normal = np.cross(pts[b] - pts[a], pts[c] - pts[a])
+                            for m in (normal, -normal):
+                                if m.any() and ((pts - pts[a]) @ m <= 0).all():
+                                    want &= (grid - pts[a]) @ m <= 0
+            assert (inside == want).all(), (n, case)
 
 
 def test_hull_contains_and_is_idempotent(spark):

@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from ..functions.offsets import directions, ellipsoid
+from ..functions.offsets import ellipsoid
 from ..operators import components, fill, morphology, smoothing
 from . import recipe as V
 from .recipe import DIMS, NI, NJ, NK
@@ -172,12 +172,22 @@ def nearest_label_fill(spark, d):
 
 
 def hull_sql(source: str, keys: str = "") -> str:
-    """Grid voxels inside the support of ``source`` in the fixed direction table."""
-    own = "".join(f", h.{k}" for k in keys.split())
-    inner = "".join(f", {k}" for k in keys.split())
-    table = "(VALUES " + ", ".join(map(str, directions(2))) + ") u(a, b, c)"
-    return f"""SELECT g.subject_id{own}, g.i, g.j, g.k FROM grid g JOIN (SELECT subject_id{inner}, a, b, c, max(a*i + b*j + c*k) AS h FROM {source}, {table} GROUP BY ALL) h
- ON g.subject_id = h.subject_id GROUP BY ALL HAVING bool_and(a*g.i + b*g.j + c*g.k <= h)"""
+    """Grid voxels inside the convex hull of ``source``, from its definition: the planes through any three points that have all others on one side.
+    Only points that end their lines along all three axes can be corners."""
+    ks = ["subject_id", *keys.split()]
+    inner, own = ", ".join(ks), ", ".join(f"h.{k}" for k in ks)
+    same = lambda a, b: " AND ".join(f"{a}.{k} = {b}.{k}" for k in ks)
+    end = " AND ".join(f"({x} = min({x}) OVER (PARTITION BY {inner}, {o}) OR {x} = max({x}) OVER (PARTITION BY {inner}, {o}))"
+                       for x, o in (("i", "j, k"), ("j", "i, k"), ("k", "i, j")))
+    cross = ("(b.j-a.j)*(c.k-a.k) - (b.k-a.k)*(c.j-a.j) AS x, (b.k-a.k)*(c.i-a.i) - (b.i-a.i)*(c.k-a.k) AS y, (b.i-a.i)*(c.j-a.j) - (b.j-a.j)*(c.i-a.i) AS z")
+    return f"""SELECT {', '.join(f'g.{k}' if k == 'subject_id' else f'h.{k}' for k in ks)}, g.i, g.j, g.k FROM grid g JOIN (
+ WITH q AS (SELECT {inner}, i, j, k, row_number() OVER (PARTITION BY {inner} ORDER BY i, j, k) AS n FROM (SELECT * FROM {source} QUALIFY {end})),
+ t AS (SELECT {', '.join(f'a.{k}' for k in ks)}, {cross}, a.i AS ai, a.j AS aj, a.k AS ak FROM q a JOIN q b ON {same('a', 'b')} AND a.n < b.n JOIN q c ON {same('b', 'c')} AND b.n < c.n),
+ s AS (SELECT {inner}, x, y, z, x*ai + y*aj + z*ak AS v FROM t WHERE x <> 0 OR y <> 0 OR z <> 0),
+ d AS (SELECT DISTINCT {inner}, x // m AS x, y // m AS y, z // m AS z, v // m AS v FROM (SELECT *, gcd(gcd(abs(x), abs(y)), abs(z)) AS m FROM s)),
+ r AS (SELECT {', '.join(f'd.{k}' for k in ks)}, d.x, d.y, d.z, d.v, max(d.x*q.i + d.y*q.j + d.z*q.k) AS hi, min(d.x*q.i + d.y*q.j + d.z*q.k) AS lo FROM d JOIN q ON {same('d', 'q')} GROUP BY ALL)
+ SELECT {inner}, x AS a, y AS b, z AS c, v AS h FROM r WHERE hi = v UNION SELECT {inner}, -x, -y, -z, -v FROM r WHERE lo = v) h
+ ON g.subject_id = h.subject_id GROUP BY ALL HAVING bool_and(h.a*g.i + h.b*g.j + h.c*g.k <= h.h)"""
 
 
 @query("hull_fill", sql(hull_sql("nuclei"), nuclei="SELECT * FROM parc WHERE label IN (10, 11, 12)"))

@@ -26,12 +26,6 @@ def ellipsoid(radii: tuple[float, float, float], max_radius: int | None = None)
     return [o for o in cartesian(*spans) if sum((x / r) ** 2 for x, r in zip(o, whole)) <= 1]
 
 
-def directions(max_component: int = 2) -> list[Offset]:
-    """Primitive integer directions with components up to ``max_component``."""
-    span = range(-max_component, max_component + 1)
-    return [o for o in cartesian(span, repeat=3) if gcd(*o) == 1]
-
-
 def offset_column(offsets: Iterable[Offset]) -> Column:
     """Constant array of offset structs, to be exploded."""
     cells = ", ".join(f"({a}, {b}, {c})" for a, b, c in offsets)

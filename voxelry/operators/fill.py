@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from ..functions.offsets import Offset, directions, offset_column
+from ..functions.hull import half_spaces
 from ..schema import AXES, SUBJECT, Dims
 from ..session import cut_lineage, scatter
 from .lines import chessboard_kernel, sweep
@@ -25,29 +27,31 @@ def nearest_label_fill(labels: DataFrame, mask: DataFrame, dims: Dims, keys: Seq
     return reach.groupBy(*voxel).agg(F.min(F.struct("d", "label")).getField("label").alias("label"))
 
 
-AXIS_DIRECTIONS: list[Offset] = [(1, 0, 0), (-1, 0, 0), (0, 1, 0), (0, -1, 0), (0, 0, 1), (0, 0, -1)]
+def _hull_planes(keys: Sequence[str]):
+    """Half-spaces and bounds of one group of line ends; a group has at most two points a line of the grid."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        low, high = (pdf[["i", "j", k]].to_numpy(np.int64) for k in ("_k0", "_k1"))
+        found = half_spaces(np.concatenate([low, high]))
+        row = {k: [pdf[k].iloc[0]] for k in keys}
+        row |= {"_i0": [low[:, 0].min()], "_i1": [low[:, 0].max()], "_j0": [low[:, 1].min()], "_j1": [low[:, 1].max()]}
+        return pd.DataFrame(row | {name: [found[:, c].tolist()] for c, name in enumerate(("_a", "_b", "_c", "_h"))})
+    return run
 
 
-def hull_fill(mask: DataFrame, table: Sequence[Offset] | None = None, keys: Sequence[str] = (SUBJECT,)) -> DataFrame:
-    """Grid voxels inside the hull of a mask, described by its support in a fixed table of directions.
-
-    The hull is the intersection of the half-spaces of all primitive integer directions up to a maximum component; it
-    equals the convex hull when every facet normal is in the table and contains it otherwise.
-    """
-    table = AXIS_DIRECTIONS + (directions(2) if table is None else list(table))
-    # a line of voxels reaches its support at one of its ends, so only those meet the table of directions
+def hull_fill(mask: DataFrame, keys: Sequence[str] = (SUBJECT,)) -> DataFrame:
+    """Grid voxels inside the convex hull of a mask, its border included, per value of ``keys``; exact, also for flat masks."""
+    keys = list(keys)
+    # a corner of the hull is an end of its line of voxels, so only those are gathered
     ends = mask.groupBy(*keys, "i", "j").agg(F.min("k").alias("_k0"), F.max("k").alias("_k1"))
-    reach = F.transform(offset_column(table), lambda u: (
-        F.col("i") * u["di"] + F.col("j") * u["dj"] + F.greatest(F.col("_k0") * u["dk"], F.col("_k1") * u["dk"])))
-    shape = (ends.select(*keys, F.posexplode(reach).alias("_u", "_h")).groupBy(*keys, "_u").agg(F.max("_h").alias("_h"))
-             .groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_u", "_h"))).getField("_h").alias("_h")))
-    h = [F.col("_h")[n] for n in range(6)]
+    schema = T.StructType([*[mask.schema[k] for k in keys], *[T.StructField(c, T.IntegerType()) for c in ("_i0", "_i1", "_j0", "_j1")],
+                           *[T.StructField(c, T.ArrayType(T.LongType())) for c in ("_a", "_b", "_c", "_h")]])
+    shape = ends.groupBy(*keys).applyInPandas(_hull_planes(keys), schema)
     # one slab per i-coordinate: the candidates of one big subject are generated by many tasks
-    slabs = (scatter(shape.withColumn("i", F.explode(F.sequence(-h[1], h[0]))), *keys, "i")
-             .withColumn("j", F.explode(F.sequence(-h[3], h[2]))))
-    # what each direction leaves of a line: an upper end, a lower end, or all or nothing
-    left = F.zip_with(offset_column(table), "_h", lambda u, top: F.struct(
-        u["dk"].alias("c"), (top - F.col("i") * u["di"] - F.col("j") * u["dj"]).alias("r")))
+    slabs = (scatter(shape.withColumn("i", F.explode(F.sequence("_i0", "_i1"))), *keys, "i")
+             .withColumn("j", F.explode(F.sequence("_j0", "_j1"))))
+    # what each half-space leaves of a line: an upper end, a lower end, or all or nothing
+    left = F.transform(F.arrays_zip("_a", "_b", "_c", "_h"), lambda u: F.struct(
+        u["_c"].alias("c"), (u["_h"] - F.col("i") * u["_a"] - F.col("j") * u["_b"]).alias("r")))
     slabs = slabs.select(*keys, "i", "j", left.alias("_l"))
     high = F.array_min(F.transform(F.filter("_l", lambda x: x["c"] > 0), lambda x: F.floor(x["r"] / x["c"])))
     low = F.array_max(F.transform(F.filter("_l", lambda x: x["c"] < 0), lambda x: F.ceil(x["r"] / x["c"])))

@@ -138,10 +138,10 @@ def lobar_labels(labels: DataFrame, dims: Dims) -> DataFrame:
     return filled.unionByName(seeded).drop("side").unionByName(rest)
 
 
-def internal_capsule(labels: DataFrame, dims: Dims, table: Sequence | None = None) -> DataFrame:
+def internal_capsule(labels: DataFrame, dims: Dims) -> DataFrame:
     """White matter inside the eroded hull of basal ganglia and thalamus, per side."""
     nuclei = sided(labels, R.CAPSULE_NUCLEI)
-    return on_white_matter(erode_steps(hull_fill(nuclei, table, SIDED), 2, dims, SIDED), labels)
+    return on_white_matter(erode_steps(hull_fill(nuclei, SIDED), 2, dims, SIDED), labels)
 
 
 def juxtacortical_wm(labels: DataFrame, dims: Dims, thickness: int = JUXTACORTICAL_THICKNESS) -> DataFrame:
@@ -162,7 +162,7 @@ def periventricular_wm(labels: DataFrame, dims: Dims, thickness: int = PERIVENTR
     return on_white_matter(dilate_l1(sided(labels, R.VENTRICLES), thickness, dims, SIDED), labels)
 
 
-def external_capsule(labels: DataFrame, dims: Dims, exclude: DataFrame, table: Sequence | None = None,
+def external_capsule(labels: DataFrame, dims: Dims, exclude: DataFrame,
                      reach: int = 10, low: int = 5, closing: int = 3) -> DataFrame:
     """White matter between insula and putamen per side, away from ``exclude``, hippocampus and ventral DC."""
     walls = sided(labels, {s: [R.PUTAMEN[s], R.INSULA[s]] for s in "LR"})
@@ -171,7 +171,7 @@ def external_capsule(labels: DataFrame, dims: Dims, exclude: DataFrame, table: S
     near = dilate_l1(walls.withColumn("part", part), reach, dims, keys).groupBy(*SIDED_VOXEL).count().filter("count = 2")
     lower = dilate_l1(label_in(labels, R.HIPPOCAMPUS_VENTRAL_DC), low, dims)
     barred = union_masks(exclude, lower)
-    raw = hull_fill(walls, table, SIDED).join(near, SIDED_VOXEL, "left_semi")
+    raw = hull_fill(walls, SIDED).join(near, SIDED_VOXEL, "left_semi")
     core = on_white_matter(outside_mask(raw, barred), labels)
     walls = walls.select(*SIDED_VOXEL)
     closed = close_l1(core.unionByName(walls), closing, dims, SIDED)
@@ -202,7 +202,7 @@ def corpus_callosum(labels: DataFrame, dims: Dims, ventricle_reach: int = 6, cin
     return split.unionByName(halves.join(body, list(VOXEL), "left_semi").select(*split.columns))
 
 
-def lobar_wm_parcellation(labels: DataFrame, dims: Dims, table: Sequence | None = None) -> DataFrame:
+def lobar_wm_parcellation(labels: DataFrame, dims: Dims) -> DataFrame:
     """The derived parcellation: lobes with white-matter layers, deep structures, capsules, callosum, periventricular
     parts. Overlays follow a fixed order in which the later one wins."""
     labels = cut_lineage(hyperintensity_to_wm(labels, dims))
@@ -210,10 +210,10 @@ def lobar_wm_parcellation(labels: DataFrame, dims: Dims, table: Sequence | None
     wm = white_matter(labels)
     juxta = cut_lineage(juxtacortical_wm(labels, dims))
     near = cut_lineage(periventricular(labels, dims))
-    capsule = cut_lineage(internal_capsule(labels, dims, table))
+    capsule = cut_lineage(internal_capsule(labels, dims))
     near_wm = wm.join(near, list(VOXEL), "left_semi").select(*SIDED_VOXEL)
     inner = capsule.join(near_wm, SIDED_VOXEL, "left_anti")
-    outer = external_capsule(labels, dims, union_masks(juxta, inner), table)
+    outer = external_capsule(labels, dims, union_masks(juxta, inner))
     callosum = corpus_callosum(labels, dims)
     lobes = list(R.LOBE_CODES.values())
     on_lobe = wm.join(lobar, list(VOXEL)).filter(F.col("label").isin(lobes + [v + R.RIGHT_LOBE for v in lobes]))
