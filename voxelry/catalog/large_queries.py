@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.offsets import ellipsoid
 from ..functions.quantiles import exact_percentiles
 from ..operators import components, fill, morphology, voxel
 from . import recipe as V
@@ -75,3 +76,14 @@ def nearest_label_fill_large(spark, d):
 def normalise_large(spark, d):
     p = prob_large(spark, d)
     return voxel.normalise(p, p.filter("p % 3 > 0")).withColumn("v", F.round("v", 9))
+
+
+BALL = ellipsoid((3, 2, 2))
+
+
+@query("ellipsoid_dilation_large", sql("SELECT DISTINCT subject_id, (i + a)::INT AS i, (j + b)::INT AS j, (k + c)::INT AS k FROM large, ball WHERE p > 970 AND i + a BETWEEN 0 AND "
+                                       f"{LI - 1} AND j + b BETWEEN 0 AND {LJ - 1} AND k + c BETWEEN 0 AND {LK - 1}", **PROB,
+                                       ball="SELECT * FROM (VALUES " + ", ".join(map(str, BALL)) + ") t(a, b, c)"))
+def ellipsoid_dilation_large(spark, d):
+    """Footprints that reach over the borders of blocks."""
+    return morphology.dilate_footprint(prob_large(spark, d).filter("p > 970"), BALL, LARGE)

@@ -7,17 +7,22 @@ are generated, once each. Distance operators are separable passes over lines.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
-from ..functions.offsets import Offset, neighbours, offset_column, spread
+from ..functions.offsets import Offset, neighbours, spread
 from ..schema import AXES, SUBJECT, VOXEL, Dims, in_grid, other_axes
 from ..session import cut_lineage
 from .lines import squared_kernel, sweep, taxicab_kernel
 
 Radii = tuple[int, int, int]
 
+#: Edge of the dense blocks of the footprint operators.
+BLOCK = 32
+
 
 def radii_in_voxels(size: float, voxel_size: Sequence[float]) -> Radii:
     """Whole-voxel radii of a physical size, at least one per axis."""
@@ -82,35 +87,80 @@ def by_brick(df: DataFrame, edge: int = 16) -> DataFrame:
     return df.repartition(SUBJECT, *[F.floor(F.col(a) / edge) for a in AXES])
 
 
-def grey_erode(image: DataFrame, footprint: Sequence[Offset], dims: Dims) -> DataFrame:
-    """Minimum over the footprint; an absent voxel is zero, voxels outside the grid are ignored."""
+Block = Callable[[np.ndarray, np.ndarray], np.ndarray]
+
+
+def _in_blocks(rows: DataFrame, dims: Dims, halo: Sequence[int], kernel: Block, edge: int = BLOCK) -> DataFrame:
+    """Non-zero voxels of ``kernel(block, valid)`` over dense blocks of ``edge`` voxels and their halo; ``valid`` marks the grid.
+
+    A voxel goes to the few blocks whose halo it lies in, whatever the size of a footprint: one shuffle, bounded memory.
+    """
+    home = [f"_b{a}" for a in AXES]
+    for a, b, h, n in zip(AXES, home, halo, dims):
+        first, last = F.floor((F.col(a) - h) / edge), F.floor((F.col(a) + h) / edge)
+        blocks = F.sequence(F.greatest(first, F.lit(0)).cast("int"), F.least(last, F.lit((n - 1) // edge)).cast("int"))
+        rows = rows.withColumn(b, F.explode(blocks))
+    schema = T.StructType([rows.schema[SUBJECT], *[T.StructField(a, T.IntegerType()) for a in AXES], T.StructField("v", T.DoubleType())])
+
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        corner = [int(b) * edge - h for b, h in zip(key[1:], halo)]
+        shape = [edge + 2 * h for h in halo]
+        block = np.zeros(shape)
+        block[tuple(pdf[a].to_numpy() - c for a, c in zip(AXES, corner))] = pdf["v"].to_numpy()
+        valid = np.ones(shape, bool)
+        for axis, (c, n, size) in enumerate(zip(corner, dims, shape)):
+            at = np.arange(c, c + size)
+            valid &= ((at >= 0) & (at < n)).reshape([-1 if x == axis else 1 for x in range(3)])
+        own = tuple(slice(h, h + edge) for h in halo)
+        out = np.where(valid, kernel(block, valid), 0.0)[own]
+        spots = np.argwhere(out)
+        return pd.DataFrame({SUBJECT: key[0], **{a: (spots[:, x] + corner[x] + halo[x]).astype("int32") for x, a in enumerate(AXES)},
+                             "v": out[tuple(spots.T)]})
+
+    return rows.groupBy(SUBJECT, *home).applyInPandas(run, schema)
+
+
+def _over(block: np.ndarray, footprint: Sequence[Offset], pick: np.ufunc, outside: float) -> np.ndarray:
+    """``pick`` over the footprint around every cell; cells beyond the block are ``outside``."""
     reach = [max(abs(o[a]) for o in footprint) for a in range(3)]
-    inner = F.expr(" AND ".join(f"{a} >= {r} AND {a} < {n - r}" for a, r, n in zip(AXES, reach, dims)))
-    seen = F.size(F.filter(offset_column(footprint), lambda o: _offset_in_grid(o, dims)))
-    gathered = (spread(by_brick(image.select(*VOXEL, "v")), footprint).filter(in_grid(dims))
-                .groupBy(*VOXEL).agg(F.min("v").alias("v"), F.count("*").alias("_n")))
-    return gathered.filter(F.col("_n") == F.when(inner, F.lit(len(footprint))).otherwise(seen)).drop("_n")
+    wide = np.pad(block, [(r, r) for r in reach], constant_values=outside)
+    out = np.full(block.shape, outside)
+    for o in footprint:
+        pick(out, wide[tuple(slice(r + x, r + x + n) for r, x, n in zip(reach, o, block.shape))], out=out)
+    return out
+
+
+def _reach(footprint: Sequence[Offset], times: int = 1) -> list[int]:
+    return [times * max(abs(o[a]) for o in footprint) for a in range(3)]
+
 
+def _eroded(block: np.ndarray, valid: np.ndarray, footprint: Sequence[Offset]) -> np.ndarray:
+    return _over(np.where(valid, block, np.inf), footprint, np.minimum, np.inf)
 
-def _offset_in_grid(o, dims: Dims):
-    ok = F.lit(True)
-    for axis, n in zip(AXES, dims):
-        moved = F.col(axis) + o[f"d{axis}"]
-        ok = ok & (moved >= 0) & (moved < n)
-    return ok
+
+def _dilated(block: np.ndarray, valid: np.ndarray, footprint: Sequence[Offset]) -> np.ndarray:
+    return _over(np.where(valid, block, -np.inf), [tuple(-x for x in o) for o in footprint], np.maximum, -np.inf)
+
+
+def grey_erode(image: DataFrame, footprint: Sequence[Offset], dims: Dims) -> DataFrame:
+    """Minimum over the footprint; an absent voxel is zero, as is one that is not returned; voxels outside the grid are ignored."""
+    footprint = list(footprint)
+    return _in_blocks(image.select(*VOXEL, "v"), dims, _reach(footprint), lambda x, valid: _eroded(x, valid, footprint))
 
 
 def grey_dilate(image: DataFrame, footprint: Sequence[Offset], dims: Dims) -> DataFrame:
-    return (spread(by_brick(image.select(*VOXEL, "v")), footprint).filter(in_grid(dims))
-            .groupBy(*VOXEL).agg(F.max("v").alias("v")))
+    footprint = list(footprint)
+    return _in_blocks(image.select(*VOXEL, "v"), dims, _reach(footprint), lambda x, valid: _dilated(x, valid, footprint))
 
 
 def grey_opening(image: DataFrame, footprint: Sequence[Offset], dims: Dims) -> DataFrame:
-    return grey_dilate(grey_erode(image, footprint, dims), footprint, dims)
+    """Erosion and dilation in one step over blocks with twice the halo."""
+    footprint = list(footprint)
+    return _in_blocks(image.select(*VOXEL, "v"), dims, _reach(footprint, 2), lambda x, valid: _dilated(_eroded(x, valid, footprint), valid, footprint))
 
 
 def dilate_footprint(mask: DataFrame, footprint: Sequence[Offset], dims: Dims) -> DataFrame:
-    return spread(by_brick(mask.select(*VOXEL)), footprint).filter(in_grid(dims)).distinct()
+    return grey_dilate(mask.select(*VOXEL).withColumn("v", F.lit(1.0)), footprint, dims).select(*VOXEL)
 
 
 def l1_distance(mask: DataFrame, dims: Dims, limit: float | None = None, keys: Sequence[str] = (SUBJECT,)) -> DataFrame:
