@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from ..operators import geometry, stats
@@ -32,8 +33,9 @@ def affine_check(spark, d):
 
 
 # corrected * inverse(original) * sibling, where the sibling is the original with a doubled first column
-SIBLING = sql("""SELECT subject_id, round(2 * fixed[1], 6) AS a00, round(fixed[2], 6) AS a01, round(fixed[4] + fixed[1] * (3 / vx), 6) AS a03,
- round(2 * fixed[5], 6) AS a10, round(fixed[6], 6) AS a11, round(fixed[8] + fixed[5] * (3 / vx), 6) AS a13, round(fixed[12], 6) AS a23 FROM checked""", **CHECKED)
+SIBLING = sql("SELECT subject_id, " + ", ".join(
+    [f"round({2 if c == 0 else 1} * fixed[{4 * r + c + 1}], 6) AS a{r}{c}" for r in range(3) for c in range(3)]
+    + [f"round(fixed[{4 * r + 4}] + fixed[{4 * r + 1}] * (3 / vx), 6) AS a{r}3" for r in range(3)]) + " FROM checked", **CHECKED)
 
 
 @query("companion_affine", SIBLING)
@@ -43,8 +45,7 @@ def companion_affine(spark, d):
     sibling = main.withColumns({"role": F.lit("img2"), "affine": doubled})
     fixed = _checked(spark, d).withColumn("role", F.lit("img1"))
     out = geometry.companion_affine(main.unionByName(sibling), fixed).filter("role = 'img2'")
-    return out.select("subject_id", *[c for c, n in zip(affine_columns(), [f"a{r}{c}" for r in range(3) for c in range(4)])
-                                      if n in ("a00", "a01", "a03", "a10", "a11", "a13", "a23")])
+    return out.select("subject_id", *affine_columns())
 
 
 def rigid_transforms(spark, d, table="supplier"):
@@ -85,19 +86,39 @@ def resample_linear(spark, d):
     return geometry.resample(V.prob(spark, d), _moves(spark, d), TARGET, DIMS, 1).withColumn("v", F.round("v", 9))
 
 
-@query("resample_cubic")
+def _solved(source: str, axis: str, n: int) -> str:
+    """One axis of the spline coefficients: a line times the inverse of its system of equations."""
+    rest = [a for a in "ijk" if a != axis]
+    inverse = np.linalg.inv(geometry.spline_system(n))
+    table = ", ".join(f"({t}, {s}, {inverse[t, s]!r}::DOUBLE)" for t in range(n) for s in range(n)).replace("np.float64(", "").replace(")::DOUBLE", "::DOUBLE")
+    return f"SELECT subject_id, {rest[0]}, {rest[1]}, t::INT AS {axis}, sum(v * w) AS v FROM {source} JOIN (VALUES {table}) m(t, s, w) ON {axis} = s GROUP BY ALL"
+
+
+def _tap(x: str, a: str) -> str:
+    """Weight of the spline that is ``a`` voxels after the one at or before x."""
+    t = f"({x} - floor({x}))"
+    return f"CASE {a} WHEN -1 THEN (1 - {t})**3 WHEN 0 THEN 4 - 6*{t}**2 + 3*{t}**3 WHEN 1 THEN 4 - 6*(1 - {t})**2 + 3*(1 - {t})**3 ELSE {t}**3 END / 6"
+
+
+def _mirrored(x: str, a: str, n: int) -> str:
+    at = f"abs(floor({x}) + {a})"
+    return f"(CASE WHEN {at} > {n - 1} THEN {2 * (n - 1)} - {at} ELSE {at} END)::INT"
+
+
+SPLINE = dict(**POINTS, ck=_solved("prob", "k", NK), cj=_solved("ck", "j", NJ), ci=_solved("cj", "i", NI),
+              taps=f"""SELECT q.subject_id, q.i, q.j, q.k, {_mirrored('x', 'a', NI)} AS si, {_mirrored('y', 'b', NJ)} AS sj, {_mirrored('z', 'c', NK)} AS sk,
+ ({_tap('x', 'a')}) * ({_tap('y', 'b')}) * ({_tap('z', 'c')}) AS w FROM points q, range(-1, 3) ra(a), range(-1, 3) rb(b), range(-1, 3) rc(c)""")
+
+
+@query("resample_cubic", sql("""SELECT t.subject_id, t.i, t.j, t.k, round(sum(w * v), 6) AS v FROM taps t JOIN ci c ON c.subject_id = t.subject_id AND c.i = si AND c.j = sj AND c.k = sk
+ GROUP BY ALL HAVING abs(sum(w * v)) > 1e-12""", **SPLINE))
 def resample_cubic(spark, d):
     return geometry.resample(V.prob(spark, d), _moves(spark, d), TARGET, DIMS, 3).withColumn("v", F.round("v", 6))
 
 
-@query("spline_coefficients", sql(f"SELECT {VOX}, round(v, 5) AS v FROM prob WHERE v > 0"))
+@query("spline_coefficients", sql(f"SELECT {VOX}, round(v, 6) AS v FROM ci WHERE abs(v) > 1e-5", **SPLINE))
 def spline_coefficients(spark, d):
-    """The image rebuilt from its spline coefficients, which has to be the image."""
-    from ..operators.lines import sweep, weighted_kernel
-
-    coefficients = geometry.spline_coefficients(V.prob(spark, d), DIMS)
-    rebuilt = sweep(coefficients, DIMS, [weighted_kernel([4 / 6, 1 / 6], "reflect")] * 3, 0.0)
-    return rebuilt.withColumn("v", F.round("v", 5) + 0.0).filter("v > 0")
+    return geometry.spline_coefficients(V.prob(spark, d), DIMS).filter("abs(v) > 1e-5").withColumn("v", F.round("v", 6))
 
 
 @query("warp_labels", sql(f"""SELECT g.subject_id, g.i, g.j, g.k, label FROM grid g JOIN parc p ON p.subject_id = g.subject_id

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 
 import numpy as np
 import pandas as pd
@@ -13,7 +12,7 @@ from ..functions.joins import attach
 from ..functions.quantiles import exact_percentiles
 from ..schema import AXES, SUBJECT, VOXEL, Dims
 from ..session import scatter
-from .lines import sweep, weighted_kernel
+from .lines import sweep
 
 MILD, SEVERE = 5e-5, 0.005
 #: Source bricks of the interpolation and the voxels they borrow on each side.
@@ -141,11 +140,20 @@ def resample_nearest(voxels: DataFrame, transforms: DataFrame, target_dims: Dims
             .select(SUBJECT, *[F.col(f"_{a}").alias(a) for a in AXES], value))
 
 
-def spline_coefficients(voxels: DataFrame, dims: Dims, reach: int = 16) -> DataFrame:
-    """Cubic B-spline coefficients of a volume: a symmetric filter per axis, borders mirrored about the last voxel."""
-    pole = math.sqrt(3) - 2
-    weights = [math.sqrt(3) * pole ** n for n in range(reach + 1)]
-    return sweep(voxels.select(*VOXEL, "v"), dims, [weighted_kernel(weights, "reflect")] * 3, 0.0)
+def spline_system(n: int) -> np.ndarray:
+    """Values at the ``n`` voxels of a line of the cubic B-splines centred at them, borders mirrored about the last voxel."""
+    system = (np.diag(np.full(n, 4.0)) + np.diag(np.ones(n - 1), 1) + np.diag(np.ones(n - 1), -1)) / 6
+    if n > 1:
+        system[0, 1] = system[-1, -2] = 2 / 6
+    else:
+        system[0, 0] = 1.0
+    return system
+
+
+def spline_coefficients(voxels: DataFrame, dims: Dims) -> DataFrame:
+    """Cubic B-spline coefficients of a volume: along every axis the exact solution of a line's spline system."""
+    kernels = [lambda d, inverse=np.linalg.inv(spline_system(n)).T: d @ inverse for n in dims]
+    return sweep(voxels.select(*VOXEL, "v"), dims, kernels, 0.0)
 
 
 def _linear(t: np.ndarray) -> list[np.ndarray]:
