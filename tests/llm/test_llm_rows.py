@@ -216,12 +216,14 @@ def test_toxicity_learns_marked_words(spark, odd):
                 words[rng.randrange(len(words))] = rng.choice(["scoundrel", "wretched", "vermin"])
         rows.append((i, " ".join(words), int(toxic)))
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, label int")
-    model = toxicity.fit(docs.filter("doc_id < 400"))
+    labels = docs.select("doc_id", "label")
+    model = toxicity.fit(docs, labels.filter("doc_id < 400"))
     held = toxicity.classify(docs.filter("doc_id >= 400").withColumn("score", F.lit(9)), model).collect()
     assert np.mean([r.predicted == r.label for r in held]) > 0.95
     scored = toxicity.classify(odd, model)
     assert scored.filter("score < 0 OR score > 1 OR score IS NULL").count() == 0 and scored.count() == len(ODD)
-    assert toxicity.fit(docs.filter("label = 0")) is None and toxicity.fit(docs.limit(0)) is None
+    assert toxicity.fit(docs, labels.filter("label = 0")) is None and toxicity.fit(docs.limit(0), labels) is None
+    assert toxicity.sample(docs, labels, max_docs=7).groupBy("label").count().filter("count = 7").count() == 2
     assert toxicity.classify(odd, None).filter("score <> 0").count() == 0
 
 

@@ -123,7 +123,7 @@ def archives(spark: SparkSession, sf_dir: str) -> DataFrame:
 def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = _table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
-    model = toxicity.fit(docs.join(labels, "doc_id").filter(crc_part("doc_id", 5) != 0))
+    model = toxicity.fit(docs, labels.filter(crc_part("doc_id", 5) != 0))
     return toxicity.classify(docs, model).select("doc_id", _in_part(5, 0).alias("held_out"), "score", "predicted")
 
 

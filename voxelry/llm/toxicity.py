@@ -24,9 +24,12 @@ ORDINARY_BYTES = 8192
 TOXIC_BYTES = 1536
 #: Lengths of the character n-grams that tell toxic words.
 GRAMS = (5, 7)
+#: Bounds of the training sample: texts of either class, characters of a text.
+MAX_DOCS = 3000
+MAX_CHARS = 200_000
 #: A saving of at least so many bytes counts as an exceedance.
 STEPS = (1, 2, 3, 4, 6)
-_BUCKETS = 1 << 20
+_BUCKET_BITS = 22
 
 
 def plain(text: str | None) -> list[bytes]:
@@ -84,18 +87,21 @@ def _grams(words: Sequence[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
     h = np.zeros(count, np.uint64)
     for k in range(size):
         h = h * np.uint64(0x100000001B3) + raw[k:k + count]
-    h = (h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)
+    h = (h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BUCKET_BITS)
     word = np.cumsum(raw == 32) - 1
     return h.astype(np.int64), word[size // 2:size // 2 + count]
 
 
-def _marked(toxic: list[list[bytes]], ordinary: list[list[bytes]], size: int, sigma: float, odds: float) -> np.ndarray:
-    """Hashed n-grams whose texts are toxic far more often than chance: ``sigma`` standard deviations and ``odds`` times."""
+def _marked(toxic: list[str], ordinary: list[str], size: int, sigma: float, odds: float) -> np.ndarray:
+    """Hashed n-grams whose texts are toxic far more often than chance: ``sigma`` standard deviations and ``odds`` times.
+
+    The table has room for the n-grams of a bounded sample; were it small, rare marks would share their place with common n-grams.
+    """
     seen = []
     for texts in (toxic, ordinary):
-        count = np.zeros(_BUCKETS)
-        for words in texts:
-            count[np.unique(_grams(words, size)[0])] += 1
+        count = np.zeros(1 << _BUCKET_BITS, np.float32)
+        for text in texts:
+            count[np.unique(_grams(plain(text), size)[0])] += 1
         seen.append(count)
     share = len(toxic) / (len(toxic) + len(ordinary))
     total = seen[0] + seen[1]
@@ -106,24 +112,24 @@ def _marked(toxic: list[list[bytes]], ordinary: list[list[bytes]], size: int, si
 def dictionary(samples: list[bytes], size: int) -> bytes:
     """A trained dictionary; the samples themselves where there are too few to train on."""
     try:
-        return zstandard.train_dictionary(size, samples, k=16, d=6, level=3).as_bytes()
+        return zstandard.train_dictionary(size, samples, k=32, d=6, level=3).as_bytes()
     except zstandard.ZstdError:
         return b"".join(samples)[-size:]
 
 
-def train_dictionaries(toxic: list[list[bytes]], ordinary: list[list[bytes]], sigma: float = 6.5, odds: float = 10.0) -> tuple[bytes, bytes]:
-    """(ordinary, toxic) dictionaries from the words of texts."""
+def train_dictionaries(toxic: list[str], ordinary: list[str], sigma: float = 6.5, odds: float = 10.0) -> tuple[bytes, bytes]:
+    """(ordinary, toxic) dictionaries of texts."""
     marked = {size: _marked(toxic, ordinary, size, sigma, odds) for size in GRAMS}
     samples = []
-    for words in toxic:
-        told: set[int] = set()
+    for text in toxic:
+        words, told = plain(text), set()
         for size, found in marked.items():
             grams, word = _grams(words, size)
             told.update(word[found[grams]].tolist())
         samples += windows([words[i] for i in sorted(told)])
     common = []
-    for words in ordinary:
-        cut = windows(words)
+    for text in ordinary:
+        cut = windows(plain(text))
         common += cut[::max(1, len(cut) // 40)]
     return dictionary(common, ORDINARY_BYTES), dictionary(samples, TOXIC_BYTES) if samples else b""
 
@@ -143,34 +149,36 @@ def calibrate(rows: np.ndarray, labels: np.ndarray, ridge: float = 1.0) -> tuple
     return centre, spread, w[:-1], float(w[-1])
 
 
-def sample(labelled: DataFrame, max_docs: int = 6000, max_chars: int = 200_000) -> DataFrame:
-    """At most ``max_docs`` texts of either class, those with the smallest hash of their id: the bound of the training sample. Longer texts are left out
-    of it. Sorted per class by a top-k, without a full sort."""
-    fit = labelled.filter(F.col("text").isNotNull() & (F.length("text") <= max_chars))
-    parts = [fit.filter(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs) for k in (0, 1)]
-    return parts[0].unionByName(parts[1])
+def sample(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_chars: int = MAX_CHARS) -> DataFrame:
+    """Texts (doc_id, text, label) of at most ``max_docs`` labelled documents of either class, those with the smallest hash of their id: the bound of the
+    training sample. Texts of more than ``max_chars`` characters are left out of it. Only labels are ordered (a top-k per class, no full sort); the
+    chosen ids, twice ``max_docs`` at most, are broadcast, so no text is shuffled."""
+    known = labels.select(F.col("doc_id").alias(f"{OWN}id"), F.col("label").cast("int").alias("label"))
+    parts = [known.filter(F.col("label") == k).orderBy(F.xxhash64(f"{OWN}id"), f"{OWN}id").limit(max_docs) for k in (0, 1)]
+    chosen = F.broadcast(parts[0].unionByName(parts[1]))
+    fit = docs.select("doc_id", "text").filter(F.col("text").isNotNull() & (F.length("text") <= max_chars))
+    return fit.join(chosen, F.col("doc_id") == F.col(f"{OWN}id")).select("doc_id", "text", "label")
 
 
-def fit(labelled: DataFrame, max_docs: int = 6000, max_chars: int = 200_000) -> Model | None:
-    """Fit on ``sample(labelled)`` with columns doc_id, text and label; None if a class has no text.
+def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_chars: int = MAX_CHARS) -> Model | None:
+    """Fit on the texts of ``docs`` (doc_id, text) that ``sample`` takes by ``labels`` (doc_id, label); None if a class has no text.
 
     Of every three sampled texts two train the dictionaries and one calibrates; with fewer than 12 toxic texts all do both.
     """
-    taken = sample(labelled.select("doc_id", "text", "label"), max_docs, max_chars).select("text", F.col("label").cast("int")).toArrow()
+    taken = sample(docs, labels, max_docs, max_chars).orderBy(F.xxhash64("doc_id"), "doc_id", "label").select("text", "label").toArrow()
     pairs = list(dict.fromkeys(zip(taken.column("text").to_pylist(), taken.column("label").to_pylist())))  # a copied text counts once
     labels = np.array([k for _, k in pairs], np.int64)
     if set(labels.tolist()) != {0, 1}:
         return None
     texts = [t for t, _ in pairs]
-    words = [plain(t) for t in texts]
     order = np.empty(len(labels), np.int64)
     for k in (0, 1):
         order[labels == k] = np.arange((labels == k).sum())
     few = (labels == 1).sum() < 12
     learn = np.ones(len(labels), bool) if few else order % 3 != 2
     held = np.ones(len(labels), bool) if few else ~learn
-    ordinary, toxic = train_dictionaries([words[i] for i in np.flatnonzero(learn & (labels == 1))],
-                                         [words[i] for i in np.flatnonzero(learn & (labels == 0))])
+    ordinary, toxic = train_dictionaries([texts[i] for i in np.flatnonzero(learn & (labels == 1))],
+                                         [texts[i] for i in np.flatnonzero(learn & (labels == 0))])
     distance = Distance(ordinary, toxic)
     rows = np.array([distance.features(texts[i]) for i in np.flatnonzero(held)])
     return Model(ordinary, toxic, *calibrate(rows, labels[held].astype(float)))
