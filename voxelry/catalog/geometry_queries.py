@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from ..operators import geometry, stats
+from ..operators import geometry, stats, voxel
 from . import recipe as V
 from .recipe import DIMS, NI, NJ, NK
 from .registry import affine_columns, query, r6
@@ -86,12 +86,13 @@ def resample_linear(spark, d):
     return geometry.resample(V.prob(spark, d), _moves(spark, d), TARGET, DIMS, 1).withColumn("v", F.round("v", 9))
 
 
-def _solved(source: str, axis: str, n: int) -> str:
-    """One axis of the spline coefficients: a line times the inverse of its system of equations."""
+def _solved(source: str, axis: str, lengths: list[int], own: str) -> str:
+    """One axis of the spline coefficients: a line times the inverse of the system of equations of its own length, ``own``."""
     rest = [a for a in "ijk" if a != axis]
-    inverse = np.linalg.inv(geometry.spline_system(n))
-    table = ", ".join(f"({t}, {s}, {inverse[t, s]!r}::DOUBLE)" for t in range(n) for s in range(n)).replace("np.float64(", "").replace(")::DOUBLE", "::DOUBLE")
-    return f"SELECT subject_id, {rest[0]}, {rest[1]}, t::INT AS {axis}, sum(v * w) AS v FROM {source} JOIN (VALUES {table}) m(t, s, w) ON {axis} = s GROUP BY ALL"
+    table = ", ".join(f"({n}, {t}, {s}, {float(inverse[t, s])!r}::DOUBLE)" for n in lengths
+                      for inverse in [np.linalg.inv(geometry.spline_system(n))] for t in range(n) for s in range(n))
+    return (f"SELECT subject_id, {rest[0]}, {rest[1]}, t::INT AS {axis}, sum(v * w) AS v FROM {source} JOIN (VALUES {table}) m(n, t, s, w) "
+            f"ON {axis} = s AND n = {own} GROUP BY ALL")
 
 
 def _tap(x: str, a: str) -> str:
@@ -100,20 +101,64 @@ def _tap(x: str, a: str) -> str:
     return f"CASE {a} WHEN -1 THEN (1 - {t})**3 WHEN 0 THEN 4 - 6*{t}**2 + 3*{t}**3 WHEN 1 THEN 4 - 6*(1 - {t})**2 + 3*(1 - {t})**3 ELSE {t}**3 END / 6"
 
 
-def _mirrored(x: str, a: str, n: int) -> str:
+def _mirrored(x: str, a: str, n: str) -> str:
     at = f"abs(floor({x}) + {a})"
-    return f"(CASE WHEN {at} > {n - 1} THEN {2 * (n - 1)} - {at} ELSE {at} END)::INT"
+    return f"(CASE WHEN {at} > {n} - 1 THEN 2 * ({n} - 1) - {at} ELSE {at} END)::INT"
 
 
-SPLINE = dict(**POINTS, ck=_solved("prob", "k", NK), cj=_solved("ck", "j", NJ), ci=_solved("cj", "i", NI),
-              taps=f"""SELECT q.subject_id, q.i, q.j, q.k, {_mirrored('x', 'a', NI)} AS si, {_mirrored('y', 'b', NJ)} AS sj, {_mirrored('z', 'c', NK)} AS sk,
- ({_tap('x', 'a')}) * ({_tap('y', 'b')}) * ({_tap('z', 'c')}) AS w FROM points q, range(-1, 3) ra(a), range(-1, 3) rb(b), range(-1, 3) rc(c)""")
+def _spline_views(image: str, points: str, own: tuple[str, str, str], spans: tuple[list[int], list[int], list[int]]) -> dict[str, str]:
+    return dict(ck=_solved(image, "k", spans[2], own[2]), cj=_solved("ck", "j", spans[1], own[1]), ci=_solved("cj", "i", spans[0], own[0]),
+                taps=f"""SELECT q.subject_id, q.i, q.j, q.k, {_mirrored('x', 'a', own[0])} AS si, {_mirrored('y', 'b', own[1])} AS sj, {_mirrored('z', 'c', own[2])} AS sk,
+ ({_tap('x', 'a')}) * ({_tap('y', 'b')}) * ({_tap('z', 'c')}) AS w FROM {points} q, range(-1, 3) ra(a), range(-1, 3) rb(b), range(-1, 3) rc(c)""")
 
 
-@query("resample_cubic", sql("""SELECT t.subject_id, t.i, t.j, t.k, round(sum(w * v), 6) AS v FROM taps t JOIN ci c ON c.subject_id = t.subject_id AND c.i = si AND c.j = sj AND c.k = sk
- GROUP BY ALL HAVING abs(sum(w * v)) > 1e-12""", **SPLINE))
+SPLINE = dict(**POINTS, **_spline_views("prob", "points", (str(NI), str(NJ), str(NK)), ([NI], [NJ], [NK])))
+# quarter weights make exact ties of the ninth decimal; the small shift decides them alike in both engines
+CUBIC_SQL = """SELECT t.subject_id, t.i, t.j, t.k, round(sum(w * v) + 3e-11, 9) AS v FROM taps t JOIN ci c ON c.subject_id = t.subject_id AND c.i = si AND c.j = sj AND c.k = sk
+ GROUP BY ALL HAVING abs(sum(w * v)) > 1e-12"""
+# every participant's scan has a grid of its own, cut from the common one
+OWN = (f"({NI} - subject_id % 4)", f"({NJ} - subject_id % 2)", f"({NK} - subject_id % 3)")
+OWN_SPLINE = dict(**POINTS, own_prob="SELECT * FROM prob WHERE " + " AND ".join(f"{a} < {n}" for a, n in zip("ijk", OWN)),
+                  own_points="SELECT * FROM points WHERE " + " AND ".join(f"{c} <= {n} - 1" for c, n in zip("xyz", OWN)),
+                  **_spline_views("own_prob", "own_points", OWN, ([NI - n for n in range(4)], [NJ, NJ - 1], [NK, NK - 1, NK - 2])))
+
+
+def own_grids(spark, d):
+    s = F.col("subject_id")
+    return V.subjects(spark, d).select("subject_id", (NI - s % 4).cast("int").alias("ni"), (NJ - s % 2).cast("int").alias("nj"), (NK - s % 3).cast("int").alias("nk"))
+
+
+def _own_prob(spark, d):
+    cut = V.prob(spark, d).join(own_grids(spark, d), "subject_id").filter("i < ni AND j < nj AND k < nk")
+    return cut.select("subject_id", "i", "j", "k", "v")
+
+
+@query("resample_cubic_own_grids", sql(CUBIC_SQL, **OWN_SPLINE))
+def resample_cubic_own_grids(spark, d):
+    """Borders are mirrored at the edge of every scan's own grid."""
+    return geometry.resample(_own_prob(spark, d), _moves(spark, d), TARGET, DIMS, 3, grids=own_grids(spark, d)).withColumn("v", F.round(F.col("v") + 3e-11, 9))
+
+
+@query("resample_linear_own_grids", sql("""SELECT q.subject_id, q.i, q.j, q.k, round(sum(v * (1 - abs(x - p.i)) * (1 - abs(y - p.j)) * (1 - abs(z - p.k))), 9) AS v
+ FROM own_points q JOIN own_prob p ON p.subject_id = q.subject_id AND abs(x - p.i) < 1 AND abs(y - p.j) < 1 AND abs(z - p.k) < 1 GROUP BY ALL""", **OWN_SPLINE))
+def resample_linear_own_grids(spark, d):
+    return geometry.resample(_own_prob(spark, d), _moves(spark, d), TARGET, DIMS, 1, grids=own_grids(spark, d)).withColumn("v", F.round("v", 9))
+
+
+@query("value_range_own_grids", sql(f"""SELECT subject_id, CASE WHEN count(*) >= {OWN[0]} * {OWN[1]} * {OWN[2]} THEN min(v) ELSE least(min(v), 0) END AS lo,
+ CASE WHEN count(*) >= {OWN[0]} * {OWN[1]} * {OWN[2]} THEN max(v) ELSE greatest(max(v), 0) END AS hi FROM own_full GROUP BY subject_id""", **OWN_SPLINE,
+ own_full=f"SELECT g.subject_id, g.i, g.j, g.k, coalesce(v, 0.5) AS v FROM grid g LEFT JOIN prob p USING ({VOX}) WHERE (g.subject_id % 5 > 0 OR g.i > 0) AND "
+          + " AND ".join(f"g.{a} < {n.replace('subject_id', 'g.subject_id')}" for a, n in zip("ijk", OWN))))
+def value_range_own_grids(spark, d):
+    """A scan that fills its own grid has no zero outside its values."""
+    cells = V.grid(spark, d).join(own_grids(spark, d), "subject_id").filter("i < ni AND j < nj AND k < nk AND (subject_id % 5 > 0 OR i > 0)")
+    full = cells.select("subject_id", "i", "j", "k").join(V.prob(spark, d), ["subject_id", "i", "j", "k"], "left").withColumn("v", F.coalesce("v", F.lit(0.5)))
+    return voxel.value_range(full, DIMS, own_grids(spark, d))
+
+
+@query("resample_cubic", sql(CUBIC_SQL, **SPLINE))
 def resample_cubic(spark, d):
-    return geometry.resample(V.prob(spark, d), _moves(spark, d), TARGET, DIMS, 3).withColumn("v", F.round("v", 6))
+    return geometry.resample(V.prob(spark, d), _moves(spark, d), TARGET, DIMS, 3).withColumn("v", F.round(F.col("v") + 3e-11, 9))
 
 
 @query("spline_coefficients", sql(f"SELECT {VOX}, round(v, 6) AS v FROM ci WHERE abs(v) > 1e-5", **SPLINE))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -118,22 +119,35 @@ def cluster_transform(source_affine: Column, transform: Column, target_affine: C
     return matrix.matmul4(matrix.matmul4(matrix.inverse_affine(target_affine), back), source_affine)
 
 
-def target_points(transforms: DataFrame, target_dims: Dims, source_dims: Dims) -> DataFrame:
-    """Every target voxel with its source coordinate ``x y z``, as far as that lies inside the source grid."""
+#: Columns with the grid of a participant's own source scan.
+OWN_GRID = ("_ni", "_nj", "_nk")
+
+
+def own_grids(grids: DataFrame | None) -> DataFrame | None:
+    """(subject_id, ni, nj, nk) of scans under the names of ``OWN_GRID``."""
+    return None if grids is None else grids.select(SUBJECT, *[F.col(c[1:]).cast("int").alias(c) for c in OWN_GRID])
+
+
+def target_points(transforms: DataFrame, target_dims: Dims, source_dims: Dims, grids: DataFrame | None = None) -> DataFrame:
+    """Every target voxel with its source coordinate ``x y z``, as far as that lies inside the source grid: that of ``grids`` (subject_id, ni, nj, nk)
+    where it is given, else ``source_dims`` for all. The grid comes along in the columns of ``OWN_GRID``."""
     ni, nj, nk = target_dims
-    slabs = transforms.select(SUBJECT, *[F.col("affine")[n].alias(f"_m{n}") for n in range(12)],
+    rows = (transforms.select(SUBJECT, "affine").withColumns({c: F.lit(n) for c, n in zip(OWN_GRID, source_dims)}) if grids is None
+            else transforms.select(SUBJECT, "affine").join(own_grids(grids), SUBJECT))
+    slabs = rows.select(SUBJECT, *OWN_GRID, *[F.col("affine")[n].alias(f"_m{n}") for n in range(12)],
                               F.explode(F.sequence(F.lit(0), F.lit(ni - 1))).alias("i"))
     points = (scatter(slabs, SUBJECT, "i").withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(nj - 1))))
               .withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(nk - 1)))))
     # exact lattice points must not fall out of the grid by rounding
     rounded = [f"round(_m{4 * r} * i + _m{4 * r + 1} * j + _m{4 * r + 2} * k + _m{4 * r + 3}, 9)" for r in range(3)]
-    inside = " AND ".join(f"{c} BETWEEN 0 AND {n - 1}" for c, n in zip("xyz", source_dims))
-    return points.select(*VOXEL, *[F.expr(c).alias(n) for n, c in zip("xyz", rounded)]).filter(inside)
+    inside = " AND ".join(f"{c} BETWEEN 0 AND {n} - 1" for c, n in zip("xyz", OWN_GRID))
+    return points.select(*VOXEL, *OWN_GRID, *[F.expr(c).alias(n) for n, c in zip("xyz", rounded)]).filter(inside)
 
 
-def resample_nearest(voxels: DataFrame, transforms: DataFrame, target_dims: Dims, source_dims: Dims, value: str = "v") -> DataFrame:
+def resample_nearest(voxels: DataFrame, transforms: DataFrame, target_dims: Dims, source_dims: Dims, value: str = "v",
+                     grids: DataFrame | None = None) -> DataFrame:
     """Put a volume on another grid, nearest voxel; ``transforms.affine`` maps target voxels to source voxels."""
-    points = target_points(transforms, target_dims, source_dims)
+    points = target_points(transforms, target_dims, source_dims, grids)
     near = points.select(*[F.col(a).alias(f"_{a}") if a in AXES else F.col(a) for a in VOXEL],
                          *[F.floor(F.col(c) + 0.5).cast("int").alias(a) for a, c in zip(AXES, "xyz")])
     return (near.join(voxels.select(*VOXEL, value), list(VOXEL))
@@ -150,10 +164,19 @@ def spline_system(n: int) -> np.ndarray:
     return system
 
 
-def spline_coefficients(voxels: DataFrame, dims: Dims) -> DataFrame:
-    """Cubic B-spline coefficients of a volume: along every axis the exact solution of a line's spline system."""
-    kernels = [lambda d, inverse=np.linalg.inv(spline_system(n)).T: d @ inverse for n in dims]
-    return sweep(voxels.select(*VOXEL, "v"), dims, kernels, 0.0)
+@lru_cache(64)
+def _spline_inverse(n: int) -> np.ndarray:
+    return np.linalg.inv(spline_system(n)).T
+
+
+def spline_coefficients(voxels: DataFrame, dims: Dims, grids: DataFrame | None = None) -> DataFrame:
+    """Cubic B-spline coefficients of a volume: along every axis the exact solution of a line's spline system, of the length of the scan's own
+    grid where ``grids`` tells it."""
+    kernels = [lambda d: d @ _spline_inverse(d.shape[1])] * 3
+    if grids is None:
+        return sweep(voxels.select(*VOXEL, "v"), dims, kernels, 0.0)
+    sized = attach(voxels.select(*VOXEL, "v"), own_grids(grids))
+    return sweep(sized, dims, kernels, 0.0, keys=(SUBJECT, *OWN_GRID), own_lengths=OWN_GRID).select(*VOXEL, "v")
 
 
 def _linear(t: np.ndarray) -> list[np.ndarray]:
@@ -165,9 +188,10 @@ def _cubic(t: np.ndarray) -> list[np.ndarray]:
     return [s ** 3 / 6, (4 - 6 * t ** 2 + 3 * t ** 3) / 6, (4 - 6 * s ** 2 + 3 * s ** 3) / 6, t ** 3 / 6]
 
 
-def _interpolate(points: pd.DataFrame, source: pd.DataFrame, order: int, dims: Dims) -> pd.DataFrame:
+def _interpolate(points: pd.DataFrame, source: pd.DataFrame, order: int) -> pd.DataFrame:
     """Values at the points of one source brick from the voxels of that brick and its halo."""
     out = points[list(VOXEL)].copy()
+    dims = [int(points[c].iloc[0]) if len(points) else 1 for c in OWN_GRID]
     corner = [int(points[f"_b{a}"].iloc[0]) * BRICK - HALO if len(points) else 0 for a in AXES]
     block = np.zeros((BRICK + 2 * HALO + 1,) * 3)
     if len(source):
@@ -194,17 +218,19 @@ def _interpolate(points: pd.DataFrame, source: pd.DataFrame, order: int, dims: D
 
 
 def resample(voxels: DataFrame, transforms: DataFrame, target_dims: Dims, source_dims: Dims, order: int = 3,
-             tiny: float = 1e-12) -> DataFrame:
+             tiny: float = 1e-12, grids: DataFrame | None = None) -> DataFrame:
     """Put a volume on another grid with linear (1) or cubic (3) interpolation, nearest for order 0.
 
+    ``grids`` (subject_id, ni, nj, nk) tells the own grid of every source scan, none larger than ``source_dims``; borders are mirrored there.
+
     Target points are sent to the source brick they read from, and source voxels to their brick and to the bricks whose
     halo they are in; each brick is interpolated as one dense block, so no tap ever becomes a row.
     """
     if order == 0:
-        return resample_nearest(voxels, transforms, target_dims, source_dims)
-    source = voxels.select(*VOXEL, "v") if order == 1 else spline_coefficients(voxels, source_dims)
+        return resample_nearest(voxels, transforms, target_dims, source_dims, grids=grids)
+    source = voxels.select(*VOXEL, "v") if order == 1 else spline_coefficients(voxels, source_dims, grids)
     home = [f"_b{a}" for a in AXES]
-    points = target_points(transforms, target_dims, source_dims)
+    points = target_points(transforms, target_dims, source_dims, grids)
     points = points.withColumns({b: F.floor(F.col(c) / BRICK).cast("int") for b, c in zip(home, "xyz")})
     spread = source
     for a, b, n in zip(AXES, home, source_dims):
@@ -215,7 +241,7 @@ def resample(voxels: DataFrame, transforms: DataFrame, target_dims: Dims, source
     schema = T.StructType([*points.select(*VOXEL).schema.fields, T.StructField("v", T.DoubleType())])
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        return _interpolate(left, right, order, source_dims)
+        return _interpolate(left, right, order)
 
     done = points.groupBy(SUBJECT, *home).cogroup(spread.groupBy(SUBJECT, *home)).applyInPandas(run, schema)
     return done.filter(F.abs("v") > tiny)

@@ -20,18 +20,21 @@ Kernel = Callable[[np.ndarray], np.ndarray]
 
 
 def along(df: DataFrame, axis: str, dims: Dims, kernel: Kernel, fill: float, value: str = "v",
-          keys: Sequence[str] = (SUBJECT,), limit: float | None = None, wanted: DataFrame | None = None) -> DataFrame:
+          keys: Sequence[str] = (SUBJECT,), limit: float | None = None, wanted: DataFrame | None = None,
+          own_length: str | None = None) -> DataFrame:
     """Apply ``kernel`` to the dense ``(lines, length)`` matrix of each batch of lines.
 
     Absent voxels are ``fill``; result cells that are not finite, equal ``fill``, or exceed ``limit`` are dropped.
     Lines without any row stay absent. ``wanted`` names the only cells to return: some columns of a line and ``_w``, the list of
-    positions along it; lines it does not name are left out.
+    positions along it; lines it does not name are left out. ``own_length`` names a key with the length of a line's own grid, where it is
+    shorter than the longest: the kernel then sees lines of equal length together, each cut to it.
     """
     length = dims[AXES.index(axis)]
     line = [*keys, *other_axes(axis)]
     packed = (df.groupBy(*line).agg(F.collect_list(F.struct(F.col(axis).alias("x"), F.col(value).cast("double").alias("y"))).alias("_c"))
               .select(*line, F.col("_c.x").alias("_x"), F.col("_c.y").alias("_y")))
     width, result, chosen = len(line), packed.schema, wanted is not None
+    sized = None if own_length is None else line.index(own_length)
     if wanted is not None:
         on = [c for c in wanted.columns if c != "_w"]
         along_subject = set(on).isdisjoint(AXES)  # then a hot subject is spread by its lines
@@ -44,7 +47,12 @@ def along(df: DataFrame, axis: str, dims: Dims, kernel: Kernel, fill: float, val
             rows = np.repeat(np.arange(n), np.diff(xs.offsets.to_numpy()))
             dense = np.full((n, length), fill)
             dense[rows, xs.flatten().to_numpy()] = ys.flatten().to_numpy(zero_copy_only=False)
-            out = kernel(dense)
+            if sized is None:
+                out = kernel(dense)
+            else:
+                out, sizes = np.full_like(dense, fill), batch.column(sized).to_numpy()
+                for size in np.unique(sizes):
+                    out[sizes == size, :size] = kernel(dense[sizes == size, :size])
             keep = np.isfinite(out) & (out != fill)
             if limit is not None:
                 keep &= out <= limit
@@ -67,8 +75,8 @@ def along(df: DataFrame, axis: str, dims: Dims, kernel: Kernel, fill: float, val
 
 def sweep(df: DataFrame, dims: Dims, kernels: Sequence[Kernel], fill: float, value: str = "v",
           keys: Sequence[str] = (SUBJECT,), limit: float | None = None, where: DataFrame | None = None,
-          where_keys: Sequence[str] = (SUBJECT,)) -> DataFrame:
-    """Passes along k, j and i; ``kernels`` are given in the order i, j, k.
+          where_keys: Sequence[str] = (SUBJECT,), own_lengths: Sequence[str] | None = None) -> DataFrame:
+    """Passes along k, j and i; ``kernels`` are given in the order i, j, k, and so are ``own_lengths``, keys with the grid of a line's participant.
 
     With ``where`` (``where_keys``, among the keys, and voxels; read three times) only its voxels are returned, and every pass
     only makes the cells that lead to one: rows then grow with ``where`` and the seeds, not with the grid.
@@ -76,7 +84,7 @@ def sweep(df: DataFrame, dims: Dims, kernels: Sequence[Kernel], fill: float, val
     final: list[str] = []
     for axis, kernel in reversed(list(zip(AXES, kernels))):
         wanted = None if where is None else where.groupBy(*where_keys, *final).agg(F.collect_set(axis).alias("_w"))
-        df = along(df, axis, dims, kernel, fill, value, keys, limit, wanted)
+        df = along(df, axis, dims, kernel, fill, value, keys, limit, wanted, own_lengths[AXES.index(axis)] if own_lengths else None)
         final.append(axis)
     return df
 

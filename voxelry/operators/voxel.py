@@ -101,18 +101,20 @@ def drop_near_zero(df: DataFrame, level: float = 0.001) -> DataFrame:
     return df.filter(F.col("v") >= level)
 
 
-def value_range(df: DataFrame, dims: Dims) -> DataFrame:
-    """Minimum and maximum per subject; absent voxels count as zero."""
-    size = math.prod(dims)
-    full = F.count("*") >= size
-    zero = F.lit(0.0)
-    return df.groupBy(SUBJECT).agg(
-        F.when(full, F.min("v")).otherwise(F.least(F.min("v"), zero)).alias("lo"),
-        F.when(full, F.max("v")).otherwise(F.greatest(F.max("v"), zero)).alias("hi"))
-
-
-def clamp_to_source_range(df: DataFrame, source: DataFrame, dims: Dims) -> DataFrame:
-    rows = attach(df, value_range(source, dims))
+def value_range(df: DataFrame, dims: Dims, grids: DataFrame | None = None) -> DataFrame:
+    """Minimum and maximum per subject; absent voxels of its grid (``dims``, or its own in ``grids``: subject_id, ni, nj, nk) count as zero."""
+    found = df.groupBy(SUBJECT).agg(F.count("*").alias("_n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    size = F.lit(math.prod(dims))
+    if grids is not None:
+        found = found.join(grids.select(SUBJECT, (F.col("ni").cast("long") * F.col("nj") * F.col("nk")).alias("_size")), SUBJECT)
+        size = F.col("_size")
+    full, zero = F.col("_n") >= size, F.lit(0.0)
+    return found.select(SUBJECT, F.when(full, F.col("lo")).otherwise(F.least("lo", zero)).alias("lo"),
+                        F.when(full, F.col("hi")).otherwise(F.greatest("hi", zero)).alias("hi"))
+
+
+def clamp_to_source_range(df: DataFrame, source: DataFrame, dims: Dims, grids: DataFrame | None = None) -> DataFrame:
+    rows = attach(df, value_range(source, dims, grids))
     return (rows.withColumn("v", F.least(F.greatest("v", "lo"), "hi")).select(*df.columns).filter("v <> 0"))
 
 

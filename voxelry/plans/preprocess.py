@@ -42,7 +42,7 @@ def rescaled_affine(affine: Column, dims: list[Column], old: list[Column], new:
 
 
 def common_dims(images: DataFrame) -> Dims:
-    """The grid that holds every scan."""
+    """The grid that holds every scan; each keeps its own limits inside it."""
     r = images.agg(F.max("ni"), F.max("nj"), F.max("nk")).first()
     return int(r[0]), int(r[1]), int(r[2])
 
@@ -66,8 +66,8 @@ def conform(images: DataFrame, voxels: DataFrame, settings: Settings) -> tuple[D
     for order in [r[0] for r in moves.select("interpolation_order").distinct().collect()]:  # 0, 3 or both
         chosen = moves.filter(F.col("interpolation_order") == order)
         own = voxel.attach(voxels, chosen.select(SUBJECT), how="left_semi") if order else voxels
-        moved = geometry.resample(own, chosen, out, source, order).select(*VOXEL, "v")
-        parts.append(voxel.clamp_to_source_range(moved, own, source) if order else moved)
+        moved = geometry.resample(own, chosen, out, source, order, grids=images).select(*VOXEL, "v")
+        parts.append(voxel.clamp_to_source_range(moved, own, source, images) if order else moved)
     both = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     header = rows.select(SUBJECT, *[F.lit(n).alias(c) for c, n in zip(("ni", "nj", "nk"), out)],
                          *[F.col(f"out_{v}").alias(v) for v in ("vx", "vy", "vz")], F.col("_target").alias("affine"), "orient", "status")
@@ -86,7 +86,7 @@ def mask_on_grid(mask: DataFrame, mask_images: DataFrame, images: DataFrame, set
     if world is not None:
         pair, through = pair.join(world.select(SUBJECT, "transform"), SUBJECT), F.col("transform")
     moves = pair.select(SUBJECT, geometry.grid_transform(F.col("_s"), F.col("_t"), through).alias("affine"))
-    near = geometry.resample_nearest(mask, moves, dims, common_dims(mask_images))
+    near = geometry.resample_nearest(mask, moves, dims, common_dims(mask_images), grids=mask_images)
     binary = voxel.threshold(near, settings.mask_threshold, "+", True).select(*VOXEL)
     return components.check_clusters(binary, dims, "keep_all", settings.min_mask_volume / math.prod(settings.voxel_size),
                                      morphology.radii_in_voxels(settings.mask_growth, settings.voxel_size), subjects=images)
@@ -125,7 +125,7 @@ def preprocess_secondary(images: DataFrame, voxels: DataFrame, main: Prepared, s
         pair, through = pair.join(transforms.select(SUBJECT, "transform"), SUBJECT), F.col("transform")
     moves = pair.select(SUBJECT, geometry.grid_transform(F.col("_s"), F.col("_t"), through).alias("affine"))
     source = common_dims(images)
-    moved = voxel.clamp_to_source_range(geometry.resample(voxels, moves, settings.cropped_dims, source, 3), voxels, source)
+    moved = voxel.clamp_to_source_range(geometry.resample(voxels, moves, settings.cropped_dims, source, 3, grids=images), voxels, source, images)
     return voxel.normalise(voxel.apply_mask(moved, main.mask), main.mask, settings.percentile, inverse)
 
 
