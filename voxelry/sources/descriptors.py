@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Names that a model folder may carry (fixed values).
@@ -20,10 +24,32 @@ def file_checksums(spark: SparkSession, root: str, glob: str = "*") -> DataFrame
 
 
 def directory_checksums(files: DataFrame, folder: str = "folder", name: str = "name", content: str = "content") -> DataFrame:
-    """Checksum of each model directory: its files in name order, one after another. A directory is one saved model."""
-    parts = F.array_sort(F.collect_list(F.struct(F.col(name).alias("n"), F.col(content).cast("binary").alias("c"))))
-    joined = F.aggregate(parts, F.lit(b""), lambda acc, p: F.concat(acc, p["c"]))
-    return files.groupBy(folder).agg(F.md5(joined).alias("md5"), F.count("*").alias("n_files"))
+    """Checksum of each model directory: its files in name order, one after another. A directory is one saved model.
+
+    A checksum of a sequence is sequential, so a directory is read by one task; it streams through, file by file, and is never held as a whole.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, digest, count = None, None, 0
+
+        def done() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([current], pa.string()), pa.array([digest.hexdigest()]), pa.array([count], pa.int64())],
+                                              names=[folder, "md5", "n_files"])
+
+        for batch in batches:
+            for k in range(batch.num_rows):
+                where = batch.column(0)[k].as_py()
+                if digest is None or where != current:
+                    if digest is not None:
+                        yield done()
+                    current, digest, count = where, hashlib.md5(), 0
+                digest.update(batch.column(2)[k].as_py() or b"")
+                count += 1
+        if digest is not None:
+            yield done()
+
+    rows = files.select(F.col(folder).cast("string").alias(folder), F.col(name).alias("_name"), F.col(content).cast("binary").alias("_content"))
+    ordered = rows.repartition(folder).sortWithinPartitions(folder, "_name", "_content")
+    return ordered.mapInArrow(run, f"`{folder}` string, md5 string, n_files bigint")
 
 
 def read_descriptor(spark: SparkSession, path: str) -> DataFrame:
