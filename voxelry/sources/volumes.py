@@ -114,5 +114,5 @@ def read_volumes(scans: DataFrame, frame: int | None = None) -> DataFrame:
 
 
 def store_voxels(voxels: DataFrame, path: str) -> None:
-    """Write voxel rows so that later stages prune by subject."""
-    voxels.write.mode("overwrite").partitionBy(SUBJECT).parquet(path)
+    """Write voxel rows so that later stages prune by subject: a few files a subject, whatever the number of tasks."""
+    voxels.repartition(SUBJECT, F.floor(F.col("k") / 64)).write.mode("overwrite").partitionBy(SUBJECT).parquet(path)

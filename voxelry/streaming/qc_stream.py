@@ -2,21 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.cohort import MIN_COHORT, metric_columns, qc_bounds
 from ..schema import SUBJECT
 from ..session import cut_lineage
 
 
-def first_arrivals(batch: DataFrame, order: Sequence[str]) -> DataFrame:
-    """The first row of each subject in a batch."""
-    rest = [c for c in batch.columns if c != SUBJECT]
-    first = batch.groupBy(SUBJECT).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_r"))
-    return first.select(SUBJECT, "_r.*").select(*batch.columns)
+def first_arrivals(arrivals: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The first row of each subject ever: what was seen is keyed state of the stream, so a batch costs what arrives in it."""
+    def run(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        best = None
+        for part in parts:
+            both = part if best is None else pd.concat([best, part])
+            best = both.sort_values(list(order), kind="stable").head(1)
+        if not state.exists:
+            state.update((True,))
+            yield best
+
+    return arrivals.groupBy(SUBJECT).applyInPandasWithState(run, arrivals.schema, "seen boolean", "append", GroupStateTimeout.NoTimeout)
 
 
 def judge(batch: DataFrame, bounds: DataFrame, metrics: Sequence[str]) -> DataFrame:
@@ -40,9 +49,9 @@ def qc_stream(arrivals: DataFrame, population: DataFrame, store: str, checkpoint
     """Judge arriving rows against a stored population and append them to ``store``, each subject once.
 
     A batch is written to its own folder, overwritten if the batch is retried, so a restart neither loses nor repeats
-    rows. The fences come from the population alone: the stream keeps no state and needs no watermark.
+    rows. The fences come from the population alone. The only state is the set of subjects seen so far, kept by key; it needs no watermark, as
+    a subject must never be judged twice.
     """
-    spark = arrivals.sparkSession
     metrics = [m for m in metric_columns(arrivals) if m not in order]
     known = population.select(SUBJECT, *[m for m in metrics if m in population.columns])
     if known.count() < MIN_COHORT:  # too few to judge by, as in a batch; peaks keep their fixed range
@@ -50,17 +59,8 @@ def qc_stream(arrivals: DataFrame, population: DataFrame, store: str, checkpoint
     bounds = cut_lineage(qc_bounds(known))
 
     def run(batch: DataFrame, number: int) -> None:
-        fresh = first_arrivals(batch, order)
-        earlier = _earlier(number)
-        if earlier is not None:
-            fresh = fresh.join(earlier, SUBJECT, "left_anti")
-        judge(fresh, bounds, metrics).write.mode("overwrite").parquet(f"{store}/batch_id={number}")
+        judge(batch, bounds, metrics).write.mode("overwrite").parquet(f"{store}/batch_id={number}")
         if on_batch is not None:
             on_batch(number)
 
-    def _earlier(number: int) -> DataFrame | None:
-        if number == 0:
-            return None
-        return spark.read.parquet(store).filter(F.col("batch_id") < number).select(SUBJECT)
-
-    return (arrivals.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    return (first_arrivals(arrivals, order).writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
