@@ -240,16 +240,31 @@ def across(members: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int,
     """Links (u > v), confirmed on full sets, that join the components known so far: enough of them to find what all links would.
 
     ``members``: key, band, id, comp. Keys whose members are all of one component are dropped. Of a key, only members of different components are
-    compared, by registers first; no pair leaves the task unless it joins two components there. The members of a larger key are dealt to cells of
-    about ``block``, and every two cells meet in a task of their own: the memory of a task is bounded whatever the size of the key.
+    compared, by registers first; no pair leaves the task unless it joins two components there. The members of the largest component of a key and
+    the others are dealt to cells of about ``block``; every two cells of others meet in a task of their own, and every cell of others meets every cell of the
+    largest component, whose members never meet each other. The memory of a task is bounded whatever the size of the key, and where nearly all members
+    are of one component each of them is sent once.
     """
-    spread = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).filter("lo < hi").select("key", "n")
+    parts = members.groupBy("key", "comp").agg(F.count("*").alias("n"))
+    spread = (parts.groupBy("key").agg(F.max_by("comp", F.struct("n", -F.col("comp"))).alias("main"), F.max("n").alias("m"), F.sum("n").alias("n"))
+              .filter("m < n").select("key", "main", F.ceil(F.col("m") / block).cast("int").alias("s_main"),
+                                      F.ceil((F.col("n") - F.col("m")) / block).cast("int").alias("s_other")))
+    in_main = F.col("comp") == F.col("main")
+    other_cells, main_cells = (F.sequence(F.lit(0), F.col(s) - 1) for s in ("s_other", "s_main"))
+
+    def meeting(i, j, side):
+        return F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), side.cast("int").alias("side"))
+
+    # cells of the largest component have the numbers -1, -2, ...
+    c = F.col("c")
+    with_others = F.transform(other_cells, lambda o: F.when(in_main, meeting(o, -1 - c, F.lit(1))).otherwise(meeting(F.least(c, o), F.greatest(c, o), c > o)))
+    with_main = F.transform(main_cells, lambda o: meeting(c, -1 - o, F.lit(0)))
+    meetings = F.when(in_main, with_others).otherwise(F.concat(with_others, with_main))
     cells = (members.join(spread, "key")
-             .withColumn("s", F.ceil(F.col("n") / block).cast("int")).withColumn("c", F.pmod(F.xxhash64("id"), F.col("s")).cast("int"))
+             .withColumn("c", F.pmod(F.xxhash64("id"), F.when(in_main, F.col("s_main")).otherwise(F.col("s_other"))).cast("int"))
              .join(nodes.select("id", "n_shingles", "registers"), "id").join(texts, "id")
-             .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("s") - 1)))
-             .select("key", "band", F.least("c", "o").alias("i"), F.greatest("c", "o").alias("j"), (F.col("c") > F.col("o")).cast("int").alias("side"),
-                     "id", "comp", "n_shingles", "registers", "text"))
+             .select("key", "band", "id", "comp", "n_shingles", "registers", "text", F.explode(meetings).alias("at"))
+             .select("key", "band", "at.*", "id", "comp", "n_shingles", "registers", "text"))
     dealt = cells.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     return dealt.mapInArrow(_comparer(percent), "u bigint, v bigint").distinct()
 
