@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..functions.offsets import neighbours
 from ..schema import AXES, SUBJECT, VOXEL, Dims, in_grid, other_axes
+from ..session import staged
 from .lines import sweep, weighted_kernel
 from .morphology import by_brick
 from .stats import remove_dark_classes
@@ -43,7 +44,7 @@ def fast_smooth(image: DataFrame, dims: Dims) -> DataFrame:
 def difference_of_gaussians(image: DataFrame, dims: Dims, fwhm: float = 3.0,
                             voxel_size: tuple[float, float, float] = (1.0, 1.0, 1.0)) -> DataFrame:
     """Narrow minus wide smoothing, where the wide one continues the narrow one."""
-    narrow = gaussian_smooth(image, dims, fwhm, voxel_size)
+    narrow = staged(gaussian_smooth(image, dims, fwhm, voxel_size), "narrow")  # read by the wide one and by the difference
     wide = gaussian_smooth(narrow, dims, fwhm * math.sqrt(WIDE_RATIO ** 2 - 1), voxel_size)
     both = narrow.unionByName(wide.withColumn("v", -F.col("v")))
     return both.groupBy(*VOXEL).agg(F.sum("v").alias("v"))
@@ -60,12 +61,17 @@ def inner_edges(mask: DataFrame, dims: Dims) -> DataFrame:
     return rows.filter("NOT _deep").drop("_deep")
 
 
+#: Dark classes that are removed, of how many, by level (fixed values): the higher the level, the more is kept.
+DARK_CLASSES = {1: (3, 4), 2: (2, 3), 3: (1, 2), 4: (1, 3), 5: (1, 4)}
+
+
 def dog_edges(image: DataFrame, mask: DataFrame, dims: Dims, fwhm: float = 3.0,
               voxel_size: tuple[float, float, float] = (1.0, 1.0, 1.0), level: int = 3, tiny: float = 1e-9) -> DataFrame:
     """One-voxel edges of an image: dark classes removed, difference of Gaussians, rim of its positive part.
 
-    Values up to ``tiny`` are rounding noise of the two sums and count as not positive.
+    ``level`` names a row of ``DARK_CLASSES``, beyond its ends the nearest. Values up to ``tiny`` are rounding noise of the two sums and count as not positive.
     """
-    bright = remove_dark_classes(image, mask, dims, level)
+    row = min(DARK_CLASSES, key=lambda known: abs(known - level))
+    bright = remove_dark_classes(image, mask, dims, *DARK_CLASSES[row])
     positive = difference_of_gaussians(bright, dims, fwhm, voxel_size).filter(F.col("v") > tiny)
     return inner_edges(positive, dims)

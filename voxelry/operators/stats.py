@@ -131,10 +131,8 @@ def _extend(t: Column, gain) -> Column:
     return F.coalesce(F.array_max(options), F.struct(F.lit(-1.0).alias("score"), F.array().cast("array<int>").alias("cuts")))
 
 
-def remove_dark_classes(image: DataFrame, mask: DataFrame, dims: Dims, level: int = 3) -> DataFrame:
-    """Zero the dark classes of a masked image; ``level`` 1..5 keeps more bright voxels the higher it is."""
-    level = max(1, min(5, level))
-    classes, dark = abs(3 - level) + 2, max(1, min(3, 4 - level))
+def remove_dark_classes(image: DataFrame, mask: DataFrame, dims: Dims, dark: int = 1, classes: int = 2) -> DataFrame:
+    """Zero the ``dark`` darkest of ``classes`` classes of intensity of a masked image."""
     inside = apply_mask(image, mask)
     cut = otsu_threshold(inside, dims, classes).select(SUBJECT, F.col("thresholds")[dark - 1].alias("_t"))
     return attach(inside, cut).filter(F.col("v") >= F.col("_t")).select(*inside.columns)
