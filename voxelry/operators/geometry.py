@@ -12,7 +12,7 @@ from ..functions import matrix
 from ..functions.joins import attach
 from ..functions.quantiles import exact_percentiles
 from ..schema import AXES, SUBJECT, VOXEL, Dims
-from ..session import scatter
+from ..session import scatter, staged
 from .lines import sweep
 
 MILD, SEVERE = 5e-5, 0.005
@@ -263,7 +263,7 @@ def mutual_information(first: DataFrame, second: DataFrame, mask: DataFrame, bin
     both = mask.select(*VOXEL)
     for name, image in (("a", first), ("b", second)):
         both = both.join(image.select(*VOXEL, F.col("v").alias(name)), list(VOXEL), "left")
-    both = both.withColumns({n: F.coalesce(n, F.lit(0.0)) for n in "ab"})
+    both = staged(both.withColumns({n: F.coalesce(n, F.lit(0.0)) for n in "ab"}), "aligned")  # one join for the quantiles and the histogram
     limits = None
     for n in "ab":
         q = exact_percentiles(both, [SUBJECT], n, [low, high]).select(
@@ -276,7 +276,7 @@ def mutual_information(first: DataFrame, second: DataFrame, mask: DataFrame, bin
         at = F.floor((v - F.col(f"{n}0")) * bins / F.nullif(F.col(f"{n}1") - F.col(f"{n}0"), F.lit(0.0)))
         return F.least(F.coalesce(at, F.lit(0)), F.lit(bins - 1)).alias(f"bin_{n}")
 
-    joint = rows.groupBy(SUBJECT, bucket("a"), bucket("b")).agg(F.count("*").cast("double").alias("n"))
+    joint = staged(rows.groupBy(SUBJECT, bucket("a"), bucket("b")).agg(F.count("*").cast("double").alias("n")), "joint")
     # at most bins x bins rows per subject from here on
     entropy = F.sum(F.col("n") * F.ln("n"))
     def margin(cols: list[str], name: str) -> DataFrame:
