@@ -180,6 +180,39 @@ def test_pipeline_against_brute_force(spark):
         assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
 
 
+def test_near_duplicate_stage_at_80_percent(spark):
+    """Copies of 0.80 to 0.85 go too: exactly 0.80, 0.83, just below 0.80, and texts of the tables."""
+    words = [f"w{i}" for i in range(400)]
+    docs = [(1, " ".join(words[:94])), (2, " ".join(words[10:104])), (3, " ".join(words[200:294])), (4, " ".join(words[208:302])),
+            (5, " ".join(words[300:394])), (6, " ".join(words[311:400] + ["x", "y", "z", "u", "v"]))]
+    rows = docs + [(r.doc_id + 10, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    sets, gone = {i: shingles(t) for i, t in rows}, {}
+    for i, a in sets.items():
+        gone[i] = {j for j, b in sets.items() if j != i and (both := len(a & b)) and 100 * both >= 80 * (len(a) + len(b) - both)}
+    single = set()
+    for i in sorted(sets):
+        reached, todo = {i}, [i]
+        while todo:
+            new = gone[todo.pop()] - reached
+            reached |= new
+            todo += new
+        if min(reached) == i:
+            single.add(i)
+    assert 2 not in single and 4 not in single and 6 in single
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r.doc_id for r in dict(corpus_pipeline.STAGES)["near-duplicates"](spark, frame, "").collect()} == single
+
+
+def test_bands_follow_the_threshold():
+    assert [near_dedup.band_rows(p) for p in (85, 80)] == [7, 6]
+    rows, rng = near_dedup.band_rows(80), np.random.default_rng(11)
+    bands = near_dedup.BUCKETS // rows
+    for _ in range(4000):
+        h = rng.integers(0, 2 ** 64, 220, dtype=np.uint64)
+        a, b = (near_dedup.registers(np.sort(x)) for x in (h[:198], h[22:]))
+        assert (a == b)[:bands * rows].reshape(bands, rows).all(axis=1).any()
+
+
 def test_stages_keep_the_columns(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")

@@ -24,9 +24,9 @@ from .frame import OWN, narrow, per_text
 
 SHINGLE = 5
 BUCKETS = 256
-ROWS = 7
-BANDS = BUCKETS // ROWS
 MANTISSA = 10
+#: Largest probability with which the bands may miss a pair exactly at the threshold.
+MISS = 1e-5
 #: Standard deviations below the threshold at which an estimate still leads to a comparison of the full sets.
 SIGMAS = 5.0
 #: Members of a key that one task compares with each other; a key of more is cut into blocks of so many.
@@ -105,10 +105,16 @@ def sketches(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", value.alias(f"{OWN}s")).select("doc_id", f"{OWN}s.*")
 
 
-def keys_of(registers_col: Column) -> Column:
+def band_rows(percent: int) -> int:
+    """Registers of a band: as many as keep the bands' misses at the threshold below ``MISS`` (7 at 85 %, 6 at 80 %)."""
+    missed = lambda rows: (1 - (percent / 100) ** rows) ** (BUCKETS // rows)
+    return max((rows for rows in range(1, BUCKETS + 1) if missed(rows) < MISS), default=1)
+
+
+def keys_of(registers_col: Column, rows: int) -> Column:
     """Hashes of the bands: array<bigint>."""
-    return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)),
-                       lambda k: F.xxhash64(k, F.substring(registers_col, k * (2 * ROWS) + 1, F.lit(2 * ROWS))))
+    return F.transform(F.sequence(F.lit(0), F.lit(BUCKETS // rows - 1)),
+                       lambda k: F.xxhash64(k, F.substring(registers_col, k * (2 * rows) + 1, F.lit(2 * rows))))
 
 
 def _effective(n: np.ndarray) -> np.ndarray:
@@ -182,7 +188,8 @@ def confirm(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int)
 
 def _comparer(percent: int):
     """Rows of ``across``, sorted by cell -> links that join components. A pair is looked at under the first of the keys it shares only."""
-    threshold = percent / 100
+    threshold, per_band = percent / 100, band_rows(percent)
+    bands = BUCKETS // per_band
 
     def compare(group: pa.Table, sets: "callable") -> Iterator[pa.RecordBatch]:
         ids, comps, sizes, side = (group.column(c).to_numpy() for c in ("id", "comp", "n_shingles", "side"))
@@ -205,7 +212,7 @@ def _comparer(percent: int):
                 continue
             close = estimate(drawn[right], drawn[k][None, :], sizes[right].astype(float), float(sizes[k]))
             right = right[close >= least_estimate(sizes[right], sizes[k], threshold)]
-            same = (drawn[right, :BANDS * ROWS] == drawn[k, :BANDS * ROWS]).reshape(-1, BANDS, ROWS).all(axis=2)
+            same = (drawn[right, :bands * per_band] == drawn[k, :bands * per_band]).reshape(-1, bands, per_band).all(axis=2)
             for other in right[same.argmax(axis=1) == band]:
                 a, b = root(int(comps[k])), root(int(comps[other]))
                 if a != b and alike(sets(texts[int(k)].as_py()), sets(texts[int(other)].as_py()), percent):
@@ -282,7 +289,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     classes = staged(known.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
     firsts = classes.select(F.col("rep").alias("id"), "digest")
     nodes = staged(known.withColumnRenamed("doc_id", "id").join(firsts, ["id", "digest"], "left_semi").drop("digest"), "nodes")
-    keyed = nodes.select("id", F.posexplode(keys_of(F.col("registers"))).alias("band", "key"))
+    keyed = nodes.select("id", F.posexplode(keys_of(F.col("registers"), band_rows(percent))).alias("band", "key"))
     shared = keyed.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select("key", "lo")
     members = staged(keyed.join(shared, "key"), "members")
     texts = staged(docs.withColumnRenamed("doc_id", "id").join(members.select("id").distinct(), "id", "left_semi"), "texts")
