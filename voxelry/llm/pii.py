@@ -2,7 +2,8 @@
 
 Numbers and dates that pass their check (Luhn, IBAN mod 97, octets up to 255, days of the calendar) are permuted under a key inside their own format:
 a card number becomes another valid one with the same separators, a date another date in the same notation. A permutation never maps two
-values to one, and equal values get equal pseudonyms in every document, so links survive. Numbers that fail their check are left alone.
+values to one, and equal values get equal pseudonyms in every document, so links survive. Numbers that fail their check are left alone; a valid
+one beside a short number, a word in capitals or another value is still found.
 """
 
 from __future__ import annotations
@@ -14,16 +15,39 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .frame import OWN, refuse
 
 ROUNDS = 8
+#: Permutations at most until the numbers of a run are found at their places again; each does so with a probability of 0.7 and more as a rule.
+WALK = 100
 #: Patterns of the kinds, in the order in which they are tried at a place. A host name has at most 127 labels; that bound also keeps the
 #: matcher's stack small on hostile texts.
+_DATE = r"(?<![0-9A-Za-z./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9A-Za-z/-])"
+_IP = r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])"
+_SSN = r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"
+_PHONE = (r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){1,4}"
+          r"|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9A-Za-z])")
+#: Characters of an IBAN by country, of the registry of IBAN formats.
+IBAN_SIZES = {15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+              22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+              26: "IS TR", 27: "BI DJ FR GR IT MC SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+              31: "MT SC", 32: "LC", 33: "RU"}
+_OF_COUNTRY = "(?=[A-Z]{2}[0-9]{2})(?:" + "|".join(f"(?:{names.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}"
+                               + (f" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") for n, names in IBAN_SIZES.items()) + ")(?![A-Za-z0-9])"
+#: Usual groupings of card numbers, each with one separator; at a place the first that is valid counts.
+_CARD_SHAPES = [r"[0-9]{13,19}", *(sep.join(f"[0-9]{{{n}}}" for n in sizes) for sep in (" ", "-")
+                                  for sizes in ((4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3), (6, 13)))]
+_CARD_SHAPE = "(?:" + "|".join(_CARD_SHAPES) + ")(?![0-9A-Za-z])"
+#: A run of digits of former meaning: up to 19, with a blank or hyphen between any two.
+_PIECE = r"[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])"
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){1,126}",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "date": r"(?<![0-9A-Za-z./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9A-Za-z/-])",
-    "ip": r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])",
-    "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
-    "phone": r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9A-Za-z])",
-    "card": r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
+    # the length of a known country ends an IBAN; one of another length goes on at a blank only where nothing else begins
+    "iban": rf"(?<![A-Za-z0-9])(?:{_OF_COUNTRY}|[A-Z]{{2}}[0-9]{{2}}(?:(?: (?!{_OF_COUNTRY}|{_CARD_SHAPE}|{_DATE}|{_IP}|{_SSN}|{_PHONE}))?[A-Z0-9]{{4}}){{2,7}}"
+            rf"(?:(?: (?!{_DATE}|{_IP}|{_SSN}|{_PHONE}))?[A-Z0-9]{{1,3}})?(?![A-Za-z0-9]))",
+    "date": _DATE,
+    "ip": _IP,
+    "ssn": _SSN,
+    "phone": _PHONE,
+    # a run of digits, in which _card looks for numbers; no run goes on where something else begins, nor over more than 200 digits
+    "card": rf"(?<![0-9A-Za-z])[0-9](?:(?:[ -](?!{_DATE}|{_IP}|{_SSN}|{_PHONE}))?[0-9]){{12,199}}(?![0-9A-Za-z])",
 }
 ANY = "|".join(PATTERNS.values())
 #: Days of the Gregorian cycle of 400 years, 189 x 773.
@@ -113,12 +137,58 @@ def mod_97(value: Column) -> Column:
         F.ascii(c) >= 65, (s * 100 + F.ascii(c) - 55) % 97).otherwise((s * 10 + F.ascii(c) - 48) % 97))
 
 
+def _is_run(value: Column) -> Column:
+    return value.rlike("^[0-9][0-9 -]*$") & (F.length(_digits(value)) >= 13)
+
+
+def _card_spans(value: Column) -> Column:
+    """Places and sizes of the valid card numbers in a run of digits: from left to right those of the usual groupings, then, between
+    them, pieces of up to 19 digits in any grouping."""
+    def scan(shapes: list[str], taken: Column, whole_pieces: bool) -> Column:
+        def step(s: Column, i: Column) -> Column:
+            free = (i >= s["at"]) & F.substring(value, i, F.lit(1)).between("0", "9") & ((i == 1) | ~F.substring(value, i - 1, F.lit(1)).between("0", "9"))
+            ends = F.filter(taken, lambda t: t["at"] + t["size"] > i)
+            nearest = F.coalesce(F.array_min(F.transform(ends, lambda t: t["at"])), F.length(value) + 1)
+
+            def chosen(rest: Column) -> Column:
+                parts = F.filter(F.array(*[F.regexp_extract(rest, f"^{x}(?![0-9A-Za-z])", 0) for x in shapes]), lambda x: x != "")
+                return _once(F.struct(parts.alias("all"), F.filter(parts, lambda x: luhn_sum(_digits(x), False) == 0).alias("ok")), lambda f: F.struct(
+                    (F.when(F.size(f["ok"]) > 0, i + F.length(F.get(f["ok"], 0))).when(F.lit(whole_pieces) & (F.size(f["all"]) > 0), i + F.length(F.get(f["all"], 0)))
+                     .otherwise(s["at"])).alias("at"),
+                    F.when(F.size(f["ok"]) > 0, F.concat(s["found"], F.array(F.struct(i.alias("at"), F.length(F.get(f["ok"], 0)).alias("size"))))).otherwise(s["found"]).alias("found")))
+            return F.when(free, _once(F.substring(value, i, nearest - i), chosen)).otherwise(s)
+
+        start = F.struct(F.lit(1).alias("at"), F.lit([]).cast("array<struct<at:int,size:int>>").alias("found"))
+        return F.aggregate(F.sequence(F.lit(1), F.length(value)), start, step, lambda s: s["found"])
+
+    none = F.lit([]).cast("array<struct<at:int,size:int>>")
+    return _once(scan(_CARD_SHAPES, none, False), lambda usual: F.array_sort(F.concat(usual, scan([_PIECE], usual, True))))
+
+
 def _card(value: Column, key: str, invert: bool) -> Column:
-    def changed(digits: Column) -> Column:
-        body = permute_text(F.substring(digits, F.lit(1), F.length(digits) - 1), key, "card", invert)
-        whole = _once(body, lambda b: F.concat(b, F.pmod(-luhn_sum(b, True), F.lit(10)).cast("string")))
-        return F.when(luhn_sum(digits, False) == 0, _refill(value, whole)).otherwise(value)
-    return _once(_digits(value), changed)
+    """A run of digits with its valid card numbers permuted. Were other numbers found in the outcome, the permutation goes on until the same are: so
+    the way back meets the same numbers."""
+    def one(part: Column) -> Column:
+        def changed(digits: Column) -> Column:
+            body = permute_text(F.substring(digits, F.lit(1), F.length(digits) - 1), key, "card", invert)
+            return _refill(part, _once(body, lambda b: F.concat(b, F.pmod(-luhn_sum(b, True), F.lit(10)).cast("string"))))
+        return _once(_digits(part), changed)
+
+    def moved(text: Column, spans: Column) -> Column:
+        start = F.struct(F.lit(1).alias("at"), F.lit("").alias("out"))
+        return F.aggregate(spans, start, lambda s, t: F.struct(
+            (t["at"] + t["size"]).alias("at"),
+            F.concat(s["out"], F.substring(text, s["at"], t["at"] - s["at"]), one(F.substring(text, t["at"], t["size"]))).alias("out")),
+            lambda s: F.concat(s["out"], F.substring(text, s["at"], F.length(text))))
+
+    def walked(spans: Column) -> Column:
+        start = F.struct(value.alias("text"), F.lit(False).alias("done"))
+
+        def step(s: Column, i: Column) -> Column:
+            return F.when(s["done"], s).otherwise(_once(moved(s["text"], spans), lambda t: F.struct(t.alias("text"), (_card_spans(t) == spans).alias("done"))))
+        return F.when(F.size(spans) == 0, value).otherwise(F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), start, step, lambda s: s["text"]))
+
+    return _once(_card_spans(value), walked)
 
 
 def _iban(value: Column, key: str, invert: bool) -> Column:
@@ -170,13 +240,13 @@ def pseudonym(value: Column, key: str, invert: bool = False) -> Column:
             .when(kind("date"), _date(value, key, invert))
             .when(kind("ip"), _ip(value, key, invert))
             .when(kind("ssn"), _refill(value, permute_text(_digits(value), key, "ssn", invert)))
-            .when(kind("card") & ~kind("phone"), _card(value, key, invert))
+            .when(_is_run(value), _card(value, key, invert))
             .when(kind("phone"), digits_only("^\\+[0-9]{1,3}(?=[ .(-])|^\\+[0-9]"))
             .otherwise(value))
 
 
 def pseudonymise(docs: DataFrame, key: str, text: str = "text", invert: bool = False) -> DataFrame:
-    """``docs`` with ``n_private`` (matches that were changed) and the text rewritten in place; all else stays as it is.
+    """``docs`` with ``n_private`` (values that were changed) and the text rewritten in place; all else stays as it is.
 
     Null and empty texts and those without a match are unchanged with 0; repeated rows are changed alike; the whole text is
     read. Everything happens inside a row: nothing is shuffled. ``key`` is the secret of the permutations.
@@ -190,6 +260,6 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", invert: bool = F
     staged = docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.when(col.rlike(ANY), changed).alias(f"{OWN}m"))
     old, new = F.col(f"{OWN}m.old"), F.col(f"{OWN}m.new")
     joined = F.array_join(F.zip_with(gaps, new, lambda g, m: F.concat(g, F.coalesce(m, F.lit("")))), "")
-    count = F.aggregate(F.zip_with(old, new, lambda a, b: (a != b).cast("long")), F.lit(0).cast("long"), lambda s, x: s + x)
+    count = F.aggregate(F.zip_with(old, new, lambda a, b: F.when(a == b, 0).when(_is_run(a), F.size(_card_spans(a))).otherwise(1).cast("long")), F.lit(0).cast("long"), lambda s, x: s + x)
     out = staged.select(*rest, F.when(F.col(f"{OWN}m").isNull(), col).otherwise(joined).alias(text), F.coalesce(count, F.lit(0)).cast("long").alias("n_private"))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns], "n_private")
