@@ -320,6 +320,21 @@ def test_main_text(spark):
     assert got[6].text.startswith("open") and got[8].text.count("word, word") == 20_000 and all(r.n_chars == len(r.text) for r in got.values())
 
 
+def test_wrappers_with_boilerplate_names():
+    """Names and forms around the article do not drop it; boilerplate in and beside it still goes."""
+    prose = "<p>" + "One, two, three, and so on, as prose goes. " * 4 + "</p>"
+    plain = " ".join(["One, two, three, and so on, as prose goes."] * 4)
+    rest = '<div class="comments"><p>Nice, nice, really, nice.</p></div><div class="ad-box">Buy!</div><nav>Menu</nav>'
+    for open_, close in (('<div class="content has-sidebar">', "</div>"), ('<div class="post comments-open">', "</div>"), ('<div id="main-with-nav">', "</div>"),
+                         ('<form id="aspnetForm">', "</form>"), ('<div class="comments-open"><article>', "</article></div>"), ('<div class="promo">', "</div>")):
+        assert html_extract.extract(f"<html><body>{open_}{prose}{prose}{rest}{close}</body></html>") == f"{plain} {plain}", open_
+    assert html_extract.extract('<body><div class="sidebar">Just this</div></body>') == "Just this"
+    long_talk = '<div class="post-comments">' + prose * 4 + "</div>"
+    assert html_extract.extract(f'<body><div class="x">{prose}</div>{long_talk}</body>') == plain
+    beside = f"<body><div><h1>Title</h1><div>{prose}{prose}</div><h2>Part</h2><p>Short.</p><div>{prose}{prose}</div></div><form>Search</form></body>"
+    assert html_extract.extract(beside) == f"Title {plain} {plain} Part Short. {plain} {plain}"
+
+
 def test_pages_of_the_tables(spark, sf):
     """The pages' articles, cut out by their tags, without markup."""
     import html

@@ -2,7 +2,8 @@
 
 Paragraphs pass points for their length and commas to their ancestors, halved from level to level; the points of a container are discounted by the share of
 its text that stands in links. The best container and those of its siblings that look like parts of the same article are kept.
-Boilerplate that tags, roles or class names tell (menus, headers, footers, adverts, forms, comments, ...) never takes part.
+Boilerplate that tags, roles or class names tell (menus, headers, footers, adverts, forms, comments, ...) does not take part; names and forms
+do not count where they wrap the article (see ``_drop_marked``).
 """
 
 from __future__ import annotations
@@ -27,7 +28,10 @@ UNLIKELY = frozenset("ad ads advert adverts advertisement advertising banner bre
                      "cookies consent contentinfo disqus footer header masthead menu modal nav navbar navigation newsletter notice notices notification pager pagination "
                      "popup promo promoted promotion related replies respond share sharing sidebar sidebars signup skip social sponsor sponsored subscribe subscription "
                      "toolbar tags widget widgets".split())
+#: Of these, names of discussions, which may be longer than the article.
+DISCUSSION = frozenset("comment comments commentlist disqus replies respond".split())
 LIKELY = frozenset("article articlebody body content entry hentry main page post story text".split())
+_HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 _PARAGRAPHS = frozenset(("p", "pre", "td", "blockquote", "li", "dd", "figcaption", "div", "section", "article", "main"))
 _CLOSES_P = BLOCK - {"html", "body", "summary", "caption", "tbody", "td", "th", "tr", "thead", "tfoot"}
 #: Open elements of the same kind that a new one ends, and where the search for them stops.
@@ -41,27 +45,30 @@ _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "dropped", "likely", "points", "text_size", "link_size")
+    __slots__ = ("tag", "parent", "children", "dropped", "likely", "marked", "points", "text_size", "link_size")
 
-    def __init__(self, tag: str, parent: Node | None, dropped: bool = False, likely: bool = False):
+    def __init__(self, tag: str, parent: Node | None, dropped: bool = False, likely: bool = False, marked: float = 0.0):
         self.tag, self.parent, self.dropped, self.likely = tag, parent, dropped, likely
+        self.marked = marked  # share of the page's paragraph text above which the name or form is not boilerplate; 0: no mark
         self.children: list[Node | str] = []
         self.points = 0.0
         self.text_size = self.link_size = 0
 
 
-def _marks(attributes: str) -> tuple[bool, bool]:
-    """Whether names of an element say boilerplate, and whether they say article."""
-    bad = good = False
+def _marks(attributes: str) -> tuple[bool, float, bool]:
+    """Whether an element is hidden, the share for ``Node.marked`` by its names, and whether they say article."""
+    hidden = good = saved = False
+    bad: set[str] = set()
     for name, a, b, c in _NAMES.findall(attributes):
         name, value = name.lower(), a or b or c
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            bad = True
+            hidden = True
         elif name in ("class", "id", "role"):
             parts = {p.lower() for p in _PARTS.findall(value)} | {value.lower()}
             good = good or not parts.isdisjoint(LIKELY)
-            bad = bad or not parts.isdisjoint(UNLIKELY)
-    return bad, good
+            saved = saved or not LIKELY.isdisjoint(value.lower().split())  # a name of its own, not a part as in post-comments
+            bad |= parts & UNLIKELY
+    return hidden, 0.0 if saved or not bad else 0.5 if bad.isdisjoint(DISCUSSION) else 0.9, good
 
 
 def parse(page: str) -> Node:
@@ -86,8 +93,10 @@ def parse(page: str) -> Node:
             node = _close(node, name)
             continue
         node = _make_room(node, name)
-        bad, good = _marks(rest) if "=" in rest or "hidden" in rest else (False, False)
-        child = Node(name, node, name in DROPPED or name in _RAW_END or bad and name not in ("html", "body", "article", "main"), good or name in ("article", "main"))
+        hidden, share, good = _marks(rest) if "=" in rest or "hidden" in rest else (False, 0.0, False)
+        frame = name in ("html", "body", "article", "main")
+        child = Node(name, node, name in DROPPED and name != "form" or name in _RAW_END or hidden and not frame, good or name in ("article", "main"),
+                     0.5 if name == "form" else 0.0 if frame else share)
         node.children.append(child)
         if name in _RAW_END:
             stop = _RAW_END[name].search(page, at)
@@ -197,15 +206,46 @@ def _score(order: list[Node]) -> None:
                 up = up.parent
 
 
+def _drop_marked(order: list[Node]) -> bool:
+    """Drops elements with a mark, unless they hold <main>, every <article> or, in a page without these, more than their share of the paragraph text; whether any was named so."""
+    text, articles, mains = {}, {}, {}
+    for node in reversed(order):
+        kept = [c for c in node.children if not isinstance(c, str) and not c.dropped]
+        inline = sum(len(c.strip()) for c in node.children if isinstance(c, str)) if node.tag in _PARAGRAPHS or node.tag not in BLOCK else 0
+        text[node] = inline + sum(text[c] for c in kept)
+        articles[node] = (node.tag == "article") + sum(articles[c] for c in kept)
+        mains[node] = (node.tag == "main") + sum(mains[c] for c in kept)
+    root, named = order[0], False
+    alone = not mains[root] and not articles[root]
+    for node in order:
+        if node.marked:
+            wraps = mains[node] or articles[node] and articles[node] == articles[root] or alone and text[node] > node.marked * text[root]
+            node.dropped = not wraps
+            named = named or node.dropped and node.tag != "form"
+    return named
+
+
 def _worth(node: Node) -> float:
     return node.points * (1 - node.link_size / max(node.text_size, 1)) * (1.5 if node.likely else 1)
 
 
 def extract(page: str | None) -> str:
-    """The main text: blocks of the best container and of related siblings, joined by one space; empty for a page without text."""
+    """The main text: blocks of the best container and of related siblings, joined by one space; empty for a page without text. Where names
+    of boilerplate leave nothing, they do not count."""
     if not page:
         return ""
     root = parse(page)
+    named = _drop_marked(_order(root))
+    text = _main(root)
+    if not text and named:
+        root = parse(page)
+        for node in _order(root):
+            node.dropped = node.tag == "form" and bool(node.marked)
+        text = _main(root)
+    return text
+
+
+def _main(root: Node) -> str:
     order = _order(root)
     _score(order)
     best = max(order, key=_worth, default=root)
@@ -219,17 +259,37 @@ def extract(page: str | None) -> str:
         up = up.parent
     if best.parent is None:
         return " ".join(blocks_of(best))
-    least, kept = max(0.2 * _worth(best), 1.0), []
-    for sibling in best.parent.children:
+    least, siblings = max(0.2 * _worth(best), 1.0), best.parent.children
+    kept, minor = set(), set()
+    for at, sibling in enumerate(siblings):
         if sibling is best:
-            kept.append(sibling)
-        elif not isinstance(sibling, str) and not sibling.dropped and sibling.text_size:
+            kept.add(at)
+        elif isinstance(sibling, str):
+            minor.add(at)
+        elif not sibling.dropped and sibling.text_size:
             links = sibling.link_size / sibling.text_size
             whole = sibling.tag == "article" and best.tag == "article" and links < 0.5
             prose = sibling.tag in ("p", "pre", "blockquote") and links < 0.25 and sibling.text_size > 80
             if whole or prose or sibling.tag not in ("p", "a") and _worth(sibling) >= least and links < 0.5:
-                kept.append(sibling)
-    return " ".join(b for node in kept for b in blocks_of(node))
+                kept.add(at)
+            elif sibling.tag in ("p", "pre", "blockquote", *_HEADINGS) and links < 0.5:
+                minor.add(at)
+    if best.tag not in ("article", "main"):
+        # headings, short paragraphs and loose text between kept siblings, and headings right before one, belong to the text
+        first, last = min(kept), max(kept)
+        kept |= {at for at in minor if first < at < last}
+        at = first - 1
+        while at >= 0 and (isinstance(siblings[at], str) and not siblings[at].strip() or at in minor and not isinstance(siblings[at], str)
+                           and siblings[at].tag in _HEADINGS):
+            kept.add(at)
+            at -= 1
+    blocks = []
+    for at in sorted(kept):
+        if isinstance(siblings[at], str):
+            blocks += [t] if (t := _SPACE.sub(" ", html.unescape(siblings[at])).strip()) else []
+        else:
+            blocks += blocks_of(siblings[at])
+    return " ".join(blocks)
 
 
 def main_text(pages: DataFrame, source: str = "html") -> DataFrame:
