@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import staged
-from . import byte_bpe, decontamination, html_extract, language_id, near_dedup, pii, quality_classifier, quality_rules, toxicity, warc
+from . import byte_bpe, conversations, decontamination, embedding_index, html_extract, language_id, manifest, near_dedup, pii, quality_classifier, quality_rules, toxicity, warc
 from .frame import crc_part
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -162,3 +162,117 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op10_html_extraction")
 def extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.main_text(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+def _crc(text: str) -> str:
+    """SQL for the CRC-32 of a text of ASCII characters."""
+    bits = "lambda x, y: xor(x >> 1, 3988292384 * (x & 1))"
+    return (f"xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), lambda c: ord(c)::BIGINT)), "
+            f"lambda a, c: list_reduce(list_prepend(xor(a, c), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), {bits})))")
+
+
+def _edit_table() -> str:
+    """VALUES of all edits: code of the row, state before and after, cost, initials, inserted turns, what becomes of the row."""
+    needed = {0: ("user", 2), 1: ("user", 2), 2: ("assistant", 3), 3: ("user", 2)}
+    rows = []
+    for kind in "suax":
+        for fault in "okd":
+            for state in range(4):
+                at, inserted = state, ""
+                for n in range(3):
+                    first = (f"'{kind}{fault}'", state)
+                    if n:
+                        inserted += f"\n{needed[at][0]}:"
+                        at = needed[at][1]
+                    text, more = "'" + inserted + "'", 5 * n + 5 * (fault == "k")
+                    rows.append((*first, at, 5 * n + 2, f"'{'I' * n}D'", text, "'D'"))
+                    if fault != "d":
+                        role, to = needed[at]
+                        rows.append((*first, to, more + 1, f"'{'I' * n}R'", text, f"'{role}'"))
+                        if kind == role[0] or (kind == "s" and at == 0):
+                            rows.append((*first, to if kind != "s" else 1, more, f"'{'I' * n}K'", text, "'K'"))
+    return ", ".join("(" + ", ".join(map(str, r)) + ")" for r in rows)
+
+
+REPAIR_SQL = rf"""
+WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS f FROM conversations),
+g AS (SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+    CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text FROM k, generate_series(1, CASE f WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM g),
+n AS (SELECT *, left(role, 1) AS r, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank'
+    WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*\z') THEN 'truncated' ELSE 'sound' END AS fault FROM o),
+a AS (SELECT *, coalesce(lag(r) OVER (PARTITION BY conv_id ORDER BY i) || r NOT IN ('su', 'ua', 'au'), false) AS bad,
+    CASE WHEN r IN ('s', 'u', 'a') THEN r ELSE 'x' END || CASE fault WHEN 'sound' THEN 'o' WHEN 'truncated' THEN 'k' ELSE 'd' END AS code FROM n),
+e(code, s, t, cost, chars, ins, mode) AS (VALUES {_edit_table()}),
+w AS (SELECT conv_id, 0::BIGINT AS i, 0 AS s, struct_pack(c := 0, a := '', o := '') AS b FROM (SELECT DISTINCT conv_id FROM conversations)
+    UNION ALL
+    SELECT w.conv_id, w.i + 1, e.t, min(struct_pack(c := w.b.c + e.cost, a := w.b.a || e.chars, o := w.b.o || e.ins || CASE e.mode WHEN 'D' THEN ''
+        WHEN 'K' THEN chr(10) || a.role || ':' || a.text ELSE chr(10) || e.mode || ':' || a.text END))
+    FROM w JOIN a ON w.conv_id IS NOT DISTINCT FROM a.conv_id AND a.i = w.i + 1 JOIN e ON e.code = a.code AND e.s = w.s GROUP BY w.conv_id, w.i, e.t),
+z AS (SELECT conv_id, min(struct_pack(c := b.c + CASE s WHEN 1 THEN 10 WHEN 2 THEN 5 ELSE 0 END, a := b.a || CASE s WHEN 1 THEN 'II' WHEN 2 THEN 'I' ELSE '' END,
+    o := b.o || CASE s WHEN 1 THEN chr(10) || 'user:' ELSE '' END || CASE WHEN s IN (1, 2) THEN chr(10) || 'assistant:' ELSE '' END)) AS b
+    FROM (SELECT * FROM w QUALIFY i = max(i) OVER (PARTITION BY conv_id)) GROUP BY conv_id),
+t AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (bad) AS illegal FROM a GROUP BY conv_id)
+SELECT z.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+    coalesce(illegal, 0) AS illegal, z.b.c::BIGINT AS cost, z.b.a AS audit, sha256(substr(z.b.o, 2)) AS repaired_sha256
+FROM z LEFT JOIN t ON z.conv_id IS NOT DISTINCT FROM t.conv_id"""
+
+
+@_query("op13_conversation_repair", REPAIR_SQL)
+def repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.reports(conversations.repair(conversations.damage(_table(spark, sf_dir, "conversations"))))
+
+
+MANIFEST_SQL = rf"""
+WITH RECURSIVE c AS (SELECT doc_id, lang, {_crc("doc_id::VARCHAR")} % 3 = 0 AS altered,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+    || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head, text, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents),
+l AS (SELECT doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    sha256(head || coalesce(strlen(CASE WHEN altered THEN low ELSE text END) || ':' || CASE WHEN altered THEN low ELSE text END, '-')) AS other FROM c),
+p AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM l),
+u AS (SELECT lang, 0 AS level, pos, leaf AS digest FROM p
+    UNION ALL
+    SELECT lang, level + 1, pos // 8, sha256(string_agg(digest, '' ORDER BY pos))
+    FROM (SELECT *, count(*) OVER (PARTITION BY lang, level) AS n FROM u) WHERE n > 1 GROUP BY lang, level, pos // 8),
+s AS (SELECT lang, digest AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, level AS height
+    FROM (SELECT * FROM u QUALIFY level = max(level) OVER (PARTITION BY lang))),
+v AS (SELECT 0 AS level, pos, subroot AS digest FROM s
+    UNION ALL
+    SELECT level + 1, pos // 8, sha256(string_agg(digest, '' ORDER BY pos)) FROM (SELECT *, count(*) OVER (PARTITION BY level) AS n FROM v) WHERE n > 1 GROUP BY level, pos // 8),
+r AS (SELECT digest AS root, level AS height FROM v ORDER BY level DESC LIMIT 1),
+f AS (SELECT p.doc_id, p.lang, 0 AS step, p.pos, p.other AS digest, '' AS proof, s.pos AS lpos, s.height AS h FROM p JOIN s ON p.lang IS NOT DISTINCT FROM s.lang
+    UNION ALL
+    (WITH n AS (SELECT f.*, CASE WHEN step < h THEN f.pos ELSE lpos >> (3 * (step - h)) END AS own FROM f, r WHERE step < h + r.height),
+    b AS (SELECT n.doc_id, n.lang, n.step, n.pos, n.lpos, n.h, n.digest, n.proof, n.own, u.pos AS q, u.digest AS d FROM n JOIN u ON n.step < n.h AND u.lang IS NOT DISTINCT FROM n.lang
+        AND u.level = n.step AND u.pos // 8 = n.own // 8
+        UNION ALL SELECT n.doc_id, n.lang, n.step, n.pos, n.lpos, n.h, n.digest, n.proof, n.own, v.pos, v.digest FROM n JOIN v ON n.step >= n.h AND v.level = n.step - n.h AND v.pos // 8 = n.own // 8)
+    SELECT doc_id, lang, step + 1, pos // 8, sha256(string_agg(CASE WHEN q = own THEN digest ELSE d END, '' ORDER BY q)),
+        proof || coalesce(string_agg(d, '' ORDER BY q) FILTER (q <> own), ''), lpos, h FROM b GROUP BY doc_id, lang, step, pos, lpos, h, digest, proof))
+SELECT p.doc_id, p.leaf, s.subroot, r.root, sha256(f.proof) AS proof_sha256, f.digest AS folded_root, f.digest = r.root AS verified
+FROM p JOIN s ON p.lang IS NOT DISTINCT FROM s.lang CROSS JOIN r JOIN f ON f.doc_id = p.doc_id AND f.step = f.h + r.height"""
+
+
+@_query("op12_merkle_manifest", MANIFEST_SQL)
+def merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lower = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+    return manifest.manifest(_table(spark, sf_dir, "documents"), altered={"text": F.coalesce(lower, F.col("text"))})
+
+
+VECTOR_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95),
+r AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a), n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id"""
+
+
+@_query("op11_embedding_dedup", VECTOR_SQL)
+def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_index.near_vectors(_table(spark, sf_dir, "embeddings"))
