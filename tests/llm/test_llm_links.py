@@ -22,7 +22,7 @@ def shingles(text):
     return frozenset(tuple(words[i:i + 5]) for i in range(len(words) - 4)) if len(words) >= 5 else frozenset([tuple(words)] if words else [])
 
 
-def components(docs):
+def components(docs, percent=85):
     """doc_id -> (set size, smallest reachable id), by comparing all pairs."""
     sets = {i: shingles(t) for i, t in docs}
     root = {i: i for i in sets}
@@ -36,7 +36,7 @@ def components(docs):
     for k, i in enumerate(ids):
         for j in ids[:k]:
             both = len(sets[i] & sets[j])
-            if both and 100 * both >= 85 * (len(sets[i]) + len(sets[j]) - both):
+            if both and 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
                 a, b = sorted((find(i), find(j)))
                 root[b] = a
     return {i: (len(sets[i]), find(i)) for i in ids}
@@ -158,7 +158,7 @@ def test_pipeline_against_brute_force(spark):
     for i in good:
         words, *_, repeated = reference_counts(rows[i].text)
         assert words >= 50 and 100 * repeated <= 50 * words
-    single = {i for i, (_, c) in components([(i, rows[i].text) for i in good]).items() if c == i}
+    single = {i for i, (_, c) in components([(i, rows[i].text) for i in good], corpus_pipeline.SIMILAR).items() if c == i}
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
     clean = set()
     for i in single:

@@ -166,6 +166,38 @@ def test_longest_match_is_reported(spark):
     assert [tuple(m) for m in rows[1].matches] == [("7", 5, 2, 30)] and rows[1].n_hit == 30 and rows[2].n_hit == 0
 
 
+def test_repeated_words_in_linear_time(spark, odd):
+    """One word over and over in document and item: the work follows their words and not the product; hits as by brute force."""
+    import time
+
+    items = [(1, "a " * 4000), (2, "a " * 20 + "b"), (3, "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu alpha beta")]
+    docs = [(10, "a " * 32_000), (11, "a " * 12), (12, "a " * 13 + "b " + "a " * 30), (13, LONG)]
+    found, spent = [], []
+    for scale in (1, 2):
+        own = decontamination.Items([k for k, _ in items], [t * scale if k == 1 else t for k, t in items])
+        start = time.process_time()
+        found.append(decontamination.search(own, [t * scale if k == 10 else t for k, t in docs]))
+        spent.append(time.process_time() - start)
+    assert spent[1] < 4 * spent[0] + 1
+    got = [(row["n_words"], sum(b - a for a, b in row["spans"]), row["items"]) for row in found[0]]
+    # the last cycle of the long text ends 10 words after its last window begins anew
+    assert got[0] == (32_000, 32_000, [0, 1]) and got[1] == (12, 0, []) and got[3] == (240_000, 239_990, [2])
+    assert [m[3] for m in found[0][0]["matches"]] == [4000, 20]
+    assert brute_hits(docs[2][1], items)[1:] == (sum(b - a for a, b in found[0][2]["spans"]), [str(items[k][0]) for k in found[0][2]["items"]])
+    frame = odd.filter("doc_id = 5").select("doc_id", "text")
+    row = decontamination.find_matches(frame, spark.createDataFrame(items, "item_id bigint, text string")).first()
+    assert (row.n_words, row.n_hit, row["items"]) == (240_000, 239_990, ["3"])
+
+
+def test_longest_match_by_neighbours():
+    rng = np.random.default_rng(6)
+    for _ in range(60):
+        text, item = rng.integers(0, 3, rng.integers(1, 40)), rng.integers(0, 3, rng.integers(1, 25))
+        start, at, words = decontamination.longest_match(text, item)
+        runs = {n for n in range(1, 26) for i in range(len(item) - n + 1) for j in range(len(text) - n + 1) if (item[i:i + n] == text[j:j + n]).all()}
+        assert words == max(runs, default=0) and (text[at:at + words] == item[start:start + words]).all()
+
+
 def luhn(digits):
     total = 0
     for i, c in enumerate(reversed(digits)):

@@ -1,8 +1,9 @@
 """Benchmark decontamination with suffix arrays over shards of the training texts.
 
-A shard is a bounded run of documents inside a task. Its suffix array over words is searched by bisection for every suffix of every test
-item: the interval found holds all places where the first words of that suffix stand verbatim, and the neighbours of the interval's
-ends give the longest match. Benchmark items travel to the tasks in blocks of bounded size; documents are never shuffled.
+A shard is a bounded run of documents inside a task. Its suffix array over words is searched by bisection for the beginning of every suffix of every test
+item, all distinct ones at once: the interval found holds all places where a window stands verbatim. Where an item occurs, a suffix array over the document and
+the item gives their longest match as a pair of neighbours. Benchmark items travel to the tasks in blocks of bounded size, one block after the other; documents are
+never shuffled.
 """
 
 from __future__ import annotations
@@ -10,17 +11,18 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import staged
 from .frame import OWN, refuse
 
 WINDOW = 13
 #: Benchmark characters that are broadcast at once; more go through the documents in further blocks.
-BLOCK_CHARS = 64_000_000
+BLOCK_CHARS = 8_000_000
 #: Words of a shard.
 SHARD_WORDS = 1 << 20
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -32,31 +34,42 @@ def words_of(text: str | None) -> list[bytes]:
     return _WORD.findall((text or "").encode("utf-8", "surrogatepass").translate(_LOWER))
 
 
-@dataclass(frozen=True)
+def _keys(numbers: np.ndarray, at: np.ndarray, room: np.ndarray, depth: int) -> np.ndarray:
+    """The first ``depth`` word numbers (from 1 on, 0 beyond their room) at places of a sequence, as byte strings in the order of the numbers."""
+    steps = np.arange(depth)
+    taken = np.minimum(at[:, None] + steps, max(len(numbers) - 1, 0))
+    words = np.where(steps[None, :] < room[:, None], numbers[taken] + 1, 0) if len(numbers) else np.zeros((len(at), depth))
+    return np.ascontiguousarray(words.astype(">u4")).view(f"S{4 * depth}").ravel()
+
+
 class Items:
-    """Test items as word numbers, one after the other."""
-
-    vocabulary: dict[bytes, int]
-    words: np.ndarray
-    #: starts of all windows in ``words``, the item each is from (its place in ``ids``) and its length
-    starts: np.ndarray
-    item: np.ndarray
-    length: np.ndarray
-    ids: list
-
-    @classmethod
-    def of(cls, ids: list, texts: list[str | None], window: int = WINDOW) -> Items:
-        vocabulary: dict[bytes, int] = {}
-        words, starts, item, length = [], [], [], []
-        for k, text in enumerate(texts):
-            own = [vocabulary.setdefault(w, len(vocabulary)) for w in words_of(text)]
-            size = min(window, len(own))
-            for at in range(len(own) - size + 1 if own else 0):
-                starts.append(len(words) + at)
-                item.append(k)
-                length.append(size)
-            words.extend(own)
-        return cls(vocabulary, np.array(words, np.int64), np.array(starts, np.int64), np.array(item, np.int64), np.array(length, np.int64), list(ids))
+    """Test items as word numbers, one after the other; their distinct windows are looked for once each."""
+
+    def __init__(self, ids: list, texts: list[str | None], window: int = WINDOW):
+        self.ids, self.window, self.vocabulary = list(ids), window, {}
+        number = self.vocabulary.setdefault
+        self.parts = [np.array([number(w, len(self.vocabulary)) for w in words_of(t)], np.int64) for t in texts]
+        self.least = min((min(window, len(p)) for p in self.parts if len(p)), default=0)
+
+    @cached_property
+    def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct windows and their sizes, and the items with each: those of window k are ``item[first[k]:first[k + 1]]``. Made where it is asked for first."""
+        keys, sizes, items = [], [], []
+        for k, own in enumerate(self.parts):
+            size = min(self.window, len(own))
+            at = np.arange(len(own) - size + 1 if size else 0)
+            keys.append(_keys(own, at, np.full(len(at), size), self.window))
+            sizes.append(np.full(len(at), size))
+            items.append(np.full(len(at), k))
+        if not keys:
+            return np.zeros(0, f"S{4 * self.window}"), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64)
+        distinct, first, place = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+        size, item = np.concatenate(sizes)[first], np.concatenate(items)
+        pairs = np.unique(place * np.int64(len(self.ids)) + item)
+        return distinct, size, pairs % len(self.ids), np.searchsorted(pairs, np.arange(len(distinct) + 1) * np.int64(len(self.ids)))
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k != "windows"}
 
 
 class SuffixArray:
@@ -66,95 +79,91 @@ class SuffixArray:
     """
 
     def __init__(self, words: np.ndarray, ends: np.ndarray, least: int, depth: int):
-        self.words, self.depth = words, depth
-        known = words >= 0
-        run = np.where(known, 0, np.arange(len(words)) + 1)
+        self.depth = depth
+        stop = np.where(words >= 0, len(words), np.arange(len(words)))
         # first unknown word at or after each position, not beyond the end of its document
-        stop = np.minimum(np.minimum.accumulate(np.where(known, len(words), np.arange(len(words)))[::-1])[::-1] if len(run) else run, ends)
-        self.room = stop - np.arange(len(words))
-        self.at = np.flatnonzero(self.room >= least)
-        keys = self._keys(self.at)
-        order = np.lexsort(keys.T[::-1]) if len(self.at) else np.zeros(0, np.int64)
-        self.at, self.keys = self.at[order], keys[order]
-
-    def _keys(self, at: np.ndarray) -> np.ndarray:
-        """The first ``depth`` words of suffixes, -1 beyond their end."""
-        steps = np.arange(self.depth)
-        inside = steps[None, :] < self.room[at][:, None]
-        return np.where(inside, self.words[np.minimum(at[:, None] + steps, max(len(self.words) - 1, 0))], -1)
-
-    def interval(self, query: np.ndarray) -> tuple[int, int]:
-        """Places in the array whose suffixes begin with ``query``, by bisection word by word."""
-        low, high = 0, len(self.at)
-        for k, word in enumerate(query):
-            column = self.keys[low:high, k]
-            low, high = low + int(np.searchsorted(column, word, "left")), low + int(np.searchsorted(column, word, "right"))
-            if low == high:
-                break
-        return low, high
-
-    def length(self, place: int, test: np.ndarray) -> int:
-        """Words that the suffix at ``place`` of the array shares with the beginning of ``test``."""
-        at = self.at[place]
-        n = min(int(self.room[at]), len(test))
-        differ = np.flatnonzero(self.words[at:at + n] != test[:n])
-        return int(differ[0]) if len(differ) else n
-
-
-def search(items: Items, texts: list[str | None], window: int = WINDOW) -> list[dict]:
+        stop = np.minimum(np.minimum.accumulate(stop[::-1])[::-1], ends) if len(words) else stop
+        room = stop - np.arange(len(words))
+        at = np.flatnonzero(room >= least)
+        keys = _keys(words, at, room[at], depth)
+        order = keys.argsort(kind="stable")
+        self.at, self.keys = at[order], keys[order]
+
+    def intervals(self, queries: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each query (a window's key and its size), by bisection, the places in the array whose suffixes begin with it."""
+        last = np.ascontiguousarray(queries).view(">u4").reshape(-1, self.depth).copy()
+        last[np.arange(self.depth)[None, :] >= sizes[:, None]] = 0xFFFFFFFF
+        return np.searchsorted(self.keys, queries, "left"), np.searchsorted(self.keys, last.view(queries.dtype).ravel(), "right")
+
+
+def longest_match(text: np.ndarray, item: np.ndarray) -> tuple[int, int, int]:
+    """Start in the item, start in the text and words of their longest common run, by a suffix array over both: two neighbours in it, one from each, share it.
+    Of several the first in the item, then in the text, among such neighbours."""
+    sequence = np.concatenate([text, [-1], item, [-2]])
+    ranks, step = [np.unique(sequence, return_inverse=True)[1]], 1
+    while ranks[-1].max() < len(sequence) - 1:
+        following = np.concatenate([ranks[-1][step:] + 1, np.zeros(min(step, len(sequence)), np.int64)])
+        ranks.append(np.unique(ranks[-1] * np.int64(len(sequence) + 1) + following, return_inverse=True)[1])
+        step *= 2
+    order = ranks[-1].argsort()
+    a, b = order[:-1], order[1:]
+    mixed = (a < len(text)) != (b < len(text))
+    a, b = a[mixed], b[mixed]
+    a, b = np.minimum(a, b), np.maximum(a, b)
+    shared = np.zeros(len(a), np.int64)
+    for k in range(len(ranks) - 1, -1, -1):
+        i, j = (np.minimum(x + shared, len(sequence) - 1) for x in (a, b))
+        shared += (ranks[k][i] == ranks[k][j]) * (1 << k)
+    best = np.flatnonzero(shared == shared.max())
+    k = best[np.lexsort((a[best], b[best]))[0]]
+    return int(b[k] - len(text) - 1), int(a[k]), int(shared[k])
+
+
+def search(items: Items, texts: list[str | None]) -> list[dict]:
     """For each text of a shard: ``n_words``, ``spans`` (merged [start, end) word positions inside occurring windows), ``items`` (those that occur)
-    and ``matches`` (item, start in the item, start in the text, words): longest verbatim matches that hold a window, without those that
-    only continue one found a word earlier."""
+    and ``matches``: for each of them its longest verbatim match (item, start in the item, start in the text, words).
+
+    Each distinct window is looked for once; windows of one size begin at different places, so the work follows the words of the shard and not the product of
+    places and windows.
+    """
     get = items.vocabulary.get
-    parts = [[get(w, -1) for w in words_of(t)] for t in texts]
+    parts = [np.array([get(w, -1) for w in words_of(t)], np.int64) for t in texts]
     sizes = np.fromiter(map(len, parts), np.int64, len(parts))
     rows = [dict(n_words=int(n), spans=[], items=[], matches=[]) for n in sizes]
-    if not len(items.starts):
+    words, ends = np.concatenate(parts) if parts else np.zeros(0, np.int64), np.cumsum(sizes)
+    if not items.least or not len(words):
         return rows
-    words = np.concatenate([np.array(p, np.int64) for p in parts]) if len(parts) else np.zeros(0, np.int64)
-    ends = np.cumsum(sizes)
     doc = np.repeat(np.arange(len(parts)), sizes)
-    array = SuffixArray(words, ends[doc] if len(words) else words, int(items.length.min()), window)
-    if not len(array.at):
+    array = SuffixArray(words, ends[doc], items.least, items.window)
+    keys, length, item, first = items.windows
+    low, high = array.intervals(keys, length)
+    counts = high - low
+    found = np.repeat(np.arange(len(keys)), counts)
+    if not len(found):
         return rows
-    # the last start of each item's words
-    item_end = np.zeros(len(items.ids), np.int64)
-    np.maximum.at(item_end, items.item, items.starts + items.length)
-    starts = np.flatnonzero(np.isin(items.words[items.starts], np.unique(array.keys[:, 0])))
-    hits: dict[int, list[tuple[int, int]]] = {}
-    for k in starts:
-        size = int(items.length[k])
-        s = items.starts[k]
-        low, high = array.interval(items.words[s:s + size])
-        test = items.words[s:item_end[items.item[k]]]
-        for place in range(low, high):
-            at = int(array.at[place])
-            d = int(doc[at])
-            first = int(ends[d] - sizes[d])
-            hits.setdefault(d, []).append((at - first, size))
-            rows[d]["items"].append(int(items.item[k]))
-            before = at > first and s > 0 and k > 0 and items.item[k - 1] == items.item[k] and words[at - 1] == items.words[s - 1]
-            if not before:
-                rows[d]["matches"].append((int(items.item[k]), int(s - (item_end[items.item[k]] - _words_in(items, int(items.item[k])))),
-                                           at - first, array.length(place, test)))
-    for d, found in hits.items():
-        merged: list[list[int]] = []
-        for start, size in sorted(set(found)):
-            if merged and start <= merged[-1][1]:
-                merged[-1][1] = max(merged[-1][1], start + size)
-            else:
-                merged.append([start, start + size])
-        rows[d]["spans"] = merged
-        rows[d]["items"] = sorted(set(rows[d]["items"]))
-        rows[d]["matches"].sort()
+    at = array.at[np.arange(len(found)) - np.repeat(np.cumsum(counts) - counts, counts) + low[found]]
+    marks = np.zeros(len(words) + 1, np.int64)
+    np.add.at(marks, at, 1)
+    np.add.at(marks, at + length[found], -1)
+    hit = np.cumsum(marks[:-1]) > 0
+    # a run of hit words ends with its document
+    begins = np.flatnonzero(hit & ~np.concatenate([[False], hit[:-1] & (doc[1:] == doc[:-1])]))
+    stops = np.flatnonzero(hit & ~np.concatenate([hit[1:] & (doc[1:] == doc[:-1]), [False]])) + 1
+    offset = ends - sizes
+    for a, b in zip(begins, stops):
+        d = doc[a]
+        rows[d]["spans"].append((int(a - offset[d]), int(b - offset[d])))
+    seen = np.unique(doc[at] * np.int64(len(keys)) + found)
+    d, window = np.divmod(seen, len(keys))
+    many = first[window + 1] - first[window]
+    own = item[np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(first[window], many)]
+    for pair in np.unique(np.repeat(d, many) * np.int64(len(items.ids)) + own):
+        d, k = divmod(int(pair), len(items.ids))
+        rows[d]["items"].append(k)
+        rows[d]["matches"].append((k, *longest_match(parts[d], items.parts[k])))
     return rows
 
 
-def _words_in(items: Items, k: int) -> int:
-    own = items.item == k
-    return int(items.length[own][0] + own.sum() - 1)
-
-
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 _MATCHES = pa.list_(pa.struct([("item_id", pa.string()), ("item_start", pa.int64()), ("start", pa.int64()), ("words", pa.int64())]))
 RESULT = pa.struct([("n_words", pa.int64()), ("spans", _SPANS), ("items", pa.list_(pa.string())), ("matches", _MATCHES)])
@@ -162,8 +171,8 @@ RESULT_DDL = ("struct<n_words:bigint,spans:array<struct<start:bigint,end:bigint>
               "matches:array<struct<item_id:string,item_start:bigint,start:bigint,words:bigint>>>")
 
 
-def _searcher(shared, window: int, shard_words: int):
-    """Column function over texts and, from an earlier block of items, the result so far."""
+def _searcher(shared, shard_words: int):
+    """Column function over texts."""
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         items = shared.value
         for batch in batches:
@@ -175,9 +184,9 @@ def _searcher(shared, window: int, shard_words: int):
                 shard.append(text)
                 held += len(text or "") // 4
                 if held >= shard_words:
-                    out += search(items, shard, window)
+                    out += search(items, shard)
                     shard, held = [], 0
-            out += search(items, shard, window)
+            out += search(items, shard)
             for row in out:
                 row["spans"] = [dict(start=a, end=b) for a, b in row["spans"]]
                 row["matches"] = [dict(item_id=str(items.ids[k]), item_start=i, start=a, words=n) for k, i, a, n in row["matches"]]
@@ -210,7 +219,7 @@ def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterato
     rows = benchmark.select(F.col("item_id"), F.col("text"), F.pmod(F.xxhash64("item_id"), F.lit(blocks)).alias(f"{OWN}b"))
     for k in range(blocks):
         block = rows.filter(F.col(f"{OWN}b") == k).orderBy(F.col("item_id").cast("string"), "text").toArrow()
-        yield Items.of(block.column("item_id").to_pylist(), block.column("text").to_pylist())
+        yield Items(block.column("item_id").to_pylist(), block.column("text").to_pylist())
 
 
 def find_matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", block_chars: int = BLOCK_CHARS,
@@ -224,8 +233,14 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", bloc
     refuse(docs, "n_words", "n_hit", "spans", "items", "matches", "contaminated")
     context = docs.sparkSession.sparkContext
     found, results = docs, []
+    shared = None
     for k, items in enumerate(item_blocks(benchmark, block_chars)):
-        found = found.withColumn(f"{OWN}{k}", _searcher(context.broadcast(items), WINDOW, shard_words)(F.col(f"`{text}`")))
+        if shared is not None:
+            # one block of items at a time in the memory of the workers
+            found = staged(found, "contamination")
+            shared.unpersist()
+        shared = context.broadcast(items)
+        found = found.withColumn(f"{OWN}{k}", _searcher(shared, shard_words)(F.col(f"`{text}`")))
         results.append(F.col(f"{OWN}{k}"))
     one = found.select(*[F.col(f"`{c}`") for c in docs.columns], _merged(results).alias(f"{OWN}r"))
     hit = F.aggregate(f"{OWN}r.spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
