@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -18,11 +19,15 @@ from .frame import OWN, per_text
 
 #: Fixed values of HTML: elements without an end, whose content is raw text, that make blocks, that end an open paragraph.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = ("script", "style", "textarea", "title", "noscript", "iframe", "template", "svg", "math", "xmp", "noframes", "noembed")
+RAW = ("script", "style", "textarea", "title", "noscript", "iframe", "template", "xmp", "noframes", "noembed")
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 "
                   "h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 #: Elements whose content is never main text.
-DROPPED = frozenset("nav footer header aside form menu button select option input label dialog fieldset object canvas audio video head".split())
+DROPPED = frozenset("nav footer header aside form menu button select option input label dialog fieldset object canvas audio video head svg annotation annotation-xml".split())
+#: Of these, controls that stay where they stand in a sentence, outside forms.
+CONTROLS = frozenset(("button", "label"))
+#: Elements of other vocabularies; a block or a paragraph ends them.
+FOREIGN = frozenset(("svg", "math"))
 #: Words in class, id or role that mark boilerplate (whole words, or parts separated by - _ or a change of case).
 UNLIKELY = frozenset("ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist complementary cookie "
                      "cookies consent contentinfo disqus footer header masthead menu modal nav navbar navigation newsletter notice notices notification pager pagination "
@@ -37,8 +42,9 @@ _CLOSES_P = BLOCK - {"html", "body", "summary", "caption", "tbody", "td", "th",
 #: Open elements of the same kind that a new one ends, and where the search for them stops.
 _ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
          "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']+|\"[^\"]*\"|'[^']*')*+|[^>]*)(?:>|\Z)", re.S)
-_NAMES = re.compile(r"""\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
+_TOKEN = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']+|\"[^\"]*\"|'[^']*')*+|[^>]*)(?:>|\Z)", re.S)
+#: An attribute after the other: name and value, so that no value is taken for a name.
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=][^\s>/=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
 _PARTS = re.compile(r"[A-Za-z][a-z]*|\d+")
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in RAW}
 _SPACE = re.compile(r"\s+")
@@ -59,7 +65,7 @@ def _marks(attributes: str) -> tuple[bool, float, bool]:
     """Whether an element is hidden, the share for ``Node.marked`` by its names, and whether they say article."""
     hidden = good = saved = False
     bad: set[str] = set()
-    for name, a, b, c in _NAMES.findall(attributes):
+    for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), a or b or c
         if name == "hidden" or name == "aria-hidden" and value == "true":
             hidden = True
@@ -75,6 +81,16 @@ def parse(page: str) -> Node:
     """A tree of a page that may be broken: paragraphs and list items end where HTML lets them, stray end tags are ignored, what is open at the end is closed."""
     root = Node("#root", None)
     at, node, end = 0, root, len(page)
+    is_open: Counter[str] = Counter()
+    controls: list[Node] = []
+
+    def leave(to: Node) -> Node:
+        here = node
+        while here is not to:
+            is_open[here.tag] -= 1
+            here = here.parent
+        return to
+
     while at < end:
         found = _TOKEN.search(page, at)
         if found is None:
@@ -90,23 +106,34 @@ def parse(page: str) -> Node:
             continue
         name, rest = name.lower(), found.group(3)
         if found.group(1):
-            node = _close(node, name)
+            if is_open[name]:
+                node = leave(_close(node, name))
             continue
-        node = _make_room(node, name)
+        node = leave(_make_room(node, name, is_open))
         hidden, share, good = _marks(rest) if "=" in rest or "hidden" in rest else (False, 0.0, False)
         frame = name in ("html", "body", "article", "main")
-        child = Node(name, node, name in DROPPED and name != "form" or name in _RAW_END or hidden and not frame, good or name in ("article", "main"),
+        raw = name in _RAW_END and not is_open["svg"]
+        child = Node(name, node, name in DROPPED and name != "form" or raw or hidden and not frame, good or name in ("article", "main"),
                      0.5 if name == "form" else 0.0 if frame else share)
         node.children.append(child)
-        if name in _RAW_END:
+        if name in CONTROLS and not hidden and not is_open["form"]:
+            controls.append(child)
+        closed = rest.endswith("/")
+        if raw:
             stop = _RAW_END[name].search(page, at)
-            at = stop.end() if stop else end
-        elif name not in VOID and not (rest.endswith("/") and name not in BLOCK):
+            if stop or name in ("script", "style"):
+                at = stop.end() if stop else end
+        elif name not in VOID and not (closed and name not in BLOCK):
+            is_open[name] += 1
             node = child
+    for control in controls:
+        # in a sentence there is other text beside it
+        control.dropped = not any(isinstance(c, str) and c.strip() for c in control.parent.children)
     return root
 
 
 def _close(node: Node, name: str) -> Node:
+    """The node that stays open after an end tag of an open element."""
     at = node
     while at.parent is not None and at.tag != name:
         # an inline end tag does not reach out of its block
@@ -116,8 +143,15 @@ def _close(node: Node, name: str) -> Node:
     return node if at.parent is None else at.parent
 
 
-def _make_room(node: Node, name: str) -> Node:
-    if name in _CLOSES_P:
+def _make_room(node: Node, name: str, is_open: Counter[str]) -> Node:
+    """The node that a new element belongs to, after what it ends was closed."""
+    if name in BLOCK and (is_open["svg"] or is_open["math"]):
+        at = node
+        while at.parent is not None and at.tag not in FOREIGN and at.tag != "foreignobject" and at.tag not in BLOCK:
+            at = at.parent
+        if at.tag in FOREIGN:
+            node = at.parent
+    if name in _CLOSES_P and is_open["p"]:
         at = node
         while at.parent is not None and (at.tag == "p" or at.tag not in BLOCK):
             if at.tag == "p":
@@ -127,7 +161,7 @@ def _make_room(node: Node, name: str) -> Node:
     if name in _ENDS:
         ends, limits = _ENDS[name]
         at, found = node, None
-        while at.parent is not None and at.tag not in limits:
+        while any(is_open[e] for e in ends) and at.parent is not None and at.tag not in limits:
             if at.tag in ends:
                 found = at
             at = at.parent
