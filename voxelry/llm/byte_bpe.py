@@ -59,6 +59,7 @@ class BytePairs:
         self.trie = ahocorasick.Automaton()
         for token in self.ranks:
             self.trie.add_word(token, token)
+        self.longest = max(map(len, self.ranks), default=1)
         self._halves: dict[str, tuple[str, str] | None] = {}
         self.fits = lru_cache(MEMO)(self._fits)
         self.pieces = _Pieces(self.encode_piece)
@@ -105,7 +106,7 @@ class BytePairs:
                 return True
 
     def _longest(self, piece: str, at: int) -> str:
-        end = at + self.trie.longest_prefix(piece[at:])
+        end = at + self.trie.longest_prefix(piece[at:at + self.longest])
         while piece[at:end] not in self.ranks:
             end -= 1
         return piece[at:end]
