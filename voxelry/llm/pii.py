@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .frame import OWN, refuse
 
 ROUNDS = 8
-#: Permutations at most until the numbers of a run are found at their places again; each does so with a probability of 0.7 and more as a rule.
-WALK = 100
+#: Permutations until the numbers of a run are found at their places again. The orbit returns, as the start itself has them; each step does so with a probability of
+#: 0.7 a number as a rule, so not even the 15 numbers of the longest run need so many. More are an error and no silent loss of the way back.
+WALK = 2000
 #: Patterns of the kinds, in the order in which they are tried at a place. A host name has at most 127 labels; that bound also keeps the
 #: matcher's stack small on hostile texts.
 _DATE = r"(?<![0-9A-Za-z./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9A-Za-z/-])"
@@ -186,7 +187,8 @@ def _card(value: Column, key: str, invert: bool) -> Column:
 
         def step(s: Column, i: Column) -> Column:
             return F.when(s["done"], s).otherwise(_once(moved(s["text"], spans), lambda t: F.struct(t.alias("text"), (_card_spans(t) == spans).alias("done"))))
-        return F.when(F.size(spans) == 0, value).otherwise(F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), start, step, lambda s: s["text"]))
+        ended = lambda s: F.when(s["done"], s["text"]).otherwise(F.raise_error(F.lit("the numbers of a run were not found again")).cast("string"))
+        return F.when(F.size(spans) == 0, value).otherwise(F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), start, step, ended))
 
     return _once(_card_spans(value), walked)
 
