@@ -20,8 +20,8 @@ from .frame import OWN, refuse
 CRLF = "\r\n"
 #: Payloads of fewer bytes are always written in full.
 LEAST_BYTES = 100
-#: Records of an archive file at most: bounds what a reading task holds at once.
-FILE_RECORDS = 2000
+#: Records of an archive file at most, and bytes that these have at most: bounds what a reading task holds at once.
+FILE_RECORDS, FILE_BYTES = 2000, 1 << 29
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORDS = ("page_id bigint, url string, record_type string, payload_digest string, payload_bytes bigint, refers_to bigint, "
            "record_id string, refers_to_record string, payload binary")
@@ -81,8 +81,14 @@ def _record(date: str) -> Column:
         F.lit(CRLF), block)
 
 
+def records_a_file(pages: DataFrame, file_records: int = FILE_RECORDS, file_bytes: int = FILE_BYTES) -> int:
+    """Records of a file such that even the largest pages (html) stay below ``file_bytes`` together; one for a page that is larger by itself."""
+    largest = pages.agg(F.max(F.octet_length("html"))).first()[0] or 0
+    return max(1, min(file_records, file_bytes // (largest + 4096)))
+
+
 def write_archives(records: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z", file_records: int = FILE_RECORDS) -> None:
-    """Write resolved records (page_id, url, html and the columns of ``resolve_revisits``) as gzipped WARC files under ``path``."""
+    """Write resolved records (page_id, url, html and the columns of ``resolve_revisits``) as gzipped WARC files of at most ``file_records`` under ``path``."""
     (records.select(_record(date).alias("value")).write.option("lineSep", CRLF * 2).option("compression", "gzip")
      .option("maxRecordsPerFile", file_records).text(path))
 
@@ -159,7 +165,7 @@ def deduplicated_archives(pages: DataFrame, path: str, **options) -> DataFrame:
     """Write one record per page under ``path``, revisits instead of repeated payloads, and return the records read back with the payload size of
     revisits taken from the responses they refer to."""
     resolved = resolve_revisits(digests(pages.select("page_id", "url", "html")))
-    write_archives(resolved, path, **options)
+    write_archives(resolved, path, **{"file_records": records_a_file(pages), **options})
     back = read_archives(pages.sparkSession, path, payload=False).drop("payload")
     responses = back.filter("record_type = 'response'").select(F.col("payload_digest").alias(f"{OWN}d"), F.col("payload_bytes").alias(f"{OWN}b")).distinct()
     return (back.join(responses, F.col("payload_digest") == F.col(f"{OWN}d"), "left")
@@ -184,7 +190,7 @@ def rewrite_archives(spark: SparkSession, source: str, path: str, least_bytes: i
         F.coalesce("payload_bytes", f"{OWN}b", F.lit(0).cast("long")).alias("payload_bytes"),
         F.when(original, "response").otherwise("revisit").alias("record_type"),
         F.when(~original, F.coalesce(first, F.col("refers_to"))).alias("refers_to"))
-    write_archives(fresh, path, **options)
+    write_archives(fresh, path, **{"file_records": records_a_file(fresh), **options})
 
 
 def archive_path(spark: SparkSession) -> str:
