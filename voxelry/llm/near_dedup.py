@@ -18,9 +18,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..operators.components import contract
 from ..session import staged
 from .frame import OWN, narrow, per_text
+from .links import components
 
 SHINGLE = 5
 BUCKETS = 256
@@ -29,8 +29,8 @@ MANTISSA = 10
 MISS = 1e-5
 #: Standard deviations below the threshold at which an estimate still leads to a comparison of the full sets.
 SIGMAS = 5.0
-#: Members of a key that one task compares with each other; a key of more is cut into blocks of so many.
-BLOCK = 2048
+#: Members of a key, and bytes of their texts, that one task compares with each other; a key of more is cut into blocks.
+BLOCK, BLOCK_BYTES = 2048, 64 << 20
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 #: For each bucket, an order of all buckets: an empty one takes its value from the first in its order that is not.
 _ORDER = np.random.default_rng(20240501).permuted(np.tile(np.arange(BUCKETS, dtype=np.int16), (BUCKETS, 1)), axis=1)
@@ -83,7 +83,7 @@ def registers(hashes: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, digest of the set and registers; the last two are null for an empty set."""
+    """doc_id, n_shingles, size (bytes of the text), digest of the set and registers; the last two are null for an empty set."""
     schema = pa.struct([("n_shingles", pa.int64()), ("digest", pa.binary()), ("registers", pa.binary())])
 
     def make():
@@ -102,7 +102,8 @@ def sketches(docs: DataFrame) -> DataFrame:
         return work
 
     value = per_text(make, "struct<n_shingles:bigint,digest:binary,registers:binary>", schema)(F.col("text"))
-    return docs.select("doc_id", value.alias(f"{OWN}s")).select("doc_id", f"{OWN}s.*")
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("size")
+    return docs.select("doc_id", size, value.alias(f"{OWN}s")).select("doc_id", "size", f"{OWN}s.*")
 
 
 def band_rows(percent: int) -> int:
@@ -243,19 +244,21 @@ def _comparer(percent: int):
     return run
 
 
-def across(members: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
+def across(members: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int, block: int = BLOCK, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Links (u > v), confirmed on full sets, that join the components known so far: enough of them to find what all links would.
 
-    ``members``: key, band, id, comp. Keys whose members are all of one component are dropped. Of a key, only members of different components are
+    ``members``: key, band, id, size, comp. Keys whose members are all of one component are dropped. Of a key, only members of different components are
     compared, by registers first; no pair leaves the task unless it joins two components there. The members of the largest component of a key and
-    the others are dealt to cells of about ``block``; every two cells of others meet in a task of their own, and every cell of others meets every cell of the
+    the others are dealt to cells of about ``block`` and no more than ``block_bytes`` of text; every two cells of others meet in a task of their own, and every cell of others meets every cell of the
     largest component, whose members never meet each other. The memory of a task is bounded whatever the size of the key, and where nearly all members
     are of one component each of them is sent once.
     """
-    parts = members.groupBy("key", "comp").agg(F.count("*").alias("n"))
-    spread = (parts.groupBy("key").agg(F.max_by("comp", F.struct("n", -F.col("comp"))).alias("main"), F.max("n").alias("m"), F.sum("n").alias("n"))
-              .filter("m < n").select("key", "main", F.ceil(F.col("m") / block).cast("int").alias("s_main"),
-                                      F.ceil((F.col("n") - F.col("m")) / block).cast("int").alias("s_other")))
+    parts = members.groupBy("key", "comp").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
+    largest = F.max(F.struct("n", (-F.col("comp")).alias("c"), "bytes")).alias("m")
+    cells_of = lambda n, size: F.greatest(F.ceil(n / block), F.ceil(size / block_bytes)).cast("int")
+    spread = (parts.groupBy("key").agg(largest, F.sum("n").alias("n"), F.sum("bytes").alias("bytes")).filter("m.n < n")
+              .select("key", (-F.col("m.c")).alias("main"), cells_of(F.col("m.n"), F.col("m.bytes")).alias("s_main"),
+                      cells_of(F.col("n") - F.col("m.n"), F.col("bytes") - F.col("m.bytes")).alias("s_other")))
     in_main = F.col("comp") == F.col("main")
     other_cells, main_cells = (F.sequence(F.lit(0), F.col(s) - 1) for s in ("s_other", "s_main"))
 
@@ -289,7 +292,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     classes = staged(known.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
     firsts = classes.select(F.col("rep").alias("id"), "digest")
     nodes = staged(known.withColumnRenamed("doc_id", "id").join(firsts, ["id", "digest"], "left_semi").drop("digest"), "nodes")
-    keyed = nodes.select("id", F.posexplode(keys_of(F.col("registers"), band_rows(percent))).alias("band", "key"))
+    keyed = nodes.select("id", "size", F.posexplode(keys_of(F.col("registers"), band_rows(percent))).alias("band", "key"))
     shared = keyed.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select("key", "lo")
     members = staged(keyed.join(shared, "key"), "members")
     texts = staged(docs.withColumnRenamed("doc_id", "id").join(members.select("id").distinct(), "id", "left_semi"), "texts")
@@ -298,10 +301,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     first = (members.filter("id > lo").groupBy("id", "lo").agg(F.count("*").alias("n"))
              .groupBy("id").agg(F.max_by("lo", F.struct("n", -F.col("lo"))).alias("v")).select(F.col("id").alias("u"), "v"))
     links = staged(confirm(first, nodes, texts, percent), "links")
-    labels = contract(links, [])
-    parted = members.select("key", "band", "id").join(labels.select(F.col("u").alias("id"), F.col("v").alias("comp")), "id", "left")
+    labels = components(links)
+    parted = members.select("key", "band", "id", "size").join(labels.select(F.col("u").alias("id"), F.col("v").alias("comp")), "id", "left")
     more = across(parted.withColumn("comp", F.coalesce("comp", "id")), nodes, texts, percent)
-    labels = contract(labels.unionByName(more).distinct(), []).select(F.col("u").alias("rep"), F.col("v").alias("comp"))
+    labels = components(labels.unionByName(more)).select(F.col("u").alias("rep"), F.col("v").alias("comp"))
 
     named = classes.join(labels, "rep", "left").select("digest", F.coalesce("comp", "rep").alias("comp"))
     rows = drawn.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest"))
