@@ -83,8 +83,9 @@ def test_a_large_group_meets_in_blocks(spark, monkeypatch):
     assert len(set(want.values())) > 5
     frame = spark.createDataFrame(docs, "doc_id bigint, text string")
     assert {r.doc_id: r.component_id for r in near_dedup.near_duplicates(frame).collect()} == want
-    monkeypatch.setattr(near_dedup.across, "__defaults__", (16,))
-    assert {r.doc_id: r.component_id for r in near_dedup.near_duplicates(frame).collect()} == want
+    for bounds in ((16, near_dedup.BLOCK_BYTES), (near_dedup.BLOCK, 6000)):
+        monkeypatch.setattr(near_dedup.across, "__defaults__", bounds)
+        assert {r.doc_id: r.component_id for r in near_dedup.near_duplicates(frame).collect()} == want
 
 
 def test_odd_rows_of_near_duplicates(spark):
@@ -150,6 +151,14 @@ def test_archives_are_resolved_again(spark):
     assert rows == {2: ("response", None, big), 5: ("revisit", 2, ""), 6: ("revisit", 2, ""), 7: ("response", None, "x"), 8: ("revisit", 4, "")}
 
 
+def test_archive_files_are_bounded_by_bytes(spark):
+    pages = spark.createDataFrame([(1, "u", "x" * 5000), (2, "u", None), (3, "u", "y" * 100_000)], "page_id bigint, url string, html string")
+    assert warc.records_a_file(pages) == 2000 and warc.records_a_file(pages, file_bytes=300_000) == 2 and warc.records_a_file(pages, file_bytes=10) == 1
+    assert warc.records_a_file(pages.limit(0)) == 2000
+    rows = warc.deduplicated_archives(pages, stage_path(spark, "warc"), file_records=1).collect()
+    assert sorted((r.page_id, r.payload_bytes) for r in rows) == [(1, 5000), (2, 0), (3, 100_000)]
+
+
 def test_pipeline_against_brute_force(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")

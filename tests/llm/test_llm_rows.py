@@ -122,6 +122,22 @@ def test_bpe_rows(spark, odd, tik):
     assert byte_bpe.tokenise(odd.limit(0), PATH, PATTERN).count() == 0
 
 
+def test_bpe_of_long_pieces_is_linear(tik):
+    """Twice the length of one piece takes about twice the time, and the ids stay those of the library."""
+    import time
+
+    pairs, rng = byte_bpe.BytePairs(byte_bpe.read_ranks(PATH), PATTERN), random.Random(4)
+    piece = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(400_000))
+    pairs.encode_piece(piece[:50_000])
+    spent = []
+    for n in (200_000, 400_000):
+        start = time.process_time()
+        pairs.encode_piece(piece[:n])
+        spent.append(time.process_time() - start)
+    assert spent[1] < 3 * spent[0] + 0.2
+    assert list(pairs.encode_piece(piece[:20_000])) == tik.encode_ordinary(piece[:20_000])
+
+
 def brute_hits(text, items):
     words = decontamination.words_of(text)
     hit, found = set(), set()
@@ -367,6 +383,88 @@ def test_wrappers_with_boilerplate_names():
     assert html_extract.extract(beside) == f"Title {plain} {plain} Part Short. {plain} {plain}"
 
 
+ARTICLE = "<p>The quick, brown fox jumps over the lazy dog, and so on, for a while, until it is long enough, really.</p>" * 3
+
+
+@pytest.mark.parametrize("page, words", [
+    ('<div style="overflow:hidden"><article>%s</article></div>', ""), ('<div data-hidden="false">%s</div>', ""), ('<p title="the hidden truth">Kept words.</p>%s', "Kept words."),
+    ("<!-->%s", ""), ("<!--->%s", ""), ("<!-- gone -- > still gone -->%s", ""), ('<svg class="i"/>%s', ""), ("<svg><svg><text>in</text></svg><text>leak</text></svg>%s", ""),
+    ('<svg><path d="m">%s', ""), ('<div data-role="nav" item-id="sidebar" data-class="ad">%s</div>', ""), ("<form><label>Name</label><button>Send</button></form>%s", ""),
+    ("<p>Press <button>Enter</button> and <label>Name</label>, <math><mi>x</mi></math> here.</p>%s", "Press Enter and Name, x here."),
+    ("<ul><li><button>Share</button></li></ul>%s", ""), ('<iframe src="x">%s', ""), ("<p class=\"a\" id='b>c'>One.</p>%s", "One."), ("<svg><foreignObject><div>in</div></foreignObject></svg>%s", "")])
+def test_odd_pages_keep_the_article(page, words):
+    article = html_extract.extract(ARTICLE)
+    assert article.count("quick") == 3
+    assert html_extract.extract(page % ARTICLE) == (words + " " + article).strip()
+
+
+def test_stray_end_tags_are_linear():
+    import time
+
+    spent = []
+    for n in (8000, 16_000):
+        start = time.process_time()
+        html_extract.parse("<div>" * n + "</section>" * n + "</b>" * n)
+        spent.append(time.process_time() - start)
+    assert spent[1] < 4 * spent[0] + 0.2
+
+
+def test_no_text_is_lost_against_a_plain_tokeniser():
+    """Random pages: all text of an <article> outside dropped elements, as html.parser's tokens tell it, is in the result, in order."""
+    from html.parser import HTMLParser
+
+    gone = {"svg", "nav", "form", "script", "style", "select", "aside"}
+
+    class Plain(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.stack, self.words = [], []
+
+        def handle_starttag(self, tag, attrs):
+            self.stack += [tag] if tag not in ("br", "img") else []
+
+        def handle_endtag(self, tag):
+            if tag in self.stack:
+                while self.stack.pop() != tag:
+                    pass
+
+        def handle_data(self, data):
+            if not gone & set(self.stack):
+                self.words += data.split()
+
+    rng = random.Random(12)
+
+    def inline(depth):
+        word = f"w{rng.randrange(10 ** 6)}"
+        kind = rng.randrange(12)
+        if depth and kind < 5:
+            tag = rng.choice(["b", "i", "span", "em", "a", "math", "code"])
+            return f"<{tag} title='hidden nav' style=\"overflow:hidden\" data-role=ad>{word} {inline(depth - 1)}</{tag}>"
+        return word + (" <img src=x>" if kind == 6 else " <svg class='i'/>" if kind == 7 else "<!-- no -->" if kind == 8 else " <svg><svg><path/></svg><text>no</text></svg>" if kind == 9
+                       else "<br/>" if kind == 10 else "")
+
+    def block(depth):
+        body = " ".join(inline(3) for _ in range(rng.randint(1, 12))) + "."
+        kind = rng.randrange(8)
+        if kind == 0:
+            return f"<ul><li>{body}</li><li>{inline(2)}</li></ul>"
+        if kind == 1 and depth:
+            return f"<div data-class='sidebar' item-id=ad>{block(depth - 1)}{block(depth - 1)}</div>"
+        if kind == 2:
+            return f"<nav>{body}</nav>"
+        if kind == 3:
+            return f"<h2>{body}</h2>"
+        if kind == 4:
+            return f"<blockquote><p>{body}</p></blockquote><script>var x = '<p>';</script>"
+        return f"<p>{body}</p>"
+
+    for _ in range(150):
+        page = "<html><body><article>" + "".join(block(2) for _ in range(rng.randint(2, 9))) + f"<p>{'long text, ' * 20}</p></article></body></html>"
+        plain = Plain()
+        plain.feed(page)
+        assert "".join(html_extract.extract(page).split()) == "".join(plain.words)
+
+
 def test_pages_of_the_tables(spark, sf):
     """The pages' articles, cut out by their tags, without markup."""
     import html
