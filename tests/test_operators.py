@@ -8,7 +8,7 @@ from voxelry.functions.joins import attach, salted_join
 from voxelry.functions.hull import half_spaces
 from voxelry.functions.offsets import ellipsoid, neighbours
 from voxelry.functions.quantiles import exact_percentiles
-from voxelry.operators import components, fill, models, morphology, parcellation, scoring, smoothing, stats, voxel
+from voxelry.operators import components, fill, lines, models, morphology, parcellation, scoring, smoothing, stats, voxel
 
 DIMS = (9, 8, 7)
 
@@ -293,3 +293,35 @@ def test_random_shift_is_reproducible(spark, mask):
     a, b = (sorted(voxel.shift_volume(df, DIMS, seed=4).collect()) for _ in range(2))
     assert a == b
     assert len(voxel.orientation_codes()) == len(set(voxel.orientation_codes())) == 48
+
+
+@pytest.mark.parametrize("length", [1, 2, 3, 12, 40])
+def test_line_kernels_against_all_pairs(length):
+    """Envelopes over a line, also with values beyond its length and with empty lines."""
+    rng = np.random.default_rng(length)
+    d = np.where(rng.random((300, length)) < 0.3, rng.integers(0, 2 * length + 2, (300, length)).astype(float), np.inf)
+    x = np.arange(length)
+    apart = np.abs(x[:, None] - x[None, :])
+    assert (lines.chessboard_kernel(d) == np.minimum.reduce(np.maximum(d[:, None, :], apart[None]), axis=2)).all()
+    for spacing in (1.0, 0.7):
+        want = np.minimum.reduce((d * spacing)[:, None, :] + (apart * spacing)[None] ** 2, axis=2)
+        assert np.allclose(lines.squared_kernel(spacing)(d * spacing), want, rtol=1e-12)
+
+
+def test_nearest_label_fronts_against_all_pairs(spark):
+    """Many labels, ties at every distance, a mask larger than the seeds' surroundings, a participant without seeds."""
+    rng = np.random.default_rng(3)
+    dims = (9, 14, 6)
+    cells = np.argwhere(np.ones(dims))
+    rows, want = [], {}
+    for who, count in (("a", 40), ("b", 3), ("c", 0)):
+        at = cells[rng.choice(len(cells), count, replace=False)]
+        label = rng.integers(1, 30, count)
+        rows += [(who, *map(int, p), int(v)) for p, v in zip(at, label)]
+        for c in cells[::3] if count else []:
+            far = np.abs(at - c).max(axis=1)
+            want[(who, *map(int, c))] = int(label[far == far.min()].min())
+    labels = spark.createDataFrame(rows, "subject_id string, i int, j int, k int, label int")
+    mask = spark.createDataFrame([(w, *map(int, c)) for w in "abc" for c in cells[::3]], "subject_id string, i int, j int, k int")
+    got = fill.nearest_label_fill(labels, mask, dims).collect()
+    assert {(r.subject_id, r.i, r.j, r.k): r.label for r in got} == want and len(got) == len(want)

@@ -11,20 +11,18 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from ..functions.hull import half_spaces
 from ..schema import AXES, SUBJECT, Dims
 from ..session import cut_lineage, scatter
-from .lines import chessboard_kernel, sweep
+from .lines import chessboard_kernel, sweep_labels
 
 
 def nearest_label_fill(labels: DataFrame, mask: DataFrame, dims: Dims, keys: Sequence[str] = (SUBJECT,)) -> DataFrame:
     """Every mask voxel with the label of its nearest labelled voxel (chessboard metric, smallest label on ties).
 
-    The distance to each label is an exact separable transform that only makes cells on the way to a mask voxel; the number of
-    labels is that of the anatomical scheme, not of the data.
+    An exact separable transform for all labels at once: cells carry fronts of distance and label, so rows do not grow with the number of labels, and only
+    cells on the way to a mask voxel are made.
     """
     voxel = [*keys, *AXES]
-    seeds = labels.select(*voxel, "label").withColumn("d", F.lit(0.0))
     wanted = cut_lineage(mask.select(*voxel).distinct())
-    reach = sweep(seeds, dims, [chessboard_kernel] * 3, float("inf"), "d", [*keys, "label"], where=wanted, where_keys=keys)
-    return reach.groupBy(*voxel).agg(F.min(F.struct("d", "label")).getField("label").alias("label"))
+    return sweep_labels(labels.select(*voxel, "label"), dims, chessboard_kernel, wanted, keys).select(*voxel, "label")
 
 
 def _hull_planes(keys: Sequence[str]):
