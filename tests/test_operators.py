@@ -325,3 +325,53 @@ def test_nearest_label_fronts_against_all_pairs(spark):
     mask = spark.createDataFrame([(w, *map(int, c)) for w in "abc" for c in cells[::3]], "subject_id string, i int, j int, k int")
     got = fill.nearest_label_fill(labels, mask, dims).collect()
     assert {(r.subject_id, r.i, r.j, r.k): r.label for r in got} == want and len(got) == len(want)
+
+
+def joined(edges):
+    """Smallest member of the component of every node, for edges (key, u, v)."""
+    root = {(s, x): x for s, u, v in edges for x in (u, v)}
+
+    def find(s, x):
+        while root[s, x] != x:
+            x = root[s, x]
+        return x
+
+    for s, u, v in edges:
+        a, b = sorted((find(s, u), find(s, v)))
+        root[s, b] = a
+    return {(s, x, find(s, x)) for s, x in root if find(s, x) != x}
+
+
+def test_contract_hub_snake_and_tangle(spark, monkeypatch):
+    """A hub of most of all edges, a snake through all tasks, and a tangle; few rounds, keys kept apart."""
+    rng = np.random.default_rng(7)
+    edges = [("hub", k, 0) for k in range(1, 6000)] + [("snake", k + 1, k) for k in range(2000)]
+    edges += [(w, int(max(a, b)), int(min(a, b))) for w in ("p", "q") for a, b in rng.integers(0, 300, (220, 2)) if a != b]
+    order = rng.permutation(len(edges))
+    df = spark.createDataFrame([edges[k] for k in order], "subject_id string, u bigint, v bigint").repartition(8)
+    rounds, plain = [], components.staged
+    monkeypatch.setattr(components, "staged", lambda df, name: rounds.append(name) or plain(df, name))
+    got = {tuple(r) for r in components.contract(df, ["subject_id"]).collect()}
+    assert got == joined(edges)
+    assert len(rounds) <= 5
+    assert components.contract(df.limit(0), ["subject_id"]).count() == 0
+
+
+@pytest.mark.parametrize("brick", [32, 4])
+def test_chains_cut_at_every_level(spark, brick):
+    """A cut through the tree of components gives what labelling each threshold anew gives."""
+    rng = np.random.default_rng(brick)
+    levels = rng.integers(0, 6, DIMS) * (rng.random(DIMS) < 0.6)
+    df = table(spark, levels, value="level")
+    chains, stars = components.component_chains(df, DIMS, brick=brick)
+    assert (stars is None) == (brick == 32)
+    root = {(r.level, r.u): r.v for r in stars.collect()} if stars is not None else {}
+    rows = chains.collect()
+    assert len(rows) == (levels > 0).sum()
+    for t in range(1, 6):
+        want = flood(levels >= t, 26)
+        for r in rows:
+            if r.level >= t:
+                assert root.get((t, r.chain[t - 1]), r.chain[t - 1]) == want[r.i, r.j, r.k]
+            else:
+                assert len(r.chain) < t

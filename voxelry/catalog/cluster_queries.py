@@ -220,12 +220,12 @@ def _r(df):
     return df.withColumns({c: F.round(c, 6) for c in ("sensitivity", "precision", "f1")})
 
 
-def score_views(levels: str) -> dict[str, str]:
-    """Overlap tables of true and predicted components per threshold (in thousandths)."""
+def score_views(levels: str, **options) -> dict[str, str]:
+    """Overlap tables of true and predicted components per threshold; ``options`` are those of the component views."""
     return dict(
         lv=f"SELECT * FROM (VALUES {levels}) t(threshold)",
         tru=f"SELECT threshold, {VOX} FROM truth, lv", prd=f"SELECT threshold, {VOX} FROM prob JOIN lv ON v > threshold",
-        **cc_views("tru", keys="threshold", name="tc"), **cc_views("prd", keys="threshold", name="pc"),
+        **cc_views("tru", keys="threshold", name="tc", **options), **cc_views("prd", keys="threshold", name="pc", **options),
         ts="SELECT threshold, subject_id, cluster_id AS t_id, count(*) AS t_size FROM tc GROUP BY ALL", ps="SELECT threshold, subject_id, cluster_id AS p_id, count(*) AS p_size FROM pc GROUP BY ALL",
         shared=f"SELECT threshold, subject_id, t_id, p_id, count(*) AS n FROM (SELECT threshold, {VOX}, cluster_id AS t_id FROM tc) FULL JOIN (SELECT threshold, {VOX}, cluster_id AS p_id FROM pc) USING (threshold, {VOX}) GROUP BY ALL",
         pairs="SELECT * FROM shared LEFT JOIN ts USING (threshold, subject_id, t_id) LEFT JOIN ps USING (threshold, subject_id, p_id)",

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.offsets import ellipsoid
 from ..functions.quantiles import exact_percentiles
-from ..operators import components, fill, morphology, voxel
+from ..operators import components, fill, morphology, scoring, voxel
 from . import recipe as V
+from .cluster_queries import score_views
 from .registry import query
 from .sqltext import VOX, components as cc_views, sql
 
@@ -87,3 +88,16 @@ BALL = ellipsoid((3, 2, 2))
 def ellipsoid_dilation_large(spark, d):
     """Footprints that reach over the borders of blocks."""
     return morphology.dilate_footprint(prob_large(spark, d).filter("p > 970"), BALL, LARGE)
+
+
+CUTS = [0.5, 0.6, 0.7, 0.75, 0.8, 0.9, 0.95]
+LARGE_SCORES = {"prob": PROB["large"], "truth": f"SELECT {VOX} FROM prob WHERE p > 800 AND (p + i) % 5 <> 0",
+                **score_views(", ".join(f"({c})" for c in CUTS), sides=(LJ, LK))}
+
+
+@query("score_sweep_large", sql("SELECT * FROM scores", **LARGE_SCORES))
+def score_sweep_large(spark, d):
+    """Seven thresholds over several bricks from one labelling."""
+    p = prob_large(spark, d)
+    found = scoring.score_sweep(p.filter("p > 800 AND (p + i) % 5 <> 0").select("subject_id", "i", "j", "k"), p, LARGE, CUTS, [0, 2])
+    return found.withColumns({c: F.round(c, 6) for c in ("sensitivity", "precision", "f1")})

@@ -7,7 +7,7 @@ contracted by alternating star steps, each a min-aggregate and a salted join.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from ..functions.joins import salted_join
 from ..functions.offsets import neighbours, offset_column
 from ..schema import AXES, SUBJECT, Dims, voxel_id
-from ..session import cut_lineage
+from ..session import cut_lineage, staged
 
 BRICK = 32
 #: Tasks over which the clusters of one subject are spread when they meet a per-subject row.
@@ -40,7 +40,43 @@ def _merge(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return root
 
 
-def _brick_labeller(connectivity: int, brick: int, equal: str | None):
+#: Turns the voxels of some bricks, their order by place and the touching pairs (positions in that order) into new values of some of their fields.
+Assign = Callable[[pa.StructArray, np.ndarray, np.ndarray, np.ndarray], dict[str, pa.Array]]
+
+
+def _one_label(equal: str | None) -> Assign:
+    def assign(voxels: pa.StructArray, order: np.ndarray, a: np.ndarray, b: np.ndarray) -> dict[str, pa.Array]:
+        if equal:
+            values = voxels.field(equal).to_numpy(zero_copy_only=False)[order]
+            same = values[a] == values[b]
+            a, b = a[same], b[same]
+        part = voxels.field("part_id").to_numpy()
+        out = np.empty_like(part)
+        out[order] = part[order][_merge(len(order), a, b)]
+        return {"part_id": pa.array(out)}
+
+    return assign
+
+
+def _merge_tree(voxels: pa.StructArray, order: np.ndarray, a: np.ndarray, b: np.ndarray) -> dict[str, pa.Array]:
+    """``chain``: the smallest voxel of the component at every level from 1 up to the voxel's own. Pairs are united from the highest level down, each once."""
+    n, level = len(order), voxels.field("level").to_numpy()[order]
+    part = voxels.field("part_id").to_numpy()[order]
+    weight = np.minimum(level[a], level[b])
+    top = int(level.max(initial=0))
+    roots, root = np.zeros((n, top), np.int64), np.arange(n)
+    for t in range(top, 0, -1):
+        now = weight == t
+        root = _merge(n, root[a[now]], root[b[now]])[root]
+        roots[:, t - 1] = part[root]
+    back = np.empty(n, np.int64)
+    back[order] = np.arange(n)
+    roots, level = roots[back], level[back]
+    kept = np.arange(1, top + 1)[None, :] <= level[:, None]
+    return {"chain": pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(level)]).astype(np.int32), roots[kept])}
+
+
+def _brick_labeller(connectivity: int, brick: int, assign: Assign):
     """Labels all bricks of an Arrow batch at once; a brick is one row with the list of its voxels."""
     side = brick + 2
     steps = [(p * side + q) * side + r for p, q, r in neighbours(connectivity) if (p, q, r) > (0, 0, 0)]
@@ -57,17 +93,9 @@ def _brick_labeller(connectivity: int, brick: int, equal: str | None):
             met = np.flatnonzero(code[np.minimum(at, n - 1)] == code + step)
             starts.append(met)
             ends.append(at[met])
-        a, b = np.concatenate(starts), np.concatenate(ends)
-        if equal:
-            values = voxels.field(equal).to_numpy(zero_copy_only=False)[order]
-            same = values[a] == values[b]
-            a, b = a[same], b[same]
-        part = voxels.field("part_id").to_numpy()
-        out = np.empty_like(part)
-        out[order] = part[order][_merge(n, a, b)]
+        found = assign(voxels, order, np.concatenate(starts), np.concatenate(ends))
         fields = list(voxels.type)
-        children = [pa.array(out) if f.name == "part_id" else voxels.field(f.name) for f in fields]
-        return pa.StructArray.from_arrays(children, fields=fields)
+        return pa.StructArray.from_arrays([found.get(f.name, voxels.field(f.name)) for f in fields], fields=fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -88,26 +116,102 @@ def _brick_labeller(connectivity: int, brick: int, equal: str | None):
     return run
 
 
+#: Edges that a task unites at a time.
+CHUNK = 1 << 20
+
+
+def _united(by: Sequence[str]):
+    """Edges of a task -> stars of what they join there, a bounded number of edges at a time."""
+    def stars(edges: pa.Table) -> pa.RecordBatch:
+        code = np.zeros(edges.num_rows, np.int64)
+        for c in by:
+            coded = edges.column(c).combine_chunks().dictionary_encode()
+            code = np.unique(code * len(coded.dictionary) + coded.indices.to_numpy(), return_inverse=True)[1]
+        u, v = (edges.column(c).to_numpy() for c in "uv")
+        ids, place = np.unique(np.concatenate([u, v]), return_inverse=True)
+        # nodes of one key are numbered in the order of their ids
+        nodes, first, node = np.unique(np.tile(code, 2) * len(ids) + place, return_index=True, return_inverse=True)
+        root = _merge(len(nodes), node[:len(u)], node[len(u):])
+        moved = np.flatnonzero(root != np.arange(len(nodes)))
+        rows = edges.take(pa.array(first[moved] % len(u)))
+        found = {"u": ids[nodes[moved] % len(ids)], "v": ids[nodes[root[moved]] % len(ids)]}
+        arrays = [pa.array(found[n], pa.int64()) if n in found else rows.column(n).combine_chunks() for n in edges.column_names]
+        return pa.RecordBatch.from_arrays(arrays, names=edges.column_names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                count += batch.num_rows
+            if count >= CHUNK:
+                yield stars(pa.Table.from_batches(held))
+                held, count = [], 0
+        if count:
+            yield stars(pa.Table.from_batches(held))
+
+    return run
+
+
 def contract(edges: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Stars of a graph given as distinct edges (``by``, u, v) with u > v: every node u with its smallest member v."""
+    """Stars of a graph given as edges (``by``, u, v) with u > v: every node u with its smallest member v.
+
+    Edges are united inside tasks before every round of star steps, so that a round joins what partitions hold and not single edges; a graph whose tasks leave stars takes
+    none. A node of very many edges is combined before the shuffle of the aggregates, and the planner splits its partition in the joins.
+    """
     by = list(by)
-    edges = cut_lineage(edges)
-    mark = None
+    schema = edges.select(*by, "u", "v").schema
+
+    def settled(df: DataFrame) -> DataFrame:
+        return staged(df.select(*by, "u", "v").mapInArrow(_united(by), schema).distinct(), "stars")
+
+    edges = settled(edges)
     while True:
+        # a node with two smaller members, or one that is a member and a centre: not stars yet
+        ends = edges.select(*by, F.col("u").alias("k"), F.lit(1).alias("n"), F.lit(0).alias("c")).unionByName(
+            edges.select(*by, F.col("v").alias("k"), F.lit(0).alias("n"), F.lit(1).alias("c")))
+        if ends.groupBy(*by, "k").agg(F.sum("n").alias("n"), F.max("c").alias("c")).filter("n > 1 OR n = 1 AND c = 1").isEmpty():
+            return edges
         both = edges.unionByName(edges.select(*by, F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy(*by, "u").agg(F.least("u", F.min("v")).alias("m"))
-        large = (salted_join(both, least, [*by, "u"], salt_by=["v"], buckets=4).filter("v > u")
-                 .select(*by, F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        large = both.join(least, [*by, "u"]).filter("v > u").select(*by, F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         floor = large.groupBy(*by, "u").agg(F.min("v").alias("m"))
-        small = salted_join(large, floor, [*by, "u"], salt_by=["v"], buckets=4)
-        edges = cut_lineage(small.select(*by, F.explode(F.array(
-            F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
-            F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("_e"))
-            .select(*by, "_e.u", "_e.v").filter("u > v").distinct())
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64(*by, "u", "v").cast("decimal(38,0)"))).first()
-        if now == mark:
-            return edges
-        mark = now
+        small = large.join(floor, [*by, "u"])
+        edges = settled(small.select(*by, F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("_e"))
+                        .select(*by, "_e.u", "_e.v").filter("u > v"))
+
+
+def _across_faces(rows: DataFrame, carried: Sequence[str], by: Sequence[str], connectivity: int, brick: int) -> DataFrame:
+    """Pairs of touching voxels of different bricks: ``by``, and the ``carried`` columns of both with the endings _a and _b."""
+    faces = rows.filter(" OR ".join(f"{a} % {brick} IN (0, {brick - 1})" for a in AXES))
+    half = [o for o in neighbours(connectivity) if o > (0, 0, 0)]
+    ending = lambda e: [F.col(c).alias(f"{c}_{e}") for c in carried]
+    outgoing = (faces.select(*by, *AXES, *ending("a"), F.explode(offset_column(half)).alias("_o"))
+                .filter(" OR ".join(f"floor(({a} + _o.d{a}) / {brick}) <> floor({a} / {brick})" for a in AXES))
+                .select(*by, *[(F.col(a) + F.col(f"_o.d{a}")).alias(a) for a in AXES], *[f"{c}_a" for c in carried]))
+    return outgoing.join(faces.select(*by, *AXES, *ending("b")), [*by, *AXES])
+
+
+def component_chains(df: DataFrame, dims: Dims, connectivity: int = 26, by: Sequence[str] = (SUBJECT,), brick: int = BRICK) -> tuple[DataFrame, DataFrame | None]:
+    """Components at many levels from one labelling: voxels (``by``, voxel, level from 1 on) -> their ``chain``, and ``stars`` of it.
+
+    Inside a brick the voxels are united from the highest level down into a tree of components; element t of ``chain`` (an array as long as the voxel's level)
+    names its part of the component of all voxels of level t or more. Parts that meet over faces of bricks are joined by ``stars`` (``by``, level, u, v: part u belongs to
+    component v; other parts are their own), None where the grid is one brick. A threshold is a cut through the chains, and costs no further labelling.
+    """
+    by = list(by)
+    home = [F.floor(F.col(a) / brick).cast("int").alias(f"_b{a}") for a in AXES]
+    own = df.select(*by, *AXES, F.col("level").cast("long").alias("level"), voxel_id(dims).alias("part_id"), F.array(voxel_id(dims)).alias("chain"))
+    packed = own.groupBy(*by, *home).agg(F.collect_list(F.struct(*AXES, "level", "part_id", "chain")).alias("_c"))
+    local = packed.mapInArrow(_brick_labeller(connectivity, brick, _merge_tree), packed.schema).select(*by, F.inline("_c")).drop("part_id")
+    if all(n <= brick for n in dims):
+        return local, None
+    local = cut_lineage(local)
+    met = _across_faces(local, ["chain"], by, connectivity, brick)
+    both = F.arrays_zip(F.col("chain_a"), F.col("chain_b"))
+    pairs = (met.select(*by, F.posexplode(both).alias("level", "p")).filter("p.chain_a IS NOT NULL AND p.chain_b IS NOT NULL")
+             .select(*by, (F.col("level") + 1).cast("long").alias("level"), F.greatest("p.chain_a", "p.chain_b").alias("u"), F.least("p.chain_a", "p.chain_b").alias("v")))
+    return local, contract(pairs.distinct(), [*by, "level"])
 
 
 def label_components(df: DataFrame, dims: Dims, connectivity: int = 26, equal: str | None = None,
@@ -121,20 +225,16 @@ def label_components(df: DataFrame, dims: Dims, connectivity: int = 26, equal: s
     rows = df.withColumn("part_id", voxel_id(dims))
     inner = [c for c in rows.columns if c not in by]
     packed = rows.groupBy(*by, *home).agg(F.collect_list(F.struct(*inner)).alias("_c"))
-    local = (packed.mapInArrow(_brick_labeller(connectivity, brick, equal), packed.schema)
+    local = (packed.mapInArrow(_brick_labeller(connectivity, brick, _one_label(equal)), packed.schema)
              .select(*by, F.inline("_c")).select(*rows.columns))
     if all(n <= brick for n in dims):
         return local.withColumn("cluster_id", F.col("part_id"))
     local = cut_lineage(local)
-    faces = local.filter(" OR ".join(f"{a} % {brick} IN (0, {brick - 1})" for a in AXES))
-    half = [o for o in neighbours(connectivity) if o > (0, 0, 0)]
     same = [equal] if equal else []
-    outgoing = (faces.select(*by, *same, *AXES, F.col("part_id").alias("a"), F.explode(offset_column(half)).alias("_o"))
-                .filter(" OR ".join(f"floor(({a} + _o.d{a}) / {brick}) <> floor({a} / {brick})" for a in AXES))
-                .select(*by, *same, "a", *[(F.col(a) + F.col(f"_o.d{a}")).alias(a) for a in AXES]))
-    incoming = faces.select(*by, *same, *AXES, F.col("part_id").alias("b"))
-    edges = (outgoing.join(incoming, [*by, *same, *AXES])
-             .select(*by, F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    met = _across_faces(local, ["part_id", *same], by, connectivity, brick)
+    if equal:
+        met = met.filter(F.col(f"{equal}_a") == F.col(f"{equal}_b"))
+    edges = met.select(*by, F.greatest("part_id_a", "part_id_b").alias("u"), F.least("part_id_a", "part_id_b").alias("v")).distinct()
     stars = contract(edges, by).select(*by, F.col("u").alias("part_id"), F.col("v").alias("_root"))
     # a part has at most brick^3 rows, so this join has no hot key however large a component is
     joined = local.join(stars, [*by, "part_id"], "left")

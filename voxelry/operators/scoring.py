@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.quantiles import exact_percentiles
 from ..schema import AXES, SUBJECT, Dims
 from ..session import cut_lineage
-from .components import attach_to_clusters, census, label_components
+from .components import attach_to_clusters, census, component_chains, label_components
 from .morphology import euclidean_distance, surface
 
 KEYS = (SUBJECT,)
@@ -105,13 +105,28 @@ def cluster_scores(truth: DataFrame, predicted: DataFrame, dims: Dims, size_filt
 
 
 def score_sweep(truth: DataFrame, prob: DataFrame, dims: Dims, thresholds: Sequence[float], size_filters: Sequence[int]) -> DataFrame:
-    """Scores for every threshold, size filter and subject. Components of the truth are found once, those of the prediction once per threshold."""
-    levels = F.array(*[F.lit(float(t)) for t in thresholds])
+    """Scores for every threshold, size filter and subject.
+
+    Truth and prediction are labelled once each: the prediction by a tree of components whose cuts are the thresholds (``component_chains``). Voxels of one true
+    cluster and one path through the tree are counted together, and only these counts are repeated for every threshold.
+    """
+    cuts = sorted(set(map(float, thresholds)))
+    level = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda x: F.col("v") > x))
+    chains, stars = component_chains(prob.select(SUBJECT, *AXES, level.alias("level")).filter("level > 0"), dims)
+    t = sized_clusters(truth, dims, KEYS, "t")
+    # the leaf of a path and its level name the whole path
+    leaves = (t.join(chains, [SUBJECT, *AXES], "full_outer").withColumn("leaf", F.element_at("chain", -1))
+              .groupBy(SUBJECT, "t_id", "t_size", "level", "leaf").agg(F.count("*").alias("n"), F.first("chain").alias("chain")))
+    numbers = F.array(*[F.struct(F.lit(c).alias("threshold"), F.lit(k + 1).cast("long").alias("level")) for k, c in enumerate(cuts)])
+    rows = (leaves.withColumn("_t", F.explode(numbers))
+            .select(SUBJECT, "t_id", "t_size", "n", "_t.threshold", F.col("_t.level").alias("level"), F.get("chain", (F.col("_t.level") - 1).cast("int")).alias("part")))
+    rows = rows.filter("t_id IS NOT NULL OR part IS NOT NULL")
+    if stars is not None:
+        rows = rows.join(stars.select(SUBJECT, "level", F.col("u").alias("part"), F.col("v").alias("_root")), [SUBJECT, "level", "part"], "left").withColumn("part", F.coalesce("_root", "part"))
     keys = [SUBJECT, "threshold"]
-    t = sized_clusters(truth, dims, KEYS, "t").withColumn("threshold", F.explode(levels))
-    passed = F.filter(levels, lambda x: F.col("v") > x)
-    p = sized_clusters(prob.select(SUBJECT, *AXES, F.explode(passed).alias("threshold")), dims, keys, "p")
-    return score_overlaps(pair_up(t, p, keys), size_filters, keys)
+    pairs = cut_lineage(rows.groupBy(*keys, "t_id", "t_size", F.col("part").alias("p_id")).agg(F.sum("n").alias("n")))
+    sizes = pairs.filter("p_id IS NOT NULL").groupBy(*keys, "p_id").agg(F.sum("n").alias("p_size"))
+    return score_overlaps(pairs.join(sizes, [*keys, "p_id"], "left"), size_filters, keys)
 
 
 def hd95(truth: DataFrame, predicted: DataFrame, dims: Dims, size_filter: int = 0,
