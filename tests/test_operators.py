@@ -375,3 +375,31 @@ def test_chains_cut_at_every_level(spark, brick):
                 assert root.get((t, r.chain[t - 1]), r.chain[t - 1]) == want[r.i, r.j, r.k]
             else:
                 assert len(r.chain) < t
+
+
+def brute_hull(points, dims):
+    """Grid cells that no half-space of the points cuts off, all half-spaces on all cells."""
+    planes = half_spaces(points)
+    cells = np.argwhere(np.ones(dims))
+    return {tuple(map(int, c)) for c in cells[(cells @ planes[:, :3].T <= planes[:, 3]).all(axis=1)]}
+
+
+def test_hull_in_two_stages(spark):
+    """Round, pointed, flat, thin and tiny masks, each a group of its own, against all half-spaces on all cells."""
+    rng, dims = np.random.default_rng(5), (22, 19, 17)
+    cells = np.argwhere(np.ones(dims))
+    middle = np.array(dims) / 2
+    shapes = {"ball": cells[np.square(cells - middle).sum(axis=1) <= 60], "octahedron": cells[np.abs(cells - middle).sum(axis=1) <= 7],
+              "few": cells[rng.choice(len(cells), 5, replace=False)], "many": cells[rng.choice(len(cells), 200, replace=False)],
+              "plane": cells[(cells[:, 2] == 4) & (np.square(cells[:, :2] - 9).sum(axis=1) <= 30)], "tilted": np.array([[0, 0, 0], [8, 0, 4], [0, 8, 4], [8, 8, 8]]),
+              "wall": cells[(cells[:, 0] == 3) & (np.abs(cells[:, 1:] - 8).sum(axis=1) <= 5)], "line": np.array([[1, 1, 1], [4, 7, 10]]), "point": np.array([[2, 3, 4]]),
+              "pillar": np.array([[5, 5, 2], [5, 5, 9]]), "sheet": np.array([[0, 0, 0], [9, 3, 0], [9, 3, 8]])}
+    rows = [(name, *map(int, p)) for name, points in shapes.items() for p in points]
+    mask = spark.createDataFrame(rows, "subject_id string, i int, j int, k int").repartition(7)
+    got = {}
+    for r in fill.hull_fill(mask).collect():
+        got.setdefault(r.subject_id, []).append((r.i, r.j, r.k))
+    for name, points in shapes.items():
+        assert len(got[name]) == len(set(got[name])) and set(got[name]) == brute_hull(points, dims), name
+    kept = {r.subject_id: r["count"] for r in fill.hull_corners(mask).groupBy("subject_id").count().collect()}
+    assert kept["ball"] < 0.15 * len(shapes["ball"]) and kept["octahedron"] <= 24

@@ -12,6 +12,7 @@ from ..functions.quantiles import exact_percentiles
 from ..operators import components, fill, morphology, scoring, voxel
 from . import recipe as V
 from .cluster_queries import score_views
+from .neighbour_queries import hull_sql
 from .registry import query
 from .sqltext import VOX, components as cc_views, sql
 
@@ -101,3 +102,13 @@ def score_sweep_large(spark, d):
     p = prob_large(spark, d)
     found = scoring.score_sweep(p.filter("p > 800 AND (p + i) % 5 <> 0").select("subject_id", "i", "j", "k"), p, LARGE, CUTS, [0, 2])
     return found.withColumns({c: F.round(c, 6) for c in ("sensitivity", "precision", "f1")})
+
+
+ROUND = "p > CASE WHEN subject_id = 0 THEN 990 ELSE 950 END AND (i - 36) * (i - 36) + (j - 36) * (j - 36) + 3 * (k - 20) * (k - 20) <= 1156"
+
+
+@query("hull_fill_large", sql(hull_sql("round_", cells="cells"), **PROB, round_=f"SELECT {VOX} FROM large WHERE {ROUND}",
+                              cells=f"SELECT subject_id, a.i::INT AS i, b.j::INT AS j, c.k::INT AS k FROM (SELECT DISTINCT subject_id FROM large), range({LI}) a(i), range({LJ}) b(j), range({LK}) c(k)"))
+def hull_fill_large(spark, d):
+    """Hulls of points spread over a ball that covers all bricks."""
+    return fill.hull_fill(prob_large(spark, d).filter(ROUND))

@@ -171,8 +171,8 @@ def nearest_label_fill(spark, d):
     return fill.nearest_label_fill(V.parc(spark, d).filter("label IN (1003, 2003, 1008, 2001)"), V.mask(spark, d), DIMS)
 
 
-def hull_sql(source: str, keys: str = "") -> str:
-    """Grid voxels inside the convex hull of ``source``, from its definition: the planes through any three points that have all others on one side.
+def hull_sql(source: str, keys: str = "", cells: str = "grid") -> str:
+    """Voxels of ``cells`` inside the convex hull of ``source``, from its definition: the planes through any three points that have all others on one side.
     Only points that end their lines along all three axes can be corners."""
     ks = ["subject_id", *keys.split()]
     inner, own = ", ".join(ks), ", ".join(f"h.{k}" for k in ks)
@@ -180,7 +180,7 @@ def hull_sql(source: str, keys: str = "") -> str:
     end = " AND ".join(f"({x} = min({x}) OVER (PARTITION BY {inner}, {o}) OR {x} = max({x}) OVER (PARTITION BY {inner}, {o}))"
                        for x, o in (("i", "j, k"), ("j", "i, k"), ("k", "i, j")))
     cross = ("(b.j-a.j)*(c.k-a.k) - (b.k-a.k)*(c.j-a.j) AS x, (b.k-a.k)*(c.i-a.i) - (b.i-a.i)*(c.k-a.k) AS y, (b.i-a.i)*(c.j-a.j) - (b.j-a.j)*(c.i-a.i) AS z")
-    return f"""SELECT {', '.join(f'g.{k}' if k == 'subject_id' else f'h.{k}' for k in ks)}, g.i, g.j, g.k FROM grid g JOIN (
+    return f"""SELECT {', '.join(f'g.{k}' if k == 'subject_id' else f'h.{k}' for k in ks)}, g.i, g.j, g.k FROM {cells} g JOIN (
  WITH q AS (SELECT {inner}, i, j, k, row_number() OVER (PARTITION BY {inner} ORDER BY i, j, k) AS n FROM (SELECT * FROM {source} QUALIFY {end})),
  t AS (SELECT {', '.join(f'a.{k}' for k in ks)}, {cross}, a.i AS ai, a.j AS aj, a.k AS ak FROM q a JOIN q b ON {same('a', 'b')} AND a.n < b.n JOIN q c ON {same('b', 'c')} AND b.n < c.n),
  s AS (SELECT {inner}, x, y, z, x*ai + y*aj + z*ak AS v FROM t WHERE x <> 0 OR y <> 0 OR z <> 0),
