@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from voxelry.sources import descriptors, layout, lut_files, subjects, tables, volumes
+from voxelry.sources import descriptors, layout, lut_files, nifti as nifti_source, subjects, tables, volumes
 
 
 def nifti(volume, affine, dtype="f4", slope=1.0):
@@ -58,6 +58,84 @@ def test_frames_are_chosen_not_lost(spark, tmp_path):
         volumes.read_volumes(scans).collect()
 
 
+ACQS = json.dumps({"t1": "t1", "flair": "flair"})
+
+
+def cells(df):
+    return {(r.subject_id, r.acq, r.i, r.j, r.k): r.v for r in df.collect()}
+
+
+def made_cells(made):
+    return {(*key, *map(int, ix)): float(volume[tuple(ix)]) * 2.0 for key, (volume, _) in made.items() for ix in np.argwhere(volume)}
+
+
+@pytest.mark.parametrize("slab_bytes", [1 << 20, 400, 1])
+def test_nifti_format_over_a_tree(spark, dataset, slab_bytes):
+    """Plain and gzipped files, whole and in slabs; every slab is a partition of its own."""
+    root, made = dataset
+    nifti_source.register(spark)
+    df = spark.read.format("nifti").option("acquisitions", ACQS).option("slabBytes", slab_bytes).load(str(root))
+    got = cells(df)
+    assert got == made_cells(made) and df.count() == len(got)
+    assert df.rdd.getNumPartitions() > (1 if slab_bytes < 500 else 0)
+    reader = nifti_source.NiftiReader({"path": str(root), "acquisitions": ACQS, "slabBytes": "1"})
+    plain = [p for p in reader.partitions() if p.scans[0].slabs > 1]
+    assert len({(p.scans[0].path, p.scans[0].slab) for p in plain}) == len(plain) > 500  # slabs without a plane are empty
+    heads = {(r.subject_id, r.acq): r for r in spark.read.format("nifti").option("acquisitions", ACQS).option("headers", "true").load(f"file://{root}").collect()}
+    for key, (volume, affine) in made.items():
+        assert (heads[key].ni, heads[key].nj, heads[key].nk) == volume.shape and np.allclose(np.reshape(heads[key].affine, (4, 4)), affine)
+
+
+@pytest.mark.parametrize("kind", ["parquet", "json"])
+def test_nifti_format_over_a_manifest(spark, dataset, tmp_path, kind):
+    """Rows of the manifest are read by the tasks; the plan of the driver has their numbers only."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    root, made = dataset
+    rows = [dict(subject_id=s, acq=a, path=str(next((root / s / a).iterdir()))) for s, a in made]
+    path = tmp_path / f"manifest.{kind}"
+    if kind == "parquet":
+        pq.write_table(pa.Table.from_pylist(rows), path, row_group_size=3)
+    else:
+        path.write_text("\n".join(map(json.dumps, rows)))
+    nifti_source.register(spark)
+    reader = nifti_source.NiftiReader({"manifest": str(path), "manifestRows": "1"})
+    assert [(p.first, p.last, p.scans) for p in reader.partitions()] == [(n, n + 1, []) for n in range(4)]
+    for step in ("1", "3", "100"):
+        assert cells(spark.read.format("nifti").option("manifest", str(path)).option("manifestRows", step).load()) == made_cells(made)
+
+
+def test_nifti_filters_prune_files(spark, dataset):
+    from pyspark.sql.datasource import EqualTo, GreaterThan, In
+
+    root, made = dataset
+    reader = nifti_source.NiftiReader({"path": str(root), "acquisitions": ACQS})
+    left = list(reader.pushFilters([EqualTo(("subject_id",), "s1"), In(("acq",), ("t1", "swi")), GreaterThan(("v",), 1.0)]))
+    assert [type(f) for f in left] == [GreaterThan]
+    assert [(s.subject_id, s.acq) for p in reader.partitions() for s in p.scans] == [("s1", "t1")]
+    nifti_source.register(spark)
+    df = spark.read.format("nifti").option("acquisitions", ACQS).load(str(root)).filter("subject_id = 's2' AND acq IN ('flair') AND v > 6")
+    assert cells(df) == {k: v for k, v in made_cells(made).items() if k[:2] == ("s2", "flair") and v > 6}
+
+
+def test_nifti_format_refuses(spark, dataset, tmp_path):
+    root, _ = dataset
+    with pytest.raises(ValueError):
+        nifti_source.NiftiReader({})
+    cut = tmp_path / "a" / "t1"
+    cut.mkdir(parents=True)
+    (cut / "scan.nii").write_bytes((root / "s1" / "t1" / "scan.nii").read_bytes()[:-3])
+    nifti_source.register(spark)
+    with pytest.raises(Exception, match="before its last plane"):
+        spark.read.format("nifti").option("acquisitions", ACQS).load(str(tmp_path)).collect()
+    (cut / "other.nii").write_bytes(b"")
+    with pytest.raises(Exception, match="more than one file"):
+        spark.read.format("nifti").option("acquisitions", ACQS).load(str(tmp_path)).collect()
+    nobody = spark.read.format("nifti").option("acquisitions", json.dumps({"x": "nothing"})).load(str(root))
+    assert nobody.count() == 0
+
+
 def test_scan_and_read(spark, dataset):
     root, made = dataset
     scans = layout.scan_dataset(spark, str(root), {"t1": "t1", "flair": "flair"})

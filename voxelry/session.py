@@ -19,6 +19,7 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.checkpoint.compress": "true",
+    "spark.sql.python.filterPushdown.enabled": "true",
 }
 
 #: Scratch folder of a local session without a named one; removed when Python ends.

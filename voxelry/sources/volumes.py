@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-import gzip
+import re
 import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..schema import SUBJECT
+from ..session import scatter
 
 # Data type codes of the format (fixed values of the NIfTI-1 standard).
 DTYPES = {2: "u1", 4: "i2", 8: "i4", 16: "f4", 64: "f8", 256: "i1", 512: "u2", 768: "u4", 1024: "i8", 1280: "u8"}
@@ -49,23 +52,67 @@ def quaternion_affine(q: tuple, pixdim: tuple) -> np.ndarray:
     return out
 
 
-def _bytes(content: bytes) -> bytes:
-    return gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
+def where(path: str) -> tuple[fs.FileSystem, str]:
+    """The store of a path or URI, and the path in it."""
+    if path.startswith("file:") or "://" not in path:
+        return fs.LocalFileSystem(), re.sub("^file:/+", "/", path)
+    return fs.FileSystem.from_uri(path)
 
 
-def _contents(scans: DataFrame) -> DataFrame:
-    """Scan rows with the bytes of their files.
+def open_volume(path: str) -> pa.NativeFile:
+    """The bytes of a volume from its start on, unpacked on the way if they are gzipped."""
+    store, name = where(path)
+    return _unpacked(store.open_input_file(name))
 
-    A dataset scanned with ``content=True`` has them already and is decoded where Spark read it. The files of a manifest
-    lie anywhere, so their paths are handed to the reader: meant for lists of explicit paths, not for whole archives.
-    """
+
+def _unpacked(raw: pa.NativeFile) -> pa.NativeFile:
+    packed = raw.read(2) == b"\x1f\x8b"
+    raw.seek(0)
+    return pa.CompressedInputStream(raw, "gzip") if packed else raw
+
+
+def _exactly(stream: pa.NativeFile, count: int) -> bytes:
+    got = stream.read(count)
+    while len(got) < count:
+        more = stream.read(count - len(got))
+        if not more:
+            raise ValueError("the volume ends before its last plane")
+        got += more
+    return got
+
+
+def _skip(stream: pa.NativeFile, count: int) -> None:
+    if stream.seekable():
+        stream.seek(count, 1)
+        return
+    while count:
+        count -= len(_exactly(stream, min(count, 1 << 20)))
+
+
+def read_planes(stream: pa.NativeFile, name: str, frame: int | None = None, slab: int = 0, slabs: int = 1) -> Iterator[tuple[int, np.ndarray]]:
+    """(k, plane as (nj, ni)) of a slab of a volume, one plane in memory at a time."""
+    head = parse_header(_exactly(stream, 348))
+    ni, nj, nk = head["shape"]
+    if frame is None and head["frames"] > 1 or frame is not None and frame >= head["frames"]:
+        raise ValueError(f"{name} has {head['frames']} frames, asked for {'one file of one' if frame is None else frame}")
+    size = ni * nj * head["dtype"].itemsize
+    first, last = nk * slab // slabs, nk * (slab + 1) // slabs
+    _skip(stream, head["offset"] - 348 + ((frame or 0) * nk + first) * size)
+    for k in range(first, last):
+        plane = np.frombuffer(_exactly(stream, size), head["dtype"]).reshape(nj, ni)
+        yield k, plane.astype(float) * head["slope"] + head["inter"]
+
+
+def _scans(scans: DataFrame) -> DataFrame:
+    """Scan rows to be read where they are: a dataset scanned with ``content=True`` has the bytes of its files, of others the tasks open the paths
+    themselves (any store that Arrow opens), a few files each."""
     if "content" in scans.columns:
-        return scans
-    paths = [r.path for r in scans.select("path").distinct().toLocalIterator()]
-    files = scans.sparkSession.read.format("binaryFile").load(paths).select("path", "content")
-    bare = F.regexp_replace("path", "^file:/+", "/")
-    return (files.withColumn("_p", bare).drop("path")
-            .join(scans.withColumn("_p", bare), "_p").drop("_p"))
+        return scans.select(SUBJECT, "acq", "path", "content")
+    return scatter(scans.select(SUBJECT, "acq", "path"), "path").withColumn("content", F.lit(None).cast("binary"))
+
+
+def _stream(row) -> pa.NativeFile:
+    return open_volume(row.path) if row.content is None else _unpacked(pa.BufferReader(row.content))
 
 
 def read_headers(scans: DataFrame) -> DataFrame:
@@ -74,7 +121,7 @@ def read_headers(scans: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            heads = [parse_header(_bytes(c)) for c in pdf["content"]]
+            heads = [parse_header(_exactly(_stream(row), 348)) for row in pdf.itertuples(index=False)]
             out = pdf[[SUBJECT, "acq", "path"]].copy()
             for n, (a, b) in enumerate(zip(("ni", "nj", "nk"), ("vx", "vy", "vz"))):
                 out[a] = [h["shape"][n] for h in heads]
@@ -82,11 +129,11 @@ def read_headers(scans: DataFrame) -> DataFrame:
             out["affine"] = [h["affine"].ravel().astype(float).tolist() for h in heads]
             yield out
 
-    return _contents(scans).select(SUBJECT, "acq", "path", "content").mapInPandas(run, schema)
+    return _scans(scans).mapInPandas(run, schema)
 
 
 def read_volumes(scans: DataFrame, frame: int | None = None) -> DataFrame:
-    """Non-zero voxels of each scan. One file is decoded per step and given on slab by slab.
+    """Non-zero voxels of each scan. Files are opened in the tasks and read plane by plane.
 
     A file with several frames is an error unless ``frame`` names the one to read.
     """
@@ -95,22 +142,13 @@ def read_volumes(scans: DataFrame, frame: int | None = None) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for row in pdf.itertuples(index=False):
-                raw = _bytes(row.content)
-                head = parse_header(raw)
-                ni, nj, nk = head["shape"]
-                if frame is None and head["frames"] > 1 or frame is not None and frame >= head["frames"]:
-                    raise ValueError(f"{row.subject_id} {row.acq} has {head['frames']} frames, asked for {'one file of one' if frame is None else frame}")
-                # files store the first axis fastest
-                start = head["offset"] + (frame or 0) * ni * nj * nk * head["dtype"].itemsize
-                volume = np.frombuffer(raw, head["dtype"], ni * nj * nk, start).reshape((nk, nj, ni))
-                for k in range(nk):
-                    plane = volume[k].astype(float) * head["slope"] + head["inter"]
+                for k, plane in read_planes(_stream(row), f"{row.subject_id} {row.acq}", frame):
                     j, i = np.nonzero(plane)
                     if len(i):
                         yield pd.DataFrame({SUBJECT: row.subject_id, "acq": row.acq, "i": i.astype("int32"),
                                             "j": j.astype("int32"), "k": np.int32(k), "v": plane[j, i]})
 
-    return _contents(scans).select(SUBJECT, "acq", "content").mapInPandas(run, schema)
+    return _scans(scans).mapInPandas(run, schema)
 
 
 def store_voxels(voxels: DataFrame, path: str) -> None:
