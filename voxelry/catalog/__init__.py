@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 FAMILIES = ("voxel_queries", "geometry_queries", "neighbour_queries", "parcellation_queries", "cluster_queries",
-            "cohort_queries", "source_queries", "large_queries", "plan_queries")
+            "cohort_queries", "source_queries", "large_queries", "plan_queries", "preprocess_queries")
 
 
 def load():

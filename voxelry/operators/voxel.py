@@ -87,11 +87,12 @@ def scaled(v: Column, scale: Column) -> Column:
 
 def normalise(image: DataFrame, mask: DataFrame, percentile: float = 99.0, inverse: bool = False) -> DataFrame:
     """Intensities in [0, 1]: negative and missing values are 0, the in-mask percentile is the unit, the ceiling is
-    1.3 units. With ``inverse`` in-mask values become 1 - v. Only non-zero rows are returned."""
+    1.3 units. With ``inverse`` in-mask values become 1 - v. Only non-zero rows are returned, and NULL for the zeros of a mask whose percentile is zero."""
     values = staged(_in_mask_values(image, mask), "in-mask")  # the join of voxels is made once, for the sketch, the ranking and the result
     per_subject = _scale(values, [percentile]).select(SUBJECT, F.col("scale")[0].alias("_p"))
     rows = attach(values, per_subject)
-    value = scaled(F.col("v"), F.col("_p"))
+    # with a zero percentile what is above it is at the ceiling, and zero itself undefined
+    value = F.when(F.col("_p").isNotNull() | (F.col("v") > 0), scaled(F.col("v"), F.col("_p")))
     if inverse:
         value = F.when(F.col("in_mask"), 1 - value).otherwise(value)
     return rows.select(*VOXEL, value.alias("v")).filter("v IS NULL OR v <> 0")
