@@ -403,3 +403,27 @@ def test_hull_in_two_stages(spark):
         assert len(got[name]) == len(set(got[name])) and set(got[name]) == brute_hull(points, dims), name
     kept = {r.subject_id: r["count"] for r in fill.hull_corners(mask).groupBy("subject_id").count().collect()}
     assert kept["ball"] < 0.15 * len(shapes["ball"]) and kept["octahedron"] <= 24
+
+
+def test_networks_are_loaded_once_a_worker(spark, mask, tmp_path):
+    """Many tiles and folds: every worker process loads the network of a fold once, and a field gives the map of the whole grid."""
+    import os
+    import uuid
+
+    folder = str(tmp_path)
+
+    def load(fold):
+        open(os.path.join(folder, f"{os.getpid()}-{fold}-{uuid.uuid4().hex}"), "w").close()
+
+        def run(dense):
+            padded = np.pad(dense[..., 0], 1)
+            return sum(padded[1 + a:padded.shape[0] - 1 + a, 1:-1, 1:-1] for a in (-1, 0, 1)) / 3 * (fold + 1) / 2
+        return run
+
+    stack = voxel.stack_channels([table(spark, mask)])
+    model = models.Loaded(load)
+    key = lambda df: {(r.fold, r.i, r.j, r.k): round(r.v, 5) for r in df.collect()}
+    tiled = key(models.predict_volumes(stack, model, 2, DIMS, (3, 3, 3), field=3))
+    loads = [name.rsplit("-", 1)[0] for name in os.listdir(folder)]
+    assert len(loads) == len(set(loads)) <= 2 * 8
+    assert tiled == key(models.predict_volumes(stack, model, 2, DIMS))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.offsets import ellipsoid
 from ..functions.quantiles import exact_percentiles
-from ..operators import components, fill, morphology, scoring, voxel
+from ..operators import components, fill, models, morphology, scoring, voxel
 from . import recipe as V
 from .cluster_queries import score_views
 from .neighbour_queries import hull_sql
@@ -112,3 +112,26 @@ ROUND = "p > CASE WHEN subject_id = 0 THEN 990 ELSE 950 END AND (i - 36) * (i -
 def hull_fill_large(spark, d):
     """Hulls of points spread over a ball that covers all bricks."""
     return fill.hull_fill(prob_large(spark, d).filter(ROUND))
+
+
+def _box_mean(fold):
+    """A small network: the mean over the neighbouring voxels of a row along every axis, wider in the second fold."""
+    import numpy as np
+
+    def run(dense):
+        out = dense[..., 0].astype(float)
+        for axis in range(3):
+            padded = np.pad(out, [(1 + fold, 1 + fold) if a == axis else (0, 0) for a in range(3)])
+            width = out.shape[axis]
+            out = sum(np.take(padded, np.arange(s, s + width), axis) for s in range(3 + 2 * fold))
+        return out / (3 + 2 * fold) ** 3
+    return run
+
+
+@query("predict_volumes_large", sql(" UNION ALL ".join(f"""SELECT s.subject_id, {f} AS fold, (s.i + a)::INT AS i, (s.j + b)::INT AS j, (s.k + c)::INT AS k, round(sum(v) / {(3 + 2 * f) ** 3}, 6) AS v
+ FROM large s, range({-1 - f}, {2 + f}) ra(a), range({-1 - f}, {2 + f}) rb(b), range({-1 - f}, {2 + f}) rc(c) WHERE p > 700 AND s.i + a BETWEEN 0 AND {LI - 1} AND s.j + b BETWEEN 0 AND {LJ - 1}
+ AND s.k + c BETWEEN 0 AND {LK - 1} GROUP BY ALL""" for f in (0, 1)), **PROB))
+def predict_volumes_large(spark, d):
+    """Tiles with a halo of half the receptive field give what the whole grid gives; a network is loaded once a worker."""
+    channel = prob_large(spark, d).filter("p > 700").select("subject_id", "i", "j", "k", F.col("v").alias("c1"))
+    return models.predict_volumes(channel, models.Loaded(_box_mean), 2, LARGE, field=5).withColumn("v", F.round("v", 6))

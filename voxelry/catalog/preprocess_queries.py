@@ -189,3 +189,63 @@ def preprocess_swi(spark, d):
 @query("brain_segmentation_mask", sql(f"SELECT {VOX} FROM mask"))
 def brain_segmentation_mask(spark, d):
     return plans.brain_segmentation("mask", V.DIMS, PLAN, mask=V.mask(spark, d))[1]
+
+
+BLOCK_RULE = ("i BETWEEN 1 AND 10 AND j BETWEEN 1 AND 9 AND k BETWEEN 1 AND 6 AND subject_id % 6 <> 3 AND (subject_id % 6 NOT IN (1, 2) OR i <> 4) "
+              "AND (subject_id % 6 <> 2 OR i < 4 OR k < 5)")
+ROUGH_CROP, LEAST = (10, 10, 6), 50.0
+
+
+def _blocks(spark: SparkSession, d: str) -> DataFrame:
+    """Dense blocks of tissue, in one part or two, whose background has bright specks."""
+    rows = V.grid(spark, d).join(V.prob(spark, d), ["subject_id", "i", "j", "k"], "left")
+    inside = (F.lit(0.6) + ((F.col("i") * 7 + F.col("j") * 5 + F.col("k") * 3 + F.col("subject_id")) % 10).cast("double") / 25)
+    v = F.when(F.expr(BLOCK_RULE), inside).when(F.col("p") % 29 == 0, 0.9).otherwise(F.coalesce("v", F.lit(0.0)) / 2.5)
+    return rows.select("subject_id", "i", "j", "k", v.alias("v")).filter("v > 0")
+
+
+def _two_pass() -> dict[str, str]:
+    half = [n // 2 for n in ROUGH_CROP]
+    inner = " AND ".join(f"{a} >= {a}0 AND {a} < {a}0 + {n}" for a, n in zip("ijk", ROUGH_CROP))
+    near = "abs(g.i-s.i) <= 1 AND abs(g.j-s.j) <= 1 AND abs(g.k-s.k) <= 1"
+    verdict = lambda rank: f"SELECT subject_id, arg_max(cluster_id, {rank}) AS id FROM sized WHERE ok GROUP BY 1"
+    return dict(
+        tissue=f"""SELECT * FROM (SELECT {VOX}, CASE WHEN {BLOCK_RULE} THEN 0.6::DOUBLE + ((i*7 + j*5 + k*3 + subject_id) % 10)::DOUBLE / 25 WHEN p % 29 = 0 THEN 0.9 ELSE coalesce(v, 0) / 2.5 END AS v
+ FROM grid LEFT JOIN prob USING ({VOX})) WHERE v > 0""",
+        first=f"SELECT {VOX} FROM tissue WHERE v > 0.5",
+        eroded=f"""SELECT g.subject_id, g.i, g.j, g.k FROM grid g JOIN first s ON s.subject_id = g.subject_id AND {near} GROUP BY ALL
+ HAVING count(*) = """ + " * ".join(f"(least(g.{a} + 1, {n - 1}) - greatest(g.{a} - 1, 0) + 1)" for a, n in zip("ijk", V.DIMS)),
+        opened=f"SELECT DISTINCT g.* FROM grid g JOIN eroded s ON s.subject_id = g.subject_id AND {near}",
+        # what the opening leaves is one block, or two with the plane i = 4 between them; the closure over pairs of touching voxels would take minutes
+        oc=f"SELECT *, min((i * {NJ} + j) * {NK} + k) OVER (PARTITION BY subject_id, subject_id % 6 IN (1, 2) AND i > 4)::BIGINT AS cluster_id FROM opened",
+        sized=f"SELECT *, count(*) OVER (PARTITION BY subject_id) = 1 OR n > {LEAST} AS ok FROM (SELECT subject_id, cluster_id, count(*) AS n, max(k) AS top FROM oc GROUP BY ALL)",
+        biggest=verdict("n * 100000 - cluster_id"), topmost=verdict("top::BIGINT * 1000000000 + n * 100000 - cluster_id"),
+        chosen="SELECT subject_id, b.id AS cluster_id FROM biggest b JOIN topmost t USING (subject_id) WHERE b.id = t.id",
+        rough=f"SELECT {VOX} FROM oc JOIN chosen USING (subject_id, cluster_id)",
+        centre="SELECT subject_id, ceil(avg(i))::INT AS ci, ceil(avg(j))::INT AS cj, ceil(avg(k))::INT AS ck, max(k) AS top FROM rough GROUP BY 1",
+        box=f"""SELECT subject_id, ci - {half[0]} AS i0, cj - {half[1]} AS j0, ck + CASE WHEN least(ck + {half[2]}, {NK}) <= top THEN top - least(ck + {half[2]}, {NK}) + 2 ELSE 0 END - {half[2]} AS k0 FROM centre""",
+        bright=f"SELECT subject_id, quantile_cont(coalesce(v, 0), 0.99) AS q FROM (SELECT * FROM rough JOIN box USING (subject_id) WHERE {inner}) LEFT JOIN tissue USING ({VOX}) GROUP BY 1",
+        second=f"SELECT {VOX} FROM tissue JOIN box USING (subject_id) JOIN bright USING (subject_id) WHERE {inner} AND least(v / q, 1.3) / 1.3 > 0.5")
+
+
+def _bright(dense, fold):
+    return (dense[..., 0] > 0.4 + 0.1 * fold).astype(float)
+
+
+def _rough(spark: SparkSession, d: str):
+    settings = Settings(conformed_dims=V.DIMS, cropped_dims=ROUGH_CROP, voxel_size=(1.0, 1.0, 1.0), mask_growth=0.0, crop_margin=2)
+    return plans.two_pass_mask(V.images(spark, d), _blocks(spark, d), _bright, 2, settings, 1, LEAST)
+
+
+@query("two_pass_mask", sql(f"SELECT {VOX} FROM second", **_two_pass()))
+def two_pass_mask(spark, d):
+    """A rough mask, opened and checked, then a second one inside its crop, back on the whole grid."""
+    return _rough(spark, d).voxels.select("subject_id", "i", "j", "k")
+
+
+@query("two_pass_mask_status", sql("""SELECT s.subject_id, coalesce(n_clusters, 0)::BIGINT AS n_clusters, coalesce(n_eligible, 0)::BIGINT AS n_eligible,
+ CASE WHEN n_clusters IS NULL THEN 'empty mask' WHEN n_eligible = 0 THEN 'no cluster above the minimum volume' WHEN c.cluster_id IS NULL THEN 'biggest cluster is not the topmost' ELSE 'ok' END AS status
+ FROM subjects s LEFT JOIN (SELECT subject_id, count(*) AS n_clusters, count_if(ok) AS n_eligible FROM sized GROUP BY 1) n ON n.subject_id = s.subject_id LEFT JOIN chosen c ON c.subject_id = s.subject_id""",
+ **_two_pass()))
+def two_pass_mask_status(spark, d):
+    return _rough(spark, d).status
