@@ -243,3 +243,35 @@ def test_append_and_csv(spark, tmp_path):
     assert {(r.subject_id, r["size"], r.extra) for r in read.collect()} == {("a", "1", None), ("b", "2", "x"), ("c", "3", None)}
     tables.write_results(rows.withColumn("biomarker", F.lit("pvs")), str(tmp_path / "out"), "csv", "biomarker", digits=2)
     assert (tmp_path / "out" / "biomarker=pvs").exists()
+
+
+def test_stage_store(spark, tmp_path):
+    """Lost, repeated and empty writes; resumed runs make only what is missing; reading some subjects opens their buckets only."""
+    from voxelry.sources.stages import StageStore
+
+    store = StageStore(spark, str(tmp_path / "stages"), 8)
+    everyone = spark.createDataFrame([(f"s{n}",) for n in range(12)], "subject_id string")
+    rows = everyone.filter("subject_id <> 's3'").select("subject_id", F.explode(F.sequence(F.lit(1), F.lit(5))).alias("i"))  # s3 has no row
+    made = []
+
+    def make(todo):
+        names = sorted(r.subject_id for r in todo.collect())
+        made.append(names)
+        return rows.join(todo, "subject_id", "left_semi").withColumn("turn", F.lit(len(made)))
+
+    with pytest.raises(ValueError):
+        store.read("crop")
+    first = everyone.filter("subject_id IN ('s1', 's2', 's3')")
+    store.write_data("crop", rows.withColumn("turn", F.lit(99)))  # lost before its commit
+    assert {(r.subject_id, r.i, r.turn) for r in store.resume("crop", first, make).collect()} == {(s, i, 1) for s in ("s1", "s2") for i in range(1, 6)}
+    out = store.resume("crop", everyone, make)
+    assert made == [["s1", "s2", "s3"], sorted(f"s{n}" for n in range(12) if n not in (1, 2, 3))]
+    assert out.count() == 55 and out.filter("turn = 99").count() == 0
+    assert store.resume("crop", everyone, make).count() == 55 and len(made) == 2 and store.missing("crop", everyone).isEmpty()
+    store.write("crop", rows.filter("subject_id = 's5'").withColumn("turn", F.lit(7)), everyone.filter("subject_id = 's5'"))
+    one = store.read("crop", everyone.filter("subject_id = 's5'"))
+    assert [(r.i, r.turn) for r in one.orderBy("i").collect()] == [(i, 7) for i in range(1, 6)]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "bucket#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    store.drop("crop")
+    assert store.commits("crop") is None

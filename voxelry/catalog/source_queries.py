@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..session import stage_path
 from ..sources import descriptors, subjects, tables
+from ..sources.stages import StageStore
 from . import recipe as V
 from .registry import query
-from .sqltext import sql
+from .sqltext import VOX, sql
 
 
 @query("select_subjects", sql("""SELECT DISTINCT l_suppkey::VARCHAR AS subject_id FROM lineitem WHERE l_suppkey IN (SELECT o_custkey FROM orders)
@@ -86,3 +88,14 @@ def append_with_date(spark, d):
     history = V.table(spark, d, "orders").select(F.col("o_custkey").alias("subject_id"), F.col("o_totalprice").alias("total"), F.to_date("o_orderdate").alias("append_date"))
     rows = V.table(spark, d, "customer").select(F.col("c_custkey").alias("subject_id"), F.col("c_acctbal").alias("total"), F.col("c_mktsegment").alias("segment"))
     return tables.appended(history, rows, "2024-05-06").withColumn("append_date", F.col("append_date").cast("string"))
+
+
+@query("stage_store_resume", sql(f"SELECT {VOX}, v, CASE WHEN subject_id % 2 = 0 AND subject_id % 20 <> 4 THEN 'before' WHEN subject_id % 20 = 4 THEN 'repeated' ELSE 'resumed' END AS made FROM prob"))
+def stage_store_resume(spark, d):
+    """A half-finished run: even subjects are complete, some of them by a second write, and rows of a lost write lie about; only the others are made anew."""
+    store, everyone, rows = StageStore(spark, stage_path(spark, "stage-store"), 16), V.subjects(spark, d), V.prob(spark, d).select("subject_id", "i", "j", "k", "v")
+    of = lambda rule, made: rows.filter(rule).withColumn("made", F.lit(made))
+    store.write("maps", of("subject_id % 2 = 0", "before"), everyone.filter("subject_id % 2 = 0"))
+    store.write_data("maps", of("subject_id % 5 = 0", "lost"))
+    store.write("maps", of("subject_id % 20 = 4", "repeated"), everyone.filter("subject_id % 20 = 4"))
+    return store.resume("maps", everyone, lambda todo: rows.join(todo, "subject_id", "left_semi").withColumn("made", F.lit("resumed")))
