@@ -65,6 +65,16 @@ def distance_large(spark, d):
     return far.withColumn("d", F.round("d", 6))
 
 
+@query("distance_large_own_spacing", sql("""SELECT w.subject_id, w.i, w.j, w.k, round(sqrt(min(((w.i-s.i) * (0.5 + w.subject_id % 3 * 0.25))**2 + (w.j-s.j)**2 * 2.25 + ((w.k-s.k) * (1 + w.subject_id % 4 * 0.5))**2)), 6) AS d
+ FROM large w JOIN large s ON w.subject_id = s.subject_id AND s.v > 0.95 WHERE w.v < 0.05 GROUP BY ALL""", **PROB))
+def distance_large_own_spacing(spark, d):
+    """Every participant's scan has voxel sizes of its own."""
+    p, s = prob_large(spark, d), F.col("subject_id")
+    grids = p.select("subject_id").distinct().select("subject_id", (F.lit(0.5) + s % 3 * 0.25).alias("vx"), F.lit(1.5).alias("vy"), (F.lit(1.0) + s % 4 * 0.5).alias("vz"))
+    asked = p.filter("v < 0.05").select("subject_id", "i", "j", "k")
+    return morphology.euclidean_distance(p.filter("v > 0.95"), LARGE, where=asked, grids=grids).withColumn("d", F.round("d", 6))
+
+
 @query("nearest_label_fill_large", sql("""SELECT w.subject_id, w.i, w.j, w.k, arg_min((s.p % 5)::INT, greatest(abs(w.i-s.i), abs(w.j-s.j), abs(w.k-s.k)) * 10 + s.p % 5) AS label
  FROM large w JOIN large s ON w.subject_id = s.subject_id AND s.p > 980 WHERE w.p < 100 GROUP BY ALL""", **PROB))
 def nearest_label_fill_large(spark, d):

@@ -21,13 +21,14 @@ Kernel = Callable[[np.ndarray], np.ndarray]
 
 def along(df: DataFrame, axis: str, dims: Dims, kernel: Kernel, fill: float, value: str = "v",
           keys: Sequence[str] = (SUBJECT,), limit: float | None = None, wanted: DataFrame | None = None,
-          own_length: str | None = None) -> DataFrame:
+          own_length: str | None = None, own_spacing: str | None = None) -> DataFrame:
     """Apply ``kernel`` to the dense ``(lines, length)`` matrix of each batch of lines.
 
     Absent voxels are ``fill``; result cells that are not finite, equal ``fill``, or exceed ``limit`` are dropped.
     Lines without any row stay absent. ``wanted`` names the only cells to return: some columns of a line and ``_w``, the list of
     positions along it; lines it does not name are left out. ``own_length`` names a key with the length of a line's own grid, where it is
-    shorter than the longest: the kernel then sees lines of equal length together, each cut to it.
+    shorter than the longest: the kernel then sees lines of equal length together, each cut to it. ``own_spacing`` names a key with the voxel size of a
+    line's own scan, which the kernel gets as a second argument, a number a line.
     """
     length = dims[AXES.index(axis)]
     line = [*keys, *other_axes(axis)]
@@ -35,6 +36,7 @@ def along(df: DataFrame, axis: str, dims: Dims, kernel: Kernel, fill: float, val
               .select(*line, F.col("_c.x").alias("_x"), F.col("_c.y").alias("_y")))
     width, result, chosen = len(line), packed.schema, wanted is not None
     sized = None if own_length is None else line.index(own_length)
+    spaced = None if own_spacing is None else line.index(own_spacing)
     if wanted is not None:
         on = [c for c in wanted.columns if c != "_w"]
         along_subject = set(on).isdisjoint(AXES)  # then a hot subject is spread by its lines
@@ -47,7 +49,9 @@ def along(df: DataFrame, axis: str, dims: Dims, kernel: Kernel, fill: float, val
             rows = np.repeat(np.arange(n), np.diff(xs.offsets.to_numpy()))
             dense = np.full((n, length), fill)
             dense[rows, xs.flatten().to_numpy()] = ys.flatten().to_numpy(zero_copy_only=False)
-            if sized is None:
+            if spaced is not None:
+                out = kernel(dense, batch.column(spaced).to_numpy())
+            elif sized is None:
                 out = kernel(dense)
             else:
                 out, sizes = np.full_like(dense, fill), batch.column(sized).to_numpy()
@@ -75,8 +79,9 @@ def along(df: DataFrame, axis: str, dims: Dims, kernel: Kernel, fill: float, val
 
 def sweep(df: DataFrame, dims: Dims, kernels: Sequence[Kernel], fill: float, value: str = "v",
           keys: Sequence[str] = (SUBJECT,), limit: float | None = None, where: DataFrame | None = None,
-          where_keys: Sequence[str] = (SUBJECT,), own_lengths: Sequence[str] | None = None) -> DataFrame:
-    """Passes along k, j and i; ``kernels`` are given in the order i, j, k, and so are ``own_lengths``, keys with the grid of a line's participant.
+          where_keys: Sequence[str] = (SUBJECT,), own_lengths: Sequence[str] | None = None, own_spacings: Sequence[str] | None = None) -> DataFrame:
+    """Passes along k, j and i; ``kernels`` are given in the order i, j, k, and so are ``own_lengths`` and ``own_spacings``, keys with the grid and the voxel sizes of a
+    line's participant.
 
     With ``where`` (``where_keys``, among the keys, and voxels; read three times) only its voxels are returned, and every pass
     only makes the cells that lead to one: rows then grow with ``where`` and the seeds, not with the grid.
@@ -84,7 +89,8 @@ def sweep(df: DataFrame, dims: Dims, kernels: Sequence[Kernel], fill: float, val
     final: list[str] = []
     for axis, kernel in reversed(list(zip(AXES, kernels))):
         wanted = None if where is None else where.groupBy(*where_keys, *final).agg(F.collect_set(axis).alias("_w"))
-        df = along(df, axis, dims, kernel, fill, value, keys, limit, wanted, own_lengths[AXES.index(axis)] if own_lengths else None)
+        own = [names[AXES.index(axis)] if names else None for names in (own_lengths, own_spacings)]
+        df = along(df, axis, dims, kernel, fill, value, keys, limit, wanted, *own)
         final.append(axis)
     return df
 
@@ -129,45 +135,46 @@ def chessboard_kernel(d: np.ndarray) -> np.ndarray:
     return out
 
 
-def squared_kernel(spacing: float = 1.0) -> Kernel:
-    """One axis of the squared Euclidean distance: the lower envelope of the parabolas over a line, for a batch of lines at once.
+def squared_distances(d: np.ndarray, spacing: np.ndarray) -> np.ndarray:
+    """One axis of the squared Euclidean distance, with a voxel size for each line: the lower envelope of the parabolas over a line, for a batch of lines at once.
 
     The envelope is built from left to right; of every line that still has to, one parabola is taken off at a time, so the steps are at most twice the length.
     """
-    def run(d: np.ndarray) -> np.ndarray:
-        n, length = d.shape
-        x = np.arange(length) * spacing
-        lift = d + x ** 2
-        top = np.full(n, -1)
-        vertex, border = np.zeros((n, length + 1), np.int64), np.full((n, length + 2), np.inf)
-        for q in range(length):
-            todo = np.flatnonzero(np.isfinite(d[:, q]))
-            while len(todo):
-                t = top[todo]
-                v = vertex[todo, np.maximum(t, 0)]
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    meet = np.where(t < 0, -np.inf, (lift[todo, q] - lift[todo, v]) / (2 * (x[q] - x[v])))
-                hidden = (t >= 0) & (meet <= border[todo, np.maximum(t, 0)])
-                put = todo[~hidden]
-                top[put] += 1
-                vertex[put, top[put]] = q
-                border[put, top[put]] = meet[~hidden]
-                top[todo[hidden]] -= 1
-                todo = todo[hidden]
-        out = np.full(d.shape, np.inf)
-        some = np.flatnonzero(top >= 0)
-        at = np.zeros(len(some), np.int64)
-        for q in range(length):
-            while True:
-                go = (at < top[some]) & (border[some, np.minimum(at + 1, length)] < x[q])
-                if not go.any():
-                    break
-                at[go] += 1
-            v = vertex[some, at]
-            out[some, q] = d[some, v] + (x[q] - x[v]) ** 2
-        return out
+    n, length = d.shape
+    x = np.arange(length)[None, :] * spacing[:, None]
+    lift = d + x ** 2
+    top = np.full(n, -1)
+    vertex, border = np.zeros((n, length + 1), np.int64), np.full((n, length + 2), np.inf)
+    for q in range(length):
+        todo = np.flatnonzero(np.isfinite(d[:, q]))
+        while len(todo):
+            t = top[todo]
+            v = vertex[todo, np.maximum(t, 0)]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                meet = np.where(t < 0, -np.inf, (lift[todo, q] - lift[todo, v]) / (2 * (x[todo, q] - x[todo, v])))
+            hidden = (t >= 0) & (meet <= border[todo, np.maximum(t, 0)])
+            put = todo[~hidden]
+            top[put] += 1
+            vertex[put, top[put]] = q
+            border[put, top[put]] = meet[~hidden]
+            top[todo[hidden]] -= 1
+            todo = todo[hidden]
+    out = np.full(d.shape, np.inf)
+    some = np.flatnonzero(top >= 0)
+    at = np.zeros(len(some), np.int64)
+    for q in range(length):
+        while True:
+            go = (at < top[some]) & (border[some, np.minimum(at + 1, length)] < x[some, q])
+            if not go.any():
+                break
+            at[go] += 1
+        v = vertex[some, at]
+        out[some, q] = d[some, v] + (x[some, q] - x[some, v]) ** 2
+    return out
 
-    return run
+
+def squared_kernel(spacing: float = 1.0) -> Kernel:
+    return lambda d: squared_distances(d, np.full(len(d), float(spacing)))
 
 
 def _fronts(dense: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:

@@ -13,10 +13,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
+from ..functions.joins import attach
 from ..functions.offsets import Offset, neighbours, spread
 from ..schema import AXES, SUBJECT, VOXEL, Dims, in_grid, other_axes
 from ..session import cut_lineage
-from .lines import squared_kernel, sweep, taxicab_kernel
+from .lines import squared_distances, squared_kernel, sweep, taxicab_kernel
 
 Radii = tuple[int, int, int]
 
@@ -207,12 +208,18 @@ def open_steps(mask: DataFrame, steps: int, dims: Dims, keys: Sequence[str] = (S
 
 
 def euclidean_distance(mask: DataFrame, dims: Dims, spacing: tuple[float, float, float] = (1.0, 1.0, 1.0),
-                       limit: float | None = None, keys: Sequence[str] = (SUBJECT,), where: DataFrame | None = None) -> DataFrame:
-    """Exact Euclidean distance ``d`` to the mask of all grid voxels, or of those of ``where`` (with the same keys)."""
+                       limit: float | None = None, keys: Sequence[str] = (SUBJECT,), where: DataFrame | None = None, grids: DataFrame | None = None) -> DataFrame:
+    """Exact Euclidean distance ``d`` to the mask of all grid voxels, or of those of ``where`` (with the same keys). With ``grids`` (subject_id, vx, vy, vz) every scan is
+    measured by its own voxel sizes; subjects it does not name have no distance."""
     seeds = mask.select(*keys, *AXES).withColumn("d", F.lit(0.0))
     far = None if limit is None else limit ** 2 * (1 + 1e-9)
-    squared = sweep(seeds, dims, [squared_kernel(s) for s in spacing], math.inf, "d", keys, far, where, keys)
-    return squared.withColumn("d", F.sqrt("d"))
+    if grids is None:
+        squared = sweep(seeds, dims, [squared_kernel(s) for s in spacing], math.inf, "d", keys, far, where, keys)
+        return squared.withColumn("d", F.sqrt("d"))
+    own = ["_vx", "_vy", "_vz"]
+    sizes = grids.select(SUBJECT, *[F.col(c[1:]).cast("double").alias(c) for c in own])
+    squared = sweep(attach(seeds, sizes), dims, [squared_distances] * 3, math.inf, "d", [*keys, *own], far, where, keys, own_spacings=own)
+    return squared.select(*keys, *AXES, F.sqrt("d").alias("d"))
 
 
 def surface(mask: DataFrame, keys: Sequence[str] = (SUBJECT,)) -> DataFrame:
