@@ -240,6 +240,15 @@ def test_toxicity_features_and_calibration_against_plain_python():
     assert np.allclose(np.append(weights, bias), w, atol=1e-4)
 
 
+def test_toxicity_sample_is_bounded(spark):
+    docs = spark.createDataFrame([(i, "x" * (i + 1)) for i in range(60)] + [(7, None), (None, "y")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(None, 1)], "doc_id bigint, label int")
+    taken = lambda **bounds: toxicity.sample(docs, labels, **bounds).collect()
+    assert sorted((r.doc_id, r.label) for r in taken()) == [(i, i % 2) for i in range(60)]
+    assert sum(len(r.text) for r in taken(max_total=500)) <= 500 < sum(len(r.text) for r in taken())
+    assert len(taken(max_docs=5)) == 10 and max(len(r.text) for r in taken(max_chars=20)) == 20
+
+
 def test_small_sets_are_rarely_missed():
     """Share of pairs at the threshold that no band finds, by the size of the sets."""
     rng = np.random.default_rng(4)

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .frame import OWN, per_text
 
@@ -24,9 +24,10 @@ ORDINARY_BYTES = 8192
 TOXIC_BYTES = 1536
 #: Lengths of the character n-grams that tell toxic words.
 GRAMS = (5, 7)
-#: Bounds of the training sample: texts of either class, characters of a text; together 120 million characters.
+#: Bounds of the training sample: texts of either class, characters of a text and of all together.
 MAX_DOCS = 3000
-MAX_CHARS = 20_000
+MAX_CHARS = 200_000
+MAX_TOTAL = 100_000_000
 #: A saving of at least so many bytes counts as an exceedance.
 STEPS = (1, 2, 3, 4, 6)
 _BUCKET_BITS = 22
@@ -149,15 +150,18 @@ def calibrate(rows: np.ndarray, labels: np.ndarray, ridge: float = 1.0) -> tuple
     return centre, spread, w[:-1], float(w[-1])
 
 
-def sample(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_chars: int = MAX_CHARS) -> DataFrame:
+def sample(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_chars: int = MAX_CHARS, max_total: int = MAX_TOTAL) -> DataFrame:
     """Texts (doc_id, text, label) of at most ``max_docs`` labelled documents of either class, those with the smallest hash of their id: the bound of the
-    training sample. Texts of more than ``max_chars`` characters are left out of it. Only labels are ordered (a top-k per class, no full sort); the
+    training sample. Texts of more than ``max_chars`` characters are left out of it, and so are all, in the order of that hash, from where they pass ``max_total`` together. Only labels are ordered (a top-k per class, no full sort); the
     chosen ids, twice ``max_docs`` at most, are broadcast, so no text is shuffled."""
     known = labels.select(F.col("doc_id").alias(f"{OWN}id"), F.col("label").cast("int").alias("label"))
     parts = [known.filter(F.col("label") == k).orderBy(F.xxhash64(f"{OWN}id"), f"{OWN}id").limit(max_docs) for k in (0, 1)]
     chosen = F.broadcast(parts[0].unionByName(parts[1]))
     fit = docs.select("doc_id", "text").filter(F.col("text").isNotNull() & (F.length("text") <= max_chars))
-    return fit.join(chosen, F.col("doc_id") == F.col(f"{OWN}id")).select("doc_id", "text", "label")
+    drawn = fit.select("doc_id", F.length("text").alias(f"{OWN}n")).join(chosen, F.col("doc_id") == F.col(f"{OWN}id")).drop("doc_id")
+    so_far = Window.orderBy(F.xxhash64(f"{OWN}id"), f"{OWN}id", "label").rowsBetween(Window.unboundedPreceding, 0)  # of a bounded number of ids and sizes
+    kept = drawn.withColumn(f"{OWN}n", F.sum(f"{OWN}n").over(so_far)).filter(F.col(f"{OWN}n") <= max_total).select(f"{OWN}id", "label").distinct()
+    return fit.join(F.broadcast(kept), F.col("doc_id") == F.col(f"{OWN}id")).select("doc_id", "text", "label")
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_chars: int = MAX_CHARS) -> Model | None:
