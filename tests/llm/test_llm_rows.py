@@ -280,6 +280,25 @@ def test_runs_of_numbers_are_invertible(spark):
     assert pii.pseudonymise(out.drop("n_private"), "key", invert=True).drop("n_private").exceptAll(docs).count() == 0
 
 
+def test_runs_of_any_length(spark):
+    """Every card number of a run is found however long the run is, and equal numbers keep equal pseudonyms, alone and in runs."""
+    card, other = "4111 1111 1111 1111", "5500-0000-0000-0004"
+    texts = {1: card, 2: " ".join([card] * 20), 3: " ".join([card, other] * 400), 4: "-".join([other] * 20), 5: "9 " * 30_000 + "end",
+             6: "7" * 100_000, 7: " ".join(["1234"] * 5000 + [card])}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(7)
+    out = pii.pseudonymise(docs, "key").cache()
+    got = {r.doc_id: r for r in out.collect()}
+    alone = got[1].text
+    assert alone != card and luhn(alone.replace(" ", ""))
+    assert got[2].text == " ".join([alone] * 20) and got[2].n_private == 20
+    pair = got[3].text[:39]
+    assert pair.startswith(alone) and got[3].text == " ".join([pair] * 400) and got[3].n_private == 800
+    assert got[4].text == "-".join([pair[20:]] * 20) and got[4].n_private == 20
+    assert len(got[5].text) == len(texts[5]) and (got[6].text, got[6].n_private) == (texts[6], 0)
+    assert "1111 1111" not in got[7].text
+    assert pii.pseudonymise(out.drop("n_private"), "key", invert=True).drop("n_private").exceptAll(docs).count() == 0
+
+
 def test_permutations_are_one_to_one(spark):
     days = spark.range(pii.CYCLE).select(pii.permute_number(F.col("id"), pii.CYCLE_A, pii.CYCLE_B, "k", "d").alias("x"))
     assert days.agg(F.count_distinct("x"), F.min("x"), F.max("x")).first() == (pii.CYCLE, 0, pii.CYCLE - 1)

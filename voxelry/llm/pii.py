@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .frame import OWN, refuse
 
 ROUNDS = 8
-#: Permutations until the numbers of a run are found at their places again. The orbit returns, as the start itself has them; each step does so with a probability of
-#: 0.7 a number as a rule, so not even the 15 numbers of the longest run need so many. More are an error and no silent loss of the way back.
+#: Permutations of a number until the same numbers are found around it. The orbit returns, as the start itself has them; a step does so with a probability
+#: above 0.1 even where every grouping competes, so 2 000 steps do not suffice once in 10^90. More are an error and no silent loss of the way back.
 WALK = 2000
 #: Patterns of the kinds, in the order in which they are tried at a place. A host name has at most 127 labels; that bound also keeps the
 #: matcher's stack small on hostile texts.
@@ -36,8 +36,12 @@ _OF_COUNTRY = "(?=[A-Z]{2}[0-9]{2})(?:" + "|".join(f"(?:{names.replace(' ', '|')
 _CARD_SHAPES = [r"[0-9]{13,19}", *(sep.join(f"[0-9]{{{n}}}" for n in sizes) for sep in (" ", "-")
                                   for sizes in ((4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3), (6, 13)))]
 _CARD_SHAPE = "(?:" + "|".join(_CARD_SHAPES) + ")(?![0-9A-Za-z])"
-#: A run of digits of former meaning: up to 19, with a blank or hyphen between any two.
+#: Digits of a card number in any grouping: up to 19, with a blank or hyphen between any two.
 _PIECE = r"[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])"
+#: A group of a run with its separator; the most groups and characters (one more shows the end) of a usual grouping and of any other.
+_GROUP = "[0-9]+[ -]?"
+_USUAL_GROUPS, _USUAL_WIDTH = 5, 24
+_ANY_GROUPS, _ANY_WIDTH = 19, 38
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){1,126}",
     # the length of a known country ends an IBAN; one of another length goes on at a blank only where nothing else begins
@@ -47,8 +51,9 @@ PATTERNS = {
     "ip": _IP,
     "ssn": _SSN,
     "phone": _PHONE,
-    # a run of digits, in which _card looks for numbers; no run goes on where something else begins, nor over more than 200 digits
-    "card": rf"(?<![0-9A-Za-z])[0-9](?:(?:[ -](?!{_DATE}|{_IP}|{_SSN}|{_PHONE}))?[0-9]){{12,199}}(?![0-9A-Za-z])",
+    # a run of at least 13 digits of any length, in which _card looks for numbers; whole groups, and none where something else begins. Possessive, so
+    # that the matcher's stack does not grow with the run
+    "card": rf"(?<![0-9A-Za-z])(?=[0-9](?:[ -]?[0-9]){{12}})[0-9]++(?![A-Za-z])(?:[ -](?!{_DATE}|{_IP}|{_SSN}|{_PHONE})[0-9]++(?![A-Za-z]))*+",
 }
 ANY = "|".join(PATTERNS.values())
 #: Days of the Gregorian cycle of 400 years, 189 x 773.
@@ -142,55 +147,93 @@ def _is_run(value: Column) -> Column:
     return value.rlike("^[0-9][0-9 -]*$") & (F.length(_digits(value)) >= 13)
 
 
-def _card_spans(value: Column) -> Column:
-    """Places and sizes of the valid card numbers in a run of digits: from left to right those of the usual groupings, then, between
-    them, pieces of up to 19 digits in any grouping."""
-    def scan(shapes: list[str], taken: Column, whole_pieces: bool) -> Column:
+def _groups(value: Column) -> Column:
+    return F.regexp_extract_all(value, F.lit(_GROUP), F.lit(0))
+
+
+def _ahead(groups: Column, at: Column, n: Column, width: int) -> Column:
+    return F.substring(F.array_join(F.slice(groups, at, n), ""), 1, width)
+
+
+def _usual(groups: Column, at: Column) -> Column:
+    """How many groups from ``at`` on are the first usual grouping that is valid; 0 if none is."""
+    def best(text: Column) -> Column:
+        shaped = F.filter(F.array(*[F.regexp_extract(text, f"^{x}(?![0-9A-Za-z])", 0) for x in _CARD_SHAPES]), lambda x: x != "")
+        return _once(F.filter(shaped, lambda x: luhn_sum(_digits(x), False) == 0),
+                     lambda ok: F.when(F.size(ok) > 0, F.size(_groups(F.get(ok, 0)))).otherwise(0))
+    return _once(_ahead(groups, at, F.lit(_USUAL_GROUPS), _USUAL_WIDTH), best)
+
+
+def _numbers(groups: Column) -> Column:
+    """The valid card numbers of a run of digits as groups (``at``, ``n``) in ``found``: from left to right those of the usual groupings, then,
+    between them, pieces of up to 19 digits in any grouping. ``marks`` has per group the size of the usual number that begins there, 0 where none
+    does and -1 inside of one. Linear in the run."""
+    def span(at: Column, n: Column) -> Column:
+        return F.array(F.struct(at.cast("int").alias("at"), n.cast("int").alias("n")))
+
+    none = F.lit([]).cast("array<struct<at:int,n:int>>")
+    start = lambda at: F.struct(at.cast("int").alias("next"), none.alias("found"))
+    state = lambda at, found: F.struct(at.cast("int").alias("next"), found.alias("found"))
+
+    def usual_step(s: Column, i: Column) -> Column:
+        return F.when(i < s["next"], s).otherwise(_once(_usual(groups, i), lambda k: F.when(
+            k > 0, state(i + k, F.concat(s["found"], span(i, k)))).otherwise(s)))
+
+    def pieces(gap: Column) -> Column:
         def step(s: Column, i: Column) -> Column:
-            free = (i >= s["at"]) & F.substring(value, i, F.lit(1)).between("0", "9") & ((i == 1) | ~F.substring(value, i - 1, F.lit(1)).between("0", "9"))
-            ends = F.filter(taken, lambda t: t["at"] + t["size"] > i)
-            nearest = F.coalesce(F.array_min(F.transform(ends, lambda t: t["at"])), F.length(value) + 1)
+            text = _ahead(groups, i, F.least(F.lit(_ANY_GROUPS), gap["b"] - i), _ANY_WIDTH)
+            return F.when(i < s["next"], s).otherwise(_once(F.regexp_extract(text, f"^{_PIECE}", 0), lambda m: F.when(m == "", s).otherwise(
+                _once(F.size(_groups(m)), lambda k: state(i + k, F.when(luhn_sum(_digits(m), False) == 0, F.concat(s["found"], span(i, k))).otherwise(s["found"]))))))
+        return F.when(gap["a"] < gap["b"], F.aggregate(F.sequence(gap["a"], gap["b"] - 1), start(gap["a"]), step, lambda s: s["found"])).otherwise(none)
 
-            def chosen(rest: Column) -> Column:
-                parts = F.filter(F.array(*[F.regexp_extract(rest, f"^{x}(?![0-9A-Za-z])", 0) for x in shapes]), lambda x: x != "")
-                return _once(F.struct(parts.alias("all"), F.filter(parts, lambda x: luhn_sum(_digits(x), False) == 0).alias("ok")), lambda f: F.struct(
-                    (F.when(F.size(f["ok"]) > 0, i + F.length(F.get(f["ok"], 0))).when(F.lit(whole_pieces) & (F.size(f["all"]) > 0), i + F.length(F.get(f["all"], 0)))
-                     .otherwise(s["at"])).alias("at"),
-                    F.when(F.size(f["ok"]) > 0, F.concat(s["found"], F.array(F.struct(i.alias("at"), F.length(F.get(f["ok"], 0)).alias("size"))))).otherwise(s["found"]).alias("found")))
-            return F.when(free, _once(F.substring(value, i, nearest - i), chosen)).otherwise(s)
+    def marked(gap: Column) -> Column:
+        number = F.when(gap["k"] > 0, F.concat(F.array(gap["k"]), F.array_repeat(F.lit(-1), gap["k"] - 1))).otherwise(F.lit([]).cast("array<int>"))
+        return F.concat(F.array_repeat(F.lit(0), gap["b"] - gap["a"]), number)
 
-        start = F.struct(F.lit(1).alias("at"), F.lit([]).cast("array<struct<at:int,size:int>>").alias("found"))
-        return F.aggregate(F.sequence(F.lit(1), F.length(value)), start, step, lambda s: s["found"])
+    def between(usual: Column) -> Column:
+        ends = F.concat(F.array(F.lit(1)), F.transform(usual, lambda u: u["at"] + u["n"]))
+        gaps = F.zip_with(ends, F.concat(usual, span(F.size(groups) + 1, F.lit(0))), lambda a, u: F.struct(a.alias("a"), u["at"].alias("b"), u["n"].alias("k")))
+        return _once(gaps, lambda g: F.struct(F.array_sort(F.concat(usual, F.flatten(F.transform(g, pieces)))).alias("found"),
+                                              F.flatten(F.transform(g, marked)).alias("marks")))
 
-    none = F.lit([]).cast("array<struct<at:int,size:int>>")
-    return _once(scan(_CARD_SHAPES, none, False), lambda usual: F.array_sort(F.concat(usual, scan([_PIECE], usual, True))))
+    return _once(F.aggregate(F.sequence(F.lit(1), F.size(groups)), start(F.lit(1)), usual_step, lambda s: s["found"]), between)
 
 
 def _card(value: Column, key: str, invert: bool) -> Column:
-    """A run of digits with its valid card numbers permuted. Were other numbers found in the outcome, the permutation goes on until the same are: so
-    the way back meets the same numbers."""
-    def one(part: Column) -> Column:
+    """A run of digits with its valid card numbers permuted, one after the other; the way back goes from right to left, so that it meets every number
+    between the same neighbours. Were other numbers found around a permuted one, its permutation goes on until the same are. Only the few groups
+    beside it can tell, so a run of any length takes time in proportion."""
+    def permuted(part: Column) -> Column:
         def changed(digits: Column) -> Column:
             body = permute_text(F.substring(digits, F.lit(1), F.length(digits) - 1), key, "card", invert)
             return _refill(part, _once(body, lambda b: F.concat(b, F.pmod(-luhn_sum(b, True), F.lit(10)).cast("string"))))
         return _once(_digits(part), changed)
 
-    def moved(text: Column, spans: Column) -> Column:
-        start = F.struct(F.lit(1).alias("at"), F.lit("").alias("out"))
-        return F.aggregate(spans, start, lambda s, t: F.struct(
-            (t["at"] + t["size"]).alias("at"),
-            F.concat(s["out"], F.substring(text, s["at"], t["at"] - s["at"]), one(F.substring(text, t["at"], t["size"]))).alias("out")),
-            lambda s: F.concat(s["out"], F.substring(text, s["at"], F.length(text))))
+    def moved(groups: Column, marks: Column, t: Column) -> Column:
+        low = F.greatest(F.lit(1), t["at"] - (_USUAL_GROUPS - 1))
+        place = t["at"] - low + 1
+        width = t["at"] + t["n"] - low + _USUAL_GROUPS - 1
 
-    def walked(spans: Column) -> Column:
-        start = F.struct(value.alias("text"), F.lit(False).alias("done"))
+        def step(s: Column, _: Column) -> Column:
+            def checked(near: Column) -> Column:
+                same = F.forall(F.sequence(F.lit(1), place + t["n"] - 1), lambda i: _once(
+                    F.get(marks, low + i - 2), lambda m: F.when(m < 0, True).otherwise(_usual(near, i) == m)))
+                return F.struct(near.alias("near"), same.alias("done"))
+            part = F.array_join(F.slice(s["near"], place, t["n"]), "")
+            return F.when(s["done"], s).otherwise(_once(F.concat(
+                F.slice(s["near"], F.lit(1), place - 1), _groups(permuted(part)), F.slice(s["near"], place + t["n"], F.lit(_USUAL_GROUPS))), checked))
 
-        def step(s: Column, i: Column) -> Column:
-            return F.when(s["done"], s).otherwise(_once(moved(s["text"], spans), lambda t: F.struct(t.alias("text"), (_card_spans(t) == spans).alias("done"))))
-        ended = lambda s: F.when(s["done"], s["text"]).otherwise(F.raise_error(F.lit("the numbers of a run were not found again")).cast("string"))
-        return F.when(F.size(spans) == 0, value).otherwise(F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), start, step, ended))
+        start = F.struct(F.slice(groups, low, width).alias("near"), F.lit(False).alias("done"))
+        ended = lambda s: F.when(s["done"], s["near"]).otherwise(
+            F.raise_error(F.lit("the numbers of a run were not found again")).cast("array<string>"))
+        near = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), start, step, ended)
+        return F.concat(F.slice(groups, F.lit(1), low - 1), near, F.slice(groups, low + width, F.size(groups)))
+
+    def walked(groups: Column, n: Column) -> Column:
+        order = F.reverse(n["found"]) if invert else n["found"]
+        return F.aggregate(order, groups, lambda g, t: moved(g, n["marks"], t), lambda g: F.array_join(g, ""))
 
-    return _once(_card_spans(value), walked)
+    return _once(_groups(value), lambda g: _once(_numbers(g), lambda n: walked(g, n)))
 
 
 def _iban(value: Column, key: str, invert: bool) -> Column:
@@ -262,6 +305,6 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", invert: bool = F
     staged = docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.when(col.rlike(ANY), changed).alias(f"{OWN}m"))
     old, new = F.col(f"{OWN}m.old"), F.col(f"{OWN}m.new")
     joined = F.array_join(F.zip_with(gaps, new, lambda g, m: F.concat(g, F.coalesce(m, F.lit("")))), "")
-    count = F.aggregate(F.zip_with(old, new, lambda a, b: F.when(a == b, 0).when(_is_run(a), F.size(_card_spans(a))).otherwise(1).cast("long")), F.lit(0).cast("long"), lambda s, x: s + x)
+    count = F.aggregate(F.zip_with(old, new, lambda a, b: F.when(a == b, 0).when(_is_run(a), F.size(_numbers(_groups(a))["found"])).otherwise(1).cast("long")), F.lit(0).cast("long"), lambda s, x: s + x)
     out = staged.select(*rest, F.when(F.col(f"{OWN}m").isNull(), col).otherwise(joined).alias(text), F.coalesce(count, F.lit(0)).cast("long").alias("n_private"))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns], "n_private")
