@@ -245,6 +245,22 @@ def test_append_and_csv(spark, tmp_path):
     assert (tmp_path / "out" / "biomarker=pvs").exists()
 
 
+def test_csv_quoted_line_ends_and_odd_files(spark, tmp_path):
+    """Quoted line ends, quotes and commas, headers in other order or case, short, long and blank lines, empty files, a column named like the tag."""
+    files = {"a": 'Size,note\n1,"two\nlines, ""quoted"""\r\n\n2,\n', "b": "note , size,SIZE\r\nx,3,9\r\ny\r\nz,4,9,9,9\r\n", "c": "", "d": "size,note\n",
+             "e": "\ufeffsubject_id,size\nother,5", "f": 'size,note\n6,"' + "long " * 50_000 + '"\n'}
+    for name, text in files.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "t.csv").write_bytes(text.encode())
+    out = tables.read_subject_csvs(spark, str(tmp_path / "*/t.csv"))
+    got = sorted(((r.subject_id, r["Size"], r.note, r.subject_id_in_file) for r in out.collect()), key=str)
+    assert got == sorted([("a", "1", 'two\nlines, "quoted"', None), ("a", "2", None, None), ("b", "3", "x", None), ("b", None, "y", None), ("b", "4", "z", None),
+                          ("e", "5", None, "other"), ("f", "6", "long " * 50_000, None)], key=str)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan") == 1 and "Union" not in plan
+    assert tables.read_subject_csvs(spark, str(tmp_path / "[cd]/t.csv")).columns == ["subject_id"]
+
+
 def test_stage_store(spark, tmp_path):
     """Lost, repeated and empty writes; resumed runs make only what is missing; reading some subjects opens their buckets only."""
     from voxelry.sources.stages import StageStore

@@ -90,6 +90,23 @@ def append_with_date(spark, d):
     return tables.appended(history, rows, "2024-05-06").withColumn("append_date", F.col("append_date").cast("string"))
 
 
+@query("read_subject_csvs", sql("""SELECT (doc_id // 20)::VARCHAR AS subject_id, doc_id::VARCHAR AS doc_id, nullif(lang, '') AS lang, CASE WHEN doc_id // 20 % 2 = 1 THEN nullif(source, '') END AS source,
+ nullif(text, '') AS text FROM documents"""))
+def read_subject_csvs(spark, d):
+    """Every twenty documents are the table of a participant, their whole texts quoted cells with line ends; odd participants have a column more and another order."""
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(F.coalesce(c, F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
+    docs = V.table(spark, d, "documents").withColumn("subject_id", F.expr("doc_id div 20"))
+    odd = F.col("subject_id") % 2 == 1
+    cells = F.when(odd, F.concat_ws(",", "doc_id", quoted(F.col("text")), quoted(F.col("lang")), quoted(F.col("source")))).otherwise(
+        F.concat_ws(",", quoted(F.col("lang")), quoted(F.col("text")), "doc_id"))
+    head = F.when(F.first(odd), "doc_id,text,lang,source").otherwise("Lang,Text,doc_id")
+    path = stage_path(spark, "subject-tables")
+    (docs.groupBy("subject_id").agg(F.concat(head, F.lit("\n"), F.array_join(F.collect_list(cells), "\n")).alias("value"))
+     .write.partitionBy("subject_id").text(path))
+    out = tables.read_subject_csvs(spark, path + "/*/*.txt", r"subject_id=([^/]+)/")
+    return out.select("subject_id", "doc_id", F.col("lang").alias("lang"), "source", F.col("text").alias("text"))
+
+
 @query("stage_store_resume", sql(f"SELECT {VOX}, v, CASE WHEN subject_id % 2 = 0 AND subject_id % 20 <> 4 THEN 'before' WHEN subject_id % 20 = 4 THEN 'repeated' ELSE 'resumed' END AS made FROM prob"))
 def stage_store_resume(spark, d):
     """A half-finished run: even subjects are complete, some of them by a second write, and rows of a lost write lie about; only the others are made anew."""

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import csv
+import io
+import sys
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..schema import SUBJECT
+from ..session import staged
 
 
 def dated(rows: DataFrame, date: str | None = None) -> DataFrame:
@@ -43,24 +50,42 @@ def write_results(df: DataFrame, path: str, form: str = "parquet", partition: st
     writer.option("header", "true").format(form).save(path)
 
 
+def csv_rows(text: str) -> Iterator[tuple[list[str], list[str | None]]]:
+    """Header and cells of every line of a file; quoted cells may hold commas, quotes and line ends. Blank lines are no rows, empty cells are
+    None, cells beyond the header are left out, missing ones are None. Of columns whose names differ by case only, the first counts."""
+    csv.field_size_limit(sys.maxsize)
+    lines = (cells for cells in csv.reader(io.StringIO(text.removeprefix("\ufeff"), newline="")) if cells)
+    head = [name.strip() for name in next(lines, [])]
+    known = [name.lower() for name in head]
+    places = [n for n, name in enumerate(known) if name and known.index(name) == n]
+    names = [head[n] for n in places]
+    for cells in lines:
+        yield names, [cells[n] or None if n < len(cells) else None for n in places]
+
+
 def read_subject_csvs(spark: SparkSession, glob: str, pattern: str = r"/([^/]+)/[^/]+\.csv$") -> DataFrame:
     """One table from one CSV per participant, tagged with the participant from the path.
 
-    Files may have different columns. Each small file is one row of text whose lines are parsed by the header they
-    belong to; only the distinct headers, one per layout in use, come to the driver.
+    Files may have different columns, whose names are compared without regard to case (of several spellings the first in byte order stays); a
+    column that a file lacks, or an empty cell, is NULL. The
+    files are read once, by the tasks, and their rows staged with the header they belong to; only the distinct names of columns come to the
+    driver. Columns are in the order of their first place in a header; one that is named like the tag gets ``_in_file`` at its end.
     """
-    files = spark.read.text(glob, wholetext=True).select(
-        F.regexp_extract(F.col("_metadata.file_path"), pattern, 1).alias(SUBJECT), F.split("value", r"\r?\n").alias("_l"))
-    lines = files.select(SUBJECT, F.col("_l")[0].alias("_h"), F.explode(F.slice("_l", F.lit(2), F.size("_l"))).alias("_v")).filter("_v <> ''")
-    out = None
-    for row in files.select(F.col("_l")[0].alias("header")).distinct().orderBy("header").collect():
-        schema = ", ".join(f"`{c.strip()}` string" for c in row.header.split(","))
-        part = (lines.filter(F.col("_h") == row.header)
-                .select(SUBJECT, F.from_csv("_v", F.lit(schema)).alias("_r")).select(SUBJECT, "_r.*"))
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    if out is None:
-        raise ValueError(f"no file matches {glob}")
-    return out
+    def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for subject, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                rows = list(csv_rows(text.as_py() or ""))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([subject] * len(rows), pa.string()), pa.array([r[0] for r in rows], pa.list_(pa.string())), pa.array([r[1] for r in rows], pa.list_(pa.string()))],
+                    names=[SUBJECT, "names", "cells"])
+
+    files = spark.read.text(glob, wholetext=True).select(F.regexp_extract(F.col("_metadata.file_path"), pattern, 1).alias(SUBJECT), "value")
+    rows = staged(files.mapInArrow(parsed, f"`{SUBJECT}` string, names array<string>, cells array<string>"), "subject-csvs")
+    heads = rows.select("names").distinct().select(F.posexplode("names").alias("place", "name"))
+    columns = (heads.groupBy(F.lower("name").alias("key")).agg(F.min("place").alias("place"), F.min("name").alias("name"))
+               .orderBy("place", "key").collect())
+    keys = F.transform("names", F.lower)
+    return rows.select(SUBJECT, *[F.get("cells", F.array_position(keys, c.key).cast("int") - 1).alias(f"{c.name}_in_file" if c.key == SUBJECT else c.name) for c in columns])
 
 
 def read_segmentation_tables(spark: SparkSession, volumes_glob: str, qc_glob: str | None = None) -> tuple[DataFrame, DataFrame | None]:
