@@ -196,6 +196,24 @@ def test_gaussian_keeps_constant(spark):
     assert np.allclose(out, 3.0)
 
 
+def test_gaussian_by_own_voxel_sizes(spark):
+    """Scans of differing grids and voxel sizes in one call equal one call a scan; voxels beyond the own grid and unnamed scans are left out."""
+    rng = np.random.default_rng(5)
+    scans = {1: ((9, 8, 7), (1.0, 2.0, 0.7)), 2: ((5, 8, 3), (0.5, 1.0, 1.0)), 3: ((9, 2, 7), (2.0, 2.0, 2.5))}
+    shape = tuple(max(g[0][a] for g in scans.values()) for a in range(3))
+    rows, want = [], {}
+    for s, (dims, sizes) in scans.items():
+        image = rng.random(dims)
+        rows += [(s, *map(int, p), float(image[p])) for p in np.ndindex(*dims)]
+        alone = spark.createDataFrame([(s, *map(int, p), float(image[p])) for p in np.ndindex(*dims)], "subject_id bigint, i int, j int, k int, v double")
+        want |= {(s, r.i, r.j, r.k): r.v for r in smoothing.gaussian_smooth(alone, dims, 3.0, sizes).collect()}
+    rows += [(2, 8, 7, 6, 99.0), (4, 0, 0, 0, 99.0)]
+    grids = spark.createDataFrame([(s, *d, *v) for s, (d, v) in scans.items()], "subject_id bigint, ni int, nj int, nk int, vx double, vy double, vz double")
+    image = spark.createDataFrame(rows, "subject_id bigint, i int, j int, k int, v double")
+    got = {(r.subject_id, r.i, r.j, r.k): r.v for r in smoothing.gaussian_smooth(image, shape, 3.0, grids=grids).collect()}
+    assert got.keys() == want.keys() and all(abs(got[p] - want[p]) < 1e-12 for p in want)
+
+
 def test_otsu_classes(spark):
     """Three separate levels are split between the levels; brute force over all pairs of cuts agrees."""
     rng = np.random.default_rng(2)

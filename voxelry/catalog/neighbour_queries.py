@@ -232,6 +232,25 @@ def gaussian_smooth(spark, d):
     return smoothing.gaussian_smooth(V.prob(spark, d), DIMS, 2.0).withColumn("v", F.round("v", 6))
 
 
+#: Voxel sizes along i, j and k of a participant's own scan, by turns of the participants.
+OWN_SIZES = {"vx": ("subject_id % 2", (1.0, 0.5)), "vy": ("subject_id % 3", (1.0, 1.5, 2.0)), "vz": ("subject_id % 2", (2.0, 1.0))}
+
+
+def _blur_own(source: str, axis: str, n: int, size: str) -> str:
+    turn, sizes = OWN_SIZES[size]
+    parts = [_blur(f"(SELECT * FROM {source} WHERE {turn} = {t})", axis, n, 2.0 / s) for t, s in enumerate(sizes)]
+    return " UNION ALL ".join(parts)
+
+
+@query("gaussian_smooth_own_spacing", sql(f"SELECT {VOX}, round(v, 6) AS v FROM own_blurred WHERE v <> 0", own_k=_blur_own("prob", "k", NK, "vz"),
+                                          own_j=_blur_own("own_k", "j", NJ, "vy"), own_blurred=_blur_own("own_j", "i", NI, "vx")))
+def gaussian_smooth_own_spacing(spark, d):
+    """Every participant's scan has voxel sizes of its own."""
+    size = lambda c: F.get(F.array(*map(F.lit, OWN_SIZES[c][1])), F.expr(OWN_SIZES[c][0]).cast("int")).alias(c)
+    grids = V.subjects(spark, d).select("subject_id", *[F.lit(n).alias(c) for c, n in zip(("ni", "nj", "nk"), DIMS)], *map(size, OWN_SIZES))
+    return smoothing.gaussian_smooth(V.prob(spark, d), DIMS, 2.0, grids=grids).withColumn("v", F.round("v", 6))
+
+
 DOG = dict(
     inside=f"SELECT {VOX}, v FROM prob SEMI JOIN mask USING ({VOX})",
     dlim="SELECT subject_id, least(min(v), 0) AS lo, max(v) AS hi, count(*) AS c FROM inside GROUP BY 1",

@@ -49,14 +49,13 @@ def along(df: DataFrame, axis: str, dims: Dims, kernel: Kernel, fill: float, val
             rows = np.repeat(np.arange(n), np.diff(xs.offsets.to_numpy()))
             dense = np.full((n, length), fill)
             dense[rows, xs.flatten().to_numpy()] = ys.flatten().to_numpy(zero_copy_only=False)
-            if spaced is not None:
-                out = kernel(dense, batch.column(spaced).to_numpy())
-            elif sized is None:
-                out = kernel(dense)
+            spacing = () if spaced is None else (batch.column(spaced).to_numpy(),)
+            if sized is None:
+                out = kernel(dense, *spacing)
             else:
                 out, sizes = np.full_like(dense, fill), batch.column(sized).to_numpy()
                 for size in np.unique(sizes):
-                    out[sizes == size, :size] = kernel(dense[sizes == size, :size])
+                    out[sizes == size, :size] = kernel(dense[sizes == size, :size], *[x[sizes == size] for x in spacing])
             keep = np.isfinite(out) & (out != fill)
             if limit is not None:
                 keep &= out <= limit

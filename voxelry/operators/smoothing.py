@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from ..functions.joins import attach
 from ..functions.offsets import neighbours
 from ..schema import AXES, SUBJECT, VOXEL, Dims, in_grid, other_axes
 from ..session import staged
-from .lines import sweep, weighted_kernel
+from .lines import Kernel, sweep, weighted_kernel
 from .morphology import by_brick
 from .stats import remove_dark_classes
 
@@ -25,11 +27,35 @@ def gaussian_weights(sigma: float, truncate: float = 4.0) -> list[float]:
     return [w / total for w in raw]
 
 
-def gaussian_smooth(image: DataFrame, dims: Dims, fwhm: float, voxel_size: tuple[float, float, float] = (1.0, 1.0, 1.0)) -> DataFrame:
-    """Gaussian of ``fwhm`` millimetres, one pass per axis, borders mirrored about the voxel edge."""
+def sigma_voxels(fwhm: float, size: float) -> float:
+    """Standard deviation, in voxels of ``size`` millimetres, of a Gaussian of ``fwhm`` millimetres."""
+    return fwhm / size / math.sqrt(8 * math.log(2))
+
+
+def spaced_gaussian(fwhm: float) -> Kernel:
+    """One pass of a Gaussian of ``fwhm`` millimetres over lines with a voxel size each."""
+    def run(d: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        out = np.empty_like(d)
+        for size in np.unique(sizes):
+            out[sizes == size] = weighted_kernel(gaussian_weights(sigma_voxels(fwhm, float(size))), "symmetric")(d[sizes == size])
+        return out
+    return run
+
+
+def gaussian_smooth(image: DataFrame, dims: Dims, fwhm: float, voxel_size: tuple[float, float, float] = (1.0, 1.0, 1.0),
+                    grids: DataFrame | None = None) -> DataFrame:
+    """Gaussian of ``fwhm`` millimetres, one pass per axis, borders mirrored about the voxel edge.
+
+    With ``grids`` (subject_id, ni, nj, nk, vx, vy, vz) every scan is smoothed by its own voxel sizes and mirrored at the borders of its own grid, which lies
+    inside of ``dims``; voxels beyond it are left out, and so are subjects it does not name.
+    """
     rows = image.select(*VOXEL, F.when(F.isnan("v"), 0.0).otherwise(F.col("v")).alias("v"))
-    kernels = [weighted_kernel(gaussian_weights(fwhm / s / math.sqrt(8 * math.log(2))), "symmetric") for s in voxel_size]
-    return sweep(rows, dims, kernels, 0.0)
+    if grids is None:
+        return sweep(rows, dims, [weighted_kernel(gaussian_weights(sigma_voxels(fwhm, s)), "symmetric") for s in voxel_size], 0.0)
+    lengths, sizes = ["_ni", "_nj", "_nk"], ["_vx", "_vy", "_vz"]
+    own = grids.select(SUBJECT, *[F.least(F.col(c[1:]), F.lit(n)).cast("int").alias(c) for c, n in zip(lengths, dims)], *[F.col(c[1:]).cast("double").alias(c) for c in sizes])
+    inside = attach(rows, own).filter(" AND ".join(f"{a} < {n}" for a, n in zip(AXES, lengths)))
+    return sweep(inside, dims, [spaced_gaussian(fwhm)] * 3, 0.0, keys=(SUBJECT, *lengths, *sizes), own_lengths=lengths, own_spacings=sizes).select(*VOXEL, "v")
 
 
 def fast_smooth(image: DataFrame, dims: Dims) -> DataFrame:
@@ -42,10 +68,10 @@ def fast_smooth(image: DataFrame, dims: Dims) -> DataFrame:
 
 
 def difference_of_gaussians(image: DataFrame, dims: Dims, fwhm: float = 3.0,
-                            voxel_size: tuple[float, float, float] = (1.0, 1.0, 1.0)) -> DataFrame:
-    """Narrow minus wide smoothing, where the wide one continues the narrow one."""
-    narrow = staged(gaussian_smooth(image, dims, fwhm, voxel_size), "narrow")  # read by the wide one and by the difference
-    wide = gaussian_smooth(narrow, dims, fwhm * math.sqrt(WIDE_RATIO ** 2 - 1), voxel_size)
+                            voxel_size: tuple[float, float, float] = (1.0, 1.0, 1.0), grids: DataFrame | None = None) -> DataFrame:
+    """Narrow minus wide smoothing, where the wide one continues the narrow one; ``grids`` as in ``gaussian_smooth``."""
+    narrow = staged(gaussian_smooth(image, dims, fwhm, voxel_size, grids), "narrow")  # read by the wide one and by the difference
+    wide = gaussian_smooth(narrow, dims, fwhm * math.sqrt(WIDE_RATIO ** 2 - 1), voxel_size, grids)
     both = narrow.unionByName(wide.withColumn("v", -F.col("v")))
     return both.groupBy(*VOXEL).agg(F.sum("v").alias("v"))
 
