@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
+from ..functions.joins import attach
 from ..operators import geometry, stats, voxel
 from . import recipe as V
 from .recipe import DIMS, NI, NJ, NK
@@ -151,7 +152,7 @@ def resample_linear_own_grids(spark, d):
           + " AND ".join(f"g.{a} < {n.replace('subject_id', 'g.subject_id')}" for a, n in zip("ijk", OWN))))
 def value_range_own_grids(spark, d):
     """A scan that fills its own grid has no zero outside its values."""
-    cells = V.grid(spark, d).join(own_grids(spark, d), "subject_id").filter("i < ni AND j < nj AND k < nk AND (subject_id % 5 > 0 OR i > 0)")
+    cells = attach(V.grid(spark, d), own_grids(spark, d)).filter("i < ni AND j < nj AND k < nk AND (subject_id % 5 > 0 OR i > 0)")
     full = cells.select("subject_id", "i", "j", "k").join(V.prob(spark, d), ["subject_id", "i", "j", "k"], "left").withColumn("v", F.coalesce("v", F.lit(0.5)))
     return voxel.value_range(full, DIMS, own_grids(spark, d))
 

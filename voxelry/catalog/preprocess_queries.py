@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.joins import attach
 from ..functions.matrix import pack
 from ..plans import preprocess as plans
 from ..plans.settings import Settings
@@ -151,7 +152,7 @@ def preprocess(spark, d):
 def preprocess_mask(spark, d):
     """Cropped masks with the corner of their box."""
     main = _main(spark, d)
-    return main.mask.join(main.box.select("subject_id", "i0", "j0", "k0"), "subject_id")
+    return attach(main.mask, main.box.select("subject_id", "i0", "j0", "k0"))
 
 
 @query("preprocess_status", sql("""SELECT s.subject_id, coalesce(max(n_clusters), 0)::BIGINT AS n_clusters, coalesce(count_if(n_clusters = 1 OR n > 4), 0)::BIGINT AS n_eligible,

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..schema import AXES, SUBJECT
+from ..schema import AXES, SUBJECT, VOXEL
 from ..session import cut_lineage
 
 #: Row limit under which a measured table is broadcast (a row of statistics is about 100 bytes).
@@ -19,6 +19,15 @@ BROADCAST_ROWS = 200_000
 SALT_BUCKETS = 32
 
 
+def shuffled_join(rows: DataFrame, other: DataFrame, on: Sequence[str] = VOXEL, how: str = "inner") -> DataFrame:
+    """Equi-join of two tables that both grow with the voxels: both are shuffled, none is gathered on the driver.
+
+    Left to itself the planner takes the rows of an explode, and of a checkpoint of one, for as few as those they came from, and
+    broadcasts them.
+    """
+    return rows.join(other.hint("merge"), list(on), how)
+
+
 def salted_join(rows: DataFrame, small: DataFrame, on: Sequence[str] = (SUBJECT,), how: str = "inner",
                 salt_by: Sequence[str] = AXES, buckets: int = SALT_BUCKETS) -> DataFrame:
     """Equi-join in which each key of ``small`` meets its rows in ``buckets`` separate tasks."""
@@ -26,7 +35,7 @@ def salted_join(rows: DataFrame, small: DataFrame, on: Sequence[str] = (SUBJECT,
         raise ValueError(f"the small side is replicated, so {how!r} would repeat its unmatched rows")
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(buckets)).cast("int"))
     copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+    return shuffled_join(salted, copies, [*on, "_salt"], how).drop("_salt")
 
 
 def attach(rows: DataFrame, small: DataFrame, on: Sequence[str] = (SUBJECT,), how: str = "inner",

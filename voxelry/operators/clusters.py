@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.joins import salted_join
+from ..functions.joins import salted_join, shuffled_join
 from ..functions.quantiles import exact_percentiles
 from ..functions.regions import BIOMARKER_SCHEME, PRIORITY_REGIONS, WHOLE_BRAIN, region_dictionary
 from ..schema import SUBJECT, VOXEL, Dims
@@ -23,7 +23,7 @@ def assign_region(clusters: DataFrame, labels: DataFrame, regions: DataFrame | N
     If a cluster touches one of the ``priority`` labels, the most frequent of those wins. A winner outside the
     ``regions`` dictionary is called ``Label_n``; background gives no region.
     """
-    seen = (clusters.join(labels.select(*VOXEL, F.col("label").alias("_l")), list(VOXEL), "left")
+    seen = (shuffled_join(clusters, labels.select(*VOXEL, F.col("label").alias("_l")), how="left")
             .groupBy(SUBJECT, "cluster_id", F.coalesce("_l", F.lit(0)).alias("label")).agg(F.count("*").alias("n")))
     first = F.col("label").isin(list(priority)) if priority else F.lit(False)
     won = seen.groupBy(SUBJECT, "cluster_id").agg(
@@ -62,7 +62,7 @@ def region_stats(census: DataFrame, regions: DataFrame, subjects: DataFrame) ->
              .groupBy(SUBJECT, "region").agg(*_statistics()))
     listed = [WHOLE_BRAIN] + [r.region for r in regions.orderBy("ord").collect()]  # a few dozen names
     cells = subjects.select(SUBJECT, F.explode(F.array(*map(F.lit, listed))).alias("region"))
-    return _fill_counts(cells.join(stats, [SUBJECT, "region"], "left"))
+    return _fill_counts(shuffled_join(cells, stats, [SUBJECT, "region"], "left"))
 
 
 def region_metrics(prob: DataFrame, labels: DataFrame, biomarker: str, dims: Dims, threshold: float, min_size: int,
@@ -98,7 +98,7 @@ def wmh_ventricle_distance(prob: DataFrame, ventricles: DataFrame, dims: Dims, t
     marked = cut_lineage(marked)
     far = euclidean_distance(ventricles, dims, spacing, where=marked)
     d = F.col("d")
-    found = (marked.join(far, list(VOXEL), "left").groupBy(SUBJECT, "cluster_id")
+    found = (shuffled_join(marked, far, how="left").groupBy(SUBJECT, "cluster_id")
              .agg(F.count("*").alias("n_voxels"), F.max(d).alias("max_distance"), F.min(d).alias("min_distance")))
     found = found.withColumns({"pvwmh": (F.col("min_distance") <= near).cast("int"),
                                "dwmh": (F.col("min_distance") > near).cast("int")})
@@ -121,7 +121,7 @@ def pvs_bg_dwm(prob: DataFrame, basal_ganglia: DataFrame, dims: Dims, threshold:
     voxels are dropped; a tie between the two counts as deep."""
     marked = label_components(prob.filter(F.col("v") >= threshold).select(*VOXEL), dims)
     inside = basal_ganglia.select(*VOXEL).withColumn("_in", F.lit(1))
-    each = (marked.join(inside, list(VOXEL), "left").groupBy(SUBJECT, "cluster_id")
+    each = (shuffled_join(marked, inside, how="left").groupBy(SUBJECT, "cluster_id")
             .agg(F.count("*").alias("n"), F.count("_in").alias("n_in")))
     bg = F.col("n_in") * 2 > F.col("n")
     dwm = ~bg & (F.col("n") > size_filter)

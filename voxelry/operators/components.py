@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from ..functions.joins import salted_join
+from ..functions.joins import salted_join, shuffled_join
 from ..functions.offsets import neighbours, offset_column
 from ..schema import AXES, SUBJECT, Dims, voxel_id
 from ..session import cut_lineage, staged
@@ -174,9 +174,9 @@ def contract(edges: DataFrame, by: Sequence[str]) -> DataFrame:
             return edges
         both = edges.unionByName(edges.select(*by, F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy(*by, "u").agg(F.least("u", F.min("v")).alias("m"))
-        large = both.join(least, [*by, "u"]).filter("v > u").select(*by, F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = shuffled_join(both, least, [*by, "u"]).filter("v > u").select(*by, F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         floor = large.groupBy(*by, "u").agg(F.min("v").alias("m"))
-        small = large.join(floor, [*by, "u"])
+        small = shuffled_join(large, floor, [*by, "u"])
         edges = settled(small.select(*by, F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("_e"))
                         .select(*by, "_e.u", "_e.v").filter("u > v"))
 
@@ -189,7 +189,7 @@ def _across_faces(rows: DataFrame, carried: Sequence[str], by: Sequence[str], co
     outgoing = (faces.select(*by, *AXES, *ending("a"), F.explode(offset_column(half)).alias("_o"))
                 .filter(" OR ".join(f"floor(({a} + _o.d{a}) / {brick}) <> floor({a} / {brick})" for a in AXES))
                 .select(*by, *[(F.col(a) + F.col(f"_o.d{a}")).alias(a) for a in AXES], *[f"{c}_a" for c in carried]))
-    return outgoing.join(faces.select(*by, *AXES, *ending("b")), [*by, *AXES])
+    return shuffled_join(outgoing, faces.select(*by, *AXES, *ending("b")), [*by, *AXES])
 
 
 def component_chains(df: DataFrame, dims: Dims, connectivity: int = 26, by: Sequence[str] = (SUBJECT,), brick: int = BRICK) -> tuple[DataFrame, DataFrame | None]:
@@ -237,7 +237,7 @@ def label_components(df: DataFrame, dims: Dims, connectivity: int = 26, equal: s
     edges = met.select(*by, F.greatest("part_id_a", "part_id_b").alias("u"), F.least("part_id_a", "part_id_b").alias("v")).distinct()
     stars = contract(edges, by).select(*by, F.col("u").alias("part_id"), F.col("v").alias("_root"))
     # a part has at most brick^3 rows, so this join has no hot key however large a component is
-    joined = local.join(stars, [*by, "part_id"], "left")
+    joined = shuffled_join(local, stars, [*by, "part_id"], "left")
     return joined.withColumn("cluster_id", F.coalesce("_root", "part_id")).select(*df.columns, "part_id", "cluster_id")
 
 
@@ -246,8 +246,8 @@ def attach_to_clusters(voxels: DataFrame, per_cluster: DataFrame, by: Sequence[s
     """Bring per-cluster columns onto labelled voxels through their parts, so a giant cluster is no hot key."""
     by = list(by)
     parts = voxels.select(*by, "part_id", "cluster_id").distinct()
-    verdict = parts.join(per_cluster, [*by, "cluster_id"], how).drop("cluster_id")
-    return voxels.join(verdict, [*by, "part_id"], "left" if how == "left" else "inner")
+    verdict = shuffled_join(parts, per_cluster, [*by, "cluster_id"], how).drop("cluster_id")
+    return shuffled_join(voxels, verdict, [*by, "part_id"], "left" if how == "left" else "inner")
 
 
 def census(voxels: DataFrame, by: Sequence[str] = (SUBJECT,)) -> DataFrame:
@@ -267,14 +267,14 @@ def renumber(clusters: DataFrame, by: Sequence[str] = (SUBJECT,), block: int = 6
     before = W.partitionBy(*by).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     shift = totals.select(*by, "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
     inside = W.partitionBy(*by, "_block").orderBy("cluster_id")
-    return (rows.join(shift, [*by, "_block"])
+    return (shuffled_join(rows, shift, [*by, "_block"])
             .withColumn("new_id", F.col("_shift") + F.row_number().over(inside)).drop("_block", "_shift"))
 
 
 def outside_share(voxels: DataFrame, brain: DataFrame, by: Sequence[str] = (SUBJECT,)) -> DataFrame:
     """Voxel count of each cluster and the number of its voxels outside the brain mask."""
     inside = brain.select(SUBJECT, *AXES).distinct().withColumn("_in", F.lit(1))
-    return (voxels.join(inside, [SUBJECT, *AXES], "left").groupBy(*by, "cluster_id")
+    return (shuffled_join(voxels, inside, how="left").groupBy(*by, "cluster_id")
             .agg(F.count("*").alias("cluster_size"), (F.count("*") - F.count("_in")).alias("n_outside")))
 
 
@@ -357,4 +357,4 @@ def check_clusters(mask: DataFrame, dims: Dims, keep: str = "size", min_voxels:
         return Selection(core.select(SUBJECT, *AXES), told)
     grown = dilate_box(core.filter("n_clusters > 1"), dilate, dims)
     single = core.filter("n_clusters = 1").select(SUBJECT, *AXES)
-    return Selection(labelled.select(SUBJECT, *AXES).join(grown.unionByName(single), [SUBJECT, *AXES], "left_semi"), told)
+    return Selection(shuffled_join(labelled.select(SUBJECT, *AXES), grown.unionByName(single), how="left_semi"), told)

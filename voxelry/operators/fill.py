@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.hull import complement, half_spaces
+from ..functions.joins import shuffled_join
 from ..schema import AXES, SUBJECT, Dims
 from ..session import cut_lineage
 from .lines import chessboard_kernel, sweep_labels
@@ -136,7 +137,7 @@ def hull_fill(mask: DataFrame, keys: Sequence[str] = (SUBJECT,)) -> DataFrame:
     bounds = (facets.select(*keys, "i", F.struct("_j0", "_j1", "_b", "_c", (F.col("_h") - F.col("i") * F.col("_a")).alias("_r")).alias("_f"))
               .groupBy(*keys, "i").agg(F.collect_list("_f").alias("_f")))
     slabs = shape.select(*keys, F.inline(F.arrays_zip("_li", "_l0", "_l1"))).select(*keys, F.col("_li").alias("i"), "_l0", "_l1")
-    lines = slabs.join(bounds, [*keys, "i"]).filter("_l0 <= _l1").withColumn("j", F.explode(F.sequence("_l0", "_l1")))
+    lines = shuffled_join(slabs, bounds, [*keys, "i"]).filter("_l0 <= _l1").withColumn("j", F.explode(F.sequence("_l0", "_l1")))
     met = F.filter("_f", lambda f: (f["_j0"] <= F.col("j")) & (F.col("j") <= f["_j1"]))
     ends = F.transform(met, lambda f: F.struct(f["_c"].alias("c"), (f["_r"] - F.col("j") * f["_b"]).alias("r")))
     lines = lines.select(*keys, "i", "j", ends.alias("_l"))

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import matrix
-from ..functions.joins import attach
+from ..functions.joins import attach, shuffled_join
 from ..functions.quantiles import exact_percentiles
 from ..schema import AXES, SUBJECT, VOXEL, Dims
 from ..session import scatter, staged
@@ -150,7 +150,7 @@ def resample_nearest(voxels: DataFrame, transforms: DataFrame, target_dims: Dims
     points = target_points(transforms, target_dims, source_dims, grids)
     near = points.select(*[F.col(a).alias(f"_{a}") if a in AXES else F.col(a) for a in VOXEL],
                          *[F.floor(F.col(c) + 0.5).cast("int").alias(a) for a, c in zip(AXES, "xyz")])
-    return (near.join(voxels.select(*VOXEL, value), list(VOXEL))
+    return (shuffled_join(near, voxels.select(*VOXEL, value))
             .select(SUBJECT, *[F.col(f"_{a}").alias(a) for a in AXES], value))
 
 
@@ -262,7 +262,7 @@ def mutual_information(first: DataFrame, second: DataFrame, mask: DataFrame, bin
     """Mutual information (nats) of two aligned images inside a mask, from a joint histogram of winsorised values."""
     both = mask.select(*VOXEL)
     for name, image in (("a", first), ("b", second)):
-        both = both.join(image.select(*VOXEL, F.col("v").alias(name)), list(VOXEL), "left")
+        both = shuffled_join(both, image.select(*VOXEL, F.col("v").alias(name)), how="left")
     both = staged(both.withColumns({n: F.coalesce(n, F.lit(0.0)) for n in "ab"}), "aligned")  # one join for the quantiles and the histogram
     limits = None
     for n in "ab":

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.joins import attach
+from ..functions.joins import attach, shuffled_join
 from ..schema import AXES, SUBJECT, Dims, other_axes
 
 Kernel = Callable[[np.ndarray], np.ndarray]
@@ -40,7 +40,7 @@ def along(df: DataFrame, axis: str, dims: Dims, kernel: Kernel, fill: float, val
     if wanted is not None:
         on = [c for c in wanted.columns if c != "_w"]
         along_subject = set(on).isdisjoint(AXES)  # then a hot subject is spread by its lines
-        packed = (attach(packed, wanted, on, salt_by=other_axes(axis)) if along_subject else packed.join(wanted, on)).select(*line, "_x", "_y", "_w")
+        packed = (attach(packed, wanted, on, salt_by=other_axes(axis)) if along_subject else shuffled_join(packed, wanted, on)).select(*line, "_x", "_y", "_w")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -210,7 +210,7 @@ def _labels_along(df: DataFrame, axis: str, dims: Dims, kernel: Kernel, keys: Se
     result, width = packed.schema, len(line)
     on = [c for c in wanted.columns if c != "_w"]
     along_subject = set(on).isdisjoint(AXES)  # then a hot subject is spread by its lines
-    packed = (attach(packed, wanted, on, salt_by=other_axes(axis)) if along_subject else packed.join(wanted, on)).select(*line, "_x", "_d", "_l", "_w")
+    packed = (attach(packed, wanted, on, salt_by=other_axes(axis)) if along_subject else shuffled_join(packed, wanted, on)).select(*line, "_x", "_d", "_l", "_w")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:

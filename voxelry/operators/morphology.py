@@ -13,7 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
-from ..functions.joins import attach
+from ..functions.joins import attach, shuffled_join
 from ..functions.offsets import Offset, neighbours, spread
 from ..schema import AXES, SUBJECT, VOXEL, Dims, in_grid, other_axes
 from ..session import cut_lineage
@@ -178,7 +178,7 @@ def dilate_l1(mask: DataFrame, r: int, dims: Dims, keys: Sequence[str] = (SUBJEC
 def rim_outside(mask: DataFrame, dims: Dims, keys: Sequence[str] = (SUBJECT,)) -> DataFrame:
     """Background voxels that touch the mask: the only ones a taxicab distance into the mask can start from."""
     touched = spread(by_brick(mask.select(*keys, *AXES)), neighbours(6)).filter(in_grid(dims)).distinct()
-    return touched.join(mask.select(*keys, *AXES), [*keys, *AXES], "left_anti")
+    return shuffled_join(touched, mask.select(*keys, *AXES), [*keys, *AXES], "left_anti")
 
 
 def erode_l1(mask: DataFrame, r: int, dims: Dims, border_erodes: bool = False, keys: Sequence[str] = (SUBJECT,)) -> DataFrame:
@@ -188,7 +188,7 @@ def erode_l1(mask: DataFrame, r: int, dims: Dims, border_erodes: bool = False, k
     if r > 1:
         kept = mask = cut_lineage(kept)  # read three times below
         near = dilate_l1(rim_outside(mask, dims, keys), r - 1, dims, keys)
-        kept = kept.join(near, [*keys, *AXES], "left_anti")
+        kept = shuffled_join(kept, near, [*keys, *AXES], "left_anti")
     if border_erodes:
         kept = kept.filter(" AND ".join(f"{a} + 1 >= {r} AND {n} - {a} >= {r}" for a, n in zip(AXES, dims)))
     return kept

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions import regions as R
-from ..functions.joins import salted_join
+from ..functions.joins import salted_join, shuffled_join
 from ..functions.offsets import neighbours, spread
 from ..schema import AXES, SUBJECT, VOXEL, Dims, in_grid
 from ..session import cut_lineage
@@ -63,7 +63,7 @@ def white_matter(labels: DataFrame) -> DataFrame:
 
 def on_white_matter(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows on the white matter of their own hemisphere."""
-    return rows.select(*SIDED_VOXEL).join(white_matter(labels), SIDED_VOXEL, "left_semi")
+    return shuffled_join(rows.select(*SIDED_VOXEL), white_matter(labels), SIDED_VOXEL, "left_semi")
 
 
 def _both(left: Sequence[int]) -> dict[str, list[int]]:
@@ -84,9 +84,8 @@ def remove_islands(labels: DataFrame, dims: Dims, max_size: int = 100, ignore: S
     if ignore:
         islands = islands.filter(~F.col("label").isin(list(ignore)))
     own = attach_to_clusters(marked, islands.select(SUBJECT, "cluster_id"))
-    around = (spread(own.select(*VOXEL, F.col("cluster_id").alias("island")), neighbours(6)).filter(in_grid(dims)).distinct()
-              .join(marked.select(*VOXEL, "label", "cluster_id"), list(VOXEL), "left")
-              .filter("cluster_id IS NULL OR cluster_id <> island"))
+    touched = spread(own.select(*VOXEL, F.col("cluster_id").alias("island")), neighbours(6)).filter(in_grid(dims)).distinct()
+    around = shuffled_join(touched, marked.select(*VOXEL, "label", "cluster_id"), how="left").filter("cluster_id IS NULL OR cluster_id <> island")
     votes = around.groupBy(SUBJECT, "island", F.coalesce("label", F.lit(0)).alias("_new")).agg(F.count("*").alias("_n"))
     winner = votes.groupBy(SUBJECT, "island").agg(F.max_by("_new", F.struct("_n", -F.col("_new"))).alias("_new"))
     moved = attach_to_clusters(marked, winner.withColumnRenamed("island", "cluster_id"), how="left")
@@ -102,12 +101,12 @@ def hyperintensity_to_wm(labels: DataFrame, dims: Dims) -> DataFrame:
     marked = cut_lineage(label_components(label_in(labels, R.HYPERINTENSITY).select(*VOXEL), dims, 6))
     wm = label_in(labels, [left, right]).select(*VOXEL, F.col("label").alias("wm"))
     near = marked.select(SUBJECT, "cluster_id", *AXES, *[F.col(a).alias(f"_{a}") for a in AXES])
-    contact = (spread(near, neighbours(6)).filter(in_grid(dims)).join(wm, list(VOXEL))
+    contact = (shuffled_join(spread(near, neighbours(6)).filter(in_grid(dims)), wm)
                .groupBy(SUBJECT, "cluster_id", *[f"_{a}" for a in AXES])
                .agg(F.max((F.col("wm") == left).cast("int")).alias("l"), F.max((F.col("wm") == right).cast("int")).alias("r"))
                .groupBy(SUBJECT, "cluster_id").agg(F.sum("l").alias("l"), F.sum("r").alias("r")))
     sizes = wm.groupBy(SUBJECT).agg(F.count_if(F.col("wm") == left).alias("all_l"), F.count_if(F.col("wm") == right).alias("all_r"))
-    touched = marked.select(SUBJECT, "cluster_id").distinct().join(contact, [SUBJECT, "cluster_id"], "left")
+    touched = shuffled_join(marked.select(SUBJECT, "cluster_id").distinct(), contact, [SUBJECT, "cluster_id"], "left")
     clusters = salted_join(touched, sizes, how="left", salt_by=["cluster_id"], buckets=CLUSTER_SALT)
     zero = F.lit(0)
     l, r, al, ar = (F.coalesce(c, zero) for c in ("l", "r", "all_l", "all_r"))
@@ -148,7 +147,7 @@ def juxtacortical_wm(labels: DataFrame, dims: Dims, thickness: int = JUXTACORTIC
     """White matter within ``thickness`` steps of the cortex (insula excluded), per side."""
     parcels = [p for ps in R.LOBE_PARCELS.values() for p in ps]
     near = dilate_l1(label_in(labels, parcels + [p + R.RIGHT_PARCEL for p in parcels]), thickness, dims)
-    return white_matter(labels).join(near, list(VOXEL), "left_semi").select(*SIDED_VOXEL)
+    return shuffled_join(white_matter(labels), near, how="left_semi").select(*SIDED_VOXEL)
 
 
 def periventricular(labels: DataFrame, dims: Dims, thickness: int = PERIVENTRICULAR_THICKNESS) -> DataFrame:
@@ -171,11 +170,11 @@ def external_capsule(labels: DataFrame, dims: Dims, exclude: DataFrame,
     near = dilate_l1(walls.withColumn("part", part), reach, dims, keys).groupBy(*SIDED_VOXEL).count().filter("count = 2")
     lower = dilate_l1(label_in(labels, R.HIPPOCAMPUS_VENTRAL_DC), low, dims)
     barred = union_masks(exclude, lower)
-    raw = hull_fill(walls, SIDED).join(near, SIDED_VOXEL, "left_semi")
+    raw = shuffled_join(hull_fill(walls, SIDED), near, SIDED_VOXEL, "left_semi")
     core = on_white_matter(outside_mask(raw, barred), labels)
     walls = walls.select(*SIDED_VOXEL)
     closed = close_l1(core.unionByName(walls), closing, dims, SIDED)
-    return on_white_matter(closed.join(walls, SIDED_VOXEL, "left_anti"), labels)
+    return on_white_matter(shuffled_join(closed, walls, SIDED_VOXEL, "left_anti"), labels)
 
 
 def corpus_callosum(labels: DataFrame, dims: Dims, ventricle_reach: int = 6, cingulum_closing: int = 5,
@@ -186,7 +185,7 @@ def corpus_callosum(labels: DataFrame, dims: Dims, ventricle_reach: int = 6, cin
     has_own = own.select(SUBJECT).distinct()
     # labelled subjects: one step of dilation, split by the nearest white-matter half inside it
     grown = dilate_l1(own, 1, dims)
-    halves = white_matter(labels).withColumn("label", F.when(F.col("side") == "L", 1).otherwise(2)).join(grown, list(VOXEL), "left_semi")
+    halves = shuffled_join(white_matter(labels).withColumn("label", F.when(F.col("side") == "L", 1).otherwise(2)), grown, how="left_semi")
     split = (nearest_label_fill(halves.select(*VOXEL, "label"), grown, dims)
              .select(SUBJECT, F.when(F.col("label") == 1, "L").otherwise("R").alias("side"), *AXES))
     # other subjects
@@ -199,7 +198,7 @@ def corpus_callosum(labels: DataFrame, dims: Dims, ventricle_reach: int = 6, cin
     free = outside_mask(halves.select(*VOXEL), union_masks(fornix, cingulum))
     meet = apply_mask(dilate_l1(halves, 1, dims, SIDED), free).groupBy(*VOXEL).count().filter("count = 2")
     body = open_steps(apply_mask(dilate_l1(meet, growth, dims), free), opening, dims)
-    return split.unionByName(halves.join(body, list(VOXEL), "left_semi").select(*split.columns))
+    return split.unionByName(shuffled_join(halves, body, how="left_semi").select(*split.columns))
 
 
 def lobar_wm_parcellation(labels: DataFrame, dims: Dims) -> DataFrame:
@@ -211,15 +210,15 @@ def lobar_wm_parcellation(labels: DataFrame, dims: Dims) -> DataFrame:
     juxta = cut_lineage(juxtacortical_wm(labels, dims))
     near = cut_lineage(periventricular(labels, dims))
     capsule = cut_lineage(internal_capsule(labels, dims))
-    near_wm = wm.join(near, list(VOXEL), "left_semi").select(*SIDED_VOXEL)
-    inner = capsule.join(near_wm, SIDED_VOXEL, "left_anti")
+    near_wm = shuffled_join(wm, near, how="left_semi").select(*SIDED_VOXEL)
+    inner = shuffled_join(capsule, near_wm, SIDED_VOXEL, "left_anti")
     outer = external_capsule(labels, dims, union_masks(juxta, inner))
     callosum = corpus_callosum(labels, dims)
     lobes = list(R.LOBE_CODES.values())
-    on_lobe = wm.join(lobar, list(VOXEL)).filter(F.col("label").isin(lobes + [v + R.RIGHT_LOBE for v in lobes]))
+    on_lobe = shuffled_join(wm, lobar).filter(F.col("label").isin(lobes + [v + R.RIGHT_LOBE for v in lobes]))
 
     def layer(zone: DataFrame | None, step: int, prio: int) -> DataFrame:
-        rows = on_lobe if zone is None else on_lobe.join(zone, SIDED_VOXEL, "left_semi")
+        rows = on_lobe if zone is None else shuffled_join(on_lobe, zone, SIDED_VOXEL, "left_semi")
         return rows.select(*VOXEL, (F.col("label") + step).alias("label"), F.lit(prio).alias("prio"))
 
     def overlay(rows: DataFrame, name: str, prio: int) -> DataFrame:
@@ -236,7 +235,7 @@ def lobar_wm_parcellation(labels: DataFrame, dims: Dims) -> DataFrame:
               overlay(inner, "Internal capsule", 4), overlay(outer, "External capsule", 5),
               overlay(callosum, "Corpus callosum", 6),
               overlay(near_structure("Basal ganglia"), "Basal ganglia periventricular", 7),
-              overlay(capsule.join(near, list(VOXEL), "left_semi"), "Internal capsule periventricular", 8),
+              overlay(shuffled_join(capsule, near, how="left_semi"), "Internal capsule periventricular", 8),
               overlay(near_structure("Thalamus"), "Thalamus periventricular", 9)]
     return reduce(DataFrame.unionByName, layers).groupBy(*VOXEL).agg(F.max_by("label", "prio").alias("label"))
 
@@ -255,9 +254,10 @@ def basal_ganglia_box(labels: DataFrame, dims: Dims) -> DataFrame:
     lines = insula.groupBy(*SIDED, "j", "k").agg(F.min("i").alias("a"), F.max("i").alias("b"))
     columns = lines.groupBy(*SIDED, "j").agg(F.min("k").alias("ka"), F.max("k").alias("kb"))
     span = columns.groupBy(*SIDED).agg(F.min("j").alias("ja"), F.max("j").alias("jb"))
-    every = (span.withColumn("j", F.explode(F.sequence("ja", "jb"))).join(columns, [*SIDED, "j"], "left")
+    every = (shuffled_join(span.withColumn("j", F.explode(F.sequence("ja", "jb"))), columns, [*SIDED, "j"], "left")
              .withColumns({"ka": F.coalesce("ka", F.lit(0)), "kb": F.coalesce("kb", F.lit(0))})
-             .withColumn("k", F.explode(F.sequence("ka", "kb"))).join(lines, [*SIDED, "j", "k"], "left"))
+             .withColumn("k", F.explode(F.sequence("ka", "kb"))))
+    every = shuffled_join(every, lines, [*SIDED, "j", "k"], "left")
     # at most nj * nk lines per side
     carry = W.partitionBy(*SIDED).orderBy("j", "k").rowsBetween(W.unboundedPreceding, W.currentRow)
     every = every.withColumns({c: F.last(c, ignorenulls=True).over(carry) for c in ("a", "b")})
@@ -269,7 +269,7 @@ def basal_ganglia_box(labels: DataFrame, dims: Dims) -> DataFrame:
             .withColumn("k", F.explode(F.sequence("_x", "_y")))
             .groupBy(SUBJECT, "j", "k").agg(F.max(F.when(F.col("side") == "L", F.col("a"))).alias("from_i"),
                                             F.min(F.when(F.col("side") == "R", F.col("b"))).alias("to_i")))
-    cells = (box.withColumn("j", F.explode(F.sequence("j0", "j1"))).withColumn("k", F.explode(F.sequence("k0", "k1")))
-             .join(wall, [SUBJECT, "j", "k"], "left"))
+    cells = box.withColumn("j", F.explode(F.sequence("j0", "j1"))).withColumn("k", F.explode(F.sequence("k0", "k1")))
+    cells = shuffled_join(cells, wall, [SUBJECT, "j", "k"], "left")
     first, last = F.coalesce("from_i", F.lit(0)), F.coalesce("to_i", F.lit(ni - 1))
     return cells.filter(first <= last).withColumn("i", F.explode(F.sequence(first, last))).select(*VOXEL)

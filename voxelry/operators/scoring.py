@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.joins import shuffled_join
 from ..functions.quantiles import exact_percentiles
 from ..schema import AXES, SUBJECT, Dims
 from ..session import cut_lineage
@@ -122,11 +123,11 @@ def score_sweep(truth: DataFrame, prob: DataFrame, dims: Dims, thresholds: Seque
             .select(SUBJECT, "t_id", "t_size", "n", "_t.threshold", F.col("_t.level").alias("level"), F.get("chain", (F.col("_t.level") - 1).cast("int")).alias("part")))
     rows = rows.filter("t_id IS NOT NULL OR part IS NOT NULL")
     if stars is not None:
-        rows = rows.join(stars.select(SUBJECT, "level", F.col("u").alias("part"), F.col("v").alias("_root")), [SUBJECT, "level", "part"], "left").withColumn("part", F.coalesce("_root", "part"))
+        rows = shuffled_join(rows, stars.select(SUBJECT, "level", F.col("u").alias("part"), F.col("v").alias("_root")), [SUBJECT, "level", "part"], "left").withColumn("part", F.coalesce("_root", "part"))
     keys = [SUBJECT, "threshold"]
     pairs = cut_lineage(rows.groupBy(*keys, "t_id", "t_size", F.col("part").alias("p_id")).agg(F.sum("n").alias("n")))
     sizes = pairs.filter("p_id IS NOT NULL").groupBy(*keys, "p_id").agg(F.sum("n").alias("p_size"))
-    return score_overlaps(pairs.join(sizes, [*keys, "p_id"], "left"), size_filters, keys)
+    return score_overlaps(shuffled_join(pairs, sizes, [*keys, "p_id"], "left"), size_filters, keys)
 
 
 def hd95(truth: DataFrame, predicted: DataFrame, dims: Dims, size_filter: int = 0,
@@ -143,7 +144,7 @@ def hd95(truth: DataFrame, predicted: DataFrame, dims: Dims, size_filter: int =
     found = []
     for name, other in (("t", "p"), ("p", "t")):
         own = sides[name]
-        touched = own.join(sides[other].select(*cells), cells, "left_semi").select(SUBJECT, "cluster_id").distinct()
+        touched = shuffled_join(own, sides[other].select(*cells), cells, "left_semi").select(SUBJECT, "cluster_id").distinct()
         found.append(attach_to_clusters(own, touched).select(*cells).withColumn("side", F.lit(name)))
     rims = cut_lineage(surface(found[0].unionByName(found[1]), (SUBJECT, "side")))
     # how far the voxels of one side's surface are from the other side's

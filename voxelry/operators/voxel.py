@@ -9,7 +9,7 @@ from itertools import permutations, product
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import matrix
-from ..functions.joins import attach
+from ..functions.joins import attach, shuffled_join
 from ..functions.quantiles import exact_percentiles
 from ..schema import AXES, SUBJECT, VOXEL, Dims, in_grid
 from ..session import scatter, staged
@@ -32,17 +32,17 @@ def threshold(df: DataFrame, level: float, sign: str = "+", binarise: bool = Fal
 
 
 def apply_mask(df: DataFrame, mask: DataFrame) -> DataFrame:
-    return df.join(mask.select(*VOXEL), list(VOXEL), "left_semi")
+    return shuffled_join(df, mask.select(*VOXEL), how="left_semi")
 
 
 def outside_mask(df: DataFrame, mask: DataFrame) -> DataFrame:
-    return df.join(mask.select(*VOXEL), list(VOXEL), "left_anti")
+    return shuffled_join(df, mask.select(*VOXEL), how="left_anti")
 
 
 def apply_weights(df: DataFrame, weights: DataFrame) -> DataFrame:
     """Multiply by a weighted mask (absent weight = 0)."""
     w = weights.select(*VOXEL, F.col("v").alias("_w"))
-    return df.join(w, list(VOXEL)).withColumn("v", F.col("v") * F.col("_w")).drop("_w").filter("v <> 0")
+    return shuffled_join(df, w).withColumn("v", F.col("v") * F.col("_w")).drop("_w").filter("v <> 0")
 
 
 def union_masks(*masks: DataFrame) -> DataFrame:
