@@ -3,6 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from voxelry import session
+from voxelry.catalog import recipe
 from voxelry.functions.joins import salted_join
 from voxelry.operators import clusters, components, geometry, morphology, parcellation, voxel
 
@@ -53,3 +55,13 @@ def test_voxel_tables_are_not_broadcast(spark, name):
     plan = JOINS[name](spark)._jdf.queryExecution().executedPlan().toString()
     assert "Join" in plan
     assert "BroadcastHashJoin" not in plan
+
+
+def test_generated_rows_are_spread(spark, sf, monkeypatch):
+    """Whole subjects are dealt to tasks by the rows they make, however small their table is."""
+    monkeypatch.setattr(session, "GENERATED_ROWS", 1200)
+    rows = recipe.grid(spark, sf)
+    counts = [r["n"] for r in rows.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    per_subject = recipe.NI * recipe.NJ * recipe.NK
+    assert sum(counts) == recipe.subjects(spark, sf).count() * per_subject
+    assert max(counts) <= 2 * per_subject

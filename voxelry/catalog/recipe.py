@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.matrix import pack
-from ..session import cut_lineage
+from ..session import cut_lineage, scatter
 
 DIMS = (12, 12, 8)
 NI, NJ, NK = DIMS
@@ -46,7 +46,7 @@ def subjects(spark: SparkSession, d: str) -> DataFrame:
 
 
 def grid(spark: SparkSession, d: str) -> DataFrame:
-    out = subjects(spark, d)
+    out = scatter(subjects(spark, d), each=NI * NJ * NK)
     for a, n in zip("ijk", DIMS):
         out = out.withColumn(a, F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
     return out

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import math
 import os
 import tempfile
 import uuid
@@ -22,6 +23,9 @@ SETTINGS = {
     "spark.sql.python.filterPushdown.enabled": "true",
 }
 
+#: Rows that one task generates, where their number is known.
+GENERATED_ROWS = 1 << 20
+
 #: Scratch folder of a local session without a named one; removed when Python ends.
 _SCRATCH: dict[str, tempfile.TemporaryDirectory] = {}
 
@@ -107,7 +111,11 @@ def ship_package(spark: SparkSession) -> None:
     sc._voxelry_shipped = held  # the driver serves the file as long as the context lives
 
 
-def scatter(df: DataFrame, *columns: str) -> DataFrame:
+def scatter(df: DataFrame, *columns: str, each: int = 0) -> DataFrame:
     """Spread few rows that each generate many over all shuffle partitions (an unnumbered repartition of small rows
-    would be merged again by the adaptive planner)."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
+    would be merged again by the adaptive planner). Where every row generates ``each`` rows, the rows are counted and
+    spread so that a task generates about ``GENERATED_ROWS`` at most."""
+    spark = df.sparkSession
+    if each:
+        return df.repartition(max(spark.sparkContext.defaultParallelism, math.ceil(df.count() * each / GENERATED_ROWS)), *columns)
+    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *columns)
