@@ -1,5 +1,7 @@
 """Steps whose memory may not grow with the cohort: plans of joins, tasks that generate rows, batches in Python."""
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,3 +67,24 @@ def test_generated_rows_are_spread(spark, sf, monkeypatch):
     per_subject = recipe.NI * recipe.NJ * recipe.NK
     assert sum(counts) == recipe.subjects(spark, sf).count() * per_subject
     assert max(counts) <= 2 * per_subject
+
+
+def test_components_pack_no_bricks(spark):
+    plan = marked(spark)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan
+    assert "collect_list" not in plan
+
+
+def test_bricks_are_labelled_some_at_a_time(monkeypatch):
+    """Batches may cut bricks anywhere; what is labelled at once stays bounded and every brick is whole."""
+    monkeypatch.setattr(components, "VOXELS", 100)
+    rows = [(s, x, 0, 0, 4 * x + i, j, k) for s in ("a", None, "b") for x in range(20) for i in range(4) for j in range(2) for k in range(2)]
+    cells_of = pa.table([pa.array(c) if n == 0 else pa.array(c, pa.int32()) for n, c in enumerate(zip(*rows))],
+                        names=["subject_id", "_bi", "_bj", "_bk", "i", "j", "k"])
+    cells_of = cells_of.append_column("part_id", pa.array(np.arange(len(rows)), pa.int64()))
+    run = components._brick_labeller(26, 4, components._one_label(None), 4)
+    out = list(run(iter(cells_of.to_batches(max_chunksize=7))))
+    assert max(b.num_rows for b in out) < 100 + 7 and len(out) > 5
+    found = pa.Table.from_batches(out)
+    assert found.drop_columns("part_id") == cells_of.drop_columns("part_id")
+    assert found.column("part_id").to_pylist() == [16 * (n // 16) for n in range(len(rows))]

@@ -76,12 +76,16 @@ def _merge_tree(voxels: pa.StructArray, order: np.ndarray, a: np.ndarray, b: np.
     return {"chain": pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(level)]).astype(np.int32), roots[kept])}
 
 
-def _brick_labeller(connectivity: int, brick: int, assign: Assign):
-    """Labels all bricks of an Arrow batch at once; a brick is one row with the list of its voxels."""
+#: Voxels that a task labels at a time, in whole bricks.
+VOXELS = 1 << 18
+
+
+def _brick_labeller(connectivity: int, brick: int, assign: Assign, width: int):
+    """Labels voxel rows that come brick by brick, some bricks at a time; the first ``width`` columns name a brick."""
     side = brick + 2
     steps = [(p * side + q) * side + r for p, q, r in neighbours(connectivity) if (p, q, r) > (0, 0, 0)]
 
-    def label(voxels: pa.StructArray, owner: np.ndarray) -> pa.StructArray:
+    def label(voxels: pa.StructArray, owner: np.ndarray) -> dict[str, pa.Array]:
         x, y, z = ((voxels.field(a).to_numpy() % brick) + 1 for a in AXES)
         # position in a padded brick, so a step over a face never meets a voxel
         code = ((owner * side + x) * side + y) * side + z
@@ -93,29 +97,51 @@ def _brick_labeller(connectivity: int, brick: int, assign: Assign):
             met = np.flatnonzero(code[np.minimum(at, n - 1)] == code + step)
             starts.append(met)
             ends.append(at[met])
-        found = assign(voxels, order, np.concatenate(starts), np.concatenate(ends))
-        fields = list(voxels.type)
-        return pa.StructArray.from_arrays([found.get(f.name, voxels.field(f.name)) for f in fields], fields=fields)
+        return assign(voxels, order, np.concatenate(starts), np.concatenate(ends))
+
+    def bricks(rows: pa.Table) -> np.ndarray:
+        """Number of the brick of each row, from 0 on."""
+        new = np.zeros(rows.num_rows, bool)
+        for column in rows.columns[:width]:
+            new[1:] |= np.diff(column.combine_chunks().dictionary_encode("encode").indices.to_numpy()) != 0
+        return np.cumsum(new)
+
+    def labelled(rows: pa.Table, owner: np.ndarray) -> pa.RecordBatch:
+        columns, names = [c.combine_chunks() for c in rows.columns], rows.column_names
+        found = label(pa.StructArray.from_arrays(columns[width:], names=names[width:]), owner)
+        return pa.RecordBatch.from_arrays([found.get(n, c) for n, c in zip(names, columns)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
         for batch in batches:
-            bricks = batch.column(batch.num_columns - 1)
-            sizes = np.diff(bricks.offsets.to_numpy())
-            # bricks of about two million voxels at a time bound the working memory
-            chunk = np.cumsum(sizes) // 2_000_000
-            cuts = [0, *(np.flatnonzero(np.diff(chunk)) + 1), len(sizes)]
-            for first, last in zip(cuts, cuts[1:]):
-                if last == first:
-                    continue
-                some, counts = batch.slice(first, last - first), sizes[first:last]
-                voxels = some.column(some.num_columns - 1).flatten()
-                labelled = label(voxels, np.repeat(np.arange(len(counts), dtype=np.int64), counts))
-                ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([*some.columns[:-1], pa.ListArray.from_arrays(ends, labelled)], names=batch.schema.names)
+            if batch.num_rows:
+                held.append(batch)
+                count += batch.num_rows
+            if count >= VOXELS:
+                rows = pa.Table.from_batches(held)
+                owner = bricks(rows)
+                # the last brick may go on in the next batch
+                whole = int(np.searchsorted(owner, owner[-1]))
+                if whole:
+                    yield labelled(rows.slice(0, whole), owner[:whole])
+                    held, count = rows.slice(whole).to_batches(), count - whole
+        if count:
+            rows = pa.Table.from_batches(held)
+            yield labelled(rows, bricks(rows))
 
     return run
 
 
+def _in_bricks(rows: DataFrame, by: Sequence[str], connectivity: int, brick: int, assign: Assign) -> DataFrame:
+    """``rows`` with the fields that ``assign`` gives anew; the voxels of a brick come one after the other, as rows, so that a batch is bounded by
+    its rows and not by the size of bricks."""
+    home = [F.floor(F.col(a) / brick).cast("int").alias(f"_b{a}") for a in AXES]
+    keys = [*by, *[f"_b{a}" for a in AXES]]
+    flat = rows.select(*by, *home, *[c for c in rows.columns if c not in by])
+    flat = flat.repartition(*keys).sortWithinPartitions(*keys)
+    return flat.mapInArrow(_brick_labeller(connectivity, brick, assign, len(keys)), flat.schema).select(*rows.columns)
+
+
 #: Edges that a task unites at a time.
 CHUNK = 1 << 20
 
@@ -200,10 +226,8 @@ def component_chains(df: DataFrame, dims: Dims, connectivity: int = 26, by: Sequ
     component v; other parts are their own), None where the grid is one brick. A threshold is a cut through the chains, and costs no further labelling.
     """
     by = list(by)
-    home = [F.floor(F.col(a) / brick).cast("int").alias(f"_b{a}") for a in AXES]
     own = df.select(*by, *AXES, F.col("level").cast("long").alias("level"), voxel_id(dims).alias("part_id"), F.array(voxel_id(dims)).alias("chain"))
-    packed = own.groupBy(*by, *home).agg(F.collect_list(F.struct(*AXES, "level", "part_id", "chain")).alias("_c"))
-    local = packed.mapInArrow(_brick_labeller(connectivity, brick, _merge_tree), packed.schema).select(*by, F.inline("_c")).drop("part_id")
+    local = _in_bricks(own, by, connectivity, brick, _merge_tree).drop("part_id")
     if all(n <= brick for n in dims):
         return local, None
     local = cut_lineage(local)
@@ -221,12 +245,7 @@ def label_components(df: DataFrame, dims: Dims, connectivity: int = 26, equal: s
     With ``equal`` two neighbours belong together only if that column agrees.
     """
     by = list(by)
-    home = [F.floor(F.col(a) / brick).cast("int").alias(f"_b{a}") for a in AXES]
-    rows = df.withColumn("part_id", voxel_id(dims))
-    inner = [c for c in rows.columns if c not in by]
-    packed = rows.groupBy(*by, *home).agg(F.collect_list(F.struct(*inner)).alias("_c"))
-    local = (packed.mapInArrow(_brick_labeller(connectivity, brick, _one_label(equal)), packed.schema)
-             .select(*by, F.inline("_c")).select(*rows.columns))
+    local = _in_bricks(df.withColumn("part_id", voxel_id(dims)), by, connectivity, brick, _one_label(equal))
     if all(n <= brick for n in dims):
         return local.withColumn("cluster_id", F.col("part_id"))
     local = cut_lineage(local)
