@@ -67,6 +67,37 @@ def inverse_affine(a: Column) -> Column:
     return let(a, rotation)
 
 
+def origin_voxel(a: Column) -> Column:
+    """Voxel coordinates (array of three) of the origin of the space that an affine maps to.
+
+    The three equations are solved by elimination with row exchanges, each unknown by one division: an origin that lies on a voxel comes out on it, where
+    the product with an inverse, off by the rounding of its determinant, may come out just beyond.
+    """
+    def pivot(rows: Column, c: int) -> Column:
+        # the row with the largest entry comes first, the earlier one on ties
+        order = F.transform(rows, lambda r, n: F.struct((-F.abs(r[c])).alias("x"), n.alias("n"), r.alias("r")))
+        return F.transform(F.array_sort(order), lambda s: s["r"])
+
+    def minus(r: Column, factor: Column, other: Column) -> Column:
+        return F.zip_with(r, other, lambda x, y: x - factor * y)
+
+    def without(rows: Column, c: int) -> Column:
+        """The pivot row and the others freed of unknown ``c``."""
+        first = rows[0]
+        return F.transform(rows, lambda r, n: F.when(n == 0, r).otherwise(minus(r, r[c] / first[c], first)))
+
+    def back(one: Column, two: Column, three: Column) -> Column:
+        two, one = minus(two, two[2] / three[2], three), minus(one, one[2] / three[2], three)
+        one = let(F.struct(one.alias("a"), two.alias("b")), lambda s: minus(s["a"], s["a"][1] / s["b"][1], s["b"]))
+        return F.array(one[3] / one[0], two[3] / two[1], three[3] / three[2])
+
+    def last(first: Column, rest: Column) -> Column:
+        return let(F.struct(first.alias("f"), without(pivot(rest, 1), 1).alias("t")), lambda s: back(s["f"], s["t"][0], s["t"][1]))
+
+    equations = F.array(*[F.array(*[a[4 * r + c] for c in range(3)], -a[4 * r + 3]) for r in range(3)])
+    return let(without(pivot(equations, 0), 0), lambda rows: last(rows[0], F.slice(rows, 2, 2)))
+
+
 def apply_affine(a: Column, point: list[Column]) -> list[Column]:
     return [a[r * 4] * point[0] + a[r * 4 + 1] * point[1] + a[r * 4 + 2] * point[2] + a[r * 4 + 3] for r in range(3)]
 

@@ -193,9 +193,8 @@ def crop_box(images: DataFrame, dimensions: Dims, mask: DataFrame | None = None,
     elif centre == "grid":
         box = head.withColumns({c: F.ceil(F.col(n) / 2).cast("int") for c, n in zip(names, ("ni", "nj", "nk"))})
     elif centre == "world":
-        inv = matrix.inverse_affine(F.col("affine"))
-        box = head.withColumn("_inv", inv).withColumns(
-            {c: F.ceil(F.col("_inv")[4 * t + 3]).cast("int") for t, c in enumerate(names)})
+        box = head.withColumn("_at", matrix.origin_voxel(F.col("affine"))).withColumns(
+            {c: F.ceil(F.col("_at")[t]).cast("int") for t, c in enumerate(names)})
     else:
         raise ValueError(centre)
     if centre != "mask" and mask is not None:
