@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from ..functions.hull import complement, half_spaces
 from ..functions.joins import shuffled_join
 from ..schema import AXES, SUBJECT, Dims
-from ..session import cut_lineage
+from ..session import cut_lineage, scatter
 from .lines import chessboard_kernel, sweep_labels
 
 
@@ -131,7 +131,8 @@ def hull_fill(mask: DataFrame, keys: Sequence[str] = (SUBJECT,)) -> DataFrame:
     keys = list(keys)
     names = ("_a", "_b", "_c", "_h", "_i0", "_i1", "_j0", "_j1", "_li", "_l0", "_l1")
     schema = T.StructType([*[mask.schema[k] for k in keys], *[T.StructField(c, T.ArrayType(T.LongType())) for c in names]])
-    shape = cut_lineage(hull_corners(mask, keys).groupBy(*keys).applyInPandas(_hull_planes(keys), schema))
+    # corners are few bytes and much work: dealt by number, or the planner would merge all groups into one task
+    shape = cut_lineage(scatter(hull_corners(mask, keys), *keys).groupBy(*keys).applyInPandas(_hull_planes(keys), schema))
     facets = shape.select(*keys, F.inline(F.arrays_zip(*names[:8]))).withColumn("i", F.explode(F.sequence("_i0", "_i1")))
     # what a half-space leaves of a line of the slab: an upper or a lower end
     bounds = (facets.select(*keys, "i", F.struct("_j0", "_j1", "_b", "_c", (F.col("_h") - F.col("i") * F.col("_a")).alias("_r")).alias("_f"))
