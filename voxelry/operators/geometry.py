@@ -243,6 +243,8 @@ def resample(voxels: DataFrame, transforms: DataFrame, target_dims: Dims, source
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         return _interpolate(left, right, order)
 
+    # dealt by number: the planner would merge bricks by their bytes, which are few for the work on them
+    points, spread = scatter(points, SUBJECT, *home), scatter(spread, SUBJECT, *home)
     done = points.groupBy(SUBJECT, *home).cogroup(spread.groupBy(SUBJECT, *home)).applyInPandas(run, schema)
     return done.filter(F.abs("v") > tiny)
 
