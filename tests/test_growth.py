@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from voxelry import session
 from voxelry.catalog import recipe
 from voxelry.functions.joins import salted_join
-from voxelry.operators import clusters, components, geometry, morphology, parcellation, voxel
+from voxelry.operators import clusters, components, fill, geometry, lines, morphology, parcellation, voxel
 
 DIMS = (4, 4, 4)
 
@@ -88,3 +88,52 @@ def test_bricks_are_labelled_some_at_a_time(monkeypatch):
     found = pa.Table.from_batches(out)
     assert found.drop_columns("part_id") == cells_of.drop_columns("part_id")
     assert found.column("part_id").to_pylist() == [16 * (n // 16) for n in range(len(rows))]
+
+
+def some_masks(spark):
+    """Seeds of some participants on a rather empty grid."""
+    rng = np.random.default_rng(5)
+    rows = {(s, *map(int, rng.integers(0, 4, 3))) for s in ("a", "b", "c") for _ in range(9)}
+    return spark.createDataFrame([(*r, sum(r[1:]) % 3 + 1) for r in sorted(rows, key=str)], "subject_id string, i int, j int, k int, label int")
+
+
+BLOCKS = {
+    "dilate_l1": lambda m: morphology.dilate_l1(m, 2, DIMS),
+    "close_l1": lambda m: morphology.close_l1(m, 2, DIMS),
+    "erode_l1": lambda m: morphology.erode_l1(morphology.dilate_l1(m, 2, DIMS), 2, DIMS),
+    "erode_steps": lambda m: morphology.erode_steps(morphology.dilate_l1(m, 3, DIMS), 1, DIMS),
+    "open_steps": lambda m: morphology.open_steps(morphology.dilate_l1(m, 3, DIMS), 1, DIMS),
+    "euclidean_distance": lambda m: morphology.euclidean_distance(m.filter("label = 1"), DIMS, (1.0, 2.0, 0.5), where=m.select("subject_id", "i", "j", "k")),
+    "nearest_label_fill": lambda m: fill.nearest_label_fill(m, cells(m.sparkSession).withColumn("subject_id", F.lit("a")).distinct(), DIMS),
+    "spline_coefficients": lambda m: geometry.spline_coefficients(m.withColumn("v", F.col("label") / 3), DIMS).withColumn("v", F.round("v", 9)),
+}
+
+
+@pytest.mark.parametrize("name", sorted(BLOCKS))
+def test_small_volumes_are_as_line_by_line(spark, monkeypatch, name):
+    as_block = sorted(BLOCKS[name](some_masks(spark)).collect(), key=str)
+    for module in (lines, morphology):
+        monkeypatch.setattr(module, "fits", lambda dims: False)
+    assert as_block and as_block == sorted(BLOCKS[name](some_masks(spark)).collect(), key=str)
+
+
+def test_small_volumes_take_one_shuffle(spark):
+    """Dealt by a number of partitions: the planner would merge few bytes of much work into one task."""
+    plan = morphology.close_l1(some_masks(spark), 2, DIMS)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "REPARTITION_BY_NUM" in plan
+
+
+def test_resampled_bricks_are_dealt_by_number(spark):
+    plan = geometry.resample(values(spark), affines(spark), DIMS, DIMS, 1)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroups" in plan
+    assert plan.count("REPARTITION_BY_NUM") == 3 and "ENSURE_REQUIREMENTS" not in plan
+
+
+def test_hulls_are_found_by_many_tasks(spark, monkeypatch):
+    """The groups of a hull lie in as many partitions as the session has, however few bytes their corners are."""
+    seen = []
+    plain = fill.cut_lineage
+    monkeypatch.setattr(fill, "cut_lineage", lambda df: seen.append(plain(df)) or seen[-1])
+    many = spark.range(40).withColumnRenamed("id", "subject_id").withColumn("i", F.lit(0)).withColumn("j", F.lit(0)).withColumn("k", F.explode(F.array(F.lit(0), F.lit(2))))
+    assert fill.hull_fill(many).count() == 120
+    assert seen[0].select(F.spark_partition_id()).distinct().count() > 4

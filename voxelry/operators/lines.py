@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.joins import attach, shuffled_join
 from ..schema import AXES, SUBJECT, Dims, other_axes
+from .blocks import fits, map_volumes, nearest_labels, sweep_dense
 
 Kernel = Callable[[np.ndarray], np.ndarray]
 
@@ -84,7 +85,15 @@ def sweep(df: DataFrame, dims: Dims, kernels: Sequence[Kernel], fill: float, val
 
     With ``where`` (``where_keys``, among the keys, and voxels; read three times) only its voxels are returned, and every pass
     only makes the cells that lead to one: rows then grow with ``where`` and the seeds, not with the grid.
+
+    On a grid of one block the passes are made on whole volumes in one step, with a single shuffle.
     """
+    if fits(dims) and (where is None or set(where_keys) == set(keys)):
+        def passes(dense: np.ndarray, of: pa.Table) -> np.ndarray:
+            own = [None if names is None else [of.column(n).to_numpy() for n in names] for names in (own_lengths, own_spacings)]
+            return sweep_dense(dense, kernels, fill, limit, *own)
+
+        return map_volumes(df, dims, passes, fill, value, keys, where)
     final: list[str] = []
     for axis, kernel in reversed(list(zip(AXES, kernels))):
         wanted = None if where is None else where.groupBy(*where_keys, *final).agg(F.collect_set(axis).alias("_w"))
@@ -192,8 +201,10 @@ def sweep_labels(seeds: DataFrame, dims: Dims, kernel: Kernel, where: DataFrame,
     """(keys, voxel, ``label``, d) of the nearest seed for the voxels of ``where``, the smallest label on ties; ``d`` combines along the axes by ``kernel``.
 
     All labels pass along the axes together: a cell keeps its front of distance and label, that is what is nearer than every smaller label, so its rows do not depend on the number
-    of labels. The passes make only the cells that lead to a wanted voxel (``where`` is read three times).
+    of labels. The passes make only the cells that lead to a wanted voxel (``where`` is read three times). On a grid of one block a volume is treated whole.
     """
+    if fits(dims):
+        return nearest_labels(seeds, dims, kernel, where, keys, label).withColumn(label, F.col("label").cast(seeds.schema[label].dataType))
     df, final = seeds.select(*keys, *AXES, F.lit(0.0).alias("d"), F.col(label).cast("long").alias("label")), []
     for axis in reversed(AXES):
         wanted = where.groupBy(*keys, *final).agg(F.collect_set(axis).alias("_w"))

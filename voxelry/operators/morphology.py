@@ -17,6 +17,7 @@ from ..functions.joins import attach, shuffled_join
 from ..functions.offsets import Offset, neighbours, spread
 from ..schema import AXES, SUBJECT, VOXEL, Dims, in_grid, other_axes
 from ..session import cut_lineage
+from .blocks import fits, map_volumes, sweep_dense
 from .lines import squared_distances, squared_kernel, sweep, taxicab_kernel
 
 Radii = tuple[int, int, int]
@@ -181,13 +182,35 @@ def rim_outside(mask: DataFrame, dims: Dims, keys: Sequence[str] = (SUBJECT,)) -
     return shuffled_join(touched, mask.select(*keys, *AXES), [*keys, *AXES], "left_anti")
 
 
+def _near(x: np.ndarray, r: float) -> np.ndarray:
+    """Cells within taxicab distance ``r`` of the marked ones of their volume."""
+    return sweep_dense(np.where(x, 0.0, math.inf), [taxicab_kernel] * 3, math.inf, r) <= r
+
+
+def _cores(x: np.ndarray, r: int, border_erodes: bool = False) -> np.ndarray:
+    """Marked cells at taxicab distance of at least ``r`` from the others, and with ``border_erodes`` from the outside of the grid."""
+    kept = x & ~_near(~x, r - 1) if r > 1 else x
+    if border_erodes:
+        for axis, n in enumerate(x.shape[1:]):
+            at = np.arange(n)
+            kept = kept & ((at + 1 >= r) & (n - at >= r)).reshape([-1 if a == axis else 1 for a in range(3)])
+    return kept
+
+
+def _on_masks(mask: DataFrame, dims: Dims, run: Callable[[np.ndarray], np.ndarray], keys: Sequence[str]) -> DataFrame:
+    """``run`` on the dense masks of a grid of one block."""
+    rows = mask.select(*keys, *AXES, F.lit(1.0).alias("v"))
+    return map_volumes(rows, dims, lambda x, _: run(x > 0).astype(float), 0.0, "v", keys).drop("v")
+
+
 def erode_l1(mask: DataFrame, r: int, dims: Dims, border_erodes: bool = False, keys: Sequence[str] = (SUBJECT,)) -> DataFrame:
     """Mask voxels at taxicab distance of at least ``r`` from the background (the grid border is no background
     unless ``border_erodes``)."""
     kept = mask.select(*keys, *AXES)
     if r > 1:
         kept = mask = cut_lineage(kept)  # read three times below
-        near = dilate_l1(rim_outside(mask, dims, keys), r - 1, dims, keys)
+        near = (_on_masks(mask, dims, lambda x: x & (_near(~x, r - 1)), keys) if fits(dims)
+                else dilate_l1(rim_outside(mask, dims, keys), r - 1, dims, keys))
         kept = shuffled_join(kept, near, [*keys, *AXES], "left_anti")
     if border_erodes:
         kept = kept.filter(" AND ".join(f"{a} + 1 >= {r} AND {n} - {a} >= {r}" for a, n in zip(AXES, dims)))
@@ -195,15 +218,21 @@ def erode_l1(mask: DataFrame, r: int, dims: Dims, border_erodes: bool = False, k
 
 
 def close_l1(mask: DataFrame, r: int, dims: Dims, keys: Sequence[str] = (SUBJECT,)) -> DataFrame:
+    if fits(dims):
+        return _on_masks(mask, dims, lambda x: _cores(_near(x, r), r), keys)
     return erode_l1(dilate_l1(mask, r, dims, keys), r, dims, keys=keys)
 
 
 def erode_steps(mask: DataFrame, steps: int, dims: Dims, keys: Sequence[str] = (SUBJECT,)) -> DataFrame:
     """``steps`` erosions by the 6-neighbour cross; the grid border erodes too."""
+    if fits(dims):
+        return _on_masks(mask, dims, lambda x: _cores(x, steps + 1, True), keys)
     return erode_l1(mask, steps + 1, dims, True, keys)
 
 
 def open_steps(mask: DataFrame, steps: int, dims: Dims, keys: Sequence[str] = (SUBJECT,)) -> DataFrame:
+    if fits(dims):
+        return _on_masks(mask, dims, lambda x: _near(_cores(x, steps + 1, True), steps), keys)
     return dilate_l1(erode_steps(mask, steps, dims, keys), steps, dims, keys)
 
 
