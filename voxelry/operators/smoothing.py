@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from ..functions.joins import attach
 from ..functions.offsets import neighbours
 from ..schema import AXES, SUBJECT, VOXEL, Dims, in_grid, other_axes
-from ..session import staged
+from ..session import scatter, staged
+from .blocks import fits
 from .lines import Kernel, sweep, weighted_kernel
 from .morphology import by_brick
 from .stats import remove_dark_classes
@@ -62,7 +63,10 @@ def fast_smooth(image: DataFrame, dims: Dims) -> DataFrame:
     """Weights 1 for the voxel and 0.2 for its six neighbours, divided by their sum of 2.2."""
     share = [((0, 0, 0), 1.0)] + [(o, 0.2) for o in neighbours(6)]
     taps = F.array(*[F.struct(*[F.lit(x).alias(f"d{a}") for a, x in zip(AXES, o)], F.lit(w).alias("w")) for o, w in share])
-    rows = by_brick(image.select(*VOXEL, "v")).withColumn("_o", F.explode(taps))
+    rows = image.select(*VOXEL, "v")
+    # small volumes stay whole from here on, in tasks of a bounded number of taps: no sum is shuffled, and no hash table grows with the cohort
+    rows = scatter(staged(rows, "image"), SUBJECT, each=len(share)) if fits(dims) else by_brick(rows)
+    rows = rows.withColumn("_o", F.explode(taps))
     moved = rows.select(SUBJECT, *[(F.col(a) + F.col(f"_o.d{a}")).alias(a) for a in AXES], (F.col("v") * F.col("_o.w")).alias("v"))
     return moved.filter(in_grid(dims)).groupBy(*VOXEL).agg((F.sum("v") / 2.2).alias("v"))
 
