@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from voxelry import session
 from voxelry.catalog import recipe
-from voxelry.functions.joins import salted_join
-from voxelry.operators import clusters, components, fill, geometry, lines, morphology, parcellation, voxel
+from voxelry.functions import quantiles
+from voxelry.functions.joins import attach, salted_join
+from voxelry.operators import clusters, components, fill, geometry, lines, morphology, parcellation, smoothing, voxel
 
 DIMS = (4, 4, 4)
 
@@ -137,3 +138,33 @@ def test_hulls_are_found_by_many_tasks(spark, monkeypatch):
     many = spark.range(40).withColumnRenamed("id", "subject_id").withColumn("i", F.lit(0)).withColumn("j", F.lit(0)).withColumn("k", F.explode(F.array(F.lit(0), F.lit(2))))
     assert fill.hull_fill(many).count() == 120
     assert seen[0].select(F.spark_partition_id()).distinct().count() > 4
+
+
+def test_samples_are_spread_by_their_number(spark, sf, monkeypatch):
+    monkeypatch.setattr(session, "GENERATED_ROWS", 400)
+    counts = [r["n"] for r in recipe.prob(spark, sf).groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert len(counts) > 10 and max(counts) < 800
+
+
+def test_smoothing_of_small_volumes_shuffles_no_sums(spark, monkeypatch):
+    monkeypatch.setattr(session, "GENERATED_ROWS", 70)
+    smooth = smoothing.fast_smooth(values(spark), DIMS)
+    plan = smooth._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "REPARTITION_BY_NUM" in plan
+    assert smooth.rdd.getNumPartitions() == 10  # 3 subjects of 32 voxels with 7 taps
+
+
+def test_merged_values_are_dealt_by_their_number(spark, monkeypatch):
+    dealt = []
+    monkeypatch.setattr(quantiles, "scatter", lambda df, *c, each=0: dealt.append((c, each)) or session.scatter(df, *c, each=each))
+    rows = spark.range(101).select(F.lit("a").alias("subject_id"), F.col("id").cast("double").alias("v"))
+    assert quantiles.exact_percentiles(rows, ["subject_id"], "v", [0.25]).first()["q"] == [25.0]
+    assert dealt == [(("subject_id", "_v"), 1)]
+
+
+def test_tables_of_many_subjects_are_not_broadcast(spark):
+    """A plan may hold a dozen tables of statistics on the driver at once."""
+    small = spark.range(20_001).select(F.col("id").alias("subject_id"), F.array(F.lit(1.0)).alias("affine"))
+    rows = attach(cells(spark), small)
+    assert "BroadcastHashJoin" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert rows.count() == 3 * 64
