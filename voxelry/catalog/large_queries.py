@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.offsets import ellipsoid
 from ..functions.quantiles import exact_percentiles
 from ..operators import components, fill, models, morphology, scoring, voxel
+from ..session import staged
 from . import recipe as V
 from .cluster_queries import score_views
 from .neighbour_queries import hull_sql
@@ -51,7 +52,7 @@ def label_clusters_large(spark, d):
 
 @query("percentiles_large", sql("SELECT subject_id, count(*) AS n, round(quantile_cont(v, 0.25), 9) AS q25, round(quantile_cont(v, 0.99), 9) AS q99 FROM large GROUP BY 1", **PROB))
 def percentiles_large(spark, d):
-    q = exact_percentiles(prob_large(spark, d), ["subject_id"], "v", [0.25, 0.99])
+    q = exact_percentiles(staged(prob_large(spark, d), "prob-large"), ["subject_id"], "v", [0.25, 0.99])
     return q.select("subject_id", "n", F.round(F.col("q")[0], 9).alias("q25"), F.round(F.col("q")[1], 9).alias("q99"))
 
 

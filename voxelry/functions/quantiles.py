@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from ..session import scatter
 from .joins import attach
 
 #: Relative rank error of the sketch that brackets a quantile.
@@ -18,13 +19,14 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seq
 
     A mergeable sketch first brackets every quantile; then only the rows inside the brackets are ranked, all other
     rows are counted. A hot group is therefore reduced to about ``4 / accuracy`` of its rows before any per-group
-    sort, after equal values were merged by a partial aggregation.
+    sort, after equal values were merged. ``df`` is read three times, so it is a table or a stage.
     """
     keys, probs = list(keys), list(probs)
     eps = 2.0 / accuracy
     lows = [max(0.0, p - eps) for p in probs]
     highs = [min(1.0, p + eps) for p in probs]
-    merged = df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(F.count("*").alias("_c"))
+    # dealt by the number of rows: a task's hash table would grow with the files it reads
+    merged = scatter(df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v")), *keys, "_v", each=1).groupBy(*keys, "_v").agg(F.count("*").alias("_c"))
     sketch = (df.filter(F.col(value).isNotNull()).groupBy(*keys)
               .agg(F.count("*").alias("n"), F.min(value).alias("_min"), F.max(value).alias("_max"),
                    F.percentile_approx(value, lows, accuracy).alias("_lo"),

@@ -10,7 +10,7 @@ from ..functions.joins import salted_join, shuffled_join
 from ..functions.quantiles import exact_percentiles
 from ..functions.regions import BIOMARKER_SCHEME, PRIORITY_REGIONS, WHOLE_BRAIN, region_dictionary
 from ..schema import SUBJECT, VOXEL, Dims
-from ..session import cut_lineage
+from ..session import cut_lineage, staged
 from .components import CLUSTER_SALT, label_clusters, label_components
 from .morphology import euclidean_distance
 from .parcellation import parcellate
@@ -138,7 +138,8 @@ def pvs_bg_dwm(prob: DataFrame, basal_ganglia: DataFrame, dims: Dims, threshold:
 
 def extreme_threshold(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Above this a value is extreme: the larger of Q3 + 3 IQR and the 95th percentile."""
-    q = exact_percentiles(df, keys, value, [0.25, 0.75, 0.95])
+    rows = staged(df.select(*keys, value), "sizes")  # the clusters are labelled once for all its reads
+    q = exact_percentiles(rows, keys, value, [0.25, 0.75, 0.95])
     q1, q3, p95 = (F.col("q")[n] for n in range(3))
     return q.select(*keys, F.col("n").alias("n_clusters"), F.greatest(q3 + 3 * (q3 - q1), p95).alias("extreme_above"))
 
@@ -146,8 +147,8 @@ def extreme_threshold(df: DataFrame, keys: Sequence[str], value: str) -> DataFra
 def census_plot_data(census: DataFrame, voxel_volume: float = 1.0, few: int = 10) -> DataFrame:
     """Cluster volumes with the two flags a size plot needs: extreme within its region, region with few clusters."""
     region = F.when(F.col("region").startswith("Label_"), F.lit("Other")).otherwise(F.col("region"))
-    rows = census.filter("region IS NOT NULL").select(
-        SUBJECT, "cluster_id", region.alias("region"), (F.col("cluster_size") * F.lit(voxel_volume)).alias("volume_mm3"))
+    rows = staged(census.filter("region IS NOT NULL").select(
+        SUBJECT, "cluster_id", region.alias("region"), (F.col("cluster_size") * F.lit(voxel_volume)).alias("volume_mm3")), "sizes")
     limits = extreme_threshold(rows, [SUBJECT, "region"], "volume_mm3")
     return (salted_join(rows, limits, [SUBJECT, "region"], salt_by=["cluster_id"], buckets=CLUSTER_SALT)
             .select(SUBJECT, "cluster_id", "region", "volume_mm3", (F.col("volume_mm3") > F.col("extreme_above")).alias("is_extreme"),

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.joins import attach
 from ..functions.quantiles import exact_percentiles
 from ..schema import SUBJECT, Dims
+from ..session import staged
 from .geometry import registration_magnitude
 from .stats import histogram_mode
 
@@ -64,7 +65,7 @@ def qc_long(qc: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def qc_bounds(qc: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Fences per measure, and per cohort where ``by`` names one: 1.5 interquartile ranges beyond the quartiles."""
-    q = exact_percentiles(qc_long(qc, by), [*by, "metric"], "value", [0.25, 0.75])
+    q = exact_percentiles(staged(qc_long(qc, by), "measures"), [*by, "metric"], "value", [0.25, 0.75])
     q1, q3 = F.col("q")[0], F.col("q")[1]
     return q.select(*by, "metric", (q1 - FENCE * (q3 - q1)).alias("low"), (q3 + FENCE * (q3 - q1)).alias("high"))
 
