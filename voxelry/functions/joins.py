@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, functions as F
 from ..schema import AXES, SUBJECT, VOXEL
 from ..session import cut_lineage
 
-#: Row limit under which a measured table is broadcast (a row of statistics is about 100 bytes).
-BROADCAST_ROWS = 200_000
+#: Row limit under which a measured table is broadcast. A plan may hold a dozen of them on the driver at once, with rows of a few hundred bytes.
+BROADCAST_ROWS = 20_000
 SALT_BUCKETS = 32
 
 
