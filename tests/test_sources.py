@@ -261,6 +261,27 @@ def test_csv_quoted_line_ends_and_odd_files(spark, tmp_path):
     assert tables.read_subject_csvs(spark, str(tmp_path / "[cd]/t.csv")).columns == ["subject_id"]
 
 
+def test_many_csvs_are_listed_by_few_tasks(spark, tmp_path):
+    """Files beyond a session's tasks are listed and read several a task; rows of several files travel together; the session's settings stay."""
+    for n in range(100):
+        (tmp_path / str(n)).mkdir()
+        (tmp_path / str(n) / "t.csv").write_text(f"a,b\n{n},x\n" * 2 if n % 10 else "")
+    keys = ["spark.sql.sources.parallelPartitionDiscovery.parallelism", "spark.sql.files.openCostInBytes"]
+    before = [spark.conf.get(k) for k in keys]
+    sc = spark.sparkContext
+    sc.setJobGroup("csvs", "")
+    try:
+        out = tables.read_subject_csvs(spark, str(tmp_path / "*/t.csv"))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("csvs") for s in tracker.getJobInfo(j).stageIds]
+    assert 1 < max(s.numTasks for s in stages if s) <= 8 * sc.defaultParallelism < 100
+    assert [spark.conf.get(k) for k in keys] == before
+    rows = [(str(n), *row) for n in range(100) if n % 10 for row in ((str(n), "x"), ("a", "b"), (str(n), "x"))]
+    assert sorted(map(tuple, out.collect())) == sorted(rows)
+
+
 def test_stage_store(spark, tmp_path):
     """Lost, repeated and empty writes; resumed runs make only what is missing; reading some subjects opens their buckets only."""
     from voxelry.sources.stages import StageStore

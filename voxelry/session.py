@@ -8,6 +8,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -93,6 +95,22 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_files(spark: SparkSession) -> Iterator[None]:
+    """Settings under which a folder of very many small files is listed and read: some tasks a core list them all, where Spark takes up to
+    10 000, and a task reads some hundred files, where Spark takes 32."""
+    wanted = {"spark.sql.sources.parallelPartitionDiscovery.parallelism": str(8 * spark.sparkContext.defaultParallelism),
+              "spark.sql.files.openCostInBytes": str(1 << 19)}
+    before = {key: spark.conf.get(key) for key in wanted}
+    try:
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give the workers this package, wherever they were started; once a Spark context."""
     sc = spark.sparkContext

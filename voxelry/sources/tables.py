@@ -11,7 +11,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..schema import SUBJECT
-from ..session import staged
+from ..session import small_files, staged
+
+#: Characters of files whose rows a task sends on together.
+TOGETHER = 1 << 22
 
 
 def dated(rows: DataFrame, date: str | None = None) -> DataFrame:
@@ -73,14 +76,25 @@ def read_subject_csvs(spark: SparkSession, glob: str, pattern: str = r"/([^/]+)/
     """
     def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            found, held = [], 0
             for subject, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                rows = list(csv_rows(text.as_py() or ""))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([subject] * len(rows), pa.string()), pa.array([r[0] for r in rows], pa.list_(pa.string())), pa.array([r[1] for r in rows], pa.list_(pa.string()))],
-                    names=[SUBJECT, "names", "cells"])
-
-    files = spark.read.text(glob, wholetext=True).select(F.regexp_extract(F.col("_metadata.file_path"), pattern, 1).alias(SUBJECT), "value")
-    rows = staged(files.mapInArrow(parsed, f"`{SUBJECT}` string, names array<string>, cells array<string>"), "subject-csvs")
+                text = text.as_py() or ""
+                found += [(subject, *row) for row in csv_rows(text)]
+                held += len(text)
+                if held >= TOGETHER:
+                    yield as_batch(found)
+                    found, held = [], 0
+            if found:
+                yield as_batch(found)
+
+    def as_batch(found: list[tuple[str, list[str], list[str | None]]]) -> pa.RecordBatch:
+        texts = pa.list_(pa.string())
+        return pa.RecordBatch.from_arrays([pa.array([row[n] for row in found], kind) for n, kind in enumerate((pa.string(), texts, texts))],
+                                          names=[SUBJECT, "names", "cells"])
+
+    with small_files(spark):
+        files = spark.read.text(glob, wholetext=True).select(F.regexp_extract(F.col("_metadata.file_path"), pattern, 1).alias(SUBJECT), "value")
+        rows = staged(files.mapInArrow(parsed, f"`{SUBJECT}` string, names array<string>, cells array<string>"), "subject-csvs")
     heads = rows.select("names").distinct().select(F.posexplode("names").alias("place", "name"))
     columns = (heads.groupBy(F.lower("name").alias("key")).agg(F.min("place").alias("place"), F.min("name").alias("name"))
                .orderBy("place", "key").collect())
