@@ -1,12 +1,14 @@
 """Steps whose memory may not grow with the cohort: plans of joins, tasks that generate rows, batches in Python."""
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from voxelry import session
-from voxelry.catalog import recipe
+from voxelry.catalog import load, recipe
 from voxelry.functions import quantiles
 from voxelry.functions.joins import attach, salted_join
 from voxelry.operators import clusters, components, fill, geometry, lines, morphology, parcellation, smoothing, voxel
@@ -60,6 +62,21 @@ def test_voxel_tables_are_not_broadcast(spark, name):
     assert "BroadcastHashJoin" not in plan
 
 
+QUERIES = ["assign_region_wta"]
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_queries_broadcast_no_voxels(spark, sf, monkeypatch, name):
+    """What is joined by a voxel, a cluster or a region of a participant grows with the cohort: it is shuffled, even where the planner takes it for small."""
+    frame = type(spark.range(0))
+    plain, frames = frame.checkpoint, []
+    monkeypatch.setattr(frame, "checkpoint", lambda df, *a, **b: frames.append(df) or plain(df, *a, **b))
+    frames.append(load().QUERIES[name](spark, sf))
+    plans = "\n".join(df._jdf.queryExecution().executedPlan().toString() for df in frames)
+    assert "SortMergeJoin" in plans
+    assert not re.search(r"BroadcastHashJoin \[[^\]]+, ", plans)
+
+
 def test_generated_rows_are_spread(spark, sf, monkeypatch):
     """Whole subjects are dealt to tasks by the rows they make, however small their table is."""
     monkeypatch.setattr(session, "GENERATED_ROWS", 1200)
