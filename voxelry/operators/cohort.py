@@ -120,6 +120,8 @@ def metrics_wide(stats: DataFrame, regions: Sequence[str], drop_empty: bool = Fa
 
     ``drop_empty`` leaves out columns without any value in the cohort (one aggregate row decides).
     """
+    if drop_empty:
+        stats = staged(stats, "statistics")  # read twice, its clusters labelled once
     wide = stats.groupBy(SUBJECT).agg(*[
         F.avg(F.when(F.col("region") == r, F.col(s))).alias(f"{r} - {s}") for r in regions for s in STATISTICS])
     names = sorted(c for c in wide.columns if c != SUBJECT)
