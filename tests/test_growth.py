@@ -62,7 +62,7 @@ def test_voxel_tables_are_not_broadcast(spark, name):
     assert "BroadcastHashJoin" not in plan
 
 
-QUERIES = ["assign_region_wta", "cohort_metrics_long", "cohort_metrics_wide", "dog_edges"]
+QUERIES = ["assign_region_wta", "cohort_metrics_long", "cohort_metrics_wide", "dog_edges", "drop_outside_clusters"]
 
 
 @pytest.mark.parametrize("name", QUERIES)
