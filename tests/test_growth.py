@@ -62,7 +62,7 @@ def test_voxel_tables_are_not_broadcast(spark, name):
     assert "BroadcastHashJoin" not in plan
 
 
-QUERIES = ["assign_region_wta", "cohort_metrics_long", "cohort_metrics_wide", "dog_edges", "drop_outside_clusters", "fold_ensemble", "predict_biomarker", "region_stats", "region_stats_wide"]
+QUERIES = ["assign_region_wta", "cohort_metrics_long", "cohort_metrics_wide", "dog_edges", "drop_outside_clusters", "fold_ensemble", "predict_biomarker", "region_stats", "region_stats_wide", "warp_labels"]
 
 
 @pytest.mark.parametrize("name", QUERIES)

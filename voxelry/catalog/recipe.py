@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.joins import shuffled_join
 from ..functions.matrix import pack
 from ..session import cut_lineage, scatter
 
@@ -60,7 +61,7 @@ def _codes(values: list[int]):
 def parc(spark: SparkSession, d: str) -> DataFrame:
     """FreeSurfer-like blocks, arranged differently for every participant, with islands where the map says so."""
     p = prob(spark, d).select("subject_id", "i", "j", "k", "p")
-    rows = grid(spark, d).join(p, ["subject_id", "i", "j", "k"], "left")
+    rows = shuffled_join(grid(spark, d), p, how="left")
     block = F.expr("(i div 4) * 9 + (j div 4) * 3 + k div 3 + subject_id * 5") % len(PARC_CODES)
     island = F.get(_codes(ISLAND_CODES), (F.col("subject_id") % 3).cast("int"))
     label = F.when(F.coalesce("p", F.lit(1)) % 23 == 0, island).otherwise(F.get(_codes(PARC_CODES), block.cast("int")))
