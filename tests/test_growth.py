@@ -11,7 +11,7 @@ from voxelry import session
 from voxelry.catalog import load, recipe
 from voxelry.functions import quantiles
 from voxelry.functions.joins import attach, salted_join
-from voxelry.operators import clusters, components, fill, geometry, lines, morphology, parcellation, smoothing, voxel
+from voxelry.operators import clusters, cohort, components, fill, geometry, lines, morphology, parcellation, smoothing, voxel
 
 DIMS = (4, 4, 4)
 
@@ -71,12 +71,23 @@ def test_queries_broadcast_no_voxels(spark, sf, monkeypatch, name):
     frame = type(spark.range(0))
     plain, frames = frame.checkpoint, []
     monkeypatch.setattr(frame, "checkpoint", lambda df, *a, **b: frames.append(df) or plain(df, *a, **b))
+    monkeypatch.setattr(cohort, "staged", lambda df, place: frames.append(df) or session.staged(df, place))
     frames.append(load().QUERIES[name](spark, sf))
     plans = "\n".join(df._jdf.queryExecution().executedPlan().toString() for df in frames)
     assert "SortMergeJoin" in plans
     assert not re.search(r"BroadcastHashJoin \[[^\]]+, ", plans)
 
 
+def test_wide_statistics_are_made_once(spark):
+    """Whether a region has values, and the values, are read from the same stored rows."""
+    rows = spark.createDataFrame([("a", "x", 1), ("b", "x", 2)], "subject_id string, region string, n int")
+    stats = rows.select("subject_id", "region", *[F.col("n").alias(c) for c in cohort.STATISTICS])
+    wide = cohort.metrics_wide(stats, ["x", "y"], drop_empty=True)
+    plan = wide._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "ExistingRDD" not in plan
+    assert len(wide.columns) == 8 and {r[1] for r in wide.collect()} == {1.0, 2.0}
+
+
 def test_generated_rows_are_spread(spark, sf, monkeypatch):
     """Whole subjects are dealt to tasks by the rows they make, however small their table is."""
     monkeypatch.setattr(session, "GENERATED_ROWS", 1200)
