@@ -122,6 +122,27 @@ def test_bpe_rows(spark, odd, tik):
     assert byte_bpe.tokenise(odd.limit(0), PATH, PATTERN).count() == 0
 
 
+def test_bpe_of_pieces_around_the_short_ones(tik):
+    """Pieces up to a length are merged pair by pair, longer ones walked."""
+    pairs, rng = byte_bpe.BytePairs(byte_bpe.read_ranks(PATH), PATTERN), random.Random(7)
+    for n in range(byte_bpe.SHORT - 3, byte_bpe.SHORT + 4):
+        for alphabet in ("abcdefghijklmnopqrstuvwxyz", "ab", "ethanios", "éßeü", "漢字"):
+            for _ in range(40):
+                piece = "".join(rng.choice(alphabet) for _ in range(n))
+                assert pairs.encode(piece) == tik.encode_ordinary(piece)
+
+
+def test_bpe_remembers_frequent_pieces(monkeypatch):
+    """A full memo does not forget the pieces that come again and again, and stays bounded."""
+    monkeypatch.setattr(byte_bpe, "MEMO", 16)
+    calls = []
+    memo = byte_bpe._Pieces(lambda piece: calls.append(piece) or (len(piece),))
+    for n in range(200):
+        assert memo["often"] == (5,) and memo[f"rare{n}"] == (len(f"rare{n}"),)
+        assert len(memo) + len(memo.older) <= 32
+    assert calls.count("often") == 1
+
+
 def test_bpe_of_long_pieces_is_linear(tik):
     """Twice the length of one piece takes about twice the time, and the ids stay those of the library."""
     import time

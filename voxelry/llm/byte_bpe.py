@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding, exact and linear in the length of a text.
 
 A piece of text is a match of the split pattern. Its bytes are read as Latin-1, so that an Aho-Corasick trie over the vocabulary's byte
-strings works on ordinary strings. Encoding walks left to right over the longest vocabulary match; a token is accepted
+strings works on ordinary strings. A piece of up to ``SHORT`` bytes is merged pair by pair. Encoding of a longer one walks left to right over the longest vocabulary match; a token is accepted
 only if it may stand after its predecessor, i.e. if merging their joint bytes leaves exactly these two tokens. If no
 prefix token fits, the predecessor is taken back and shortened, and the position is marked so that it is never tried again.
 Two adjacent tokens that are each a valid encoding and are compatible form a valid encoding, so the result is that of the merge procedure.
@@ -21,8 +21,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .frame import OWN, per_text
 
-#: Pieces, and pairs of tokens, that a worker remembers.
+#: Pieces of each of two generations, and pairs of tokens, that a worker remembers.
 MEMO = 1 << 18
+#: Bytes up to which a piece is encoded by its merges, whose time is quadratic; words hardly ever are longer.
+SHORT = 32
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -32,16 +34,22 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class _Pieces(dict):
-    """Ids of pieces met before; emptied when full, so its memory is bounded."""
+    """Ids of pieces met before. A full memo becomes the older generation, from which pieces that are met again return, so frequent ones stay
+    and its memory is bounded."""
 
     def __init__(self, encode):
         super().__init__()
         self.encode = encode
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
         if len(self) >= MEMO:
+            self.older = dict(self)
             self.clear()
-        ids = self[piece] = self.encode(piece.encode("utf-8", "surrogatepass").decode("latin-1"))
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self.encode(piece if piece.isascii() else piece.encode("utf-8", "surrogatepass").decode("latin-1"))
+        self[piece] = ids
         return ids
 
 
@@ -122,6 +130,8 @@ class BytePairs:
         whole = self.ranks.get(piece)
         if whole is not None:
             return (whole,)
+        if len(piece) <= SHORT:
+            return self._merged(piece)
         chosen: list[str] = []
         dead = bytearray(len(piece) + 1)
         at, token = 0, self._longest(piece, 0)
@@ -144,6 +154,23 @@ class BytePairs:
                 return tuple(self.ranks[t] for t in chosen)
             token = self._longest(piece, at)
 
+    def _merged(self, piece: str) -> tuple[int, ...]:
+        """Ids of a short piece: of all adjacent pairs that make a token, that of the lowest rank is merged, the leftmost first."""
+        rank_of, above, parts = self.ranks.get, self.above, list(piece)
+        pairs = [rank_of(a + b, above) for a, b in zip(parts, parts[1:])]
+        while pairs:
+            rank = min(pairs)
+            if rank == above:
+                break
+            at = pairs.index(rank)
+            token = parts[at] = parts[at] + parts.pop(at + 1)
+            del pairs[at]
+            if at:
+                pairs[at - 1] = rank_of(parts[at - 1] + token, above)
+            if at < len(pairs):
+                pairs[at] = rank_of(token + parts[at + 1], above)
+        return tuple(map(self.ranks.__getitem__, parts))
+
     def encode(self, text: str) -> list[int]:
         return list(chain.from_iterable(map(self.pieces.__getitem__, self.split(text))))
 
