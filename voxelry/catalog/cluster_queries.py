@@ -105,15 +105,15 @@ def cohort_metrics_long(spark, d):
     return rounded(cohort.cohort_metrics_long(tagged, "pvs"))
 
 
-SOME = ["Whole brain", "Left Deep WM"]
-SOME_SQL = ", ".join(f"round(any_value(CASE WHEN region = '{r}' THEN {s} END), 6)::DOUBLE AS \"{r} - {s}\"" for r in SOME for s in cohort.STATISTICS)
+#: DuckDB's PIVOT makes its columns from the data, so a statistic that nobody has a value for leaves none.
+FILLED = dict(**region_views("pvs"), metric_rows=" UNION ALL ".join(
+    f"SELECT subject_id, region || ' - {s}' AS metric, round({s}, 6)::DOUBLE AS v FROM stats" for s in cohort.STATISTICS))
 
 
-@query("cohort_metrics_wide", sql(f"SELECT subject_id, {SOME_SQL} FROM stats GROUP BY 1", **region_views("pvs")))
+@query("cohort_metrics_wide", sql("SELECT * FROM (PIVOT (SELECT * FROM metric_rows WHERE v IS NOT NULL) ON metric USING any_value(v) GROUP BY subject_id)", **FILLED))
 def cohort_metrics_wide(spark, d):
     """A region that nobody has a value for leaves no column."""
-    stats = _stats(spark, d).filter(F.col("region").isin(SOME))
-    wide = cohort.metrics_wide(stats, [*SOME, "Nowhere"], drop_empty=True)
+    wide = cohort.metrics_wide(_stats(spark, d), [*WIDE_REGIONS, "Nowhere"], drop_empty=True)
     return wide.select("subject_id", *[F.round(f"`{c}`", 6).alias(c) for c in wide.columns[1:]])
 
 
