@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from voxelry import session
 from voxelry.catalog import load, recipe
-from voxelry.functions import quantiles
+from voxelry.functions import hull, quantiles
 from voxelry.functions.joins import attach, salted_join
-from voxelry.operators import clusters, cohort, components, fill, geometry, lines, morphology, parcellation, smoothing, voxel
+from voxelry.operators import clusters, cohort, components, fill, geometry, lines, morphology, parcellation, rules, smoothing, voxel
 
 DIMS = (4, 4, 4)
 
@@ -146,6 +146,93 @@ def test_small_volumes_are_as_line_by_line(spark, monkeypatch, name):
     assert as_block and as_block == sorted(BLOCKS[name](some_masks(spark)).collect(), key=str)
 
 
+def label_maps(n, dims, seed=7):
+    """Blocks of all codes of the rules, with holes; the first map is empty, the second one all white matter, every third has a callosum of its own."""
+    rng = np.random.default_rng(seed)
+    codes = np.array([0, 2, 41, 2, 41, 2, 41, 4, 43, 14, 77, 10, 49, 11, 50, 12, 51, 1035, 2035, 1003, 2003, 1008, 2008, 1002, 2002, 17, 16])
+    maps = rng.choice(codes, (*[-(-d // 2) for d in dims], n)).astype(np.int32)
+    for axis in range(3):
+        maps = np.repeat(maps, 2, axis=axis)
+    maps = maps[tuple(slice(d) for d in dims)]
+    maps = np.where(rng.random(maps.shape) < 0.1, rng.choice(codes, maps.shape), maps).astype(np.int32)
+    maps[..., 2::3] = np.where(rng.random(maps[..., 2::3].shape) < 0.05, 251, maps[..., 2::3])
+    maps[..., 0] = 0
+    maps[..., 1] = np.where(np.arange(dims[0])[:, None, None] < dims[0] // 2, 2, 41)
+    return maps
+
+
+def as_rows(spark, maps):
+    """Rows of the maps; a map without any voxel has none."""
+    at = np.nonzero(maps)
+    return spark.createDataFrame([(f"s{s}", int(i), int(j), int(k), int(v)) for i, j, k, s, v in zip(*at, maps[at])],
+                                 "subject_id string, i int, j int, k int, label int")
+
+
+RULES = {
+    "hyperintensity_to_wm": (), "lobar_labels": (), "internal_capsule": (), "juxtacortical_wm": (2,), "periventricular": (1,), "corpus_callosum": (1, 2, 3, 1),
+}
+
+
+@pytest.mark.parametrize("name", sorted(RULES))
+def test_rules_on_maps_are_as_on_tables(spark, name):
+    dims, operator = (10, 9, 8), getattr(parcellation, name)
+    maps = label_maps(8, dims)
+    found = operator(as_rows(spark, maps), dims, *RULES[name])
+    value = [F.col("label") if "label" in found.columns else F.when(F.col("side") == "L", 1).otherwise(2) if "side" in found.columns else F.lit(1)]
+    table = np.zeros_like(maps)
+    for r in found.select("subject_id", "i", "j", "k", *[v.alias("v") for v in value]).collect():
+        table[r.i, r.j, r.k, int(r.subject_id[1:])] = r.v
+    assert table.any() and np.array_equal(table, operator(maps, dims, *RULES[name]))
+
+
+def test_parcellation_of_maps_is_as_of_tables(spark, monkeypatch):
+    dims = (10, 9, 8)
+    rows = as_rows(spark, label_maps(6, dims))
+    as_maps = sorted(parcellation.lobar_wm_parcellation(rows, dims).collect())
+    monkeypatch.setattr(parcellation, "fits", lambda d: False)
+    tables = parcellation.lobar_wm_parcellation(rows, dims)
+    assert as_maps and as_maps == sorted(tables.collect())
+    assert tables.dtypes == parcellation.map_labels(rows, dims, lambda x: x).dtypes
+
+
+def test_parcellation_of_small_grids_takes_one_shuffle(spark, monkeypatch):
+    """The rules of a volume are worked through in one task; no table of voxels is stored or joined between them."""
+    stored = []
+    monkeypatch.setattr(parcellation, "cut_lineage", lambda df: stored.append(df) or session.cut_lineage(df))
+    plan = parcellation.lobar_wm_parcellation(as_rows(spark, label_maps(4, DIMS)), DIMS)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "REPARTITION_BY_NUM" in plan and "Join" not in plan and not stored
+
+
+def test_parcellation_tells_voxels_outside_the_grid(spark):
+    rows = spark.createDataFrame([("a", 0, 4, 0, 2)], "subject_id string, i int, j int, k int, label int")
+    with pytest.raises(Exception, match="voxel outside the grid"):
+        parcellation.lobar_wm_parcellation(rows, DIMS).collect()
+
+
+def test_hulls_found_together_are_as_alone(monkeypatch):
+    """Solid, flat, straight and single sets; also where only some of them are searched at a time, and where some were not in general position."""
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 7, (n, 3)) * flat, axis=0) for n in (1, 2, 5, 30) for flat in ((1, 1, 1), (1, 0, 1), (0, 0, 1))]
+    points, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    grid = np.indices((7, 7, 7)).reshape(3, -1).T
+    inside = [((grid @ rows[:, :3].T) <= rows[:, 3]).all(axis=1) for rows in map(hull.half_spaces, sets)]
+    plain = hull._simplices_each
+
+    def shaky(x, owner):
+        tri, of, good = plain(x, owner)
+        good[::2] = False
+        return tri, of, good
+
+    for pairs, search in ((hull.PAIRS, plain), (1, plain), (hull.PAIRS, shaky)):
+        monkeypatch.setattr(hull, "PAIRS", pairs)
+        monkeypatch.setattr(hull, "_simplices_each", search)
+        of, rows = hull.half_spaces_each(points, owner)
+        assert (np.diff(of) >= 0).all()
+        for s, want in enumerate(inside):
+            own = rows[of == s]
+            assert np.array_equal(((grid @ own[:, :3].T) <= own[:, 3]).all(axis=1), want)
+
+
 def test_small_volumes_take_one_shuffle(spark):
     """Dealt by a number of partitions: the planner would merge few bytes of much work into one task."""
     plan = morphology.close_l1(some_masks(spark), 2, DIMS)._jdf.queryExecution().executedPlan().toString()

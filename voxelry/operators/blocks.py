@@ -11,9 +11,9 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from ..schema import AXES, SUBJECT, Dims
+from ..schema import AXES, SUBJECT, VOXEL, Dims, in_grid, voxel_id
 from ..session import scatter
 
 #: Voxels of the largest grid that is one block.
@@ -120,6 +120,27 @@ def map_volumes(df: DataFrame, dims: Dims, run: Volumes, fill: float, value: str
     return _dealt(rows, keys, where).mapInArrow(mapped, schema)
 
 
+def map_labels(labels: DataFrame, dims: Dims, run: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """``run`` on the dense label maps of a small grid, some at a time, laid along the last axis: (ni, nj, nk, number of maps). Label 0 is an absent voxel, before and
+    afterwards. Rows travel with the number of their voxel, and are read once."""
+    cells = math.prod(dims)
+    number = F.when(in_grid(dims), voxel_id(dims)).otherwise(F.raise_error(F.lit("voxel outside the grid")))
+    rows = labels.filter("label <> 0").select(SUBJECT, number.cast("int").alias("_at"), F.col("label").cast("int").alias("label"))
+    schema = T.StructType([labels.schema[SUBJECT], *[T.StructField(c, T.IntegerType()) for c in (*AXES, "label")]])
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, of, names in _chunks(batches, 1, cells):
+            dense = np.zeros((cells, names.num_rows), np.int32)
+            dense[part.column("_at").to_numpy(), of] = part.column("label").to_numpy()
+            out = run(dense.reshape(*dims, -1))
+            at = np.nonzero(out)
+            columns = [names.column(SUBJECT).combine_chunks().take(pa.array(at[3])), *[pa.array(x, pa.int32()) for x in (*at[:3], out[at])]]
+            yield pa.RecordBatch.from_arrays(columns, names=[SUBJECT, *AXES, "label"])
+
+    found = scatter(rows, SUBJECT).sortWithinPartitions(SUBJECT).mapInArrow(mapped, schema)
+    return found.select(*[F.col(c).cast(labels.schema[c].dataType).alias(c) for c in VOXEL], "label")
+
+
 def sweep_dense(dense: np.ndarray, kernels: Sequence[Callable], fill: float, limit: float | None = None,
                 lengths: Sequence[np.ndarray] | None = None, spacings: Sequence[np.ndarray] | None = None) -> np.ndarray:
     """Passes of line kernels (in the order i, j, k) along k, j and i; between them cells that are not finite or beyond ``limit`` are dropped, and lines

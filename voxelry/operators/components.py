@@ -24,7 +24,7 @@ BRICK = 32
 CLUSTER_SALT = 8
 
 
-def _merge(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def merge_pairs(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Smallest member of the component of each of ``n`` nodes."""
     root = np.arange(n)
     while a.size:
@@ -52,7 +52,7 @@ def _one_label(equal: str | None) -> Assign:
             a, b = a[same], b[same]
         part = voxels.field("part_id").to_numpy()
         out = np.empty_like(part)
-        out[order] = part[order][_merge(len(order), a, b)]
+        out[order] = part[order][merge_pairs(len(order), a, b)]
         return {"part_id": pa.array(out)}
 
     return assign
@@ -67,7 +67,7 @@ def _merge_tree(voxels: pa.StructArray, order: np.ndarray, a: np.ndarray, b: np.
     roots, root = np.zeros((n, top), np.int64), np.arange(n)
     for t in range(top, 0, -1):
         now = weight == t
-        root = _merge(n, root[a[now]], root[b[now]])[root]
+        root = merge_pairs(n, root[a[now]], root[b[now]])[root]
         roots[:, t - 1] = part[root]
     back = np.empty(n, np.int64)
     back[order] = np.arange(n)
@@ -157,7 +157,7 @@ def _united(by: Sequence[str]):
         ids, place = np.unique(np.concatenate([u, v]), return_inverse=True)
         # nodes of one key are numbered in the order of their ids
         nodes, first, node = np.unique(np.tile(code, 2) * len(ids) + place, return_index=True, return_inverse=True)
-        root = _merge(len(nodes), node[:len(u)], node[len(u):])
+        root = merge_pairs(len(nodes), node[:len(u)], node[len(u):])
         moved = np.flatnonzero(root != np.arange(len(nodes)))
         rows = edges.take(pa.array(first[moved] % len(u)))
         found = {"u": ids[nodes[moved] % len(ids)], "v": ids[nodes[root[moved]] % len(ids)]}

@@ -6,9 +6,11 @@ Label volumes are sparse tables (subject_id, i, j, k, label). Both hemispheres o
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+import inspect
+from collections.abc import Callable, Sequence
+from functools import reduce, wraps
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions import regions as R
@@ -16,6 +18,8 @@ from ..functions.joins import salted_join, shuffled_join
 from ..functions.offsets import neighbours, spread
 from ..schema import AXES, SUBJECT, VOXEL, Dims, in_grid
 from ..session import cut_lineage
+from . import rules
+from .blocks import fits, map_labels
 from .components import CLUSTER_SALT, attach_to_clusters, label_components
 from .fill import hull_fill, nearest_label_fill
 from .morphology import close_l1, dilate_l1, erode_steps, open_steps
@@ -27,6 +31,24 @@ SIDED_VOXEL = [*SIDED, *AXES]
 JUXTACORTICAL_THICKNESS, PERIVENTRICULAR_THICKNESS = 3, 2
 
 
+def also_for_maps(rule: Callable[..., np.ndarray]) -> Callable[[Callable], Callable]:
+    """The operator takes dense label maps (``rules``) as well as tables, and gives such maps for them."""
+    def both(operator: Callable) -> Callable:
+        signature = inspect.signature(operator)
+
+        @wraps(operator)
+        def run(labels, *args, **options):
+            if not isinstance(labels, np.ndarray):
+                return operator(labels, *args, **options)
+            given = signature.bind(labels, *args, **options)
+            given.apply_defaults()
+            return rule(**given.arguments)
+
+        return run
+
+    return both
+
+
 def parcellate(labels: DataFrame, scheme: str) -> DataFrame:
     """Merge the codes of the derived parcellation into the regions of a scheme (``pvs``, ``wmh`` or ``mars``)."""
     lut = R.scheme_lut(labels.sparkSession, scheme)
@@ -57,6 +79,7 @@ def sided(labels: DataFrame, members: dict[str, Sequence[int]]) -> DataFrame:
     return labels.withColumn("side", side).filter("side IS NOT NULL").select(*SIDED_VOXEL, "label")
 
 
+@also_for_maps(rules.white_matter)
 def white_matter(labels: DataFrame) -> DataFrame:
     return sided(labels, {s: [c] for s, c in R.WHITE_MATTER.items()}).drop("label")
 
@@ -94,6 +117,7 @@ def remove_islands(labels: DataFrame, dims: Dims, max_size: int = 100, ignore: S
             .filter("label <> 0 OR removed IS NOT NULL"))
 
 
+@also_for_maps(rules.hyperintensity_to_wm)
 def hyperintensity_to_wm(labels: DataFrame, dims: Dims) -> DataFrame:
     """Turn each component of white-matter hyperintensity into the white matter of the side it touches in more voxels
     (the bigger hemisphere on ties)."""
@@ -121,28 +145,26 @@ def _recode(pairs: dict[int, int]) -> Column:
     return F.try_element_at(table, F.col("label"))
 
 
+@also_for_maps(rules.lobar_labels)
 def lobar_labels(labels: DataFrame, dims: Dims) -> DataFrame:
     """Lobes and deep structures: white matter (and the parcels kept out of the seeds) takes the nearest lobe of its
     hemisphere."""
-    shift = {"L": 0, "R": R.RIGHT_PARCEL}
-    seeds = {p + shift[s]: R.code(lobe, s) for s in "LR" for lobe, ps in R.LOBE_PARCELS.items()
-             for p in ps if p not in R.FILLED_PARCELS}
-    others = {v: R.code(name, s) for name, sides in R.STRUCTURES.items() for s, vs in zip("LR", sides) for v in vs}
-    others[R.BRAINSTEM] = R.BRAINSTEM_CODE
+    seeds, open_labels, others = rules.lobe_tables()
     seed_labels = {s: [v for v, c in seeds.items() if (v >= 2000) == (s == "R")] for s in "LR"}
     seeded = sided(labels, seed_labels).withColumn("label", _recode(seeds))
-    open_labels = {s: [R.WHITE_MATTER[s]] + [p + shift[s] for p in R.FILLED_PARCELS] for s in "LR"}
     filled = nearest_label_fill(seeded, sided(labels, open_labels), dims, SIDED)
     rest = label_in(labels, list(others)).withColumn("label", _recode(others)).select(*VOXEL, "label")
     return filled.unionByName(seeded).drop("side").unionByName(rest)
 
 
+@also_for_maps(rules.internal_capsule)
 def internal_capsule(labels: DataFrame, dims: Dims) -> DataFrame:
     """White matter inside the eroded hull of basal ganglia and thalamus, per side."""
     nuclei = sided(labels, R.CAPSULE_NUCLEI)
     return on_white_matter(erode_steps(hull_fill(nuclei, SIDED), 2, dims, SIDED), labels)
 
 
+@also_for_maps(rules.juxtacortical_wm)
 def juxtacortical_wm(labels: DataFrame, dims: Dims, thickness: int = JUXTACORTICAL_THICKNESS) -> DataFrame:
     """White matter within ``thickness`` steps of the cortex (insula excluded), per side."""
     parcels = [p for ps in R.LOBE_PARCELS.values() for p in ps]
@@ -150,6 +172,7 @@ def juxtacortical_wm(labels: DataFrame, dims: Dims, thickness: int = JUXTACORTIC
     return shuffled_join(white_matter(labels), near, how="left_semi").select(*SIDED_VOXEL)
 
 
+@also_for_maps(rules.periventricular)
 def periventricular(labels: DataFrame, dims: Dims, thickness: int = PERIVENTRICULAR_THICKNESS) -> DataFrame:
     """Voxels outside the lateral ventricles and within ``thickness`` steps of them."""
     ventricles = label_in(labels, R.VENTRICLES["L"] + R.VENTRICLES["R"])
@@ -161,6 +184,7 @@ def periventricular_wm(labels: DataFrame, dims: Dims, thickness: int = PERIVENTR
     return on_white_matter(dilate_l1(sided(labels, R.VENTRICLES), thickness, dims, SIDED), labels)
 
 
+@also_for_maps(rules.external_capsule)
 def external_capsule(labels: DataFrame, dims: Dims, exclude: DataFrame,
                      reach: int = 10, low: int = 5, closing: int = 3) -> DataFrame:
     """White matter between insula and putamen per side, away from ``exclude``, hippocampus and ventral DC."""
@@ -177,6 +201,7 @@ def external_capsule(labels: DataFrame, dims: Dims, exclude: DataFrame,
     return on_white_matter(shuffled_join(closed, walls, SIDED_VOXEL, "left_anti"), labels)
 
 
+@also_for_maps(rules.corpus_callosum)
 def corpus_callosum(labels: DataFrame, dims: Dims, ventricle_reach: int = 6, cingulum_closing: int = 5,
                     growth: int = 10, opening: int = 2) -> DataFrame:
     """Corpus callosum per side: from its own labels where the parcellation has them, otherwise from where the two
@@ -203,7 +228,12 @@ def corpus_callosum(labels: DataFrame, dims: Dims, ventricle_reach: int = 6, cin
 
 def lobar_wm_parcellation(labels: DataFrame, dims: Dims) -> DataFrame:
     """The derived parcellation: lobes with white-matter layers, deep structures, capsules, callosum, periventricular
-    parts. Overlays follow a fixed order in which the later one wins."""
+    parts. Overlays follow a fixed order in which the later one wins.
+
+    On a grid of one block the maps of a task are laid side by side, and the same operators work on them there after one shuffle of the labels.
+    """
+    if fits(dims):
+        return map_labels(labels, dims, lambda maps: _parcellated_maps(maps, dims))
     labels = cut_lineage(hyperintensity_to_wm(labels, dims))
     lobar = cut_lineage(lobar_labels(labels, dims))
     wm = white_matter(labels)
@@ -240,6 +270,36 @@ def lobar_wm_parcellation(labels: DataFrame, dims: Dims) -> DataFrame:
     return reduce(DataFrame.unionByName, layers).groupBy(*VOXEL).agg(F.max_by("label", "prio").alias("label"))
 
 
+def _parcellated_maps(labels: np.ndarray, dims: Dims) -> np.ndarray:
+    """``lobar_wm_parcellation`` of dense label maps."""
+    labels = hyperintensity_to_wm(labels, dims)
+    lobar = lobar_labels(labels, dims)
+    wm = white_matter(labels)
+    juxta = juxtacortical_wm(labels, dims)
+    near = periventricular(labels, dims)
+    capsule = internal_capsule(labels, dims)
+    near_wm = (wm > 0) & near
+    inner = np.where(near_wm, 0, capsule)
+    outer = external_capsule(labels, dims, (juxta > 0) | (inner > 0))
+    callosum = corpus_callosum(labels, dims)
+    lobes = list(R.LOBE_CODES.values())
+    on_lobe = (wm > 0) & rules.marked(lobar, lobes + [v + R.RIGHT_LOBE for v in lobes])
+
+    def overlay(sides: np.ndarray, name: str) -> np.ndarray:
+        return rules.recode(sides, {rules.SIDES[s]: R.code(name, s) for s in "LR"})
+
+    def near_structure(name: str) -> np.ndarray:
+        return np.where(near, rules.sided(lobar, {s: [R.code(name, s)] for s in "LR"}), 0)
+
+    layers = [np.where(on_lobe, lobar + R.DEEP, 0), np.where(on_lobe & (juxta > 0), lobar + R.JUXTACORTICAL, 0),
+              np.where(on_lobe & near_wm, lobar + R.PERIVENTRICULAR, 0),
+              overlay(inner, "Internal capsule"), overlay(outer, "External capsule"), overlay(callosum, "Corpus callosum"),
+              overlay(near_structure("Basal ganglia"), "Basal ganglia periventricular"),
+              overlay(np.where(near, capsule, 0), "Internal capsule periventricular"),
+              overlay(near_structure("Thalamus"), "Thalamus periventricular")]
+    return reduce(lambda under, over: np.where(over > 0, over, under), layers, lobar)
+
+
 def basal_ganglia_box(labels: DataFrame, dims: Dims) -> DataFrame:
     """Box over the basal ganglia in y and z, cut in x by a wall along the insula of each side.
 
