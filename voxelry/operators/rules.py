@@ -17,7 +17,7 @@ from .components import merge_pairs
 
 SIDES = {"L": 1, "R": 2}
 #: Half-spaces times lines that are held at a time.
-BOUNDS = 1 << 21
+BOUNDS = 1 << 18
 
 
 def recode(labels: np.ndarray, table: dict[int, int]) -> np.ndarray:
